@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The operator set this library mirrors is batch only: there is no stream,
+watermark, window or state anywhere in it, so nothing is built here.  The
+batch landing folder (:func:`cohortkit.sources.files.land`) is append-only
+JSON Lines partitioned by type, which a ``readStream`` could consume as-is
+if incremental ingestion is ever needed.
+"""
