@@ -29,6 +29,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortkit.functions.columns import dense_cosine
+from cohortkit.session import scratch_path
+from cohortkit.sources.files import materialize
 
 # Relative slack on the prefix bound so rounding can only add prefix tags.
 _PREFIX_SLACK = 1e-9
@@ -110,7 +112,8 @@ def similar_pairs(base: DataFrame, threshold: float = 0.75,
                   key_cols: Sequence[str] = ("id", "cohort_id", "chain_id"),
                   name_col: str = "name", tags_col: str = "tags", tag_field: str | None = "tag",
                   differ_on: Sequence[str] = ("cohort_id", "chain_id"),
-                  block_size: int = 1024, both_orders: bool = True) -> DataFrame:
+                  block_size: int = 1024, both_orders: bool = True,
+                  workdir: str | None = None) -> DataFrame:
     """Pairs of rows with TF-IDF cosine ``> threshold`` that differ on every
     column of ``differ_on`` (I4, with the C7 conditions in the join).
 
@@ -118,6 +121,12 @@ def similar_pairs(base: DataFrame, threshold: float = 0.75,
     as (i, j) and (j, i), as in the original.  ``!=`` on a NULL key drops the
     pair (the original's ``same == False`` rule).  Rows whose weights are all
     zero have no vector and yield no pair.
+
+    ``base`` is read twice (term counts and the row count ``m``), so pass a
+    written table.  The per-row vector table is read three times (per-tag
+    counts and both join sides); it is written once below ``workdir``
+    (default: a fresh folder under ``spark.checkpoint.dir``), which runs one
+    job when this function is called.
     """
     if threshold < 0:
         raise ValueError("threshold must be >= 0 (the sparse join relies on it)")
@@ -127,6 +136,7 @@ def similar_pairs(base: DataFrame, threshold: float = 0.75,
     carry = list(dict.fromkeys([*key_cols, *differ_on, name_col]))
     weights = tfidf_weights(base, key_cols, tags_col, tag_field, extra_cols=carry)
     vectors = _unit_vectors(weights, carry, key_cols, threshold)
+    vectors = materialize(vectors, workdir or scratch_path(base.sparkSession, "similar_pairs"))
 
     entries = vectors.select(*carry, "vec", "pre", F.explode("pre").alias("p")).select(
         *carry, "vec", "pre", F.col("p.df").alias("df"), F.col("p.tag").alias("tag")

@@ -62,6 +62,7 @@ from cohortkit.sources.documents import (
 from cohortkit.sources.files import (
     land,
     latest_per_key,
+    materialize,
     publish,
     read_json_arrays,
     read_landing,
@@ -431,14 +432,19 @@ def q_tag_tfidf(spark, sf):
     return r6(w.select(*KEYS, "tag", "weight"))
 
 
+def _written_base(spark: SparkSession, sf: str) -> DataFrame:
+    """The base table written to the shared folder, as the job does."""
+    return materialize(_base(Fixture(spark, sf)), scratch_path(spark, "base"))
+
+
 @query("similar_pairs")
 def q_similar_pairs(spark, sf):
-    return r6(similar_pairs(_base(Fixture(spark, sf)), THRESHOLD))
+    return r6(similar_pairs(_written_base(spark, sf), THRESHOLD))
 
 
 @query("pairs_differ")
 def q_pairs_differ(spark, sf):
-    return r6(similar_pairs(_base(Fixture(spark, sf)), THRESHOLD, differ_on=("cohort_id",)))
+    return r6(similar_pairs(_written_base(spark, sf), THRESHOLD, differ_on=("cohort_id",)))
 
 
 @query("dense_cosine")
