@@ -15,6 +15,15 @@ from pyspark.sql import types as T
 from cohortkit.schemas import LANDING
 
 
+def scan_local(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+    """Rows held by the driver to a DataFrame with an explicit schema.
+
+    For small, driver-side inputs only (tests, lookup lists); table-sized
+    data belongs in files and :func:`read_json_arrays` / Parquet scans.
+    """
+    return spark.createDataFrame(list(rows), schema=schema)
+
+
 def read_json_arrays(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> DataFrame:
     """Files that each hold one JSON array of objects, one row per element (A10).
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortkit.operators.chains import all_members, first_branch, parse_chains
-from cohortkit.schemas import ENTITY_DOC
+from cohortkit.schemas import ENTITY, ENTITY_DOC
 from cohortkit.session import scratch_path
 from cohortkit.sources.documents import (
     parse_cohorts,
@@ -22,6 +22,7 @@ from cohortkit.sources.files import (
     read_json_arrays,
     read_landing,
     read_published,
+    scan_local,
 )
 
 ENT = {
@@ -157,3 +158,9 @@ def test_chain_depth_zero_one(spark, depth):
     good, bad = parse_chains(d, depth=depth)
     assert good.count() == 1 and bad.count() == 0
     assert first_branch(good, depth).collect()[0].members == ["a"]
+
+
+def test_scan_local_explicit_schema(spark):
+    df = scan_local(spark, [(1, "a", [("hp", 3)], [("t", True)], ["k"])], ENTITY)
+    assert df.schema == ENTITY
+    assert df.collect()[0].measures[0].value == 3
