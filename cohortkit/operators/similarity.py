@@ -16,7 +16,7 @@ exact, prefix-filtered sparse self-join:
 * A prefix tag held by many rows is split into blocks by hash of the row
   key; block pairs ``(lo, hi)`` are separate join keys, so one hot tag is
   spread over many tasks instead of one.
-* Each row carries its whole unit vector (a map) and its sorted prefix, so
+* Each row carries its whole unit vector and its sorted prefix, so
   the cosine is computed inside the join, and a pair is emitted only at the
   first prefix tag the two rows share (no distinct over candidates needed).
 """
@@ -78,9 +78,9 @@ def tfidf_weights(base: DataFrame, key_cols: Sequence[str], tags_col: str = "tag
 
 def _unit_vectors(weights: DataFrame, carry: Sequence[str], key_cols: Sequence[str],
                   threshold: float) -> DataFrame:
-    """Per row: unit vector ``vec`` (map tag -> weight / norm) and the sorted
-    prefix ``pre`` (array of (df, tag)).  One shuffle (by row key) serves the
-    norm, the running sum and the collect."""
+    """Per row: unit vector ``vec`` (array of (tag, weight / norm) sorted by
+    tag) and the sorted prefix ``pre`` (array of (df, tag)).  One shuffle (by
+    row key) serves the norm, the running sum and the collect."""
     positive = weights.where(F.col("weight") > 0).withColumn("w2", F.col("weight") * F.col("weight"))
     row = Window.partitionBy(*key_cols)
     running = row.orderBy("df", "tag").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -93,7 +93,7 @@ def _unit_vectors(weights: DataFrame, carry: Sequence[str], key_cols: Sequence[s
         .withColumn("u", F.col("weight") / F.sqrt("norm2"))
     )
     return ranked.groupBy(*carry).agg(
-        F.map_from_entries(F.collect_list(F.struct("tag", "u"))).alias("vec"),
+        F.array_sort(F.collect_list(F.struct("tag", "u"))).alias("vec"),
         F.array_sort(
             F.collect_list(F.when(F.col("in_prefix"), F.struct(F.col("df"), F.col("tag"))))
         ).alias("pre"),
@@ -101,11 +101,16 @@ def _unit_vectors(weights: DataFrame, carry: Sequence[str], key_cols: Sequence[s
 
 
 def _dot(a_vec: Column, b_vec: Column) -> Column:
+    """Dot product of two sparse vectors given as (tag, u) arrays with unique
+    tags: sort the concatenation once, then every shared tag is a pair of
+    neighbours.  O(n log n) per pair; a map lookup per entry would be linear
+    each, O(n^2) for long vectors."""
     zero = F.lit(0.0).cast("double")
-    return F.aggregate(
-        F.map_entries(a_vec), zero,
-        lambda acc, e: acc + e["value"] * F.coalesce(F.try_element_at(b_vec, e["key"]), zero),
-    )
+    both = F.array_sort(F.concat(a_vec, b_vec))
+    n = F.size(both)
+    prods = F.zip_with(F.slice(both, 1, n - 1), F.slice(both, 2, n - 1),
+                       lambda x, y: F.when(x["tag"] == y["tag"], x["u"] * y["u"]).otherwise(zero))
+    return F.aggregate(prods, zero, lambda acc, v: acc + v)
 
 
 def similar_pairs(base: DataFrame, threshold: float = 0.75,

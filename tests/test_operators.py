@@ -7,7 +7,7 @@ from cohortkit.functions.columns import pretty_label, url_key
 from cohortkit.operators.base import base_join, collect_chunked, drop_incomplete, explode_members
 from cohortkit.operators.coverage import best_coverage, group_coverage, with_coverage
 from cohortkit.operators.measures import extremes, group_extremes, measure_pivot, unpivot_values
-from cohortkit.operators.tags import explode_tags, filter_flag, tag_split
+from cohortkit.operators.tags import explode_tags, filter_flag, tag_members, tag_split
 from cohortkit.plans.contract import SchemaMismatch, assert_schema, contract_report
 from cohortkit.plans.jobs import JobConfig
 from cohortkit.schemas import ENTITY
@@ -121,3 +121,22 @@ def test_job_config_lists_all_missing_keys():
     assert "'landing_path'" in msg and "'output_path'" in msg and "'measure_names'" in msg
     cfg = JobConfig.from_mapping({"landing_path": "a", "output_path": "b", "measure_names": ["x"], "zz": 1})
     assert cfg.threshold == 0.75 and cfg.measure_names == ("x",)
+
+
+def test_chunked_holder_lists_equal_whole(spark):
+    rows = [(f"n{i}", "hot", i % 3 == 0) for i in range(50)] + [("a", "t1", True), ("b", "t1", False),
+                                                               ("c", "t2", True), ("n1", "hot", False)]
+    long = spark.createDataFrame(rows, "name string, tag string, hidden boolean")
+    for full in (False, True):
+        whole = {r.tag: (set(r.hidden), set(r.not_hidden)) for r in tag_split(long, full=full).collect()}
+        parts = tag_split(long, full=full, max_items=7).collect()
+        assert max(len(r.hidden) + len(r.not_hidden) for r in parts) < 50
+        merged = {}
+        for r in parts:
+            h, nh = merged.setdefault(r.tag, (set(), set()))
+            h.update(r.hidden)
+            nh.update(r.not_hidden)
+        assert merged == whole
+    members = tag_members(long, max_items=10).collect()
+    assert len([r for r in members if r.tag == "hot"]) >= 5
+    assert sorted(n for r in members if r.tag == "hot" for n in r.members) == sorted({f"n{i}" for i in range(50)})
