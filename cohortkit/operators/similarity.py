@@ -78,9 +78,10 @@ def tfidf_weights(base: DataFrame, key_cols: Sequence[str], tags_col: str = "tag
 
 def _unit_vectors(weights: DataFrame, carry: Sequence[str], key_cols: Sequence[str],
                   threshold: float) -> DataFrame:
-    """Per row: unit vector ``vec`` (array of (tag, weight / norm) sorted by
-    tag) and the sorted prefix ``pre`` (array of (df, tag)).  One shuffle (by
-    row key) serves the norm, the running sum and the collect."""
+    """Per row: the unit vector as parallel arrays ``vt`` (tags, sorted) and
+    ``vu`` (weight / norm), and the prefix ``pre`` (tags in the global
+    (df, tag) order).  One shuffle (by row key) serves the norm, the running
+    sum and the collect."""
     positive = weights.where(F.col("weight") > 0).withColumn("w2", F.col("weight") * F.col("weight"))
     row = Window.partitionBy(*key_cols)
     running = row.orderBy("df", "tag").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -92,25 +93,36 @@ def _unit_vectors(weights: DataFrame, carry: Sequence[str], key_cols: Sequence[s
         .withColumn("in_prefix", (F.col("norm2") - F.col("cum") + F.col("w2")) >= bound * F.col("norm2"))
         .withColumn("u", F.col("weight") / F.sqrt("norm2"))
     )
-    return ranked.groupBy(*carry).agg(
-        F.array_sort(F.collect_list(F.struct("tag", "u"))).alias("vec"),
+    agg = ranked.groupBy(*carry).agg(
+        F.array_sort(F.collect_list(F.struct("tag", "u"))).alias("__vec"),
         F.array_sort(
             F.collect_list(F.when(F.col("in_prefix"), F.struct(F.col("df"), F.col("tag"))))
-        ).alias("pre"),
+        ).alias("__pre"),
     )
+    return agg.select(*carry, F.col("__vec.tag").alias("vt"), F.col("__vec.u").alias("vu"),
+                      F.col("__pre.tag").alias("pre"))
 
 
-def _dot(a_vec: Column, b_vec: Column) -> Column:
-    """Dot product of two sparse vectors given as (tag, u) arrays with unique
-    tags: sort the concatenation once, then every shared tag is a pair of
-    neighbours.  O(n log n) per pair; a map lookup per entry would be linear
-    each, O(n^2) for long vectors."""
+# Up to this many |a| * |b| entry pairs the dot product looks tags up by
+# position; above it, one sort of the concatenated vectors (O(n log n)).
+_SHORT_DOT = 256
+
+
+def _dot(a_t: Column, a_u: Column, b_t: Column, b_u: Column) -> Column:
+    """Dot product of two sparse unit vectors (tags sorted and unique)."""
     zero = F.lit(0.0).cast("double")
-    both = F.array_sort(F.concat(a_vec, b_vec))
+    common = F.array_intersect(a_t, b_t)
+    short = F.aggregate(common, zero, lambda acc, t: acc
+                        + F.element_at(a_u, F.array_position(a_t, t).cast("int"))
+                        * F.element_at(b_u, F.array_position(b_t, t).cast("int")))
+    # long vectors: after sorting the concatenation, shared tags are neighbours
+    both = F.array_sort(F.concat(F.arrays_zip(a_t.alias("tag"), a_u.alias("u")),
+                                 F.arrays_zip(b_t.alias("tag"), b_u.alias("u"))))
     n = F.size(both)
     prods = F.zip_with(F.slice(both, 1, n - 1), F.slice(both, 2, n - 1),
                        lambda x, y: F.when(x["tag"] == y["tag"], x["u"] * y["u"]).otherwise(zero))
-    return F.aggregate(prods, zero, lambda acc, v: acc + v)
+    merged = F.aggregate(prods, zero, lambda acc, v: acc + v)
+    return F.when(F.size(a_t) * F.size(b_t) <= F.lit(_SHORT_DOT), short).otherwise(merged)
 
 
 def similar_pairs(base: DataFrame, threshold: float = 0.75,
@@ -143,9 +155,7 @@ def similar_pairs(base: DataFrame, threshold: float = 0.75,
     vectors = _unit_vectors(weights, carry, key_cols, threshold)
     vectors = materialize(vectors, workdir or scratch_path(base.sparkSession, "similar_pairs"))
 
-    entries = vectors.select(*carry, "vec", "pre", F.explode("pre").alias("p")).select(
-        *carry, "vec", "pre", F.col("p.df").alias("df"), F.col("p.tag").alias("tag")
-    )
+    entries = vectors.select(*carry, "vt", "vu", "pre", F.posexplode("pre").alias("pos", "tag"))
     per_tag = entries.groupBy("tag").agg(F.count(F.lit(1)).alias("n_tag"))
     n_blocks = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("n_tag") / F.lit(block_size)))
     blocked = (
@@ -157,7 +167,7 @@ def similar_pairs(base: DataFrame, threshold: float = 0.75,
         .withColumn("hi", F.greatest("blk", "q"))
         .drop("q", "nb", "n_tag")
     )
-    cols = [*carry, "vec", "pre", "df", "tag", "blk", "lo", "hi"]
+    cols = [*carry, "vt", "vu", "pre", "pos", "tag", "blk", "lo", "hi"]
     a = blocked.select([F.col(c).alias(f"a_{c}") for c in cols])
     b = blocked.select([F.col(c).alias(f"b_{c}") for c in cols])
 
@@ -172,13 +182,16 @@ def similar_pairs(base: DataFrame, threshold: float = 0.75,
     )
     for c in differ_on:
         cond = cond & (F.col(f"a_{c}") != F.col(f"b_{c}"))
-    first = F.element_at(F.array_intersect("a_pre", "b_pre"), 1)
-    cond = cond & (first.getField("df") == F.col("a_df")) & (first.getField("tag") == F.col("a_tag"))
+    # emit a pair only at its first shared prefix tag: none of a's earlier
+    # prefix tags (global order) is in b's prefix
+    cond = cond & ((F.col("a_pos") == 0)
+                   | ~F.arrays_overlap(F.slice("a_pre", 1, F.col("a_pos").cast("int")), F.col("b_pre")))
 
+    score = _dot(F.col("a_vt"), F.col("a_vu"), F.col("b_vt"), F.col("b_vu"))
     pairs = (
         a.join(b, cond, "inner")
         .select(F.col(f"a_{name_col}").alias("name_i"), F.col(f"b_{name_col}").alias("name_j"),
-                _dot(F.col("a_vec"), F.col("b_vec")).alias("score"))
+                score.alias("score"))
         .where(F.col("score") > F.lit(threshold))
     )
     if not both_orders:

@@ -111,3 +111,12 @@ def test_dense_cosine_builtin_equals_udf(spark):
     assert a[4] is None and b[4] is None
     for k in (1, 2, 3):
         assert a[k] == pytest.approx(b[k])
+
+
+def test_long_vectors_use_merge_dot(spark):
+    # |a| * |b| > 256 takes the sort-merge branch of the dot product
+    rows = [(i, f"n{i}", i % 4, i, [(f"t{(i * 7 + k) % 40}", False) for k in range(18 + i % 5)])
+            for i in range(16)]
+    want = brute(rows, 0.3)
+    assert want
+    same(run(spark, rows, 0.3), want)
