@@ -140,3 +140,36 @@ def test_chunked_holder_lists_equal_whole(spark):
     members = tag_members(long, max_items=10).collect()
     assert len([r for r in members if r.tag == "hot"]) >= 5
     assert sorted(n for r in members if r.tag == "hot" for n in r.members) == sorted({f"n{i}" for i in range(50)})
+
+
+def test_job_first_branch_chain_mode(spark):
+    import json
+
+    from cohortkit.plans.jobs import run_job
+    from cohortkit.session import scratch_path
+    from cohortkit.sources.files import land
+
+    ents = [dict(id=i, name=n, stats=[{"base_stat": 10 * i, "stat": {"name": "hp"}}],
+                 abilities=[{"is_hidden": i % 2 == 0, "ability": {"name": t}} for t in tags],
+                 types=[{"type": {"name": "k"}}])
+            for i, n, tags in [(1, "a", ["x", "y"]), (2, "b", ["x", "y"]), (3, "c", ["x", "y"]),
+                               (4, "d", ["z"])]]
+    cohorts = [{"id": 1, "name": "g1", "pokemon_species": [{"name": "a"}, {"name": "d"}]},
+               {"id": 2, "name": "g2", "pokemon_species": [{"name": "b"}, {"name": "c"}]}]
+    # chain 10: a -> b (first branch) with sibling c; chain 11: d alone
+    chains = [{"id": 10, "chain": {"species": {"name": "a"}, "evolves_to": [
+        {"species": {"name": "b"}, "evolves_to": []}, {"species": {"name": "c"}, "evolves_to": []}]}},
+        {"id": 11, "chain": {"species": {"name": "d"}, "evolves_to": []}}]
+    rows = ([("entity", e["id"], json.dumps(e)) for e in ents]
+            + [("cohort", c["id"], json.dumps(c)) for c in cohorts]
+            + [("chain", c["id"], json.dumps(c)) for c in chains])
+    landing = scratch_path(spark, "test_job_landing")
+    land(spark.createDataFrame(rows, "type string, id long, raw string"), landing, ingest=1)
+    cfg = {"landing_path": landing, "output_path": scratch_path(spark, "test_job_out"),
+           "measure_names": ["hp"], "threshold": 0.5}
+    inv = {r.dataset: r.n_rows for r in run_job(spark, cfg).collect()}
+    # first branch drops sibling c (no chain id -> cut); all mode keeps it
+    assert inv["base"] == 3 and inv["cohort_measure_avg"] == 2
+    inv_all = {r.dataset: r.n_rows for r in run_job(spark, dict(cfg, chain_mode="all",
+                                                              output_path=scratch_path(spark, "o2"))).collect()}
+    assert inv_all["base"] == 4
