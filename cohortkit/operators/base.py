@@ -78,8 +78,8 @@ def base_join(entity: DataFrame, cohort: DataFrame, chain: DataFrame,
     """The joined base table (C3 = C1 + C2 + B11 + D7).
 
     Entities join their cohort (inner) and chain (left); rows with any NULL
-    are removed and whole rows deduplicated.  Output: the entity columns
-    plus ``cohort_col`` and ``chain_col``.
+    are removed and the result has no duplicate rows.  Output: the entity
+    columns plus ``cohort_col`` and ``chain_col``.
     """
     return base_join_members(entity, explode_members(cohort, cohort_col),
                              explode_members(chain, chain_col), cohort_col, chain_col)
@@ -88,10 +88,20 @@ def base_join(entity: DataFrame, cohort: DataFrame, chain: DataFrame,
 def base_join_members(entity: DataFrame, cohort_members: DataFrame, chain_members: DataFrame,
                       cohort_col: str = "cohort_id", chain_col: str = "chain_id") -> DataFrame:
     """:func:`base_join` on group memberships already in long form
-    ``(group key, member)``."""
-    joined = join_left(join_inner(entity, cohort_members, cohort_col),
-                       chain_members, chain_col)
-    return distinct_rows(drop_incomplete(joined))
+    ``(group key, member)``.
+
+    The whole-row distinct (D7) is applied to the inputs: entity rows and
+    ``(group, member)`` pairs are de-duplicated before the joins.  Joining
+    duplicate-free inputs on the member name cannot create duplicates (two
+    equal output rows would need the same entity row and the same group
+    key twice), so this is the same set as de-duplicating the joined rows,
+    but the de-duplication is combined map-side on narrow rows, and no task
+    has to de-duplicate all joined rows of one heavily shared name.
+    """
+    members_a = distinct_rows(cohort_members.select("member", cohort_col))
+    members_b = distinct_rows(chain_members.select("member", chain_col))
+    joined = join_left(join_inner(distinct_rows(entity), members_a, cohort_col), members_b, chain_col)
+    return drop_incomplete(joined)
 
 
 def reattach(base: DataFrame, agg: DataFrame, on: str) -> DataFrame:
