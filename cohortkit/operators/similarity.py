@@ -58,10 +58,13 @@ def row_count(base: DataFrame) -> Column:
 def inverse_document_frequency(tf: DataFrame, n_rows: Column | int) -> DataFrame:
     """``df`` and ``idf = ln((m + 1) / (df + 1))`` per tag.
 
-    ``df`` counts rows holding the tag (``tf`` has one row per (row, tag)).
+    ``df`` counts rows holding the tag: rows of ``tf`` (one per (row, tag))
+    with a positive count.  Reading ``tf`` here keeps this branch's copy of
+    the term-count aggregate identical to the one the weights join reads,
+    so Spark shuffles the exploded tags once and reuses the exchange.
     """
     m = n_rows if isinstance(n_rows, Column) else F.lit(n_rows)
-    dfreq = tf.groupBy("tag").agg(F.count(F.lit(1)).alias("df"))
+    dfreq = tf.groupBy("tag").agg(F.count_if(F.col("tf") > 0).alias("df"))
     return dfreq.select(
         "tag", "df",
         F.ln((m + F.lit(1)).cast("double") / (F.col("df") + F.lit(1)).cast("double")).alias("idf"),
