@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from cohortkit.operators.base import collect_chunked
 from cohortkit.operators.measures import measure_column
+from cohortkit.schemas import COHORT_MEMBERS_KEY
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -145,7 +146,7 @@ class Fixture:
     def cohort_docs(self) -> DataFrame:
         c = self.cohort
         doc = F.struct(F.col("cohort_id").alias("id"), F.col("name"),
-                       F.transform("members", lambda m: F.struct(m.alias("name"))).alias("pokemon_species"),
+                       F.transform("members", lambda m: F.struct(m.alias("name"))).alias(COHORT_MEMBERS_KEY),
                        F.array().cast("array<struct<name:string>>").alias("abilities"))
         return c.select(F.lit("cohort").alias("type"), F.col("cohort_id").alias("id"), F.to_json(doc).alias("raw"))
 

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 #   chain document:  id, chain.species.name, chain.evolves_to[] (each element
 #                    has the same shape as chain, recursively)
 # ---------------------------------------------------------------------------
+COHORT_MEMBERS_KEY = "pokemon_species"
 
 _NAMED = T.StructType([T.StructField("name", T.StringType())])
 
@@ -58,7 +59,7 @@ COHORT_DOC = T.StructType(
     [
         T.StructField("id", T.LongType()),
         T.StructField("name", T.StringType()),
-        T.StructField("pokemon_species", T.ArrayType(_NAMED)),
+        T.StructField(COHORT_MEMBERS_KEY, T.ArrayType(_NAMED)),
         T.StructField("abilities", T.ArrayType(_NAMED)),
     ]
 )

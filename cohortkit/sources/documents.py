@@ -13,7 +13,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.schemas import COHORT_DOC, ENTITY_DOC, LEGACY_ENTITY_DOC
+from cohortkit.schemas import COHORT_DOC, COHORT_MEMBERS_KEY, ENTITY_DOC, LEGACY_ENTITY_DOC
 
 
 def parse_entities(docs: DataFrame, raw_col: str = "raw",
@@ -48,7 +48,7 @@ def parse_cohorts(docs: DataFrame, raw_col: str = "raw") -> tuple[DataFrame, Dat
     good = parsed.where(ok).select(
         F.col("__d.id").alias("cohort_id"),
         F.col("__d.name").alias("name"),
-        F.col("__d.pokemon_species").getField("name").alias("members"),
+        F.col("__d").getField(COHORT_MEMBERS_KEY).getField("name").alias("members"),
         F.col("__d.abilities").getField("name").alias("tags"),
     )
     return good, parsed.where(~ok).drop("__d")

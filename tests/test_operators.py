@@ -10,6 +10,7 @@ from cohortkit.operators.measures import extremes, group_extremes, measure_pivot
 from cohortkit.operators.tags import explode_tags, filter_flag, tag_members, tag_split
 from cohortkit.plans.contract import SchemaMismatch, assert_schema, contract_report
 from cohortkit.plans.jobs import JobConfig
+from cohortkit.schemas import COHORT_MEMBERS_KEY as MEMBERS
 from cohortkit.schemas import ENTITY
 
 ROWS = [
@@ -154,8 +155,8 @@ def test_job_first_branch_chain_mode(spark):
                  types=[{"type": {"name": "k"}}])
             for i, n, tags in [(1, "a", ["x", "y"]), (2, "b", ["x", "y"]), (3, "c", ["x", "y"]),
                                (4, "d", ["z"])]]
-    cohorts = [{"id": 1, "name": "g1", "pokemon_species": [{"name": "a"}, {"name": "d"}]},
-               {"id": 2, "name": "g2", "pokemon_species": [{"name": "b"}, {"name": "c"}]}]
+    cohorts = [{"id": 1, "name": "g1", MEMBERS: [{"name": "a"}, {"name": "d"}]},
+               {"id": 2, "name": "g2", MEMBERS: [{"name": "b"}, {"name": "c"}]}]
     # chain 10: a -> b (first branch) with sibling c; chain 11: d alone
     chains = [{"id": 10, "chain": {"species": {"name": "a"}, "evolves_to": [
         {"species": {"name": "b"}, "evolves_to": []}, {"species": {"name": "c"}, "evolves_to": []}]}},

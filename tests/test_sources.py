@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortkit.operators.chains import all_members, first_branch, parse_chains
+from cohortkit.schemas import COHORT_MEMBERS_KEY as MEMBERS
 from cohortkit.schemas import ENTITY, ENTITY_DOC
 from cohortkit.session import scratch_path
 from cohortkit.sources.documents import (
@@ -69,7 +70,7 @@ def test_empty_arrays_are_kept(spark):
 
 
 def test_parse_cohort(spark):
-    c = {"id": 3, "name": "g3", "pokemon_species": [{"name": "a", "url": "u"}, {"name": "b"}],
+    c = {"id": 3, "name": "g3", MEMBERS: [{"name": "a", "url": "u"}, {"name": "b"}],
          "abilities": [{"name": "t1"}]}
     good, _ = parse_cohorts(docs(spark, json.dumps(c), type_="cohort"))
     row = good.collect()[0]
