@@ -133,7 +133,7 @@ def similar_pairs(base: DataFrame, threshold: float = 0.75,
                   name_col: str = "name", tags_col: str = "tags", tag_field: str | None = "tag",
                   differ_on: Sequence[str] = ("cohort_id", "chain_id"),
                   block_size: int = 1024, both_orders: bool = True,
-                  workdir: str | None = None) -> DataFrame:
+                  workdir: str | None = None, write_vectors: bool = True) -> DataFrame:
     """Pairs of rows with TF-IDF cosine ``> threshold`` that differ on every
     column of ``differ_on`` (I4, with the C7 conditions in the join).
 
@@ -146,7 +146,9 @@ def similar_pairs(base: DataFrame, threshold: float = 0.75,
     written table.  The per-row vector table is read three times (per-tag
     counts and both join sides); it is written once below ``workdir``
     (default: a fresh folder under ``spark.checkpoint.dir``), which runs one
-    job when this function is called.
+    job when this function is called.  ``write_vectors=False`` keeps the
+    function a pure plan (no job at call time) at the price of computing the
+    vector table once per consumer.
     """
     if threshold < 0:
         raise ValueError("threshold must be >= 0 (the sparse join relies on it)")
@@ -156,7 +158,8 @@ def similar_pairs(base: DataFrame, threshold: float = 0.75,
     carry = list(dict.fromkeys([*key_cols, *differ_on, name_col]))
     weights = tfidf_weights(base, key_cols, tags_col, tag_field, extra_cols=carry)
     vectors = _unit_vectors(weights, carry, key_cols, threshold)
-    vectors = materialize(vectors, workdir or scratch_path(base.sparkSession, "similar_pairs"))
+    if write_vectors:
+        vectors = materialize(vectors, workdir or scratch_path(base.sparkSession, "similar_pairs"))
 
     entries = vectors.select(*carry, "vt", "vu", "pre", F.posexplode("pre").alias("pos", "tag"))
     per_tag = entries.groupBy("tag").agg(F.count(F.lit(1)).alias("n_tag"))

@@ -74,6 +74,7 @@ def test_hot_tag_is_split_into_blocks(spark):
     want = brute(rows, 0.6)
     same(run(spark, rows, 0.6, block_size=4), want)
     same(run(spark, rows, 0.6, block_size=1000), want)
+    same(run(spark, rows, 0.6, block_size=4, write_vectors=False), want)
 
 
 tag_lists = st.lists(st.tuples(st.sampled_from("abcdefg"), st.booleans()), min_size=0, max_size=6)
