@@ -183,6 +183,24 @@ class Fixture:
         return reg.select(F.lit("chain").alias("type"), F.col("r_regionkey").cast("bigint").alias("id"),
                           F.to_json(doc).alias("raw"))
 
+    @cached_property
+    def region_tree_edges(self) -> tuple[DataFrame, DataFrame]:
+        """The same trees as :attr:`region_tree_docs` as (roots, edges):
+        region -> nation -> customer, ordered by key."""
+        roots = self.table("region").select(
+            F.col("r_regionkey").cast("bigint").alias("chain_id"),
+            F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("node"),
+            F.col("r_name").alias("name"))
+        nation_edges = self.table("nation").select(
+            F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("parent"),
+            F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("child"),
+            F.col("n_name").alias("child_name"), F.col("n_nationkey").cast("bigint").alias("child_key"))
+        customer_edges = self.table("customer").select(
+            F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("parent"),
+            F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("child"),
+            F.col("c_name").alias("child_name"), F.col("c_custkey").cast("bigint").alias("child_key"))
+        return roots, nation_edges.unionByName(customer_edges)
+
     @cached_property
     def page_docs(self) -> DataFrame:
         """Web pages as documents of a type no parser knows."""

@@ -297,5 +297,8 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'similar_pairs', cast(count(*) AS bigint) FROM sim_pairs"""),
 }
 
-# The UDF variant computes the same numbers as the built-in one.
+# The UDF variant computes the same numbers as the built-in one; the edge-table
+# chain walks give the same rows as the document walks.
 ORACLE["udf_cosine"] = ORACLE["dense_cosine"]
+ORACLE["chain_edges_first_branch"] = ORACLE["chain_first_branch"]
+ORACLE["chain_edges_all_members"] = ORACLE["chain_all_members"]

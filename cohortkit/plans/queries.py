@@ -29,7 +29,13 @@ from cohortkit.operators.base import (
     project_drop,
     reattach,
 )
-from cohortkit.operators.chains import all_members, first_branch, parse_chains
+from cohortkit.operators.chains import (
+    all_members,
+    first_branch,
+    first_branch_edges,
+    parse_chains,
+    walk_edges,
+)
 from cohortkit.operators.coverage import best_coverage, entity_sort_key, group_coverage, with_coverage
 from cohortkit.operators.measures import (
     entity_extremes,
@@ -140,6 +146,18 @@ def q_chain_all_members(spark, sf):
     return all_members(good)
 
 
+@query("chain_edges_first_branch")
+def q_chain_edges_first_branch(spark, sf):
+    roots, edges = Fixture(spark, sf).region_tree_edges
+    return first_branch_edges(roots, edges)
+
+
+@query("chain_edges_all_members")
+def q_chain_edges_all_members(spark, sf):
+    roots, edges = Fixture(spark, sf).region_tree_edges
+    return walk_edges(roots, edges)
+
+
 @query("route_documents")
 def q_route_documents(spark, sf):
     fx = Fixture(spark, sf)
