@@ -111,11 +111,13 @@ def reattach(base: DataFrame, agg: DataFrame, on: str) -> DataFrame:
 
 def collect_chunked(df: DataFrame, keys: Sequence[str], value: Column | str, out: str,
                     max_items: int = 10_000) -> DataFrame:
-    """Collect ``value`` per key into lists of at most about ``max_items``.
+    """Collect ``value`` per key into lists of about ``max_items`` values.
 
-    A key with many values becomes several rows, so no single list (or task)
-    has to hold a whole hot group.  The number of chunks per key comes from
-    a partial-aggregated count; values are spread by hash of the value.
+    A key with ``n`` values becomes ``ceil(n / max_items)`` rows, so no single
+    list (or task) has to hold a whole hot group.  The chunk count comes from a
+    partial-aggregated count; values are spread over the chunks by hash, so
+    chunk sizes are ``max_items`` on average (copies of one value share a
+    chunk).
     """
     value = F.col(value) if isinstance(value, str) else value
     keys = list(keys)

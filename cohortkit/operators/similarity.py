@@ -1,4 +1,4 @@
-"""TF-IDF weights and cosine similarity of tag vectors.
+"""TF-IDF weights and cosine similarity of tag vectors.
 
 ``similar_pairs`` replaces the all-pairs product of the original with an
 exact, prefix-filtered sparse self-join:
@@ -140,7 +140,8 @@ def similar_pairs(base: DataFrame, threshold: float = 0.75,
     Output ``(name_i, name_j, score)``; with ``both_orders`` each pair appears
     as (i, j) and (j, i), as in the original.  ``!=`` on a NULL key drops the
     pair (the original's ``same == False`` rule).  Rows whose weights are all
-    zero have no vector and yield no pair.
+    zero have no vector and yield no pair.  ``key_cols`` identify a row;
+    ``name_col`` and the ``differ_on`` columns must be determined by them.
 
     ``base`` is read twice (term counts and the row count ``m``), so pass a
     written table.  The per-row vector table is read three times (per-tag

@@ -58,8 +58,8 @@ def parse_legacy_entities(docs: DataFrame, raw_col: str = "raw") -> tuple[DataFr
     """Entities in the old landed form (pairs as JSON arrays) to the typed
     form (H8): values cast to bigint, flags to boolean.
 
-    A value that does not cast becomes NULL (``try_cast``) and is counted
-    by :func:`cohortkit.plans.contract.contract_report`, never silently 0.
+    A value that does not cast becomes NULL (``try_cast``), never a silent 0
+    and never a failed job.
     """
     d = F.from_json(F.col(raw_col), LEGACY_ENTITY_DOC)
     parsed = docs.select("*", d.alias("__d"))
