@@ -133,7 +133,8 @@ def similar_pairs(base: DataFrame, threshold: float = 0.75,
                   name_col: str = "name", tags_col: str = "tags", tag_field: str | None = "tag",
                   differ_on: Sequence[str] = ("cohort_id", "chain_id"),
                   block_size: int = 1024, both_orders: bool = True,
-                  workdir: str | None = None, write_vectors: bool = True) -> DataFrame:
+                  workdir: str | None = None, write_vectors: bool = True,
+                  carry_vectors: bool = True) -> DataFrame:
     """Pairs of rows with TF-IDF cosine ``> threshold`` that differ on every
     column of ``differ_on`` (I4, with the C7 conditions in the join).
 
@@ -150,6 +151,12 @@ def similar_pairs(base: DataFrame, threshold: float = 0.75,
     job when this function is called.  ``write_vectors=False`` keeps the
     function a pure plan (no job at call time) at the price of computing the
     vector table once per consumer.
+
+    ``carry_vectors=True`` ships each row's vector with every prefix entry
+    and scores inside the self-join (best for short tag lists).  With
+    ``False`` the self-join carries only keys and prefixes; the candidate
+    pairs (already unique) are then scored by joining the vector table on
+    each side, which moves less data when rows have very many tags.
     """
     if threshold < 0:
         raise ValueError("threshold must be >= 0 (the sparse join relies on it)")
@@ -162,7 +169,8 @@ def similar_pairs(base: DataFrame, threshold: float = 0.75,
     if write_vectors:
         vectors = materialize(vectors, workdir or scratch_path(base.sparkSession, "similar_pairs"))
 
-    entries = vectors.select(*carry, "vt", "vu", "pre", F.posexplode("pre").alias("pos", "tag"))
+    payload = ["vt", "vu"] if carry_vectors else []
+    entries = vectors.select(*carry, *payload, "pre", F.posexplode("pre").alias("pos", "tag"))
     per_tag = entries.groupBy("tag").agg(F.count(F.lit(1)).alias("n_tag"))
     n_blocks = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("n_tag") / F.lit(block_size)))
     blocked = (
@@ -174,7 +182,7 @@ def similar_pairs(base: DataFrame, threshold: float = 0.75,
         .withColumn("hi", F.greatest("blk", "q"))
         .drop("q", "nb", "n_tag")
     )
-    cols = [*carry, "vt", "vu", "pre", "pos", "tag", "blk", "lo", "hi"]
+    cols = [*carry, *payload, "pre", "pos", "tag", "blk", "lo", "hi"]
     a = blocked.select([F.col(c).alias(f"a_{c}") for c in cols])
     b = blocked.select([F.col(c).alias(f"b_{c}") for c in cols])
 
@@ -194,11 +202,21 @@ def similar_pairs(base: DataFrame, threshold: float = 0.75,
     cond = cond & ((F.col("a_pos") == 0)
                    | ~F.arrays_overlap(F.slice("a_pre", 1, F.col("a_pos").cast("int")), F.col("b_pre")))
 
+    joined = a.join(b, cond, "inner")
+    if not carry_vectors:
+        # candidates are unique (first shared prefix tag only): score by key joins
+        keys_a, keys_b = [f"a_{k}" for k in key_cols], [f"b_{k}" for k in key_cols]
+
+        def side_vectors(x: str) -> DataFrame:
+            return vectors.select(*[F.col(k).alias(f"{x}_{k}") for k in key_cols],
+                                  F.col("vt").alias(f"{x}_vt"), F.col("vu").alias(f"{x}_vu"))
+
+        candidates = joined.select(*keys_a, *keys_b, f"a_{name_col}", f"b_{name_col}")
+        joined = candidates.join(side_vectors("a"), keys_a).join(side_vectors("b"), keys_b)
     score = _dot(F.col("a_vt"), F.col("a_vu"), F.col("b_vt"), F.col("b_vu"))
     pairs = (
-        a.join(b, cond, "inner")
-        .select(F.col(f"a_{name_col}").alias("name_i"), F.col(f"b_{name_col}").alias("name_j"),
-                score.alias("score"))
+        joined.select(F.col(f"a_{name_col}").alias("name_i"), F.col(f"b_{name_col}").alias("name_j"),
+                      score.alias("score"))
         .where(F.col("score") > F.lit(threshold))
     )
     if not both_orders:

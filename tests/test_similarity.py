@@ -75,6 +75,7 @@ def test_hot_tag_is_split_into_blocks(spark):
     same(run(spark, rows, 0.6, block_size=4), want)
     same(run(spark, rows, 0.6, block_size=1000), want)
     same(run(spark, rows, 0.6, block_size=4, write_vectors=False), want)
+    same(run(spark, rows, 0.6, block_size=4, carry_vectors=False), want)
 
 
 tag_lists = st.lists(st.tuples(st.sampled_from("abcdefg"), st.booleans()), min_size=0, max_size=6)
@@ -84,11 +85,11 @@ row_st = st.tuples(st.integers(0, 3), st.integers(0, 3), tag_lists)
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(data=st.lists(row_st, min_size=2, max_size=14),
        t=st.sampled_from([0.0, 0.3, 0.6, 0.75, 0.95]),
-       block=st.sampled_from([1, 2, 64]))
-def test_equals_brute_force(spark, data, t, block):
+       block=st.sampled_from([1, 2, 64]), carry=st.booleans())
+def test_equals_brute_force(spark, data, t, block, carry):
     rows = [(i, f"n{i}", c, h, tags) for i, (c, h, tags) in enumerate(data)]
     want = brute(rows, t)
-    got = run(spark, rows, t, block_size=block)
+    got = run(spark, rows, t, block_size=block, carry_vectors=carry)
     # exclude scores within rounding distance of the threshold
     edge = {k for k, v in {**want, **got}.items() if abs(v - t) < 1e-9}
     assert {k: v for k, v in got.items() if k not in edge}.keys() == \
@@ -121,3 +122,4 @@ def test_long_vectors_use_merge_dot(spark):
     want = brute(rows, 0.3)
     assert want
     same(run(spark, rows, 0.3), want)
+    same(run(spark, rows, 0.3, carry_vectors=False), want)
