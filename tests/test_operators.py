@@ -76,7 +76,7 @@ def test_extremes_ties_and_truncation(spark):
     assert (ext["x"].max_g, ext["x"].max_value, ext["x"].min_g, ext["x"].min_value) == (1, 7, 2, 1)
     assert (ext["y"].max_g, ext["y"].max_value, ext["y"].min_g, ext["y"].min_value) == (2, 4, 1, -2)
     long = unpivot_values(df, ["g"], ["x"])
-    assert extremes(long, ["g"]).count() == 1
+    assert extremes(long, ["g"], ["x"]).count() == 1
 
 
 def test_tag_split_one_sided_and_null_flag(spark):
