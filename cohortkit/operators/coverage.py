@@ -35,17 +35,21 @@ def best_coverage(df: DataFrame, group_col: str, key_col: str = "id", name_col:
                   num_col: str = "kinds", den_col: str = "tags") -> DataFrame:
     """Entity with the highest coverage per group; ties to the lowest key (L2).
 
-    A partial-aggregated ``min_by`` rather than ``row_number`` over a window,
-    so a group holding a third of all rows is still combined map-side.
+    The pass over all rows is a hash aggregate (max coverage per group), not a
+    ``row_number`` window (a group holding a third of all rows would be one
+    task) and not a sort-based ``min_by`` over every row.  Rows at their
+    group's maximum are found by joining that table back (Spark broadcasts it
+    when it is measured small, else splits a skewed group); a partial
+    ``min_by`` then breaks ties among the rows at the maximum only.
     """
     cov = with_coverage(df, num_col, den_col).where(F.col("coverage").isNotNull())
-    best = cov.groupBy(group_col).agg(
-        F.min_by(
-            F.struct(F.col(key_col).alias("k"), F.col(name_col).alias("n"), F.col("coverage").alias("c")),
-            F.struct((-F.col("coverage")).alias("a"), F.col(key_col).alias("b")),
-        ).alias("best")
+    best = cov.groupBy(group_col).agg(F.max("coverage").alias("__best"))
+    at_best = cov.join(best, group_col).where(F.col("coverage") == F.col("__best"))
+    pick = at_best.groupBy(group_col).agg(
+        F.min_by(F.struct(F.col(key_col).alias("k"), F.col(name_col).alias("n"),
+                          F.col("coverage").alias("c")), F.col(key_col)).alias("best")
     )
-    return best.select(
+    return pick.select(
         group_col,
         F.col("best.k").alias(key_col),
         F.col("best.n").alias(name_col),
