@@ -294,7 +294,10 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'tag_split', cast(count(*) AS bigint) FROM (
           SELECT t.tag FROM base_flat b JOIN tags_flat t ON t.id = b.id GROUP BY t.tag
           HAVING count(*) FILTER (WHERE t.hidden) > 0 AND count(*) FILTER (WHERE NOT t.hidden) > 0)
-        UNION ALL SELECT 'similar_pairs', cast(count(*) AS bigint) FROM sim_pairs"""),
+        UNION ALL SELECT 'similar_pairs', cast(count(*) AS bigint) FROM sim_pairs
+        UNION ALL SELECT 'entity', cast(count(*) AS bigint) FROM ent_flat
+        UNION ALL SELECT 'cohort_members', cast(count(*) AS bigint) FROM cohort_flat
+        UNION ALL SELECT 'chain_members', cast(count(*) AS bigint) FROM chain_flat"""),
 }
 
 # The UDF variant computes the same numbers as the built-in one; the edge-table

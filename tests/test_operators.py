@@ -171,6 +171,7 @@ def test_job_first_branch_chain_mode(spark):
     inv = {r.dataset: r.n_rows for r in run_job(spark, cfg).collect()}
     # first branch drops sibling c (no chain id -> cut); all mode keeps it
     assert inv["base"] == 3 and inv["cohort_measure_avg"] == 2
+    assert inv["entity"] == 4 and inv["cohort_members"] == 4 and inv["chain_members"] == 3
     inv_all = {r.dataset: r.n_rows for r in run_job(spark, dict(cfg, chain_mode="all",
                                                               output_path=scratch_path(spark, "o2"))).collect()}
     assert inv_all["base"] == 4
