@@ -115,6 +115,18 @@ def test_contract(spark, entity):
     assert rep["kinds"].null_count == 1 and not rep["kinds"].ok
 
 
+def test_assert_contract_raises_on_nulls(spark, entity):
+    from pyspark.sql import types as T
+
+    from cohortkit.plans.contract import assert_contract
+    ok = T.StructType([T.StructField("id", T.LongType(), False), T.StructField("kinds", T.ArrayType(T.StringType()))])
+    assert assert_contract(entity, ok) is entity
+    strict = T.StructType([T.StructField("kinds", T.ArrayType(T.StringType()), False)])
+    with pytest.raises(SchemaMismatch) as e:
+        assert_contract(entity, strict)
+    assert "kinds" in str(e.value) and "nulls=1" in str(e.value)
+
+
 def test_job_config_lists_all_missing_keys():
     with pytest.raises(KeyError) as e:
         JobConfig.from_mapping({"threshold": 0.5})
