@@ -60,6 +60,7 @@ from cohortkit.plans.jobs import JobConfig, run_job
 from cohortkit.schemas import ENTITY_DOC
 from cohortkit.session import scratch_path
 from cohortkit.sources.documents import (
+    entities_from_docs,
     parse_cohorts,
     parse_entities,
     parse_legacy_entities,
@@ -71,7 +72,7 @@ from cohortkit.sources.files import (
     materialize,
     publish,
     read_json_arrays,
-    read_landing,
+    read_landing_docs,
     read_published,
     write_json_arrays,
 )
@@ -217,8 +218,8 @@ def q_landing_dedup(spark, sf):
     land(fx.entity_docs, path, ingest=1)
     finished = fx.table("orders").where(F.col("o_orderstatus") == F.lit("F")).select(F.col("o_orderkey").alias("id"))
     land(fx.entity_docs.join(finished, "id", "left_semi"), path, ingest=2)
-    latest = latest_per_key(read_landing(spark, path, "entity"), ["id"], "ingest")
-    good, _ = parse_entities(latest.withColumnRenamed("id", "landing_id"), keep=("ingest",))
+    latest = latest_per_key(read_landing_docs(spark, path, "entity", ENTITY_DOC), ["id"], "ingest")
+    good, _ = entities_from_docs(latest, keep=("ingest",))
     return good.select("id", "name", "ingest")
 
 

@@ -148,12 +148,3 @@ CHAIN = T.StructType(
     ]
 )
 
-# One landed document per row; ``type`` is the partition column on disk.
-LANDING = T.StructType(
-    [
-        T.StructField("id", T.LongType()),
-        T.StructField("raw", T.StringType()),
-        T.StructField("ingest", T.LongType()),
-        T.StructField("type", T.StringType()),
-    ]
-)

@@ -10,48 +10,76 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortkit.schemas import COHORT_DOC, COHORT_MEMBERS_KEY, ENTITY_DOC, LEGACY_ENTITY_DOC
+from cohortkit.sources.files import CORRUPT
+
+
+def _entity_columns(d: Column) -> list[Column]:
+    return [
+        d.getField("id").alias("id"),
+        d.getField("name").alias("name"),
+        F.transform(d.getField("stats"), lambda s: F.struct(
+            s["stat"]["name"].alias("name"), s["base_stat"].alias("value"))).alias("measures"),
+        F.transform(d.getField("abilities"), lambda a: F.struct(
+            a["ability"]["name"].alias("tag"), a["is_hidden"].alias("hidden"))).alias("tags"),
+        d.getField("types").getField("type").getField("name").alias("kinds"),
+    ]
+
+
+def _cohort_columns(d: Column) -> list[Column]:
+    return [
+        d.getField("id").alias("cohort_id"),
+        d.getField("name").alias("name"),
+        d.getField(COHORT_MEMBERS_KEY).getField("name").alias("members"),
+        d.getField("abilities").getField("name").alias("tags"),
+    ]
+
+
+def _split_text(docs: DataFrame, raw_col: str, schema: T.StructType, columns, keep: Sequence[str]):
+    parsed = docs.select("*", F.from_json(F.col(raw_col), schema).alias("__d"))
+    ok = F.col("__d.id").isNotNull()
+    good = parsed.where(ok).select(*keep, *columns(F.col("__d")))
+    return good, parsed.where(~ok).drop("__d")
+
+
+def _split_typed(docs: DataFrame, schema: T.StructType, columns, keep: Sequence[str]):
+    ok = F.col("id").isNotNull()
+    if CORRUPT in docs.columns:
+        ok = ok & F.col(CORRUPT).isNull()
+    d = F.struct(*[F.col(f.name) for f in schema.fields])
+    return docs.where(ok).select(*keep, *columns(d)), docs.where(~ok)
 
 
 def parse_entities(docs: DataFrame, raw_col: str = "raw",
                    keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """Entity documents to ``(id, name, measures, tags, kinds)`` (A1-A3).
+    """Entity documents (text) to ``(id, name, measures, tags, kinds)`` (A1-A3).
 
     measures: ``[(stat.name, base_stat)]``; tags: ``[(ability.name,
     is_hidden)]``; kinds: ``[type.name]``.  ``keep`` columns of the input
     are passed through.  Returns ``(good, rejected)``.
     """
-    d = F.from_json(F.col(raw_col), ENTITY_DOC)
-    parsed = docs.select("*", d.alias("__d"))
-    ok = F.col("__d.id").isNotNull()
-    good = parsed.where(ok).select(
-        *keep,
-        F.col("__d.id").alias("id"),
-        F.col("__d.name").alias("name"),
-        F.transform("__d.stats", lambda s: F.struct(
-            s["stat"]["name"].alias("name"), s["base_stat"].alias("value"))).alias("measures"),
-        F.transform("__d.abilities", lambda a: F.struct(
-            a["ability"]["name"].alias("tag"), a["is_hidden"].alias("hidden"))).alias("tags"),
-        F.col("__d.types").getField("type").getField("name").alias("kinds"),
-    )
-    return good, parsed.where(~ok).drop("__d")
+    return _split_text(docs, raw_col, ENTITY_DOC, _entity_columns, keep)
+
+
+def entities_from_docs(docs: DataFrame, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """As :func:`parse_entities` for documents the JSON reader already parsed
+    into :data:`ENTITY_DOC` columns (:func:`read_landing_docs`); a line the
+    reader flagged as corrupt is rejected."""
+    return _split_typed(docs, ENTITY_DOC, _entity_columns, keep)
 
 
 def parse_cohorts(docs: DataFrame, raw_col: str = "raw") -> tuple[DataFrame, DataFrame]:
-    """Cohort documents to ``(cohort_id, name, members, tags)`` (A4/A5)."""
-    d = F.from_json(F.col(raw_col), COHORT_DOC)
-    parsed = docs.select("*", d.alias("__d"))
-    ok = F.col("__d.id").isNotNull()
-    good = parsed.where(ok).select(
-        F.col("__d.id").alias("cohort_id"),
-        F.col("__d.name").alias("name"),
-        F.col("__d").getField(COHORT_MEMBERS_KEY).getField("name").alias("members"),
-        F.col("__d.abilities").getField("name").alias("tags"),
-    )
-    return good, parsed.where(~ok).drop("__d")
+    """Cohort documents (text) to ``(cohort_id, name, members, tags)`` (A4/A5)."""
+    return _split_text(docs, raw_col, COHORT_DOC, _cohort_columns, ())
+
+
+def cohorts_from_docs(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """As :func:`parse_cohorts` for reader-parsed :data:`COHORT_DOC` columns."""
+    return _split_typed(docs, COHORT_DOC, _cohort_columns, ())
 
 
 def parse_legacy_entities(docs: DataFrame, raw_col: str = "raw") -> tuple[DataFrame, DataFrame]:

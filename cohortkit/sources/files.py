@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortkit.schemas import LANDING
 
 
 def scan_local(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
@@ -42,24 +41,43 @@ def write_json_arrays(docs: DataFrame, path: str, key: str, obj_col: str = "obj"
 
 
 def land(docs: DataFrame, path: str, ingest: int, mode: str = "append") -> None:
-    """Append documents ``(type, id, raw)`` to a landing folder.
-
-    JSON Lines partitioned by ``type``; each write carries its ``ingest``
-    number, so re-landing an object adds a newer version instead of
-    rewriting a file in place.  :func:`latest_per_key` picks the newest.
+    """Append documents ``(type, raw)`` to a landing folder.
+
+    JSON Lines: each line is one document as received, partitioned by
+    ``type`` and ``ingest`` (the landing batch).  Re-landing an object adds a
+    newer version instead of rewriting a file in place;
+    :func:`latest_version` / :func:`latest_per_key` pick the newest.  The
+    document text is not wrapped in another JSON value, so readers parse it
+    once, straight into its typed schema (:func:`read_landing_docs`).
     """
-    (docs.select(F.col("id").cast("bigint"), F.col("raw").cast("string"),
-                 F.lit(ingest).cast("bigint").alias("ingest"), F.col("type").cast("string"))
-     .write.mode(mode).partitionBy("type").json(path))
+    one_line = F.regexp_replace(F.col("raw").cast("string"), r"[\r\n]+", " ")
+    (docs.select(one_line.alias("value"), F.col("type").cast("string"),
+                 F.lit(ingest).cast("bigint").alias("ingest"))
+     .write.mode(mode).partitionBy("type", "ingest").text(path))
 
 
 def read_landing(spark: SparkSession, path: str, doc_type: str | None = None) -> DataFrame:
-    """Read a landing folder with its explicit schema; ``doc_type`` prunes
-    partitions."""
-    df = spark.read.schema(LANDING).json(path)
+    """Landed documents as text ``(raw, type, ingest)``; ``doc_type`` prunes
+    partitions.  For mixed-type routing (:func:`route_documents`)."""
+    df = spark.read.text(path).select(F.col("value").alias("raw"), F.col("type").cast("string"),
+                                      F.col("ingest").cast("bigint"))
     return df if doc_type is None else df.where(F.col("type") == F.lit(doc_type))
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_landing_docs(spark: SparkSession, path: str, doc_type: str, schema: T.StructType) -> DataFrame:
+    """Landed documents of one type, parsed by the JSON reader straight into
+    ``schema`` (one parse per document), plus ``type`` and ``ingest``.  Lines
+    that do not parse or do not fit the schema keep their text in
+    ``_corrupt_record``."""
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    df = spark.read.schema(full).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    return (df.where(F.col("type") == F.lit(doc_type))
+            .withColumn("ingest", F.col("ingest").cast("bigint")))
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
     """Newest row per key by ``order_col`` (K4); ties keep the larger row.
 

@@ -10,6 +10,7 @@ from cohortkit.schemas import COHORT_MEMBERS_KEY as MEMBERS
 from cohortkit.schemas import ENTITY, ENTITY_DOC
 from cohortkit.session import scratch_path
 from cohortkit.sources.documents import (
+    entities_from_docs,
     parse_cohorts,
     parse_entities,
     parse_legacy_entities,
@@ -22,6 +23,7 @@ from cohortkit.sources.files import (
     publish,
     read_json_arrays,
     read_landing,
+    read_landing_docs,
     read_published,
     scan_local,
 )
@@ -132,15 +134,17 @@ def test_landing_append_and_dedup(spark):
     path = scratch_path(spark, "test_landing")
     v1 = dict(ENT, name="old")
     v2 = dict(ENT, name="new")
-    land(docs(spark, json.dumps(v1)).withColumn("id", F.lit(1)), path, ingest=1)
-    land(docs(spark, json.dumps(v2)).withColumn("id", F.lit(1)), path, ingest=2)
+    land(docs(spark, json.dumps(v1), "{broken"), path, ingest=1)
+    land(docs(spark, json.dumps(v2, indent=2)), path, ingest=2)   # multi-line text becomes one line
     landed = read_landing(spark, path, "entity")
-    assert landed.count() == 2  # appended, like re-running the original landing
-    latest = latest_per_key(landed, ["id"], "ingest")
-    good, _ = parse_entities(latest)
+    assert landed.count() == 3  # appended, like re-running the original landing
+    typed = read_landing_docs(spark, path, "entity", ENTITY_DOC)
+    good, bad = entities_from_docs(latest_per_key(typed.where("id IS NOT NULL"), ["id"], "ingest"))
     assert [r.name for r in good.collect()] == ["new"]
-    good2, _ = parse_entities(latest_version(landed, ["id"], "ingest"))
-    assert [r.name for r in good2.collect()] == ["new"]
+    _, rejected = entities_from_docs(typed)
+    assert [r._corrupt_record for r in rejected.collect()] == ["{broken"]
+    good2, _ = entities_from_docs(latest_version(typed, ["id"], "ingest"), keep=("ingest",))
+    assert [(r.name, r.ingest) for r in good2.collect()] == [("new", 2)]
 
 
 def test_json_array_files_and_parquet_roundtrip(spark, tmp_path):
