@@ -7,6 +7,7 @@ Sinks write under the folder the caller passes; jobs take it from
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -115,14 +116,26 @@ def _orderable(t: T.DataType) -> bool:
     return True
 
 
-def publish(datasets: Mapping[str, DataFrame], root: str) -> dict[str, str]:
-    """Write every dataset as Parquet under ``root/<name>``, overwrite."""
-    out = {}
-    for name, df in datasets.items():
-        path = f"{root.rstrip('/')}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        out[name] = path
-    return out
+def publish(datasets: Mapping[str, DataFrame], root: str, max_parallel: int = 4) -> dict[str, str]:
+    """Write every dataset as Parquet under ``root/<name>``, overwrite.
+
+    The writes are independent Spark jobs; up to ``max_parallel`` of them are
+    submitted at once (Spark schedules concurrent jobs from several driver
+    threads), so one dataset's last tasks do not leave the cluster idle.
+    """
+    paths = {name: f"{root.rstrip('/')}/{name}" for name in datasets}
+
+    def write(name: str) -> None:
+        datasets[name].write.mode("overwrite").parquet(paths[name])
+
+    if max_parallel <= 1 or len(datasets) <= 1:
+        for name in datasets:
+            write(name)
+    else:
+        with ThreadPoolExecutor(max_workers=max_parallel) as pool:
+            for f in [pool.submit(write, name) for name in datasets]:
+                f.result()
+    return paths
 
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
