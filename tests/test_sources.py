@@ -169,3 +169,15 @@ def test_scan_local_explicit_schema(spark):
     df = scan_local(spark, [(1, "a", [("hp", 3)], [("t", True)], ["k"])], ENTITY)
     assert df.schema == ENTITY
     assert df.collect()[0].measures[0].value == 3
+
+
+def test_route_documents_from_landing_folder(spark):
+    path = scratch_path(spark, "test_route_landing")
+    rows = [("entity", 1, json.dumps(ENT)), ("cohort", 2, json.dumps({"id": 2, "name": "g", MEMBERS: []})),
+            ("weird", 3, "{}"), ("entity", 4, "oops")]
+    land(spark.createDataFrame(rows, "type string, id long, raw string"), path, ingest=1)
+    routed, rejected = route_documents(read_landing(spark, path),
+                                       {"entity": parse_entities, "cohort": parse_cohorts})
+    assert [r.id for r in routed["entity"].collect()] == [1]
+    assert [r.cohort_id for r in routed["cohort"].collect()] == [2]
+    assert sorted(r.raw for r in rejected.collect()) == ["oops", "{}"]
