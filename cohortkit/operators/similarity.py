@@ -14,8 +14,9 @@ exact, prefix-filtered sparse self-join:
   tags therefore finds every pair above ``t``, while common tags (usually
   outside the prefixes) are never expanded into their full pair lists.
 * A prefix tag held by many rows is split into blocks by hash of the row
-  key; block pairs ``(lo, hi)`` are separate join keys, so one hot tag is
-  spread over many tasks instead of one.
+  key; block pairs ``(lo, hi)`` are separate join keys (block ``lo`` on one
+  side, block ``hi`` on the other), so one hot tag is spread over many tasks
+  instead of one, and no pair is compared twice.
 * Each row carries its whole unit vector and its sorted prefix, so
   the cosine is computed inside the join, and a pair is emitted only at the
   first prefix tag the two rows share (no distinct over candidates needed).
@@ -173,27 +174,28 @@ def similar_pairs(base: DataFrame, threshold: float = 0.75,
     entries = vectors.select(*carry, *payload, "pre", F.posexplode("pre").alias("pos", "tag"))
     per_tag = entries.groupBy("tag").agg(F.count(F.lit(1)).alias("n_tag"))
     n_blocks = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("n_tag") / F.lit(block_size)))
-    blocked = (
+    keyed = (
         entries.join(per_tag, "tag")
         .withColumn("nb", n_blocks)
         .withColumn("blk", F.pmod(F.xxhash64(*key_cols), F.col("nb")))
-        .withColumn("q", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nb") - 1)))
-        .withColumn("lo", F.least("blk", "q"))
-        .withColumn("hi", F.greatest("blk", "q"))
-        .drop("q", "nb", "n_tag")
     )
-    cols = [*carry, *payload, "pre", "pos", "tag", "blk", "lo", "hi"]
-    a = blocked.select([F.col(c).alias(f"a_{c}") for c in cols])
-    b = blocked.select([F.col(c).alias(f"b_{c}") for c in cols])
+    # block pair (lo, hi), lo <= hi: the left side holds block lo, the right side
+    # block hi, so each key joins exactly one block with one block
+    left = (keyed.withColumn("lo", F.col("blk"))
+            .withColumn("hi", F.explode(F.sequence(F.col("blk"), F.col("nb") - 1))))
+    right = (keyed.withColumn("hi", F.col("blk"))
+             .withColumn("lo", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blk")))))
+    cols = [*carry, *payload, "pre", "pos", "tag", "lo", "hi"]
+    a = left.select([F.col(c).alias(f"a_{c}") for c in cols])
+    b = right.select([F.col(c).alias(f"b_{c}") for c in cols])
 
     cond = (
         (F.col("a_tag") == F.col("b_tag"))
         & (F.col("a_lo") == F.col("b_lo"))
         & (F.col("a_hi") == F.col("b_hi"))
-        & (F.struct(*[F.col(f"a_{k}") for k in key_cols]) < F.struct(*[F.col(f"b_{k}") for k in key_cols]))
-        # a block pair (lo, hi) meets rows of block lo with rows of block hi only
-        & (((F.col("a_lo") == F.col("a_hi")) & (F.col("a_blk") == F.col("b_blk")))
-           | ((F.col("a_lo") != F.col("a_hi")) & (F.col("a_blk") != F.col("b_blk"))))
+        # two different blocks meet once; inside one block, each pair once
+        & ((F.col("a_lo") < F.col("a_hi"))
+           | (F.struct(*[F.col(f"a_{k}") for k in key_cols]) < F.struct(*[F.col(f"b_{k}") for k in key_cols])))
     )
     for c in differ_on:
         cond = cond & (F.col(f"a_{c}") != F.col(f"b_{c}"))
