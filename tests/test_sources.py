@@ -3,7 +3,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from cohortkit.operators.chains import all_members, first_branch, parse_chains
 from cohortkit.schemas import COHORT_MEMBERS_KEY as MEMBERS
