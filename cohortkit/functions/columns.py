@@ -28,6 +28,13 @@ def row_mean(cols: Sequence[Column | str]) -> Column:
     return row_sum(cols) / F.lit(len(cols))
 
 
+def array_size(arr: Column | str) -> Column:
+    """Number of elements as bigint; NULL for a NULL array in every session
+    mode (the legacy, non-ANSI ``size(NULL)`` is -1)."""
+    arr = _c(arr)
+    return F.when(arr.isNotNull(), F.size(arr)).cast("bigint")
+
+
 def safe_ratio(num: Column | str, den: Column | str) -> Column:
     """``num / den`` as double, NULL for a zero or NULL divisor (H3)."""
     return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.functions.columns import safe_ratio
+from cohortkit.functions.columns import array_size, safe_ratio
 
 
 def with_coverage(df: DataFrame, num_col: str = "kinds", den_col: str = "tags",
@@ -15,8 +15,8 @@ def with_coverage(df: DataFrame, num_col: str = "kinds", den_col: str = "tags",
     Direction as in the original code (kinds over tags).  A zero or NULL
     divisor gives NULL instead of an error; ``avg`` then skips the row.
     """
-    n_num = F.size(num_col).cast("bigint")
-    n_den = F.size(den_col).cast("bigint")
+    n_num = array_size(num_col)
+    n_den = array_size(den_col)
     return (
         df.withColumn(f"n_{num_col}", n_num)
         .withColumn(f"n_{den_col}", n_den)
@@ -65,7 +65,7 @@ def entity_sort_key(df: DataFrame, num_col: str = "measures", den_col: str = "ta
     ordering does; ``by_key=False`` orders by the derived key, as its
     docstring describes.
     """
-    keyed = df.withColumn(out, safe_ratio(F.size(num_col), F.size(den_col)))
+    keyed = df.withColumn(out, safe_ratio(array_size(num_col), array_size(den_col)))
     if by_key:
         return keyed.orderBy("id", "name")
     return keyed.orderBy(F.col(out).asc_nulls_last(), "id")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortkit.functions.columns import clean_name, pretty_label, url_key
+from cohortkit.functions.columns import array_size, clean_name, pretty_label, url_key
 from cohortkit.operators.base import (
     base_join,
     distinct_rows,
@@ -169,12 +169,12 @@ def q_route_documents(spark, sf):
         "chain": lambda d: parse_chains(d)})
     items = (
         routed["entity"].select(F.lit("entity").alias("route"), F.col("id").alias("doc_id"),
-                                F.coalesce(F.size("tags"), F.lit(0)).cast("bigint").alias("n_items"))
+                                F.coalesce(array_size("tags"), F.lit(0).cast("bigint")).alias("n_items"))
         .unionByName(routed["cohort"].select(F.lit("cohort").alias("route"), F.col("cohort_id").alias("doc_id"),
-                                             F.size("members").cast("bigint").alias("n_items")))
+                                             array_size("members").alias("n_items")))
         .unionByName(first_branch(routed["chain"]).select(
             F.lit("chain").alias("route"), F.col("chain_id").alias("doc_id"),
-            F.size("members").cast("bigint").alias("n_items")))
+            array_size("members").alias("n_items")))
         .unionByName(rejected.select(F.lit("rejected").alias("route"), F.col("id").alias("doc_id"),
                                      F.lit(0).cast("bigint").alias("n_items")))
     )
@@ -208,7 +208,7 @@ def q_scan_json(spark, sf):
     scanned = read_json_arrays(spark, path, ENTITY_DOC)
     docs = scanned.select(F.to_json(F.struct(*[F.col(f.name) for f in ENTITY_DOC.fields])).alias("raw"))
     good, _ = parse_entities(docs)
-    return good.select("id", "name", F.size("tags").cast("bigint").alias("n_tags"))
+    return good.select("id", "name", array_size("tags").alias("n_tags"))
 
 
 @query("landing_dedup")
@@ -284,7 +284,7 @@ def q_dropna_any(spark, sf):
 @query("base_join")
 def q_base_join(spark, sf):
     return _base(Fixture(spark, sf)).select("id", "name", "cohort_id", "chain_id",
-                                            F.size("tags").cast("bigint").alias("n_tags"))
+                                            array_size("tags").alias("n_tags"))
 
 
 @query("project_drop")
