@@ -5,21 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortkit.llm import bpe_tree
 from cohortkit.llm.decontaminate import contamination
+from cohortkit.llm.token_counts import token_counts
+from cohortkit.llm.token_files import read_token_files, write_token_files
+from cohortkit.llm.tokenizing import tokenizer_path
+from cohortkit.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token_files")
+    write_token_files(_table(spark, sf_dir, "documents"), path, tokenizer_path("word_bpe_49k.json"), end_id=1)
+    return read_token_files(spark, path, with_ids=False)
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(_table(spark, sf_dir, "documents"))
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    path = tokenizer_path("byte_bpe_50k.json")
+    rows = bpe_tree.decode(bpe_tree.encode(docs, path), path)
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 QUERIES = {
+    "op4_token_files": op4_token_files,
+    "op5_bpe": op5_bpe,
     "op7_decontaminate": op7_decontaminate,
+    "op9_token_counts": op9_token_counts,
 }
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
