@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortkit.llm import bpe_tree
 from cohortkit.llm.decontaminate import contamination
+from cohortkit.llm.ngram_join import ngram_join
 from cohortkit.llm.token_counts import token_counts
 from cohortkit.llm.token_files import read_token_files, write_token_files
 from cohortkit.llm.tokenizing import tokenizer_path
@@ -17,6 +18,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(_table(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token_files")
     write_token_files(_table(spark, sf_dir, "documents"), path, tokenizer_path("word_bpe_49k.json"), end_id=1)
@@ -46,6 +51,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op4_token_files": op4_token_files,
     "op5_bpe": op5_bpe,
     "op7_decontaminate": op7_decontaminate,
@@ -61,6 +67,18 @@ def _words(text: str) -> str:
 
 
 ORACLE = {
+    "op1_ngram_join": f"""
+with recursive docs as (select row_number() over () r, doc_id, {_words('text')} w from documents),
+gram as (select distinct r, array_to_string(w[i + 1 : i + 5], ' ') g from (
+    select r, w, unnest(range(greatest(len(w) - 4, 1))) i from docs where len(w) > 0)),
+size as (select r, count(*) n from gram group by r),
+pair as (select a.r a, b.r b, count(*) shared from gram a join gram b using (g) where a.r <> b.r group by a.r, b.r),
+link as (select a, b from pair join size x on x.r = a join size y on y.r = b
+    where shared >= 0.8 * (x.n + y.n - shared) - 1e-9),
+reach as (select a r, a other from link union select b, other from reach join link on a = reach.r)
+select doc_id, least(doc_id, coalesce((select min(d.doc_id) from reach join docs d on d.r = other where reach.r = docs.r), doc_id)) class_id,
+    (select count(*) from link where a = docs.r) n_links
+from docs""",
     "op7_decontaminate": f"""
 with items as (select cast(item_id as varchar) item_id, {_words('text')} w from benchmark where item_id is not null),
 gram as (select distinct item_id, size, array_to_string(w[i + 1 : i + size], ' ') g from (

@@ -152,6 +152,6 @@ def shingle_hashes(word_hash: np.ndarray, first: np.ndarray, size: int) -> tuple
     for k in range(size):
         here = at + k
         fits = here <= last
-        part = mix(word_hash[np.minimum(here, last)] + np.uint64(k + 1) * _BASE)
+        part = mix(word_hash[np.minimum(here, last)] + np.uint64((k + 1) * int(_BASE) % 2**64))
         acc = acc * np.uint64(0xD6E8FEB86659FD93) + np.where(fits, part, np.uint64(0x5851F42D4C957F2D))
     return mix(acc), offsets
