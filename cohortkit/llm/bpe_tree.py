@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from cohortkit.llm.tables import write_table
 from cohortkit.llm.text import small_slices
-from cohortkit.llm.tokenizing import PieceEncoder
+from cohortkit.llm.tokenizing import load_tokenizer, piece_encoder
 
 LEAF_CHARS = 2048
 PIECE_CHARS = 65_536
@@ -55,7 +55,7 @@ def token_bytes(path: str) -> list[bytes]:
 
 class TreeEncoder:
     def __init__(self, path: str, leaf_chars: int = LEAF_CHARS):
-        self.pieces = PieceEncoder(path)
+        self.pieces = piece_encoder(path)
         self.bytes = token_bytes(path)
         self.leaf = leaf_chars
         self.special = {t.content: i for i, t in self.pieces.tok.get_added_tokens_decoder().items()}
@@ -167,7 +167,7 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
         parts = [np.frombuffer(raw, "<u4") for raw in group.sort_values("k")["raw"]]
         return pd.DataFrame({"digest": [key[0]], "ids": [TreeEncoder(tokenizer, leaf_chars).join([parts])[0].astype(np.int32)]})
 
-    specials = PieceEncoder(tokenizer).special
+    specials = [t.content for t in load_tokenizer(tokenizer).get_added_tokens_decoder().values()]
     # a text is cut by length only; one with special tokens in it is not, as a cut could divide them
     is_cut = is_long
     for content in specials:

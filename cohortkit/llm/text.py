@@ -155,3 +155,20 @@ def shingle_hashes(word_hash: np.ndarray, first: np.ndarray, size: int) -> tuple
         part = mix(word_hash[np.minimum(here, last)] + np.uint64((k + 1) * int(_BASE) % 2**64))
         acc = acc * np.uint64(0xD6E8FEB86659FD93) + np.where(fits, part, np.uint64(0x5851F42D4C957F2D))
     return mix(acc), offsets
+
+
+def sequence_hashes(word_hash: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of every run of words, given by word positions in order of
+    ``start``, independent of where it stands."""
+    out = np.empty(len(start), np.uint64)
+    i = 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(start, start[i] + _SLICE)))
+        lo, hi = int(start[i]), int(end[i:j].max())
+        power, inverse = _powers(hi - lo)
+        total = np.zeros(hi - lo + 1, np.uint64)
+        np.cumsum(word_hash[lo:hi] * power[:hi - lo], out=total[1:])
+        s, e = start[i:j] - lo, end[i:j] - lo
+        out[i:j] = (total[e] - total[s]) * inverse[s] + (e - s).astype(np.uint64)
+        i = j
+    return mix(out)

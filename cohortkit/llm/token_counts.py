@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.llm.text import small_slices
-from cohortkit.llm.tokenizing import PieceEncoder, tokenizer_version
+from cohortkit.llm.tokenizing import piece_encoder, tokenizer_version
 from cohortkit.session import scratch_path
 
 CACHE_SCHEMA = "digest binary, tokenizer string, n_tokens long"
@@ -35,7 +35,7 @@ def _counter(path: str):
         import sentencepiece
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         return lambda texts: [len(ids) for ids in model.encode(texts, num_threads=1)]
-    return PieceEncoder(path, count_only=True).encode
+    return piece_encoder(path, count_only=True).encode
 
 
 def read_cache(spark, cache_path: str, version: str) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortkit.llm.text import small_slices
-from cohortkit.llm.tokenizing import PieceEncoder
+from cohortkit.llm.tokenizing import piece_encoder
 
 MAGIC = b"DAC1"
 SEGMENT_TOKENS = 1 << 20
@@ -110,7 +110,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, i
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part, seq, before = TaskContext.get().partitionId(), 0, 0
-        encoder, end = PieceEncoder(tokenizer, drops_space), np.array([end_id], "<u4").tobytes()
+        encoder, end = piece_encoder(tokenizer, drops_space), np.array([end_id], "<u4").tobytes()
         ids, first, held, n = [], [], [], 0
 
         def segment() -> pa.RecordBatch:

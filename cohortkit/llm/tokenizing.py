@@ -12,7 +12,8 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
+from functools import lru_cache
 
 import numpy as np
 
@@ -21,7 +22,11 @@ SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: Pieces of a byte-level tokenizer: a word with one space before it, or white
 #: space up to the last character before a word.
 SPACED = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-REMEMBERED_CHARS = 12_000_000
+#: Pieces of a tokenizer that drops white space.
+BETWEEN = re.compile("[^ \n]+")
+#: Letters with commas or full stops after them: every pattern cuts there.
+TRAILED = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,]+)")
+REMEMBERED_CHARS = 6_000_000
 
 
 def tokenizer_path(name: str) -> str:
@@ -52,20 +57,22 @@ class PieceEncoder:
     """Ids of whole texts, as bytes of little-endian unsigned 32-bit integers
     (or their number, with ``count_only``), by remembered pieces.
 
-    ``drops_space``: the tokenizer drops white space, so pieces are what stands
-    between spaces and line ends; else they are those of ``SPACED``.
-    The memory is emptied when its pieces hold ``remembered`` characters.
+    ``drops_space``: the tokenizer drops white space and case, so pieces are
+    what stands between spaces and line ends; else they are those of
+    ``SPACED``.  A piece of letters with commas or full stops after it is the
+    letters' ids and theirs.  Two generations of pieces are remembered, each of
+    ``remembered`` characters: what is met again moves to the young one.
     """
 
     def __init__(self, path: str, drops_space: bool = False, count_only: bool = False,
                  remembered: int = REMEMBERED_CHARS):
         self.tok = load_tokenizer(path)
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.split: Callable[[str], list[str]] = str.split if drops_space else SPACED.findall
-        if drops_space:  # str.split() also cuts at separators that the tokenizer keeps
-            self.split = re.compile("[^ \n]+").findall
+        self.drops_space = drops_space
+        self.split = (BETWEEN if drops_space else SPACED).findall
         self.count_only, self.most = count_only, remembered
         self.known: dict[str, bytes | int] = {}
+        self.old: dict[str, bytes | int] = {}
         self.held = 0
 
     def _library(self, texts: list[str]) -> list[bytes | int]:
@@ -74,22 +81,43 @@ class PieceEncoder:
             return [len(e.ids) for e in found]
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _learn(self, pieces: set[str]) -> None:
+        """Put pieces into the young generation."""
+        known, old = self.known, self.old
+        new = []
+        for p in pieces:
+            if p in old:
+                known[p] = old[p]
+            elif p not in known:
+                new.append(p)
+        for at in range(0, len(new), 20_000):
+            part = new[at:at + 20_000]
+            known.update(zip(part, self._library(part), strict=True))
+        self.held += sum(map(len, pieces))
+
     def encode(self, texts: Iterable[str]) -> list[bytes | int]:
         texts = list(texts)
         whole = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
-        pieces = [self.split(t) for t in texts]
+        # up to U+024F Python and the library agree on lower case, and nothing there composes
+        pieces = [self.split(t.lower() if self.drops_space and (t.isascii() or max(t) < "\u0250") else t) for t in texts]
         for i in whole:
             pieces[i] = []
         if self.held > self.most:
-            self.known, self.held = {}, 0
+            self.known, self.old, self.held = {}, self.known, 0
         known = self.known
-        new = list({p for own in pieces for p in own if p not in known})
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
-            known.update(zip(part, self._library(part), strict=True))
-        self.held += sum(map(len, new))
+        new = {p for own in pieces for p in own if p not in known}
+        parts = {p: (m[1], m[2]) for p in new if (m := TRAILED.fullmatch(p))}
+        self._learn(new - parts.keys() | {x for pair in parts.values() for x in pair})
+        known.update((p, known[a] + known[b]) for p, (a, b) in parts.items())
+        self.held += sum(map(len, parts))
         get = known.__getitem__
         out = [sum(map(get, own)) if self.count_only else b"".join(map(get, own)) for own in pieces]
         for i in whole:
             out[i] = self._library([texts[i]])[0]
         return out
+
+
+@lru_cache(maxsize=2)
+def piece_encoder(path: str, drops_space: bool = False, count_only: bool = False) -> PieceEncoder:
+    """One encoder per worker process: what it remembers lasts over tasks."""
+    return PieceEncoder(path, drops_space, count_only)
