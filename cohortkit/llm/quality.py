@@ -5,7 +5,8 @@ sparse random index vector.  A token's context vector is the sum of the index
 vectors of its neighbours over the whole corpus; it is gathered by Spark in one
 pass and summed per token bucket.  Tokens are hashed to ``BUCKETS`` buckets, so
 the table of vectors has a fixed size, and is what gets broadcast.  A document
-is the mean and the spread of its weighted token vectors.  A two-layer network
+is the mean and the spread of its weighted token vectors, with the share of
+tokens that repeat their neighbour.  A two-layer network
 in numpy learns labels from them; one temperature, fitted on rows it has not
 learned from, calibrates its probabilities.
 
@@ -35,6 +36,7 @@ from cohortkit.llm.text import run_hashes, runs, small_slices, text_bytes
 BUCKETS = 1 << 13
 DIM = 64
 NONZERO = 4
+FEATURES = 2 * DIM + 1
 REACH = 2  # neighbours on either side
 SAMPLE = 20_000
 HIDDEN = 32
@@ -99,16 +101,20 @@ def word_vectors(sums: DataFrame) -> np.ndarray:
 
 
 def pooled(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
-    """Mean and spread of the token vectors of each text."""
+    """Mean and spread of the token vectors of each text, and the share of
+    tokens that repeat the one before."""
     bucket, first = tokens_of(column)
     n = np.diff(first)
-    out = np.zeros((len(n), 2 * DIM), np.float32)
+    out = np.zeros((len(n), FEATURES), np.float32)
     full = np.flatnonzero(n)
     if len(full):
         own = vectors[bucket]
         mean = np.add.reduceat(own, first[full], axis=0) / n[full, None]
         square = np.add.reduceat(own * own, first[full], axis=0) / n[full, None]
-        out[full, :DIM], out[full, DIM:] = mean, np.sqrt(np.maximum(square - mean * mean, 0))
+        out[full, :DIM], out[full, DIM:-1] = mean, np.sqrt(np.maximum(square - mean * mean, 0))
+        again = np.append(False, bucket[1:] == bucket[:-1])
+        again[first[full]] = False
+        out[full, -1] = np.add.reduceat(again.astype(np.float64), first[full]) / n[full]
     return out
 
 
@@ -183,7 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     learned, _ = write_table(rows.mapInArrow(pool, "label double, x binary"), "quality_rows")
     got = sorted((bytes(r.x), r.label) for r in learned.limit(2 * sample).collect())
-    x = np.frombuffer(b"".join(b for b, _ in got), np.float32).reshape(-1, 2 * DIM).astype(np.float64)
+    x = np.frombuffer(b"".join(b for b, _ in got), np.float32).reshape(-1, FEATURES).astype(np.float64)
     return vectors, Network(x, np.array([y for _, y in got], np.float64))
 
 

@@ -118,7 +118,8 @@ def repeated_runs(rows: DataFrame, limits: tuple[int, int, int]) -> DataFrame:
     return later.groupBy("id").agg(F.collect_list(F.struct("a", "b", "hash")).alias("spans"))
 
 
-def _without(rows: DataFrame, text_col: str, spans_col: str, columns: list[str], out: T.StructType) -> DataFrame:
+def _without(rows: DataFrame, text_col: str, spans_col: str, columns: list[str], out: T.StructType,
+             drop_emptied: bool = False) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_slices(batches, text_col, 1 << 20):
             found = Sentences(words_of(batch.column(text_col)))
@@ -143,7 +144,8 @@ def _without(rows: DataFrame, text_col: str, spans_col: str, columns: list[str],
                 texts[i] = b"".join(raw[edge[k]:edge[k + 1]] for k in np.flatnonzero(~own).tolist()).decode()
             made = {text_col: pa.array(texts, pa.string()), "n_sentences": pa.array(count, pa.int64()), "n_removed": pa.array(removed)}
             names = out.fieldNames()
-            yield pa.RecordBatch.from_arrays([made[c] if c in made and (c == text_col or c not in columns) else batch.column(c) for c in names], names)
+            made = pa.RecordBatch.from_arrays([made[c] if c in made and (c == text_col or c not in columns) else batch.column(c) for c in names], names)
+            yield made.filter(pa.array((removed < count) | (count == 0))) if drop_emptied else made
 
     return rows.mapInArrow(cut, out)
 
@@ -165,7 +167,8 @@ def substring_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sentences: int = SENTENCES,
-                    words: int = WORDS, words_alone: int = WORDS_ALONE) -> DataFrame:
-    """The documents, same columns, without sentences of repeated runs."""
+                    words: int = WORDS, words_alone: int = WORDS_ALONE, drop_emptied: bool = True) -> DataFrame:
+    """The documents, same columns, without sentences of repeated runs.  With
+    ``drop_emptied`` a document that loses its every sentence goes."""
     marked = _marked(docs, id_col, text_col, (sentences, words, words_alone))
-    return _without(marked, text_col, "__spans", docs.columns, docs.schema)
+    return _without(marked, text_col, "__spans", docs.columns, docs.schema, drop_emptied)
