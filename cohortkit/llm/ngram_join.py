@@ -7,7 +7,7 @@ sampled tokens: sets with the same token at a sampled coordinate go down the
 same path.  A bucket of at most ``small`` sets is brute-forced; a larger one is
 split on further sampled tokens, or, once its average similarity (measured by
 how little the split divides it) is high, taken as one group.  Splits branch
-twice, so a similar pair survives any depth with a fixed chance, and whole runs
+often enough that a similar pair survives any depth with a fixed chance, and whole runs
 are repeated until the bound on the chance of missing a pair meets the target
 recall (:func:`runs_for`).  All runs of a level are one Spark job.
 
@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.llm.components import connected_components
+from cohortkit.llm.links import label_rows, spanning_links
 from cohortkit.llm.tables import write_table
 from cohortkit.llm.text import mix, shingle_hashes, small_slices, words_of
 
@@ -41,7 +42,6 @@ SHINGLE = 5
 THRESHOLD = 0.8
 TARGET_RECALL = 0.999999
 COORDINATES = 128  # the first half is split on, low bytes of the second half are the sketch
-BRANCH = 2
 SMALL = 200
 DENSE = 0.5  # average similarity from which a large bucket is one group
 LEVELS = 40  # deeper buckets are taken as one group as well, which only costs comparisons
@@ -55,12 +55,18 @@ _HALF = COORDINATES // 2
 _RUN_ORDER = _RNG.permutation(_HALF)
 
 
-def runs_for(threshold: float, target: float, branch: int = BRANCH) -> int:
+def branches_for(threshold: float) -> int:
+    """Tokens sampled per split: enough that a pair at the threshold shares
+    1.6 branches on average, so that its tree does not die out."""
+    return math.ceil(1.6 / threshold)
+
+
+def runs_for(threshold: float, target: float) -> int:
     """Runs after which a pair at the threshold has shared a final bucket with
     a chance of ``target``.  A pair follows a branch with chance ``threshold``;
     ``lost`` is the chance that an endless tree loses it (the fixed point of
     the branching process), so every depth loses it less often."""
-    lost = 0.0
+    lost, branch = 0.0, branches_for(threshold)
     for _ in range(1000):
         lost = (1 - threshold + threshold * lost) ** branch
     runs = math.ceil(math.log(1 - target) / math.log(1 - threshold * (1 - lost)))
@@ -115,20 +121,20 @@ def _first_paths(classes: DataFrame, runs: int) -> DataFrame:
     return classes.select("node", "signature").mapInArrow(split, "path long, node long")
 
 
-def _next_paths(bucket: DataFrame) -> DataFrame:
-    """Children of large buckets: ``BRANCH`` coordinates are drawn by the path."""
+def _next_paths(bucket: DataFrame, branch: int) -> DataFrame:
+    """Children of large buckets: ``branch`` coordinates are drawn by the path."""
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sig = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).reshape(-1, COORDINATES)
             parent = batch.column("path").to_numpy(zero_copy_only=False)
             rows, out = np.arange(len(parent)), []
-            for b in range(BRANCH):
+            for b in range(branch):
                 drawn = mix(parent.view(np.uint64) + np.uint64(b + 1))
                 at = (drawn % np.uint64(_HALF)).astype(np.int64)
                 out.append(mix(drawn ^ mix(sig[rows, at].astype(np.uint64))).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.tile(parent, BRANCH)), pa.array(np.concatenate(out)),
-                 *[pa.array(np.tile(batch.column(c).to_numpy(zero_copy_only=False), BRANCH)) for c in ("node", "m")]],
+                [pa.array(np.tile(parent, branch)), pa.array(np.concatenate(out)),
+                 *[pa.array(np.tile(batch.column(c).to_numpy(zero_copy_only=False), branch)) for c in ("node", "m")]],
                 ["parent", "path", "node", "m"])
 
     return bucket.select("path", "node", "m", "signature").mapInArrow(split, "parent long, path long, node long, m long")
@@ -140,26 +146,6 @@ def _sized(rows: DataFrame) -> DataFrame:
     return rows.join(counts, "path")
 
 
-def spanning_links(group: np.ndarray, alike) -> tuple[np.ndarray, np.ndarray]:
-    """Row pairs that span the similar rows of each group; rows come sorted by
-    group.  ``alike(i, j)`` tells which of the given row pairs are similar."""
-    label = np.arange(len(group))
-    left, right = [], []
-    for d in range(1, len(group)):
-        i = np.flatnonzero(group[:-d] == group[d:])
-        if not len(i):
-            break
-        i = i[label[i] != label[i + d]]
-        i = i[alike(i, i + d)]
-        for a in i.tolist():
-            x, y = label[a], label[a + d]
-            if x != y:
-                left.append(a)
-                right.append(a + d)
-                label[label == max(x, y)] = min(x, y)
-    return np.array(left, np.int64), np.array(right, np.int64)
-
-
 def _bucket_links(rows: DataFrame, n_rows: int, least_equal: int) -> DataFrame:
     """Spanning links of sets with similar sketches within small buckets; each
     group of the job holds about ``TASK_ROWS`` rows of many buckets."""
@@ -198,7 +184,7 @@ def candidate_groups(classes: DataFrame, threshold: float, target: float, small:
     sketches, _ = write_table(sketches.mapInArrow(low_bytes, "node long, sketch binary"), "ngram_sketch")
     # five deviations of the binomial below the threshold: a sketch alone drops one such pair in some 10^6
     least_equal = math.floor(_HALF * threshold - 5 * math.sqrt(_HALF * threshold * (1 - threshold)))
-    links = []
+    links, branch = [], branches_for(threshold)
     rows = _sized(_first_paths(classes, runs_for(threshold, target)))
     for level in range(LEVELS + 1):
         rows, _ = write_table(rows.select("path", "node", F.col("size").alias("m")), "ngram_level")
@@ -210,12 +196,12 @@ def candidate_groups(classes: DataFrame, threshold: float, target: float, small:
             break
         large = rows.where(F.col("m") > small)
         if level < LEVELS:
-            split, _ = write_table(_next_paths(large.join(classes.select("node", "signature"), "node")), "ngram_split")
+            split, _ = write_table(_next_paths(large.join(classes.select("node", "signature"), "node"), branch), "ngram_split")
             counts, _ = write_table(split.groupBy("parent", "path").agg(
                 F.count(F.lit(1)).alias("size"), F.max("m").alias("m")), "ngram_counts")
             # pairs that stay together, against all pairs: the average similarity of the bucket
             whole = (counts.groupBy("parent").agg(
-                        (F.sum(F.col("size").cast("double") ** 2) / BRANCH / F.max("m").cast("double") ** 2).alias("alike"))
+                        (F.sum(F.col("size").cast("double") ** 2) / branch / F.max("m").cast("double") ** 2).alias("alike"))
                      .where(F.col("alike") >= dense).select("parent"))
             one = large.join(whole.withColumnRenamed("parent", "path"), "path", "left_semi")
         else:
@@ -324,17 +310,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("signature").alias("signature")), "ngram_classes")
     groups, _ = write_table(candidate_groups(classes, threshold, target_recall, small, dense), "ngram_groups")
     found, _ = write_table(exact_links(classes, groups, rows, size, threshold), "ngram_found")
-    joined = connected_components(found.where("v is not null").select("u", "v"))
-    partners = found.where("v is null").groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("partners"))
-    named = classes.select("node", "id", "copies").join(joined, "node", "left").join(partners, "node", "left")
-    named = named.withColumn("component", F.coalesce("component", "node"))
-    first = named.groupBy("component").agg(F.min("id").alias("class_id"))
-    named, _ = write_table(named.join(first, "component").select(
-        "node", "class_id", (F.col("copies") - 1 + F.coalesce("partners", F.lit(0))).alias("n_links")), "ngram_named")
-    result = own.select("id", "node").join(named, "node", "left")
-    return result.select(F.col("id").alias(id_col),
-                         F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
-                         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    done = label_rows(own, classes, found)
+    return done.select(F.col("id").alias(id_col), "class_id", "n_links")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

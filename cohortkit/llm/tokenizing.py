@@ -26,7 +26,7 @@ SPACED = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 BETWEEN = re.compile("[^ \n]+")
 #: Letters with commas or full stops after them: every pattern cuts there.
 TRAILED = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,]+)")
-REMEMBERED_CHARS = 6_000_000
+REMEMBERED_CHARS = 4_000_000
 
 
 def tokenizer_path(name: str) -> str:
