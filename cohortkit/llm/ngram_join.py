@@ -47,7 +47,8 @@ DENSE = 0.5  # average similarity from which a large bucket is one group
 LEVELS = 40  # deeper buckets are taken as one group as well, which only costs comparisons
 BLOCK_SETS = 256
 BLOCK_TOKENS = 2_000_000
-TASK_ROWS = 20_000
+TASK_ROWS = 2_000
+TASK_TOKENS = 250_000
 
 _RNG = np.random.default_rng(97)
 _FACTOR = _RNG.integers(0, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -257,7 +258,8 @@ def exact_links(classes: DataFrame, groups: DataFrame, rows: DataFrame, size: in
                  pa.array([len(s) for s in own], pa.int64()), pa.array([s.tobytes() for s in own], pa.binary())],
                 ["node", "found", "component", "copies", "members", "weight", "tokens"])
 
-    texts = rows.join(members.withColumnRenamed("id", "rep"), F.col("id").eqNullSafe(F.col("rep")))
+    # texts are shuffled at every size: a small list would be broadcast, a plan that does not last as tables grow
+    texts = rows.hint("merge").join(members.withColumnRenamed("id", "rep"), F.col("id").eqNullSafe(F.col("rep")))
     full = (texts.select("text", "node", "component", "copies", "members")
             .mapInArrow(sets, "node long, found long, component long, copies long, members long, weight long, tokens binary")
             .where("node = found").drop("found"))
@@ -265,7 +267,7 @@ def exact_links(classes: DataFrame, groups: DataFrame, rows: DataFrame, size: in
     heavy = full.groupBy("component").agg(F.sum("weight").alias("total"), F.max("members").alias("k"))
     blocks = heavy.select("component", F.ceil(F.greatest(F.col("k") / BLOCK_SETS, F.col("total") / BLOCK_TOKENS)).cast("int").alias("blocks"), "total")
     n_tokens = heavy.agg(F.sum("total")).first()[0] or 0
-    tasks = max(1, n_tokens // BLOCK_TOKENS)
+    tasks = max(1, n_tokens // TASK_TOKENS)
     dealt = full.drop("members").join(blocks, "component")
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")).cast("int"))
     # a row of block b meets every block j in the task of (min, max); small groups share tasks
