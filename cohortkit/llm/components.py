@@ -11,20 +11,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.llm.tables import write_table
+from cohortkit.llm.tables import split_join, write_table
 from cohortkit.session import drop_path
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return split_join(both.where("v > u"), least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v")
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    inner = down.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    inner = split_join(down, least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return inner.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 

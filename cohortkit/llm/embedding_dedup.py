@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.llm.links import label_rows, spanning_links
-from cohortkit.llm.tables import write_table
+from cohortkit.llm.tables import split_join, write_table
 
 THRESHOLD = 0.93
 TARGET_RECALL = 0.9999
@@ -83,7 +83,7 @@ def _buckets(hashed: DataFrame, tables: int) -> DataFrame:
 def _dealt(buckets: DataFrame, block: int) -> DataFrame:
     """Rows of buckets with company, each in the tasks where it is compared."""
     counts = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    rows = buckets.join(counts, "bucket").withColumn("blocks", F.ceil(F.col("m") / block).cast("int"))
+    rows = split_join(buckets, counts, "bucket").withColumn("blocks", F.ceil(F.col("m") / block).cast("int"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return rows.select("node", "t", "bucket", "block", "blocks", F.least("block", "other").alias("low"),

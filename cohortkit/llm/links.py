@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.llm.components import connected_components
-from cohortkit.llm.tables import write_table
+from cohortkit.llm.tables import split_join, write_table
 
 
 def spanning_links(group: np.ndarray, alike) -> tuple[np.ndarray, np.ndarray]:
@@ -45,7 +45,7 @@ def label_rows(own: DataFrame, classes: DataFrame, found: DataFrame) -> DataFram
     named = classes.select("node", "id", "copies").join(joined, "node", "left").join(partners, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
     first = named.groupBy("component").agg(F.min("id").alias("class_id"))
-    named, _ = write_table(named.join(first, "component").select(
+    named, _ = write_table(split_join(named, first, "component").select(
         "node", "class_id", (F.col("copies") - 1 + F.coalesce("partners", F.lit(0))).alias("n_links")), "labels")
     result = own.select("id", "node").join(named, "node", "left")
     return result.select("id", "node",

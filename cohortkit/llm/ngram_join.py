@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from cohortkit.llm.components import connected_components
 from cohortkit.llm.links import label_rows, spanning_links
-from cohortkit.llm.tables import write_table
+from cohortkit.llm.tables import split_join, write_table
 from cohortkit.llm.text import mix, shingle_hashes, small_slices, words_of
 
 SHINGLE = 5
@@ -144,7 +144,7 @@ def _next_paths(bucket: DataFrame, branch: int) -> DataFrame:
 def _sized(rows: DataFrame) -> DataFrame:
     """Rows of paths that more than one set follows, with their number."""
     counts = rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    return rows.join(counts, "path")
+    return split_join(rows, counts, "path")
 
 
 def _bucket_links(rows: DataFrame, n_rows: int, least_equal: int) -> DataFrame:
@@ -208,7 +208,7 @@ def candidate_groups(classes: DataFrame, threshold: float, target: float, small:
         else:
             one = large
         hubs = one.groupBy("path").agg(F.min("node").alias("v"))
-        stars = one.join(hubs, "path").where("node > v").select(F.col("node").alias("u"), "v").distinct()
+        stars = split_join(one, hubs, "path").where("node > v").select(F.col("node").alias("u"), "v").distinct()
         links.append(write_table(stars, "ngram_links")[0])
         if level == LEVELS:
             break
@@ -245,7 +245,7 @@ def exact_links(classes: DataFrame, groups: DataFrame, rows: DataFrame, size: in
     """``(u, v, n)`` from comparing all pairs of each group on their full sets:
     spanning links (``v`` given) and the weight of a set's partners (``v`` null)."""
     sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
-    members, _ = write_table(groups.join(sizes, "component").where("members > 1")
+    members, _ = write_table(split_join(groups, sizes, "component").where("members > 1")
                              .join(classes.select("node", "id", "copies"), "node"), "ngram_members")
     kind = rows.schema["id"].dataType.simpleString()
 
@@ -268,7 +268,7 @@ def exact_links(classes: DataFrame, groups: DataFrame, rows: DataFrame, size: in
     blocks = heavy.select("component", F.ceil(F.greatest(F.col("k") / BLOCK_SETS, F.col("total") / BLOCK_TOKENS)).cast("int").alias("blocks"), "total")
     n_tokens = heavy.agg(F.sum("total")).first()[0] or 0
     tasks = max(1, n_tokens // TASK_TOKENS)
-    dealt = full.drop("members").join(blocks, "component")
+    dealt = split_join(full.drop("members"), blocks, "component")
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")).cast("int"))
     # a row of block b meets every block j in the task of (min, max); small groups share tasks
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

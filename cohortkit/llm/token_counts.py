@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortkit.llm.tables import split_join
 from cohortkit.llm.text import small_slices
 from cohortkit.llm.tokenizing import piece_encoder, tokenizer_version
 from cohortkit.session import scratch_path
@@ -72,7 +73,7 @@ def token_counts(docs: DataFrame, tokenizer: str, cache_path: str | None = None,
     missing = (rows.select("digest", "text").dropDuplicates(["digest"])
                .join(read_cache(spark, cache_path, version), "digest", "left_anti"))
     missing.mapInArrow(count, CACHE_SCHEMA).write.mode("append").parquet(cache_path)
-    counted = (rows.select("id", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
-               .join(read_cache(spark, cache_path, version), "digest", "left"))
+    counted = split_join(rows.select("id", "digest", F.octet_length("text").cast("long").alias("n_bytes")),
+                         read_cache(spark, cache_path, version), "digest", "left")
     return counted.select(F.col("id").alias(id_col), "n_bytes", "n_tokens",
                           (F.col("n_tokens") > limit).alias("over_limit"))
