@@ -85,14 +85,18 @@ class TreeEncoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         plan = [self._parts(t) for t in texts]
         trees = [self._cut(p) for own in plan for p in own if isinstance(p, str)]
-        leaves = iter(self.pieces.encode([leaf for tree in trees for leaf in tree]))
-        joined = iter(self.join([[np.frombuffer(next(leaves), "<u4") for _ in tree] for tree in trees]))
+        leaves = iter(self._encode_each([leaf for tree in trees for leaf in tree]))
+        joined = iter(self.join([[next(leaves) for _ in tree] for tree in trees]))
         out = []
         for own in plan:
             ids = [np.array([p], np.uint32) if isinstance(p, int) else next(joined) for p in own]
             out.append(ids[0] if len(ids) == 1 else np.concatenate([*ids, np.zeros(0, np.uint32)]).astype(np.uint32))
         return out
 
+    def _encode_each(self, texts: list[str]) -> list[np.ndarray]:
+        flat, cuts = self.pieces.encode_column(pa.array(texts, pa.large_string()))
+        return [flat[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
     def join(self, rows: list[list[np.ndarray]]) -> list[np.ndarray]:
         """Each row's neighbouring encodings joined pairwise up to one."""
         rows = [list(r) for r in rows]
@@ -123,9 +127,8 @@ class TreeEncoder:
                 window = [*left[a:].tolist(), *right[:b].tolist()]
                 texts.append(b"".join(map(self.bytes.__getitem__, window)).decode())
             again = []
-            for i, (a, b), raw in zip(todo, spans, self.pieces.encode(texts), strict=True):
+            for i, (a, b), ids in zip(todo, spans, self._encode_each(texts), strict=True):
                 left, right = pairs[i]
-                ids = np.frombuffer(raw, "<u4")
                 ok_left = a == 0 or np.array_equal(ids[:AGREE], left[a:a + AGREE])
                 ok_right = b == len(right) or np.array_equal(ids[-AGREE:], right[max(0, b - AGREE):b])
                 if ok_left and ok_right and (len(ids) >= 2 * AGREE or a == 0 and b == len(right)):

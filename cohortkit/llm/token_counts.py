@@ -32,11 +32,12 @@ CACHE_SCHEMA = "digest binary, tokenizer string, n_tokens long"
 
 
 def _counter(path: str):
+    """A function from a column of texts to their numbers of tokens."""
     if path.endswith(".model"):
         import sentencepiece
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        return lambda texts: [len(ids) for ids in model.encode(texts, num_threads=1)]
-    return piece_encoder(path, count_only=True).encode
+        return lambda texts: [len(ids) for ids in model.encode(texts.to_pylist(), num_threads=1)]
+    return piece_encoder(path).count_column
 
 
 def read_cache(spark, cache_path: str, version: str) -> DataFrame:
@@ -65,7 +66,7 @@ def token_counts(docs: DataFrame, tokenizer: str, cache_path: str | None = None,
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(tokenizer)
         for batch in small_slices(batches, "text"):
-            n = counter(batch.column("text").to_pylist())
+            n = counter(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("digest"), pa.array([version] * len(n)), pa.array(n, pa.int64())],
                 ["digest", "tokenizer", "n_tokens"])

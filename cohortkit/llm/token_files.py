@@ -82,6 +82,18 @@ class DacSegment:
     def __len__(self) -> int:
         return len(self.levels[0][0])
 
+    def all(self) -> np.ndarray:
+        """All ids in order: the set bits of a level are the places of the next."""
+        parts = []
+        for chunks, bits, _ in self.levels:
+            more = np.unpackbits(bits.view(np.uint8), count=len(chunks), bitorder="little").view(bool)
+            parts.append((chunks.astype(np.uint32), more))
+        out = parts[-1][0]
+        for chunks, more in parts[-2::-1]:
+            chunks[more] |= out << np.uint32(8)
+            out = chunks
+        return out
+
     def take(self, at: np.ndarray) -> np.ndarray:
         """Ids at any positions, in the order asked for."""
         at = np.asarray(at, np.int64)
@@ -110,24 +122,25 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, i
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part, seq, before = TaskContext.get().partitionId(), 0, 0
-        encoder, end = piece_encoder(tokenizer, drops_space), np.array([end_id], "<u4").tobytes()
+        encoder, end = piece_encoder(tokenizer, drops_space), np.array([end_id], np.uint32)
         ids, first, held, n = [], [], [], 0
 
         def segment() -> pa.RecordBatch:
             row = {"part": [part], "seq": [seq], "before": [before], "n_tokens": [n],
                    "ids": [pa.array(ids, id_type).to_pylist()], "first": [first],
-                   "image": [dac_image(np.frombuffer(b"".join(held), "<u4"))]}
+                   "image": [dac_image(np.concatenate(held))]}
             return pa.RecordBatch.from_pydict(row, pa.schema([
                 ("part", pa.int32()), ("seq", pa.int32()), ("before", pa.int64()), ("n_tokens", pa.int64()),
                 ("ids", pa.list_(id_type)), ("first", pa.list_(pa.int64())), ("image", pa.binary())]))
 
         for batch in small_slices(batches, "text"):
             id_type = batch.schema.field("id").type
-            for doc, raw in zip(batch.column("id").to_pylist(), encoder.encode(batch.column("text").to_pylist()), strict=True):
+            flat, cuts = encoder.encode_column(batch.column("text"))
+            for doc, a, b in zip(batch.column("id").to_pylist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                 ids.append(doc)
                 first.append(n)
-                held += [raw, end]
-                n += len(raw) // 4 + 1
+                held += [flat[a:b], end]
+                n += b - a + 1
                 if n >= segment_tokens:
                     yield segment()
                     seq, before = seq + 1, before + n
@@ -164,7 +177,7 @@ def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id", wit
                 image = DacSegment(batch.column("image")[r].as_buffer())
                 first = np.array(batch.column("first")[r].as_py(), np.int64)
                 stop, start = np.append(first[1:], len(image)), batch.column("start")[r].as_py()
-                tokens = image.take(np.arange(len(image))).astype("<u4")
+                tokens = image.all().astype("<u4", copy=False)
                 crc = [zlib.crc32(tokens[a:b]) for a, b in zip(first, stop, strict=True)]
                 columns = [batch.column("ids")[r].values, pa.array(first + start), pa.array(stop - first),
                            pa.array(crc, pa.int64())]

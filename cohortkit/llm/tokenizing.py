@@ -14,8 +14,12 @@ import os
 import re
 from collections.abc import Iterable
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+
+from cohortkit.llm.text import run_hashes, text_bytes
 
 #: White space of the Unicode property that the tokenizers' patterns use.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -26,7 +30,13 @@ SPACED = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 BETWEEN = re.compile("[^ \n]+")
 #: Letters with commas or full stops after them: every pattern cuts there.
 TRAILED = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,]+)")
-REMEMBERED_CHARS = 4_000_000
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_SPACES = np.zeros(256, bool)
+_SPACES[[9, 10, 11, 12, 13, 32]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+REMEMBERED_CHARS = 2_000_000
 
 
 def tokenizer_path(name: str) -> str:
@@ -54,8 +64,7 @@ def load_tokenizer(path: str):
 
 
 class PieceEncoder:
-    """Ids of whole texts, as bytes of little-endian unsigned 32-bit integers
-    (or their number, with ``count_only``), by remembered pieces.
+    """Ids of whole texts by remembered pieces.
 
     ``drops_space``: the tokenizer drops white space and case, so pieces are
     what stands between spaces and line ends; else they are those of
@@ -64,21 +73,20 @@ class PieceEncoder:
     ``remembered`` characters: what is met again moves to the young one.
     """
 
-    def __init__(self, path: str, drops_space: bool = False, count_only: bool = False,
+    def __init__(self, path: str, drops_space: bool = False,
                  remembered: int = REMEMBERED_CHARS):
         self.tok = load_tokenizer(path)
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.drops_space = drops_space
         self.split = (BETWEEN if drops_space else SPACED).findall
-        self.count_only, self.most = count_only, remembered
-        self.known: dict[str, bytes | int] = {}
-        self.old: dict[str, bytes | int] = {}
+        self.most = remembered
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.held = 0
+        self.store, self.former = PieceStore(), PieceStore()
 
-    def _library(self, texts: list[str]) -> list[bytes | int]:
+    def _library(self, texts: list[str]) -> list[bytes]:
         found = self.tok.encode_batch_fast(texts, add_special_tokens=False)
-        if self.count_only:
-            return [len(e.ids) for e in found]
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
     def _learn(self, pieces: set[str]) -> None:
@@ -95,7 +103,8 @@ class PieceEncoder:
             known.update(zip(part, self._library(part), strict=True))
         self.held += sum(map(len, pieces))
 
-    def encode(self, texts: Iterable[str]) -> list[bytes | int]:
+    def encode(self, texts: Iterable[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
         texts = list(texts)
         whole = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
         # up to U+024F Python and the library agree on lower case, and nothing there composes
@@ -111,13 +120,158 @@ class PieceEncoder:
         known.update((p, known[a] + known[b]) for p, (a, b) in parts.items())
         self.held += sum(map(len, parts))
         get = known.__getitem__
-        out = [sum(map(get, own)) if self.count_only else b"".join(map(get, own)) for own in pieces]
+        out = [b"".join(map(get, own)) for own in pieces]
         for i in whole:
             out[i] = self._library([texts[i]])[0]
         return out
 
 
+    # -- whole Arrow columns ------------------------------------------------
+    def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one array, and the ``n + 1`` offsets by text.
+
+        Texts of characters below U+0240 without special tokens and rarer
+        white space are cut into pieces and looked up inside numpy; others take
+        :meth:`encode`.
+        """
+        buf, at = text_bytes(column)
+        slow = self._slow(buf, at)
+        flat, offsets = self._pieces_of(buf, at, slow)
+        if not slow.any():
+            return flat, offsets
+        rows = [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        which = np.flatnonzero(slow).tolist()
+        found = self.encode([buf[at[i]:at[i + 1]].tobytes().decode() for i in which])
+        for i, x in zip(which, found, strict=True):
+            rows[i] = np.frombuffer(x, "<u4")
+        return np.concatenate(rows), np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+
+    def count_column(self, column: pa.Array) -> np.ndarray:
+        """Number of ids of each text."""
+        return np.diff(self.encode_column(column)[1])
+
+    def _slow(self, buf: np.ndarray, at: np.ndarray) -> np.ndarray:
+        odd = buf >= 0xC9
+        odd[1:] |= (buf[:-1] == 0xC2) & ((buf[1:] == 0x85) | (buf[1:] == 0xA0))
+        seen = np.concatenate([[0], np.cumsum(odd)])
+        slow = seen[at[1:]] > seen[at[:-1]]
+        raw = buf.tobytes()
+        for content in self.special:
+            mark = content.encode()
+            k = raw.find(mark)
+            while k >= 0:
+                slow[np.searchsorted(at, k, side="right") - 1] = True
+                k = raw.find(mark, k + 1)
+        return slow
+
+    def _pieces_of(self, buf: np.ndarray, at: np.ndarray, slow: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = len(at) - 1
+        if self.drops_space:
+            buf = _LOWER[buf]
+        space = _SPACES[buf] if not self.drops_space else (buf == 32) | (buf == 10)
+        if not len(buf):
+            return np.zeros(0, np.uint32), np.zeros(n + 1, np.int64)
+        cut = np.zeros(len(buf) + 1, bool)
+        cut[at] = True
+        edge = space[1:] != space[:-1]
+        if self.drops_space:
+            cut[1:-1] |= edge
+        else:
+            into = edge & ~space[1:] & ~cut[1:-1]  # a word after white space of its text
+            cut[1:-1] |= edge & space[1:]  # white space begins
+            cut[:-2] |= into  # its last character goes with the word
+            cut[1:-1] |= into & (buf[:-1] != 32)  # unless it is no space
+        letter = _LETTER[buf]
+        letter[1:] |= (buf[:-1] == 0xC3) & (buf[1:] != 0x97) & (buf[1:] != 0xB7)
+        cut[1:-1] |= letter[:-1] & ((buf[1:] == 44) | (buf[1:] == 46))
+        start = np.flatnonzero(cut)
+        start, end = start[:-1], start[1:]
+        text = np.searchsorted(at, start, side="right") - 1
+        keep = ~slow[text]
+        if self.drops_space:
+            keep &= ~space[start]
+        start, end, text = start[keep], end[keep], text[keep]
+        slots = self._slots(run_hashes(buf, start, end), buf, start, end)
+        size, begin = self.store.sizes[slots], self.store.begins[slots]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        flat = self.store.ids[np.repeat(begin - upto[:-1], size) + np.arange(upto[-1])]
+        return flat, upto[np.searchsorted(text, np.arange(n + 1))]
+
+    def _slots(self, names: np.ndarray, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Place of every piece in the young store; new ones are encoded."""
+        if self.store.used > 2 * self.most:
+            self.former, self.store = self.store, PieceStore()
+        slots = self.store.find(names)
+        lack = np.flatnonzero(slots < 0)
+        if len(lack):
+            new, first = np.unique(names[lack], return_index=True)
+            old = self.former.find(new)
+            parts = [self.former.ids[a:b] for a, b in zip(*self.former.spans(old[old >= 0]), strict=True)]
+            where = lack[first[old < 0]].tolist()
+            for at in range(0, len(where), 20_000):
+                own = [buf[start[j]:end[j]].tobytes().decode() for j in where[at:at + 20_000]]
+                parts += [e.ids for e in self.tok.encode_batch_fast(own, add_special_tokens=False)]
+            self.store.add(np.concatenate([new[old >= 0], new[old < 0]]), parts)
+            slots[lack] = self.store.find(names[lack])
+        return slots
+
+
+class PieceStore:
+    """Ids of pieces by 64-bit name, in an open-addressing table of numpy
+    arrays, so that a whole batch is looked up at once."""
+
+    def __init__(self, bits: int = 16):
+        self.begins, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.names, self.used = np.zeros(0, np.uint32), np.zeros(0, np.uint64), 0
+        self._empty(bits)
+
+    def _empty(self, bits: int) -> None:
+        self.bits = bits
+        self.keys, self.places = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
+
+    def find(self, names: np.ndarray) -> np.ndarray:
+        """Place of each name, -1 for an unknown one."""
+        out = np.full(len(names), -1, np.int64)
+        live, at = np.arange(len(names)), (names >> np.uint64(64 - self.bits)).astype(np.int64)
+        while len(live):
+            place = self.places[at]
+            same = (place >= 0) & (self.keys[at] == names[live])
+            out[live[same]] = place[same]
+            on = (place >= 0) & ~same
+            live, at = live[on], (at[on] + 1) & ((1 << self.bits) - 1)
+        return out
+
+    def spans(self, places: np.ndarray) -> tuple[list[int], list[int]]:
+        return self.begins[places].tolist(), (self.begins[places] + self.sizes[places]).tolist()
+
+    def add(self, names: np.ndarray, parts: list) -> None:
+        """Names not yet known, each with its ids."""
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+        more = np.fromiter(chain.from_iterable(parts), np.uint32, int(lengths.sum()))
+        self.begins = np.concatenate([self.begins, len(self.ids) + np.cumsum(lengths) - lengths])
+        self.sizes, self.ids = np.concatenate([self.sizes, lengths]), np.concatenate([self.ids, more])
+        known, self.names = len(self.names), np.concatenate([self.names, names])
+        self.used += len(more)
+        if len(self.names) > 1 << (self.bits - 1):
+            self._empty(max(self.bits + 2, int(2 * len(self.names)).bit_length()))
+            known = 0
+        self._place(self.names[known:], np.arange(known, len(self.names)))
+
+    def _place(self, names: np.ndarray, places: np.ndarray) -> None:
+        at = (names >> np.uint64(64 - self.bits)).astype(np.int64)
+        while len(names):
+            free = np.flatnonzero(self.places[at] < 0)
+            _, one = np.unique(at[free], return_index=True)  # one name for each free slot
+            won = free[one]
+            self.keys[at[won]], self.places[at[won]] = names[won], places[won]
+            left = np.ones(len(names), bool)
+            left[won] = False
+            names, places, at = names[left], places[left], at[left]
+            taken = self.places[at] >= 0
+            at = np.where(taken, (at + 1) & ((1 << self.bits) - 1), at)
+
+
 @lru_cache(maxsize=2)
-def piece_encoder(path: str, drops_space: bool = False, count_only: bool = False) -> PieceEncoder:
+def piece_encoder(path: str, drops_space: bool = False) -> PieceEncoder:
     """One encoder per worker process: what it remembers lasts over tasks."""
-    return PieceEncoder(path, drops_space, count_only)
+    return PieceEncoder(path, drops_space)

@@ -4,13 +4,14 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
 from cohortkit.llm import bpe_tree
 from cohortkit.llm.token_counts import read_cache, token_counts
 from cohortkit.llm.token_files import DacSegment, dac_image, read_token_files, read_tokens_at, write_token_files
-from cohortkit.llm.tokenizing import PieceEncoder, load_tokenizer, tokenizer_path, tokenizer_version
+from cohortkit.llm.tokenizing import PieceEncoder, PieceStore, load_tokenizer, tokenizer_path, tokenizer_version
 from cohortkit.session import scratch_path
 
 BYTE, WORD, PIECE = (tokenizer_path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"))
@@ -37,6 +38,30 @@ def test_pieces_equal_whole_text(text):
         assert got == [whole(enc.tok, text)] * 2
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(mixed, max_size=5))
+def test_columns_equal_whole_texts(texts):
+    for path, drops in ((BYTE, False), (WORD, True)):
+        enc = PieceEncoder(path, drops, remembered=40)
+        for _ in range(3):  # pieces met again, and after the store was emptied
+            flat, cuts = enc.encode_column(pa.array([None, *texts], pa.string()))
+            got = [flat[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            assert got == [whole(enc.tok, t) for t in ["", *texts]]
+
+
+def test_piece_store_finds_what_it_was_given():
+    rng, store, want = np.random.default_rng(1), PieceStore(bits=4), {}
+    for _ in range(40):
+        names = np.unique(np.concatenate([rng.integers(0, 2**64, 30, dtype=np.uint64), np.arange(rng.integers(0, 9), dtype=np.uint64)]))
+        names = np.array([n for n in names.tolist() if n not in want], np.uint64)
+        parts = [rng.integers(0, 9, rng.integers(0, 4)).tolist() for _ in names]
+        store.add(names, parts)
+        want |= dict(zip(names.tolist(), parts, strict=True))
+    places = store.find(np.array(list(want), np.uint64))
+    assert [store.ids[a:b].tolist() for a, b in zip(*store.spans(places), strict=True)] == list(want.values())
+    assert (store.find(np.array([12345678901234567], np.uint64)) == -1).all()
+
+
 @settings(max_examples=300, deadline=None)
 @given(mixed, st.integers(1, 40))
 def test_tree_equals_whole_text(text, leaf):
@@ -72,7 +97,7 @@ def test_bpe_rows(odd_docs, no_docs, byte_tok):
 def test_codes_give_every_token(ids):
     image = DacSegment(dac_image(np.array(ids, np.uint32)))
     assert len(image) == len(ids)
-    assert image.take(np.arange(len(ids))).tolist() == ids
+    assert image.take(np.arange(len(ids))).tolist() == image.all().tolist() == ids
     assert [image[i] for i in range(len(ids))] == ids
 
 
