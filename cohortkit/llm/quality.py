@@ -39,6 +39,7 @@ NONZERO = 4
 FEATURES = 2 * DIM + 1
 REACH = 2  # neighbours on either side
 SAMPLE = 20_000
+POOLED = 128  # texts whose token counts are held together
 HIDDEN = 32
 PASS_MARK = 0.7
 
@@ -65,7 +66,7 @@ def context_sums(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, n = np.zeros(BUCKETS * DIM), np.zeros(BUCKETS, np.int64)
-        for batch in small_slices(batches, "text", 1 << 20):
+        for batch in small_slices(batches, "text"):
             bucket, first = tokens_of(batch.column("text"))
             n += np.bincount(bucket, minlength=BUCKETS)
             text = np.repeat(np.arange(len(first) - 1), np.diff(first))
@@ -107,14 +108,19 @@ def pooled(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
     n = np.diff(first)
     out = np.zeros((len(n), FEATURES), np.float32)
     full = np.flatnonzero(n)
-    if len(full):
-        own = vectors[bucket]
-        mean = np.add.reduceat(own, first[full], axis=0) / n[full, None]
-        square = np.add.reduceat(own * own, first[full], axis=0) / n[full, None]
-        out[full, :DIM], out[full, DIM:-1] = mean, np.sqrt(np.maximum(square - mean * mean, 0))
-        again = np.append(False, bucket[1:] == bucket[:-1])
-        again[first[full]] = False
-        out[full, -1] = np.add.reduceat(again.astype(np.float64), first[full]) / n[full]
+    if not len(full):
+        return out
+    both = np.concatenate([vectors, vectors * vectors], axis=1)
+    for lo in range(0, len(n), POOLED):  # counts of some texts by bucket, times the vectors
+        hi = min(lo + POOLED, len(n))
+        own = np.repeat(np.arange(hi - lo), n[lo:hi])
+        counts = np.bincount(own * BUCKETS + bucket[first[lo]:first[hi]], minlength=(hi - lo) * BUCKETS)
+        sums = counts.reshape(hi - lo, BUCKETS).astype(np.float32) @ both
+        mean, square = np.hsplit(sums / np.maximum(n[lo:hi, None], 1), 2)
+        out[lo:hi, :DIM], out[lo:hi, DIM:-1] = mean, np.sqrt(np.maximum(square - mean * mean, 0))
+    again = np.append(False, bucket[1:] == bucket[:-1])
+    again[first[full]] = False
+    out[full, -1] = np.add.reduceat(again.astype(np.float64), first[full]) / n[full]
     return out
 
 
