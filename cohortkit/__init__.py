@@ -15,10 +15,8 @@ that only builds a logical plan; the sinks in :mod:`cohortkit.sources.files`,
 from cohortkit.operators.base import base_join, base_join_members, collect_chunked, explode_members
 from cohortkit.operators.chains import (
     all_members,
-    chains_from_docs,
     first_branch,
     first_branch_edges,
-    parse_chains,
     walk_edges,
 )
 from cohortkit.operators.coverage import best_coverage, group_coverage, with_coverage
@@ -40,31 +38,30 @@ from cohortkit.operators.tags import explode_tags, filter_flag, tag_list, tag_me
 from cohortkit.plans.contract import assert_contract, assert_schema, contract_report
 from cohortkit.plans.jobs import JobConfig, run_job
 from cohortkit.sources.documents import (
-    cohorts_from_docs,
     entities_from_docs,
+    parse_chains,
     parse_cohorts,
     parse_entities,
+    parse_listing,
     route_documents,
 )
 from cohortkit.sources.files import (
     land,
-    latest_per_key,
     latest_version,
     materialize,
     publish,
     read_landing,
-    read_landing_docs,
     read_published,
 )
 
 __all__ = [
     "JobConfig", "all_members", "assert_contract", "assert_schema", "base_join", "base_join_members",
-    "best_coverage", "chains_from_docs", "cohorts_from_docs", "collect_chunked", "contract_report",
+    "best_coverage", "collect_chunked", "contract_report",
     "cosine_to_centroid", "entities_from_docs", "entity_extremes", "explode_members", "explode_tags",
     "filter_flag", "first_branch", "first_branch_edges", "group_coverage", "group_extremes",
-    "group_measure_avg", "inverse_document_frequency", "kind_measure_avg", "land", "latest_per_key",
-    "latest_version", "materialize", "measure_pivot", "parse_chains", "parse_cohorts", "parse_entities",
-    "publish", "read_landing", "read_landing_docs", "read_published", "route_documents", "run_job",
+    "group_measure_avg", "inverse_document_frequency", "kind_measure_avg", "land", "latest_version",
+    "materialize", "measure_pivot", "parse_chains", "parse_cohorts", "parse_entities", "parse_listing",
+    "publish", "read_landing", "read_published", "route_documents", "run_job",
     "similar_pairs", "tag_list", "tag_members", "tag_split", "term_frequency", "tfidf_weights",
     "walk_edges", "with_coverage",
 ]

@@ -90,18 +90,15 @@ def base_join_members(entity: DataFrame, cohort_members: DataFrame, chain_member
     """:func:`base_join` on group memberships already in long form
     ``(group key, member)``.
 
-    The whole-row distinct (D7) is applied to the inputs: entity rows and
-    ``(group, member)`` pairs are de-duplicated before the joins.  Joining
-    duplicate-free inputs on the member name cannot create duplicates (two
-    equal output rows would need the same entity row and the same group
-    key twice), so this is the same set as de-duplicating the joined rows,
-    but the de-duplication is combined map-side on narrow rows, and no task
-    has to de-duplicate all joined rows of one heavily shared name.
+    The null cut (B11) comes first: it drops incomplete entities before they
+    are shuffled, and, as a row without a chain goes anyway, makes the left
+    join an inner one.  The whole-row distinct (D7) is applied to the inputs:
+    joining duplicate-free inputs on the member name cannot create duplicates.
     """
-    members_a = distinct_rows(cohort_members.select("member", cohort_col))
-    members_b = distinct_rows(chain_members.select("member", chain_col))
-    joined = join_left(join_inner(distinct_rows(entity), members_a, cohort_col), members_b, chain_col)
-    return drop_incomplete(joined)
+    members_a = distinct_rows(drop_incomplete(cohort_members.select("member", cohort_col)))
+    members_b = distinct_rows(drop_incomplete(chain_members.select("member", chain_col)))
+    whole = distinct_rows(drop_incomplete(entity))
+    return join_inner(join_inner(whole, members_a, cohort_col), members_b, chain_col)
 
 
 def reattach(base: DataFrame, agg: DataFrame, on: str) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortkit.functions.columns import array_size, safe_ratio
+from cohortkit.session import scratch_path
+from cohortkit.sources.files import materialize
 
 
 def with_coverage(df: DataFrame, num_col: str = "kinds", den_col: str = "tags",
@@ -35,26 +37,17 @@ def best_coverage(df: DataFrame, group_col: str, key_col: str = "id", name_col:
                   num_col: str = "kinds", den_col: str = "tags") -> DataFrame:
     """Entity with the highest coverage per group; ties to the lowest key (L2).
 
-    The pass over all rows is a hash aggregate (max coverage per group), not a
-    ``row_number`` window (a group holding a third of all rows would be one
-    task) and not a sort-based ``min_by`` over every row.  Rows at their
-    group's maximum are found by joining that table back (Spark broadcasts it
-    when it is measured small, else splits a skewed group); a partial
-    ``min_by`` then breaks ties among the rows at the maximum only.
+    All rows pass one hash aggregate, the lowest key per ``(group, coverage)``,
+    combined on the map side; what it leaves is one row per distinct ratio of a
+    group, from which the best is taken.  The name is fetched by key, one row
+    per group.
     """
     cov = with_coverage(df, num_col, den_col).where(F.col("coverage").isNotNull())
-    best = cov.groupBy(group_col).agg(F.max("coverage").alias("__best"))
-    at_best = cov.join(best, group_col).where(F.col("coverage") == F.col("__best"))
-    pick = at_best.groupBy(group_col).agg(
-        F.min_by(F.struct(F.col(key_col).alias("k"), F.col(name_col).alias("n"),
-                          F.col("coverage").alias("c")), F.col(key_col)).alias("best")
-    )
-    return pick.select(
-        group_col,
-        F.col("best.k").alias(key_col),
-        F.col("best.n").alias(name_col),
-        F.col("best.c").alias("coverage"),
-    )
+    per_ratio = cov.groupBy(group_col, "coverage").agg(F.min(key_col).alias(key_col))
+    best = per_ratio.groupBy(group_col).agg(F.max_by(key_col, "coverage").alias(key_col), F.max("coverage").alias("coverage"))
+    names = df.select(group_col, key_col, name_col).join(best, [group_col, key_col])
+    return names.groupBy(group_col, key_col, "coverage").agg(F.min(name_col).alias(name_col)).select(
+        group_col, key_col, name_col, "coverage")
 
 
 def entity_sort_key(df: DataFrame, num_col: str = "measures", den_col: str = "tags",
@@ -66,6 +59,18 @@ def entity_sort_key(df: DataFrame, num_col: str = "measures", den_col: str = "ta
     docstring describes.
     """
     keyed = df.withColumn(out, safe_ratio(array_size(num_col), array_size(den_col)))
-    if by_key:
-        return keyed.orderBy("id", "name")
-    return keyed.orderBy(F.col(out).asc_nulls_last(), "id")
+    return keyed.orderBy("id", "name") if by_key else keyed.orderBy(F.col(out).asc_nulls_last(), "id")
+
+
+def with_rank(ordered: DataFrame, out: str = "rank") -> DataFrame:
+    """Number the rows of a sorted DataFrame from 1 on, in its order: partition
+    by partition, with the sizes of the earlier partitions added (one number
+    per partition; no task sees all rows)."""
+    marked = ordered.withColumn("__at", F.monotonically_increasing_id())
+    marked = marked.withColumn("__part", F.shiftright("__at", 33)).withColumn("__at", F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)))
+    marked = materialize(marked, scratch_path(ordered.sparkSession, "ranked"))
+    sizes = marked.groupBy("__part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("__part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
+    return marked.join(F.broadcast(starts), "__part").withColumn(out, F.col("__start") + F.col("__at") + 1).drop(
+        "__part", "__at", "__start")

@@ -17,9 +17,11 @@ exact, prefix-filtered sparse self-join:
   key; block pairs ``(lo, hi)`` are separate join keys (block ``lo`` on one
   side, block ``hi`` on the other), so one hot tag is spread over many tasks
   instead of one, and no pair is compared twice.
-* Each row carries its whole unit vector and its sorted prefix, so
-  the cosine is computed inside the join, and a pair is emitted only at the
-  first prefix tag the two rows share (no distinct over candidates needed).
+* Only ids and prefixes go through that join, and a pair is emitted only at
+  the first prefix tag the two share (no distinct over candidates needed);
+  vectors are attached to the candidates afterwards.
+* Rows with equal vectors are collapsed to one vector before the join and
+  expanded by key behind it.
 """
 
 from __future__ import annotations
@@ -38,17 +40,23 @@ _PREFIX_SLACK = 1e-9
 
 
 def term_frequency(base: DataFrame, key_cols: Sequence[str], tags_col: str = "tags",
-                   tag_field: str | None = "tag", extra_cols: Sequence[str] = ()) -> DataFrame:
-    """Exact term frequency per (row, tag) (I1): repeats in the tag list count.
+                   tag_field: str | None = "tag", extra_cols: Sequence[str] = (),
+                   name_col: str = "name") -> DataFrame:
+    """Exact term frequency per (row, tag).
 
+    Tags are counted by name and the counts attached to every row of that name,
+    as the original does: repeats in a tag list count, an entity in two groups
+    counts its list twice, and entities of one name share their tags.
     Counting instead of hashing (``HashingTF``) means no bucket collisions.
     """
     carry = list(dict.fromkeys([*key_cols, *extra_cols]))
     tags = F.col(tags_col)
     if tag_field:
         tags = tags.getField(tag_field)
-    rows = base.select(*carry, F.explode(tags).alias("tag")).where(F.col("tag").isNotNull())
-    return rows.groupBy(*carry, "tag").agg(F.count(F.lit(1)).alias("tf"))
+    by_name = (base.select(F.col(name_col).alias("__name"), F.explode(tags).alias("tag")).where(F.col("tag").isNotNull())
+               .groupBy("__name", "tag").agg(F.count(F.lit(1)).alias("tf")))
+    rows = base.select(*carry, F.col(name_col).alias("__name"))
+    return rows.join(by_name, "__name").select(*carry, "tag", "tf")
 
 
 def row_count(base: DataFrame) -> Column:
@@ -73,19 +81,21 @@ def inverse_document_frequency(tf: DataFrame, n_rows: Column | int) -> DataFrame
 
 
 def tfidf_weights(base: DataFrame, key_cols: Sequence[str], tags_col: str = "tags",
-                  tag_field: str | None = "tag", extra_cols: Sequence[str] = ()) -> DataFrame:
+                  tag_field: str | None = "tag", extra_cols: Sequence[str] = (),
+                  name_col: str = "name") -> DataFrame:
     """(row keys, extra, tag, tf, df, idf, weight)."""
-    tf = term_frequency(base, key_cols, tags_col, tag_field, extra_cols)
+    tf = term_frequency(base, key_cols, tags_col, tag_field, extra_cols, name_col)
     idf = inverse_document_frequency(tf, row_count(base))
     return tf.join(idf, "tag").withColumn("weight", F.col("tf") * F.col("idf"))
 
 
 def _unit_vectors(weights: DataFrame, carry: Sequence[str], key_cols: Sequence[str],
                   threshold: float) -> DataFrame:
-    """Per row: the unit vector as parallel arrays ``vt`` (tags, sorted) and
-    ``vu`` (weight / norm), and the prefix ``pre`` (tags in the global
-    (df, tag) order).  One shuffle (by row key) serves the norm, the running
-    sum and the collect."""
+    """Per row: ``vid`` (a digest of its tags and their counts, so rows with
+    equal vectors share it), the unit vector as parallel arrays ``vt`` (tags,
+    sorted) and ``vu`` (weight / norm), and the prefix ``pre`` (tags in the
+    global (df, tag) order).  One shuffle (by row key) serves the norm, the
+    running sum and the collect."""
     positive = weights.where(F.col("weight") > 0).withColumn("w2", F.col("weight") * F.col("weight"))
     row = Window.partitionBy(*key_cols)
     running = row.orderBy("df", "tag").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -98,35 +108,74 @@ def _unit_vectors(weights: DataFrame, carry: Sequence[str], key_cols: Sequence[s
         .withColumn("u", F.col("weight") / F.sqrt("norm2"))
     )
     agg = ranked.groupBy(*carry).agg(
-        F.array_sort(F.collect_list(F.struct("tag", "u"))).alias("__vec"),
+        F.array_sort(F.collect_list(F.struct("tag", "u", "tf"))).alias("__vec"),
         F.array_sort(
             F.collect_list(F.when(F.col("in_prefix"), F.struct(F.col("df"), F.col("tag"))))
         ).alias("__pre"),
     )
-    return agg.select(*carry, F.col("__vec.tag").alias("vt"), F.col("__vec.u").alias("vu"),
+    counts = F.transform("__vec", lambda e: F.struct(e["tag"].alias("tag"), e["tf"].alias("tf")))
+    vid = F.struct(F.xxhash64(counts).alias("a"), F.xxhash64(F.lit(1), counts).alias("b"))
+    return agg.select(*carry, vid.alias("vid"), F.col("__vec.tag").alias("vt"), F.col("__vec.u").alias("vu"),
                       F.col("__pre.tag").alias("pre"))
 
 
-# Up to this many |a| * |b| entry pairs the dot product looks tags up by
-# position; above it, one sort of the concatenated vectors (O(n log n)).
-_SHORT_DOT = 256
-
-
 def _dot(a_t: Column, a_u: Column, b_t: Column, b_u: Column) -> Column:
-    """Dot product of two sparse unit vectors (tags sorted and unique)."""
+    """Dot product of two sparse unit vectors (tags unique): after sorting the
+    concatenation, shared tags are neighbours."""
     zero = F.lit(0.0).cast("double")
-    common = F.array_intersect(a_t, b_t)
-    short = F.aggregate(common, zero, lambda acc, t: acc
-                        + F.element_at(a_u, F.array_position(a_t, t).cast("int"))
-                        * F.element_at(b_u, F.array_position(b_t, t).cast("int")))
-    # long vectors: after sorting the concatenation, shared tags are neighbours
     both = F.array_sort(F.concat(F.arrays_zip(a_t.alias("tag"), a_u.alias("u")),
                                  F.arrays_zip(b_t.alias("tag"), b_u.alias("u"))))
     n = F.size(both)
     prods = F.zip_with(F.slice(both, 1, n - 1), F.slice(both, 2, n - 1),
                        lambda x, y: F.when(x["tag"] == y["tag"], x["u"] * y["u"]).otherwise(zero))
-    merged = F.aggregate(prods, zero, lambda acc, v: acc + v)
-    return F.when(F.size(a_t) * F.size(b_t) <= F.lit(_SHORT_DOT), short).otherwise(merged)
+    return F.aggregate(prods, zero, lambda acc, v: acc + v)
+
+
+def _prefix_candidates(vectors: DataFrame, block_size: int) -> DataFrame:
+    """``(a_vid, b_vid)`` of distinct vectors that share a prefix tag, each pair
+    once.  Only ids, tags and the short prefixes are shuffled; a tag held by
+    many vectors is dealt in blocks, and each pair of blocks is a join key."""
+    entries = vectors.select("vid", "pre", F.posexplode("pre").alias("pos", "tag")).withColumn("__key", F.xxhash64("tag"))
+    # joined on a second key, so that Spark can split a hot tag's entries here
+    per_tag = entries.groupBy("tag").agg(F.count(F.lit(1)).alias("n_tag")).withColumn("__key", F.xxhash64("tag"))
+    keyed = (
+        entries.join(per_tag.where("n_tag > 1"), ["tag", "__key"])
+        .withColumn("nb", F.ceil(F.col("n_tag") / F.lit(block_size)))
+        .withColumn("blk", F.pmod(F.xxhash64("vid"), F.col("nb")))
+    )
+    # block pair (lo, hi), lo <= hi: the left side holds block lo, the right side
+    # block hi, so each key joins exactly one block with one block
+    left = (keyed.withColumn("lo", F.col("blk"))
+            .withColumn("hi", F.explode(F.sequence(F.col("blk"), F.col("nb") - 1))))
+    right = (keyed.withColumn("hi", F.col("blk"))
+             .withColumn("lo", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blk")))))
+    cols = ["vid", "pre", "pos", "tag", "lo", "hi"]
+    a = left.select([F.col(c).alias(f"a_{c}") for c in cols])
+    b = right.select([F.col(c).alias(f"b_{c}") for c in cols])
+    cond = (
+        (F.col("a_tag") == F.col("b_tag"))
+        & (F.col("a_lo") == F.col("b_lo"))
+        & (F.col("a_hi") == F.col("b_hi"))
+        # two different blocks meet once; inside one block, each pair once
+        & ((F.col("a_lo") < F.col("a_hi")) | (F.col("a_vid") < F.col("b_vid")))
+        # a pair counts at its first shared prefix tag only: none of a's earlier
+        # prefix tags (global order) is in b's prefix
+        & ((F.col("a_pos") == 0)
+           | ~F.arrays_overlap(F.slice("a_pre", 1, F.col("a_pos").cast("int")), F.col("b_pre")))
+    )
+    return a.join(b, cond, "inner").select("a_vid", "b_vid")
+
+
+def _scored(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
+    """Vectors attached to candidate pairs and scored above the threshold.  The
+    score passes through a generator, so that the filter on it stays above and
+    the score is computed once."""
+    def side(x: str) -> DataFrame:
+        return vectors.select(F.col("vid").alias(f"{x}_vid"), F.col("vt").alias(f"{x}_vt"), F.col("vu").alias(f"{x}_vu"))
+
+    full = pairs.join(side("a"), "a_vid").join(side("b"), "b_vid")
+    score = _dot(F.col("a_vt"), F.col("a_vu"), F.col("b_vt"), F.col("b_vu"))
+    return full.select("a_vid", "b_vid", F.explode(F.array(score)).alias("score")).where(F.col("score") > F.lit(threshold))
 
 
 def similar_pairs(base: DataFrame, threshold: float = 0.75,
@@ -134,10 +183,9 @@ def similar_pairs(base: DataFrame, threshold: float = 0.75,
                   name_col: str = "name", tags_col: str = "tags", tag_field: str | None = "tag",
                   differ_on: Sequence[str] = ("cohort_id", "chain_id"),
                   block_size: int = 1024, both_orders: bool = True,
-                  workdir: str | None = None, write_vectors: bool = True,
-                  carry_vectors: bool = True) -> DataFrame:
+                  workdir: str | None = None) -> DataFrame:
     """Pairs of rows with TF-IDF cosine ``> threshold`` that differ on every
-    column of ``differ_on`` (I4, with the C7 conditions in the join).
+    column of ``differ_on`` (I4, C7).
 
     Output ``(name_i, name_j, score)``; with ``both_orders`` each pair appears
     as (i, j) and (j, i), as in the original.  ``!=`` on a NULL key drops the
@@ -145,85 +193,41 @@ def similar_pairs(base: DataFrame, threshold: float = 0.75,
     zero have no vector and yield no pair.  ``key_cols`` identify a row;
     ``name_col`` and the ``differ_on`` columns must be determined by them.
 
-    ``base`` is read twice (term counts and the row count ``m``), so pass a
-    written table.  The per-row vector table is read three times (per-tag
-    counts and both join sides); it is written once below ``workdir``
-    (default: a fresh folder under ``spark.checkpoint.dir``), which runs one
-    job when this function is called.  ``write_vectors=False`` keeps the
-    function a pure plan (no job at call time) at the price of computing the
-    vector table once per consumer.
-
-    ``carry_vectors=True`` ships each row's vector with every prefix entry
-    and scores inside the self-join (best for short tag lists).  With
-    ``False`` the self-join carries only keys and prefixes; the candidate
-    pairs (already unique) are then scored by joining the vector table on
-    each side, which moves less data when rows have very many tags.
+    Rows with equal vectors are one vector in the join: distinct vectors are
+    paired and scored, and the pairs that pass are joined to their rows by key.
+    ``base`` is read several times, so pass a written table; the vectors are
+    written below ``workdir`` (default: a fresh folder under
+    ``spark.checkpoint.dir``), which runs two jobs when this is called.
     """
     if threshold < 0:
         raise ValueError("threshold must be >= 0 (the sparse join relies on it)")
     if block_size < 1:
         raise ValueError("block_size must be >= 1")
     key_cols = list(key_cols)
+    workdir = workdir or scratch_path(base.sparkSession, "similar_pairs")
     carry = list(dict.fromkeys([*key_cols, *differ_on, name_col]))
-    weights = tfidf_weights(base, key_cols, tags_col, tag_field, extra_cols=carry)
-    vectors = _unit_vectors(weights, carry, key_cols, threshold)
-    if write_vectors:
-        vectors = materialize(vectors, workdir or scratch_path(base.sparkSession, "similar_pairs"))
-
-    payload = ["vt", "vu"] if carry_vectors else []
-    entries = vectors.select(*carry, *payload, "pre", F.posexplode("pre").alias("pos", "tag"))
-    per_tag = entries.groupBy("tag").agg(F.count(F.lit(1)).alias("n_tag"))
-    n_blocks = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("n_tag") / F.lit(block_size)))
-    keyed = (
-        entries.join(per_tag, "tag")
-        .withColumn("nb", n_blocks)
-        .withColumn("blk", F.pmod(F.xxhash64(*key_cols), F.col("nb")))
-    )
-    # block pair (lo, hi), lo <= hi: the left side holds block lo, the right side
-    # block hi, so each key joins exactly one block with one block
-    left = (keyed.withColumn("lo", F.col("blk"))
-            .withColumn("hi", F.explode(F.sequence(F.col("blk"), F.col("nb") - 1))))
-    right = (keyed.withColumn("hi", F.col("blk"))
-             .withColumn("lo", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blk")))))
-    cols = [*carry, *payload, "pre", "pos", "tag", "lo", "hi"]
-    a = left.select([F.col(c).alias(f"a_{c}") for c in cols])
-    b = right.select([F.col(c).alias(f"b_{c}") for c in cols])
-
-    cond = (
-        (F.col("a_tag") == F.col("b_tag"))
-        & (F.col("a_lo") == F.col("b_lo"))
-        & (F.col("a_hi") == F.col("b_hi"))
-        # two different blocks meet once; inside one block, each pair once
-        & ((F.col("a_lo") < F.col("a_hi"))
-           | (F.struct(*[F.col(f"a_{k}") for k in key_cols]) < F.struct(*[F.col(f"b_{k}") for k in key_cols])))
-    )
+    weights = tfidf_weights(base, key_cols, tags_col, tag_field, extra_cols=carry, name_col=name_col)
+    rows = materialize(_unit_vectors(weights, carry, key_cols, threshold), f"{workdir}/rows")
+    vectors = materialize(rows.groupBy("vid").agg(F.count(F.lit(1)).alias("n_rows"), *[F.first(c).alias(c) for c in ("vt", "vu", "pre")]),
+                          f"{workdir}/vectors")
+    pairs = _prefix_candidates(vectors, block_size)
+    selves = vectors.where("n_rows > 1").select(F.col("vid").alias("a_vid"), F.col("vid").alias("b_vid"))
+    scored = _scored(pairs, vectors, threshold).withColumn("same", F.lit(False)).unionByName(
+        _scored(selves, vectors, threshold).withColumn("same", F.lit(True)))
+
+    def members(x: str) -> DataFrame:
+        return rows.select(F.col("vid").alias(f"{x}_vid"), *[F.col(c).alias(f"{x}_{c}") for c in carry])
+
+    key = lambda x: F.struct(*[F.col(f"{x}_{k}") for k in key_cols])
+    cond = F.lit(True)
     for c in differ_on:
         cond = cond & (F.col(f"a_{c}") != F.col(f"b_{c}"))
-    # emit a pair only at its first shared prefix tag: none of a's earlier
-    # prefix tags (global order) is in b's prefix
-    cond = cond & ((F.col("a_pos") == 0)
-                   | ~F.arrays_overlap(F.slice("a_pre", 1, F.col("a_pos").cast("int")), F.col("b_pre")))
-
-    joined = a.join(b, cond, "inner")
-    if not carry_vectors:
-        # candidates are unique (first shared prefix tag only): score by key joins
-        keys_a, keys_b = [f"a_{k}" for k in key_cols], [f"b_{k}" for k in key_cols]
-
-        def side_vectors(x: str) -> DataFrame:
-            return vectors.select(*[F.col(k).alias(f"{x}_{k}") for k in key_cols],
-                                  F.col("vt").alias(f"{x}_vt"), F.col("vu").alias(f"{x}_vu"))
-
-        candidates = joined.select(*keys_a, *keys_b, f"a_{name_col}", f"b_{name_col}")
-        joined = candidates.join(side_vectors("a"), keys_a).join(side_vectors("b"), keys_b)
-    score = _dot(F.col("a_vt"), F.col("a_vu"), F.col("b_vt"), F.col("b_vu"))
-    pairs = (
-        joined.select(F.col(f"a_{name_col}").alias("name_i"), F.col(f"b_{name_col}").alias("name_j"),
-                      score.alias("score"))
-        .where(F.col("score") > F.lit(threshold))
-    )
+    found = (scored.join(members("a"), "a_vid").join(members("b"), "b_vid")
+             .where(cond & (~F.col("same") | (key("a") < key("b"))))
+             .select(F.col(f"a_{name_col}").alias("name_i"), F.col(f"b_{name_col}").alias("name_j"), "score"))
     if not both_orders:
-        return pairs
-    return pairs.select(
+        return found
+    return found.select(
         F.explode(F.array(
             F.struct(F.col("name_i"), F.col("name_j"), F.col("score")),
             F.struct(F.col("name_j").alias("name_i"), F.col("name_i").alias("name_j"), F.col("score")),

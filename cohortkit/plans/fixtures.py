@@ -1,8 +1,8 @@
 """Stand-in inputs built from the test tables (mapping of FIXTURES.md §3).
 
 An order is an entity; its parts are tags (hidden when the line was
-returned); part types are kinds; order year is the cohort; customer is the
-chain.  This module only reshapes table rows into the schemas the operators
+returned); part types are kinds; every year in which a line was shipped is a
+cohort of the order; the customer's nation is the chain.  This module only reshapes table rows into the schemas the operators
 expect (flat views, nested tables, JSON documents); it does none of the
 operators' work.  The DuckDB oracle reads the same flat views as SQL
 (:mod:`cohortkit.plans.oracle`).
@@ -54,13 +54,20 @@ class Fixture:
 
     @cached_property
     def cohort_flat(self) -> DataFrame:
-        return self.table("orders").where(F.col("o_orderstatus") != F.lit("P")).select(
-            F.year("o_orderdate").cast("bigint").alias("cohort_id"), _entity_name("o_orderkey").alias("member"))
+        return self.table("lineitem").select(F.year("l_shipdate").cast("bigint").alias("cohort_id"),
+                                             _entity_name("l_orderkey").alias("member")).distinct()
+
+    @cached_property
+    def cohort_tag_flat(self) -> DataFrame:
+        """Tags of a cohort: the return flags of its lines."""
+        return self.table("lineitem").select(F.year("l_shipdate").cast("bigint").alias("cohort_id"),
+                                             F.col("l_returnflag").alias("tag")).distinct()
 
     @cached_property
     def chain_flat(self) -> DataFrame:
-        return self.table("orders").where(F.col("o_custkey") % 10 != 0).select(
-            F.col("o_custkey").alias("chain_id"), _entity_name("o_orderkey").alias("member"))
+        orders, cust = self.table("orders"), self.table("customer").select("c_custkey", "c_nationkey")
+        return orders.join(cust, orders["o_custkey"] == cust["c_custkey"]).select(
+            F.col("c_nationkey").cast("bigint").alias("chain_id"), _entity_name("o_orderkey").alias("member"))
 
     # -- nested tables (what the parsers produce) -------------------------
     @cached_property
@@ -102,8 +109,10 @@ class Fixture:
     def cohort(self) -> DataFrame:
         """(cohort_id, name, members, tags); a big cohort is several rows."""
         chunks = collect_chunked(self.cohort_flat, ["cohort_id"], "member", "members", self.chunk_items)
-        return chunks.select("cohort_id", F.concat(F.lit("Y"), F.col("cohort_id").cast("string")).alias("name"),
-                             "members", F.array().cast("array<string>").alias("tags"))
+        # a few flags per cohort: a bounded list
+        tags = self.cohort_tag_flat.groupBy("cohort_id").agg(F.sort_array(F.collect_set("tag")).alias("tags"))
+        return chunks.join(tags, "cohort_id").select(
+            "cohort_id", F.concat(F.lit("Y"), F.col("cohort_id").cast("string")).alias("name"), "members", "tags")
 
     @cached_property
     def chain(self) -> DataFrame:
@@ -147,46 +156,51 @@ class Fixture:
         c = self.cohort
         doc = F.struct(F.col("cohort_id").alias("id"), F.col("name"),
                        F.transform("members", lambda m: F.struct(m.alias("name"))).alias(COHORT_MEMBERS_KEY),
-                       F.array().cast("array<struct<name:string>>").alias("abilities"))
+                       F.transform("tags", lambda t: F.struct(t.alias("name"))).alias("abilities"))
         return c.select(F.lit("cohort").alias("type"), F.col("cohort_id").alias("id"), F.to_json(doc).alias("raw"))
 
     @cached_property
     def chain_star_docs(self) -> DataFrame:
-        """Chain documents for the customer chains: first member (lowest name)
+        """Chain documents for the nation chains: first member (lowest name)
         is the root, the others its children.  One document per chunk."""
         leaf = lambda m: F.struct(F.struct(m.alias("name")).alias("species"),
                                   F.array().cast("array<string>").alias("evolves_to"))
         root = F.array_min("members")
         doc = F.struct(F.col("chain_id").alias("id"), F.struct(
             F.struct(root.alias("name")).alias("species"),
-            F.transform(F.filter("members", lambda m: m != root), leaf).alias("evolves_to")).alias("chain"))
+            F.transform(F.array_sort(F.filter("members", lambda m: m != root)), leaf).alias("evolves_to")).alias("chain"))
         return self.chain.select(F.lit("chain").alias("type"), F.col("chain_id").alias("id"),
                                  F.to_json(doc).alias("raw"))
 
     @cached_property
-    def region_tree_docs(self) -> DataFrame:
-        """One chain document per region: region -> nations -> customers,
-        children ordered by key (first child = lowest key)."""
-        def node(name_col, kids):
-            return F.struct(F.struct(F.col(name_col).alias("name")).alias("species"), kids.alias("evolves_to"))
+    def customer_tree_docs(self) -> DataFrame:
+        """One bounded chain document per customer: region, then its nation,
+        then the customer and, as a second child, the market segment."""
+        def node(name_col, *kids):
+            below = F.array(*kids) if kids else F.array().cast("array<string>")
+            return F.struct(F.struct(F.col(name_col).alias("name")).alias("species"), below.alias("evolves_to"))
+
+        rows = (self.table("customer").join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+                .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")))
+        doc = F.struct(F.col("c_custkey").alias("id"),
+                       node("r_name", node("n_name", node("c_name"), node("c_mktsegment"))).alias("chain"))
+        return rows.select(F.lit("chain").alias("type"), F.col("c_custkey").alias("id"), F.to_json(doc).alias("raw"))
 
-        cust = self.table("customer").select("c_custkey", "c_name", "c_nationkey")
-        leaves = cust.groupBy("c_nationkey").agg(F.array_sort(F.collect_list(F.struct(
-            F.col("c_custkey").alias("k"), node("c_name", F.array().cast("array<string>")).alias("n")))).alias("kids"))
-        nat = self.table("nation").join(leaves, F.col("n_nationkey") == F.col("c_nationkey"), "left")
-        nat_nodes = nat.select("n_regionkey", F.struct(F.col("n_nationkey").alias("k"), node(
-            "n_name", F.transform(F.coalesce("kids", F.array()), lambda s: s["n"])).alias("n")).alias("s"))
-        by_region = nat_nodes.groupBy("n_regionkey").agg(F.array_sort(F.collect_list("s")).alias("kids"))
-        reg = self.table("region").join(by_region, F.col("r_regionkey") == F.col("n_regionkey"), "left")
-        doc = F.struct(F.col("r_regionkey").cast("bigint").alias("id"),
-                       node("r_name", F.transform(F.coalesce("kids", F.array()), lambda s: s["n"])).alias("chain"))
-        return reg.select(F.lit("chain").alias("type"), F.col("r_regionkey").cast("bigint").alias("id"),
-                          F.to_json(doc).alias("raw"))
+    @cached_property
+    def bad_docs(self) -> DataFrame:
+        """Landed documents that are none: each order's document cut short, one
+        without an id and one with an unfit value (by order key), and web pages."""
+        raw, key = F.col("raw"), F.col("id") % 4
+        bad = (F.when(key == 0, F.substring(raw, 1, F.lit(20)))
+               .when(key == 1, F.regexp_replace(raw, '"id":[0-9]+,', ""))
+               .when(key == 2, F.concat(F.lit('{"id":"x'), F.col("id").cast("string"), F.lit('","name":"n"}'))))
+        docs = self.entity_docs.select("type", "id", F.coalesce(bad, raw).alias("raw"))
+        pages = self.table("pages").select(F.lit("entity").alias("type"), F.col("page_id").alias("id"), F.col("html").alias("raw"))
+        return docs.unionByName(pages)
 
     @cached_property
     def region_tree_edges(self) -> tuple[DataFrame, DataFrame]:
-        """The same trees as :attr:`region_tree_docs` as (roots, edges):
-        region -> nation -> customer, ordered by key."""
+        """Region -> nation -> customer as (roots, edges), ordered by key."""
         roots = self.table("region").select(
             F.col("r_regionkey").cast("bigint").alias("chain_id"),
             F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("node"),
@@ -201,6 +215,12 @@ class Fixture:
             F.col("c_name").alias("child_name"), F.col("c_custkey").cast("bigint").alias("child_key"))
         return roots, nation_edges.unionByName(customer_edges)
 
+    @cached_property
+    def listing_docs(self) -> DataFrame:
+        """One listing document per web page: a page of results with one url."""
+        doc = F.struct(F.array(F.struct("url")).alias("results"))
+        return self.table("pages").select(F.lit("listing").alias("type"), F.col("page_id").alias("id"), F.to_json(doc).alias("raw"))
+
     @cached_property
     def page_docs(self) -> DataFrame:
         """Web pages as documents of a type no parser knows."""

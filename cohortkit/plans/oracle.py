@@ -33,11 +33,12 @@ tags_flat AS (
 kinds_flat AS (
   SELECT DISTINCT l_orderkey AS id, p_type AS kind FROM lineitem JOIN part ON l_partkey = p_partkey),
 cohort_flat AS (
-  SELECT cast(year(o_orderdate) AS bigint) AS cohort_id, concat('E', cast(o_orderkey AS string)) AS member
-  FROM orders WHERE o_orderstatus <> 'P'),
+  SELECT DISTINCT cast(year(l_shipdate) AS bigint) AS cohort_id, concat('E', cast(l_orderkey AS string)) AS member
+  FROM lineitem),
+cohort_tag_flat AS (SELECT DISTINCT cast(year(l_shipdate) AS bigint) AS cohort_id, l_returnflag AS tag FROM lineitem),
 chain_flat AS (
-  SELECT o_custkey AS chain_id, concat('E', cast(o_orderkey AS string)) AS member
-  FROM orders WHERE o_custkey % 10 <> 0),
+  SELECT cast(c_nationkey AS bigint) AS chain_id, concat('E', cast(o_orderkey AS string)) AS member
+  FROM orders JOIN customer ON o_custkey = c_custkey),
 base_flat AS (
   SELECT e.id, e.name, g.cohort_id, c.chain_id
   FROM ent_flat e JOIN cohort_flat g ON e.name = g.member
@@ -55,8 +56,8 @@ cust_tags AS (
   SELECT concat('E', cast(o_orderkey AS string)) AS name, cast(o_custkey AS string) AS tag,
          o_orderstatus = 'F' AS hidden FROM orders),
 tf AS (
-  SELECT b.id, b.cohort_id, b.chain_id, b.name, t.tag, count(*) AS tf
-  FROM base_flat b JOIN tags_flat t ON t.id = b.id GROUP BY ALL),
+  SELECT b.id, b.cohort_id, b.chain_id, b.name, n.tag, n.tf FROM base_flat b JOIN (
+    SELECT b.name, t.tag, count(*) AS tf FROM base_flat b JOIN tags_flat t ON t.id = b.id GROUP BY ALL) n USING (name)),
 n_base AS (SELECT count(*) AS m FROM base_flat),
 dfq AS (SELECT tag, count(*) AS df FROM tf GROUP BY tag),
 tfidf AS (
@@ -80,16 +81,17 @@ cohort_avg AS (
          avg(disc_pct) AS avg_disc_pct, avg(tax_pct) AS avg_tax_pct, avg(line_count) AS avg_line_count,
          avg(total_cents) AS avg_total_cents
   FROM base_w GROUP BY cohort_id),
+cust_path AS (
+  SELECT c_custkey AS chain_id, r_name, n_name, c_name, c_mktsegment
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
 first_nation AS (SELECT n_regionkey, min(n_nationkey) AS nk FROM nation GROUP BY n_regionkey),
 first_cust AS (SELECT c_nationkey, min(c_custkey) AS ck FROM customer GROUP BY c_nationkey),
-first_branch AS (
-  SELECT cast(r.r_regionkey AS bigint) AS chain_id,
-         list_filter([r.r_name, n.n_name, c.c_name], lambda x: x IS NOT NULL) AS members
-  FROM region r
-  LEFT JOIN first_nation fn ON fn.n_regionkey = r.r_regionkey
-  LEFT JOIN nation n ON n.n_nationkey = fn.nk
-  LEFT JOIN first_cust fc ON fc.c_nationkey = n.n_nationkey
-  LEFT JOIN customer c ON c.c_custkey = fc.ck)
+tag_rows AS (SELECT DISTINCT t.tag, t.hidden, b.name FROM base_flat b JOIN tags_flat t ON t.id = b.id),
+both_ways AS (SELECT tag FROM tag_rows GROUP BY tag HAVING bool_or(hidden) AND NOT bool_and(hidden)),
+cust_both AS (SELECT tag FROM cust_tags GROUP BY tag HAVING bool_or(hidden) AND NOT bool_and(hidden)),
+coverage_avg AS (
+  SELECT b.cohort_id, avg(cast(k.n_kinds AS double) / t.n_tags) AS avg_coverage
+  FROM base_flat b JOIN tag_n t USING (id) JOIN kind_n k USING (id) GROUP BY b.cohort_id)
 """
 
 PRELUDE = "WITH " + _VIEWS.strip() + "\n"
@@ -128,9 +130,25 @@ ORACLE: dict[str, str] = {
     "parse_measures": _q("SELECT id, name, value FROM measures_flat"),
     "parse_tags": _q("SELECT id, tag, hidden FROM tags_flat"),
     "parse_kinds": _q("SELECT id, kind FROM kinds_flat"),
-    "parse_cohort": _q("SELECT cohort_id, member FROM cohort_flat"),
-    "chain_first_branch": _q("SELECT chain_id, members FROM first_branch"),
+    "parse_cohort": _q("""
+        SELECT cohort_id, concat('Y', cast(cohort_id AS string)) AS name, 'member' AS kind, member AS item FROM cohort_flat
+        UNION ALL SELECT cohort_id, concat('Y', cast(cohort_id AS string)), 'tag', tag FROM cohort_tag_flat"""),
+    "parse_listing": _q("SELECT page_id AS id, string_split(url, '/')[-2] AS key FROM pages"),
+    "chain_first_branch": _q("SELECT chain_id, [r_name, n_name, c_name] AS members FROM cust_path"),
     "chain_all_members": _q("""
+        SELECT chain_id, r_name AS member, cast(0 AS bigint) AS depth FROM cust_path
+        UNION ALL SELECT chain_id, n_name, cast(1 AS bigint) FROM cust_path
+        UNION ALL SELECT chain_id, c_name, cast(2 AS bigint) FROM cust_path
+        UNION ALL SELECT chain_id, c_mktsegment, cast(2 AS bigint) FROM cust_path"""),
+    "chain_edges_first_branch": _q("""
+        SELECT cast(r.r_regionkey AS bigint) AS chain_id,
+               list_filter([r.r_name, n.n_name, c.c_name], lambda x: x IS NOT NULL) AS members
+        FROM region r
+        LEFT JOIN first_nation fn ON fn.n_regionkey = r.r_regionkey
+        LEFT JOIN nation n ON n.n_nationkey = fn.nk
+        LEFT JOIN first_cust fc ON fc.c_nationkey = n.n_nationkey
+        LEFT JOIN customer c ON c.c_custkey = fc.ck"""),
+    "chain_edges_all_members": _q("""
         SELECT cast(r_regionkey AS bigint) AS chain_id, r_name AS member, cast(0 AS bigint) AS depth FROM region
         UNION ALL SELECT cast(n.n_regionkey AS bigint), n.n_name, cast(1 AS bigint)
           FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey
@@ -141,7 +159,7 @@ ORACLE: dict[str, str] = {
         SELECT 'entity' AS route, e.id AS doc_id, cast(coalesce(t.n_tags, 0) AS bigint) AS n_items
           FROM ent_flat e LEFT JOIN tag_n t USING (id)
         UNION ALL SELECT 'cohort', cohort_id, cast(count(*) AS bigint) FROM cohort_flat GROUP BY cohort_id
-        UNION ALL SELECT 'chain', chain_id, cast(len(members) AS bigint) FROM first_branch
+        UNION ALL SELECT 'chain', chain_id, cast(3 AS bigint) FROM cust_path
         UNION ALL SELECT 'rejected', page_id, cast(0 AS bigint) FROM pages"""),
     "reject_bad_documents": _q("""
         SELECT 'orders' AS source, id, true AS accepted FROM ent_flat
@@ -152,14 +170,19 @@ ORACLE: dict[str, str] = {
     "landing_dedup": _q("""
         SELECT o_orderkey AS id, concat('E', cast(o_orderkey AS string)) AS name,
                cast(CASE WHEN o_orderstatus = 'F' THEN 2 ELSE 1 END AS bigint) AS ingest FROM orders"""),
+    "landing_rejects": _q("""
+        SELECT 'good' AS reason, count(*) AS n_docs, cast(sum(o_orderkey) AS bigint) AS sum_id FROM orders WHERE o_orderkey % 4 = 3
+        UNION ALL SELECT 'no id', count(*), NULL FROM orders WHERE o_orderkey % 4 = 1
+        UNION ALL SELECT 'does not parse', count(*), NULL FROM (
+          SELECT o_orderkey FROM orders WHERE o_orderkey % 4 IN (0, 2) UNION ALL SELECT page_id FROM pages)"""),
     "parquet_roundtrip": _q("""
-        SELECT tag,
-               list_sort(list(DISTINCT name) FILTER (WHERE hidden)) AS hidden,
-               list_sort(list(DISTINCT name) FILTER (WHERE NOT hidden)) AS not_hidden
-        FROM cust_tags GROUP BY tag
-        HAVING count(*) FILTER (WHERE hidden) > 0 AND count(*) FILTER (WHERE NOT hidden) > 0"""),
-    "scan_parquet": _q("SELECT id, name, cohort_id FROM base_flat WHERE cohort_id >= 1998"),
-    "typed_cast": _q("SELECT id, name AS measure, value FROM measures_flat"),
+        SELECT DISTINCT 'tag_split' AS dataset, tag, hidden, name, cast(NULL AS double) AS value
+        FROM cust_tags JOIN cust_both USING (tag)
+        UNION ALL SELECT 'cohort_coverage', cast(cohort_id AS string), NULL, NULL, round(avg_coverage, 6) FROM coverage_avg"""),
+    "scan_parquet": _q("SELECT id, name, cohort_id FROM base_flat"),
+    "typed_cast": _q("""
+        SELECT id, name, value, cast(NULL AS boolean) AS flag FROM measures_flat
+        UNION ALL SELECT id, tag, NULL, hidden FROM tags_flat"""),
     # B/C
     "project_alias": _q("SELECT id AS entity_id, name AS entity_name FROM ent_flat"),
     "explode_members": _q("SELECT cohort_id, member FROM cohort_flat"),
@@ -179,13 +202,16 @@ ORACLE: dict[str, str] = {
         SELECT b.id, b.name, b.cohort_id, b.chain_id, l.tags FROM base_flat b
         JOIN (SELECT b2.name, list_sort(list(t.tag)) AS tags FROM base_flat b2
               JOIN tags_flat t ON t.id = b2.id GROUP BY b2.name) l USING (name)"""),
-    "preview": _q("SELECT id, name, cohort_id, chain_id FROM base_flat ORDER BY id, cohort_id, chain_id LIMIT 20"),
+    "preview": _q("""
+        SELECT id, name, cohort_id, chain_id, row_number() OVER (ORDER BY id, cohort_id, chain_id) AS rank
+        FROM base_flat ORDER BY rank LIMIT 20"""),
     # D/H: measures
     "measure_pivot": _q("""
         SELECT e.id, w.qty, w.price_cents, w.disc_pct, w.tax_pct, w.line_count, w.total_cents
         FROM ent_flat e LEFT JOIN wide w USING (id)"""),
     "row_mean": _q("SELECT e.id, round(w.row_sum / 6, 6) AS row_mean FROM ent_flat e LEFT JOIN wide w USING (id)"),
-    "cohort_measure_avg": _q(f"SELECT cohort_id, {_avg_cols()} FROM cohort_avg ORDER BY cohort_id"),
+    "cohort_measure_avg": _q(f"""
+        SELECT cohort_id, {_avg_cols()}, row_number() OVER (ORDER BY cohort_id) AS rank FROM cohort_avg"""),
     "kind_measure_avg": _q(f"""
         SELECT kind, {_avg_cols()} FROM (
           SELECT k.kind, {_AVG_AGGS} FROM base_w b JOIN kinds_flat k USING (id) GROUP BY k.kind)"""),
@@ -218,16 +244,15 @@ ORACLE: dict[str, str] = {
         SELECT cohort_id, round(avg_qty, 6) AS avg_qty FROM cohort_avg
         WHERE avg_qty IN (SELECT min(avg_qty) FROM cohort_avg)"""),
     "label_clean": _q("""
-        SELECT name, replace(name, '-', '_') AS col_name,
+        SELECT p_partkey, name, replace(name, '-', '_') AS col_name,
                upper(substr(s, 1, 1)) || lower(substr(s, 2)) AS label
-        FROM (SELECT name, replace(replace(replace(replace('avg(' || replace(name, '-', '_') || ')',
+        FROM (SELECT p_partkey, name, replace(replace(replace(replace('avg(' || replace(name, '-', '_') || ')',
                      'avg', ''), '_', ' '), '(', ''), ')', '') AS s
-              FROM (SELECT DISTINCT name FROM measures_flat))"""),
+              FROM (SELECT p_partkey, p_brand || '-' || p_type AS name FROM part))"""),
     # coverage, sort
     "cohort_coverage": _q("""
-        SELECT b.cohort_id, round(avg(cast(k.n_kinds AS double) / t.n_tags), 6) AS avg_coverage
-        FROM base_flat b JOIN tag_n t USING (id) JOIN kind_n k USING (id)
-        GROUP BY b.cohort_id ORDER BY b.cohort_id"""),
+        SELECT cohort_id, round(avg_coverage, 6) AS avg_coverage, row_number() OVER (ORDER BY cohort_id) AS rank
+        FROM coverage_avg"""),
     "coverage": _q("""
         SELECT e.id, cast(k.n_kinds AS bigint) AS n_kinds, cast(t.n_tags AS bigint) AS n_tags,
                round(cast(k.n_kinds AS double) / t.n_tags, 6) AS coverage
@@ -239,27 +264,24 @@ ORACLE: dict[str, str] = {
                                     ORDER BY cast(k.n_kinds AS double) / t.n_tags DESC, b.id) AS r
           FROM base_flat b JOIN tag_n t USING (id) JOIN kind_n k USING (id)) WHERE r = 1"""),
     "entity_sort_key": _q("""
-        SELECT e.id, e.name, round(CASE WHEN w.id IS NULL THEN NULL ELSE 6.0 / t.n_tags END, 6) AS sort_key
+        SELECT e.id, e.name, round(CASE WHEN w.id IS NULL THEN NULL ELSE 6.0 / t.n_tags END, 6) AS sort_key,
+               row_number() OVER (ORDER BY e.id, e.name) AS rank
         FROM ent_flat e LEFT JOIN tag_n t USING (id) LEFT JOIN wide w USING (id)"""),
+    "entity_sort_key_derived": _q("""
+        SELECT id, name, round(k, 6) AS sort_key, row_number() OVER (ORDER BY k NULLS LAST, id) AS rank FROM (
+          SELECT e.id, e.name, CASE WHEN w.id IS NULL THEN NULL ELSE cast(6 AS double) / t.n_tags END AS k
+          FROM ent_flat e LEFT JOIN tag_n t USING (id) LEFT JOIN wide w USING (id))"""),
     # tags
     "filter_flag": _q("SELECT b.name, t.tag FROM base_flat b JOIN tags_flat t ON t.id = b.id WHERE t.hidden"),
-    "tag_members": _q("""
-        SELECT t.tag, list_sort(list(DISTINCT b.name)) AS members
-        FROM base_flat b JOIN tags_flat t ON t.id = b.id GROUP BY t.tag"""),
+    "tag_members": _q("SELECT DISTINCT tag, name FROM tag_rows"),
     "tag_list": _q("""
         SELECT b.name, list_sort(list(t.tag)) AS tags FROM base_flat b JOIN tags_flat t ON t.id = b.id
         GROUP BY b.name"""),
-    "tag_split": _q("""
-        SELECT tag,
-               list_sort(list(DISTINCT name) FILTER (WHERE hidden)) AS hidden,
-               list_sort(list(DISTINCT name) FILTER (WHERE NOT hidden)) AS not_hidden
-        FROM cust_tags GROUP BY tag
-        HAVING count(*) FILTER (WHERE hidden) > 0 AND count(*) FILTER (WHERE NOT hidden) > 0"""),
-    "tag_split_full": _q("""
-        SELECT tag,
-               coalesce(list_sort(list(DISTINCT name) FILTER (WHERE hidden)), []::varchar[]) AS hidden,
-               coalesce(list_sort(list(DISTINCT name) FILTER (WHERE NOT hidden)), []::varchar[]) AS not_hidden
-        FROM cust_tags GROUP BY tag"""),
+    "tag_split": _q("SELECT DISTINCT tag, hidden, name FROM cust_tags JOIN cust_both USING (tag)"),
+    "tag_split_parts": _q("""
+        SELECT DISTINCT tag, hidden, concat('E', cast(id AS string)) AS name FROM tags_flat
+        WHERE tag IN (SELECT tag FROM tags_flat GROUP BY tag HAVING bool_or(hidden) AND NOT bool_and(hidden))"""),
+    "tag_split_full": _q("SELECT DISTINCT tag, hidden, name FROM cust_tags"),
     # similarity
     "tag_tf": _q("SELECT id, cohort_id, chain_id, tag, tf FROM tf"),
     "tag_idf": _q("SELECT tag, df, round(idf, 6) AS idf FROM (SELECT DISTINCT tag, df, idf FROM tfidf)"),
@@ -278,30 +300,52 @@ ORACLE: dict[str, str] = {
     # K
     "contract_violations": _q("""
         SELECT 'o_orderkey' AS column_name, true AS present, true AS type_ok,
-               cast(count(*) - count(o_orderkey) AS bigint) AS null_count,
+               cast(count(*) - count(o_orderkey) AS bigint) AS null_count, cast(0 AS bigint) AS cast_failures,
                count(*) - count(o_orderkey) = 0 AS ok FROM orders
-        UNION ALL SELECT 'o_custkey', true, true, cast(count(*) - count(o_custkey) AS bigint),
+        UNION ALL SELECT 'o_custkey', true, true, cast(count(*) - count(o_custkey) AS bigint), 0,
                count(*) - count(o_custkey) = 0 FROM orders
-        UNION ALL SELECT 'o_orderstatus', true, true, cast(count(*) - count(o_orderstatus) AS bigint), true FROM orders
-        UNION ALL SELECT 'o_totalprice', true, true, cast(count(*) - count(o_totalprice) AS bigint),
+        UNION ALL SELECT 'o_orderstatus', true, true, cast(count(*) - count(o_orderstatus) AS bigint), 0, true FROM orders
+        UNION ALL SELECT 'o_totalprice', true, true, cast(count(*) - count(o_totalprice) AS bigint), 0,
                count(*) - count(o_totalprice) = 0 FROM orders
-        UNION ALL SELECT 'o_orderdate', true, false, cast(count(*) - count(o_orderdate) AS bigint), false FROM orders
-        UNION ALL SELECT 'o_comment', false, false, cast(NULL AS bigint), false"""),
+        UNION ALL SELECT 'o_orderdate', true, false, cast(count(*) - count(o_orderdate) AS bigint), 0, false FROM orders
+        UNION ALL SELECT 'o_orderpriority', true, false, cast(count(*) - count(o_orderpriority) AS bigint),
+               cast(count(*) FILTER (WHERE o_orderpriority IS NOT NULL AND try_cast(o_orderpriority AS bigint) IS NULL) AS bigint),
+               false FROM orders
+        UNION ALL SELECT 'o_comment', false, false, cast(NULL AS bigint), cast(NULL AS bigint), false"""),
     "etl_run": _q("""
         SELECT 'base' AS dataset, cast(count(*) AS bigint) AS n_rows FROM base_flat
         UNION ALL SELECT 'cohort_measure_avg', cast(count(DISTINCT cohort_id) AS bigint) FROM base_flat
         UNION ALL SELECT 'cohort_coverage', cast(count(DISTINCT cohort_id) AS bigint) FROM base_flat
-        UNION ALL SELECT 'tag_split', cast(count(*) AS bigint) FROM (
-          SELECT t.tag FROM base_flat b JOIN tags_flat t ON t.id = b.id GROUP BY t.tag
-          HAVING count(*) FILTER (WHERE t.hidden) > 0 AND count(*) FILTER (WHERE NOT t.hidden) > 0)
+        UNION ALL SELECT 'tag_split', cast(count(*) AS bigint) FROM tag_rows JOIN both_ways USING (tag)
         UNION ALL SELECT 'similar_pairs', cast(count(*) AS bigint) FROM sim_pairs
         UNION ALL SELECT 'entity', cast(count(*) AS bigint) FROM ent_flat
+        UNION ALL SELECT 'cohort', cast(count(DISTINCT cohort_id) AS bigint) FROM cohort_flat
         UNION ALL SELECT 'cohort_members', cast(count(*) AS bigint) FROM cohort_flat
-        UNION ALL SELECT 'chain_members', cast(count(*) AS bigint) FROM chain_flat"""),
+        UNION ALL SELECT 'chain_members', cast(count(*) AS bigint) FROM chain_flat
+        UNION ALL SELECT 'rejects', cast(2 * count(*) AS bigint) FROM pages"""),
 }
 
-# The UDF variant computes the same numbers as the built-in one; the edge-table
-# chain walks give the same rows as the document walks.
+_JOB_RESULTS = f"""
+        SELECT 'cohort_measure_avg' AS dataset, concat(cohort_id, ':', measure) AS key, round(value, 6) AS value
+          FROM ({_COHORT_UNPIVOT})
+        UNION ALL SELECT 'cohort_coverage', cast(cohort_id AS string), round(avg_coverage, 6) FROM coverage_avg
+        UNION ALL SELECT 'tag_split', concat(tag, ':', hidden, ':', name), 1.0 FROM tag_rows JOIN both_ways USING (tag)
+        UNION ALL SELECT 'similar_pairs', concat(name_i, ':', name_j), round(score, 6) FROM sim_pairs
+        UNION ALL SELECT 'cohort', concat(cohort_id, ':Y', cohort_id, ':', tag), 1.0 FROM cohort_tag_flat
+        UNION ALL SELECT 'rejects', 'page:unknown type:1', cast(count(*) AS double) FROM pages
+        UNION ALL SELECT 'rejects', 'entity:does not parse:2', cast(count(*) AS double) FROM pages"""
+ORACLE["etl_results"] = _q(_JOB_RESULTS)
+# in first-branch mode a chain holds its root and the first child only: the two
+# lowest names of each nation, as its star document lists them
+_TWO_LOWEST = """chain_flat AS (
+  SELECT chain_id, member FROM (
+    SELECT cast(c_nationkey AS bigint) AS chain_id, concat('E', cast(o_orderkey AS string)) AS member,
+           row_number() OVER (PARTITION BY c_nationkey ORDER BY concat('E', cast(o_orderkey AS string))) AS r
+    FROM orders JOIN customer ON o_custkey = c_custkey) WHERE r <= 2),
+base_flat AS ("""
+_start, _end = _VIEWS.index("chain_flat AS ("), _VIEWS.index("base_flat AS (")
+ORACLE["etl_results_first_branch"] = ("WITH " + (_VIEWS[:_start] + _TWO_LOWEST + _VIEWS[_end + len("base_flat AS ("):]).strip()
+                                      + "\n" + _JOB_RESULTS.strip())
+
+# The UDF variant computes the same numbers as the built-in one.
 ORACLE["udf_cosine"] = ORACLE["dense_cosine"]
-ORACLE["chain_edges_first_branch"] = ORACLE["chain_first_branch"]
-ORACLE["chain_edges_all_members"] = ORACLE["chain_all_members"]

@@ -12,6 +12,7 @@ written files.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,14 +30,8 @@ from cohortkit.operators.base import (
     project_drop,
     reattach,
 )
-from cohortkit.operators.chains import (
-    all_members,
-    first_branch,
-    first_branch_edges,
-    parse_chains,
-    walk_edges,
-)
-from cohortkit.operators.coverage import best_coverage, entity_sort_key, group_coverage, with_coverage
+from cohortkit.operators.chains import all_members, first_branch, first_branch_edges, walk_edges
+from cohortkit.operators.coverage import best_coverage, entity_sort_key, group_coverage, with_coverage, with_rank
 from cohortkit.operators.measures import (
     entity_extremes,
     group_extremes,
@@ -61,18 +56,22 @@ from cohortkit.schemas import ENTITY_DOC
 from cohortkit.session import scratch_path
 from cohortkit.sources.documents import (
     entities_from_docs,
+    mark_entities,
+    parse_chains,
     parse_cohorts,
     parse_entities,
     parse_legacy_entities,
+    parse_listing,
     route_documents,
+    split_marked,
 )
 from cohortkit.sources.files import (
     land,
-    latest_per_key,
+    latest_version,
     materialize,
     publish,
     read_json_arrays,
-    read_landing_docs,
+    read_landing,
     read_published,
     write_json_arrays,
 )
@@ -131,19 +130,26 @@ def q_parse_kinds(spark, sf):
 
 @query("parse_cohort")
 def q_parse_cohort(spark, sf):
+    """Members and tags of every cohort document, one row per item."""
     good, _ = parse_cohorts(Fixture(spark, sf).cohort_docs)
-    return explode_members(good, "cohort_id")
+    items = good.select("cohort_id", "name", F.lit("member").alias("kind"), F.explode("members").alias("item"))
+    return items.unionByName(good.select("cohort_id", "name", F.lit("tag").alias("kind"), F.explode("tags").alias("item")).distinct())
+
+
+@query("parse_listing")
+def q_parse_listing(spark, sf):
+    return parse_listing(Fixture(spark, sf).listing_docs, keep=("id",))
 
 
 @query("chain_first_branch")
 def q_chain_first_branch(spark, sf):
-    good, _ = parse_chains(Fixture(spark, sf).region_tree_docs)
+    good, _ = parse_chains(Fixture(spark, sf).customer_tree_docs)
     return first_branch(good)
 
 
 @query("chain_all_members")
 def q_chain_all_members(spark, sf):
-    good, _ = parse_chains(Fixture(spark, sf).region_tree_docs)
+    good, _ = parse_chains(Fixture(spark, sf).customer_tree_docs)
     return all_members(good)
 
 
@@ -162,11 +168,11 @@ def q_chain_edges_all_members(spark, sf):
 @query("route_documents")
 def q_route_documents(spark, sf):
     fx = Fixture(spark, sf)
-    docs = (fx.entity_docs.unionByName(fx.cohort_docs).unionByName(fx.region_tree_docs)
+    docs = (fx.entity_docs.unionByName(fx.cohort_docs).unionByName(fx.customer_tree_docs)
             .unionByName(fx.page_docs))
     routed, rejected = route_documents(docs, {
         "entity": parse_entities, "cohort": parse_cohorts,
-        "chain": lambda d: parse_chains(d)})
+        "chain": parse_chains})
     items = (
         routed["entity"].select(F.lit("entity").alias("route"), F.col("id").alias("doc_id"),
                                 F.coalesce(array_size("tags"), F.lit(0).cast("bigint")).alias("n_items"))
@@ -202,34 +208,55 @@ def q_url_key(spark, sf):
 def q_scan_json(spark, sf):
     fx = Fixture(spark, sf)
     path = scratch_path(spark, "scan_json")
+    # a bounded number of objects per file
     objs = fx.entity_docs.select(F.floor(F.col("id") / 1000).alias("file_key"),
                                  F.from_json("raw", ENTITY_DOC).alias("obj"))
     write_json_arrays(objs, path, "file_key")
-    scanned = read_json_arrays(spark, path, ENTITY_DOC)
-    docs = scanned.select(F.to_json(F.struct(*[F.col(f.name) for f in ENTITY_DOC.fields])).alias("raw"))
-    good, _ = parse_entities(docs)
+    good, _ = entities_from_docs(read_json_arrays(spark, path, ENTITY_DOC))
     return good.select("id", "name", array_size("tags").alias("n_tags"))
 
 
+def _landed_twice(spark, sf, docs: DataFrame) -> str:
+    """All documents landed once, those of finished orders once more."""
+    path = scratch_path(spark, "landing")
+    land(docs, path, ingest=1)
+    finished = Fixture(spark, sf).table("orders").where(F.col("o_orderstatus") == F.lit("F")).select(F.col("o_orderkey").alias("id"))
+    land(docs.join(finished, "id", "left_semi"), path, ingest=2)
+    return path
+
+
 @query("landing_dedup")
 def q_landing_dedup(spark, sf):
-    fx = Fixture(spark, sf)
+    path = _landed_twice(spark, sf, Fixture(spark, sf).entity_docs)
+    marked = materialize(mark_entities(read_landing(spark, path, "entity")), scratch_path(spark, "parsed"))
+    good, _ = split_marked(marked, keep=("ingest",))
+    return latest_version(good, ["id"], "ingest").select("id", "name", "ingest")
+
+
+@query("landing_rejects")
+def q_landing_rejects(spark, sf):
+    """Landed documents cut short, without id, with an unfit value, and HTML."""
     path = scratch_path(spark, "landing")
-    land(fx.entity_docs, path, ingest=1)
-    finished = fx.table("orders").where(F.col("o_orderstatus") == F.lit("F")).select(F.col("o_orderkey").alias("id"))
-    land(fx.entity_docs.join(finished, "id", "left_semi"), path, ingest=2)
-    latest = latest_per_key(read_landing_docs(spark, path, "entity", ENTITY_DOC), ["id"], "ingest")
-    good, _ = entities_from_docs(latest, keep=("ingest",))
-    return good.select("id", "name", "ingest")
+    land(Fixture(spark, sf).bad_docs, path, ingest=1)
+    marked = materialize(mark_entities(read_landing(spark, path, "entity")), scratch_path(spark, "parsed"))
+    good, bad = split_marked(marked)
+    return (good.groupBy(F.lit("good").alias("reason")).agg(F.count(F.lit(1)).alias("n_docs"), F.sum("id").alias("sum_id"))
+            .unionByName(bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n_docs"), F.lit(None).cast("bigint").alias("sum_id"))))
 
 
 @query("parquet_roundtrip")
 def q_parquet_roundtrip(spark, sf):
+    """Both published datasets, read back."""
     fx = Fixture(spark, sf)
     root = scratch_path(spark, "published")
     publish({"tag_split": tag_split(explode_tags(fx.order_customer_tags)),
              "cohort_coverage": group_coverage(_base(fx), "cohort_id")}, root)
-    return read_published(spark, root, "tag_split")
+    split = read_published(spark, root, "tag_split").select(
+        F.lit("tag_split").alias("dataset"), "tag", "hidden", "name", F.lit(None).cast("double").alias("value"))
+    coverage = read_published(spark, root, "cohort_coverage").select(
+        F.lit("cohort_coverage").alias("dataset"), F.col("cohort_id").cast("string").alias("tag"),
+        F.lit(None).cast("boolean").alias("hidden"), F.lit(None).cast("string").alias("name"), F.col("avg_coverage").alias("value"))
+    return r6(split.unionByName(coverage))
 
 
 @query("scan_parquet")
@@ -237,13 +264,17 @@ def q_scan_parquet(spark, sf):
     fx = Fixture(spark, sf)
     root = scratch_path(spark, "published")
     publish({"base": project_drop(_base(fx), ["measures", "tags", "kinds"])}, root)
-    return read_published(spark, root, "base").where(F.col("cohort_id") >= 1998).select("id", "name", "cohort_id")
+    return read_published(spark, root, "base").select("id", "name", "cohort_id")
 
 
 @query("typed_cast")
 def q_typed_cast(spark, sf):
+    """Values cast to numbers and flags cast to booleans."""
     good, _ = parse_legacy_entities(Fixture(spark, sf).legacy_entity_docs)
-    return good.select("id", F.inline("measures")).select("id", F.col("name").alias("measure"), "value")
+    values = good.select("id", F.inline("measures")).select("id", "name", "value", F.lit(None).cast("boolean").alias("flag"))
+    flags = good.select("id", F.inline("tags")).select("id", F.col("tag").alias("name"), F.lit(None).cast("bigint").alias("value"),
+                                                       F.col("hidden").alias("flag"))
+    return values.unionByName(flags)
 
 
 # ------------------------------------------------- B/C: projections and joins
@@ -308,7 +339,7 @@ def q_join_reattach(spark, sf):
 @query("preview")
 def q_preview(spark, sf):
     base = _base(Fixture(spark, sf)).select("id", "name", "cohort_id", "chain_id")
-    return base.orderBy("id", "cohort_id", "chain_id").limit(20)
+    return with_rank(base.orderBy("id", "cohort_id", "chain_id").limit(20))
 
 
 # ------------------------------------------------------------ D/H: measures
@@ -327,7 +358,7 @@ def q_row_mean(spark, sf):
 
 @query("cohort_measure_avg")
 def q_cohort_measure_avg(spark, sf):
-    return r6(_cohort_avg(Fixture(spark, sf))).orderBy("cohort_id")
+    return with_rank(r6(_cohort_avg(Fixture(spark, sf))).orderBy("cohort_id"))
 
 
 @query("kind_measure_avg")
@@ -354,10 +385,8 @@ def q_entity_extremes(spark, sf):
 
 
 def _cohort_pick(spark: SparkSession, sf: str, fn: str) -> DataFrame:
-    view = f"cohort_measure_avg_{fn}"
-    _cohort_avg(Fixture(spark, sf)).createOrReplaceTempView(view)
-    picked = spark.sql(f"SELECT cohort_id, avg_qty FROM {view} "
-                       f"WHERE avg_qty IN (SELECT {fn}(avg_qty) FROM {view})")
+    picked = spark.sql(f"SELECT cohort_id, avg_qty FROM {{averages}} "
+                       f"WHERE avg_qty IN (SELECT {fn}(avg_qty) FROM {{averages}})", averages=_cohort_avg(Fixture(spark, sf)))
     return r6(picked)
 
 
@@ -373,10 +402,10 @@ def q_cohort_slowest(spark, sf):
 
 @query("label_clean")
 def q_label_clean(spark, sf):
-    names = Fixture(spark, sf).entity.select(F.explode("measures.name").alias("name")).distinct()
+    part = Fixture(spark, sf).table("part").select("p_partkey", F.concat_ws("-", "p_brand", "p_type").alias("name"))
     col_name = clean_name("name")
-    return names.select("name", col_name.alias("col_name"),
-                        pretty_label(F.concat(F.lit("avg("), col_name, F.lit(")"))).alias("label"))
+    return part.select("p_partkey", "name", col_name.alias("col_name"),
+                       pretty_label(F.concat(F.lit("avg("), col_name, F.lit(")"))).alias("label"))
 
 
 # ------------------------------------------------------------ coverage, sort
@@ -384,7 +413,7 @@ def q_label_clean(spark, sf):
 
 @query("cohort_coverage")
 def q_cohort_coverage(spark, sf):
-    return r6(group_coverage(_base(Fixture(spark, sf)), "cohort_id")).orderBy("cohort_id")
+    return with_rank(r6(group_coverage(_base(Fixture(spark, sf)), "cohort_id")).orderBy("cohort_id"))
 
 
 @query("coverage")
@@ -400,7 +429,12 @@ def q_best_coverage(spark, sf):
 
 @query("entity_sort_key")
 def q_entity_sort_key(spark, sf):
-    return r6(entity_sort_key(Fixture(spark, sf).entity).select("id", "name", "sort_key"))
+    return r6(with_rank(entity_sort_key(Fixture(spark, sf).entity).select("id", "name", "sort_key")))
+
+
+@query("entity_sort_key_derived")
+def q_entity_sort_key_derived(spark, sf):
+    return r6(with_rank(entity_sort_key(Fixture(spark, sf).entity, by_key=False).select("id", "name", "sort_key")))
 
 
 # ----------------------------------------------------------------- tags
@@ -426,6 +460,11 @@ def q_tag_split(spark, sf):
     return tag_split(explode_tags(Fixture(spark, sf).order_customer_tags))
 
 
+@query("tag_split_parts")
+def q_tag_split_parts(spark, sf):
+    return tag_split(explode_tags(Fixture(spark, sf).entity))
+
+
 @query("tag_split_full")
 def q_tag_split_full(spark, sf):
     return tag_split(explode_tags(Fixture(spark, sf).order_customer_tags), full=True)
@@ -486,6 +525,7 @@ ORDERS_CONTRACT = T.StructType([
     T.StructField("o_orderstatus", T.StringType()),
     T.StructField("o_totalprice", T.DoubleType(), nullable=False),
     T.StructField("o_orderdate", T.DateType()),
+    T.StructField("o_orderpriority", T.LongType()),
     T.StructField("o_comment", T.StringType()),
 ])
 
@@ -495,15 +535,52 @@ def q_contract_violations(spark, sf):
     return contract_report(Fixture(spark, sf).table("orders"), ORDERS_CONTRACT)
 
 
-@query("etl_run")
-def q_etl_run(spark, sf):
+def _job(spark: SparkSession, sf: str, chain_mode: str) -> tuple[DataFrame, str]:
+    """The whole job on documents landed twice, with bad ones among them."""
     fx = Fixture(spark, sf)
-    landing = scratch_path(spark, "landing")
-    docs = fx.entity_docs.unionByName(fx.cohort_docs).unionByName(fx.chain_star_docs)
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "out")
+    docs = fx.entity_docs.unionByName(fx.cohort_docs).unionByName(fx.chain_star_docs).unionByName(fx.page_docs)
     land(docs, landing, ingest=1)
-    cfg = JobConfig.from_mapping({"landing_path": landing, "output_path": scratch_path(spark, "out"),
-                                  "measure_names": MEASURE_NAMES, "threshold": THRESHOLD,
-                                  "chain_mode": "all"})
-    return run_job(spark, cfg)
+    # newer versions: all chains again, and web pages as entities
+    land(fx.chain_star_docs.unionByName(fx.table("pages").select(
+        F.lit("entity").alias("type"), F.col("page_id").alias("id"), F.col("html").alias("raw"))), landing, ingest=2)
+    cfg = JobConfig.from_mapping({"landing_path": landing, "output_path": out, "measure_names": MEASURE_NAMES,
+                                  "threshold": THRESHOLD, "chain_mode": chain_mode})
+    return run_job(spark, cfg), out
+
+
+def _job_results(spark: SparkSession, sf: str, chain_mode: str) -> DataFrame:
+    """Every row of the job's published results as ``(dataset, key, value)``."""
+    _, out = _job(spark, sf, chain_mode)
+    read = lambda name: read_published(spark, out, name)
+    text = lambda *cols: F.concat_ws(":", *[F.col(c).cast("string") for c in cols])
+    one = F.lit(1.0)
+    rows = [
+        read("cohort_measure_avg").unpivot(["cohort_id"], AVG_COLS, "measure", "value").select(
+            F.lit("cohort_measure_avg").alias("dataset"), text("cohort_id", "measure").alias("key"), "value"),
+        read("cohort_coverage").select(F.lit("cohort_coverage").alias("dataset"), text("cohort_id").alias("key"),
+                                       F.col("avg_coverage").alias("value")),
+        read("tag_split").select(F.lit("tag_split").alias("dataset"), text("tag", "hidden", "name").alias("key"), one.alias("value")),
+        read("similar_pairs").select(F.lit("similar_pairs").alias("dataset"), text("name_i", "name_j").alias("key"),
+                                     F.col("score").alias("value")),
+        read("cohort").select(F.lit("cohort").alias("dataset"), "cohort_id", "name", F.explode("tags").alias("tag")).select(
+            "dataset", text("cohort_id", "name", "tag").alias("key"), one.alias("value")),
+        read("rejects").groupBy("type", "reason", "ingest").agg(F.count(F.lit(1)).cast("double").alias("value")).select(
+            F.lit("rejects").alias("dataset"), text("type", "reason", "ingest").alias("key"), "value"),
+    ]
+    return r6(reduce(DataFrame.unionByName, rows))
+
+
+@query("etl_run")
+def q_etl_run(spark, sf):
+    return _job(spark, sf, "all")[0]
+
+
+@query("etl_results")
+def q_etl_results(spark, sf):
+    return _job_results(spark, sf, "all")
 
 
+@query("etl_results_first_branch")
+def q_etl_results_first_branch(spark, sf):
+    return _job_results(spark, sf, "first_branch")

@@ -77,40 +77,6 @@ LEGACY_ENTITY_DOC = T.StructType(
 )
 
 
-def chain_node(depth: int) -> T.StructType:
-    """Schema of a chain tree node unrolled ``depth`` levels deep.
-
-    JSON schemas must be finite, so the recursion is cut at ``depth``.  The
-    deepest level keeps ``evolves_to`` as raw JSON text, which lets the
-    parser see (and reject) documents that go deeper than the schema.
-    """
-    if depth < 0:
-        raise ValueError("depth must be >= 0")
-    node = T.StructType(
-        [
-            T.StructField("species", _NAMED),
-            T.StructField("evolves_to", T.StringType()),
-        ]
-    )
-    for _ in range(depth):
-        node = T.StructType(
-            [
-                T.StructField("species", _NAMED),
-                T.StructField("evolves_to", T.ArrayType(node)),
-            ]
-        )
-    return node
-
-
-def chain_doc(depth: int = 8) -> T.StructType:
-    return T.StructType(
-        [
-            T.StructField("id", T.LongType()),
-            T.StructField("chain", chain_node(depth)),
-        ]
-    )
-
-
 # ---------------------------------------------------------------------------
 # Parsed tables (our typed form)
 # ---------------------------------------------------------------------------

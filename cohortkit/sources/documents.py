@@ -2,8 +2,9 @@
 
 Documents arrive as text (one per row).  Each type is parsed with an
 explicit schema by ``from_json``; nothing is inferred and nothing runs per
-row in Python.  A document that does not parse, or has no ``id`` (this
-includes the empty object), is a reject, kept with its text for inspection.
+row in Python.  One rule rejects: the text must be a JSON object that fits
+the schema value by value, and have an ``id``.  A reject keeps its text and
+columns and gets a reason.
 """
 
 from __future__ import annotations
@@ -15,8 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortkit.schemas import COHORT_DOC, COHORT_MEMBERS_KEY, ENTITY_DOC, LEGACY_ENTITY_DOC
+from cohortkit.functions.columns import url_key
 from cohortkit.sources.files import CORRUPT
 
+REASON = "reason"
+DOC = "doc"
+
 
 def _entity_columns(d: Column) -> list[Column]:
     return [
@@ -39,19 +44,48 @@ def _cohort_columns(d: Column) -> list[Column]:
     ]
 
 
-def _split_text(docs: DataFrame, raw_col: str, schema: T.StructType, columns, keep: Sequence[str]):
-    parsed = docs.select("*", F.from_json(F.col(raw_col), schema).alias("__d"))
-    ok = F.col("__d.id").isNotNull()
-    good = parsed.where(ok).select(*keep, *columns(F.col("__d")))
-    return good, parsed.where(~ok).drop("__d")
+def _reason(fits: Column, has_id: Column) -> Column:
+    return F.when(~F.coalesce(fits, F.lit(False)), F.lit("does not parse")).when(~has_id, F.lit("no id"))
+
+
+def _mark(docs: DataFrame, raw_col: str, schema: T.StructType, columns) -> DataFrame:
+    """The documents with the struct ``doc`` of their parsed columns and the
+    ``reason`` of a reject (null for a good document): one parse for both."""
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = docs.select("*", F.from_json(F.col(raw_col), full, {"columnNameOfCorruptRecord": CORRUPT}).alias("__d"))
+    d = F.col("__d")
+    fits = d.isNotNull() & d.getField(CORRUPT).isNull()
+    return parsed.select(*docs.columns, F.struct(*columns(d)).alias(DOC), _reason(fits, d.getField("id").isNotNull()).alias(REASON))
+
+
+def split_marked(marked: DataFrame, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """``(good, rejected)`` of marked documents: ``keep`` and the parsed columns;
+    the input columns and the reason."""
+    good = marked.where(F.col(REASON).isNull()).select(*keep, f"{DOC}.*")
+    return good, marked.where(F.col(REASON).isNotNull()).drop(DOC)
+
 
+def mark_entities(docs: DataFrame, raw_col: str = "raw") -> DataFrame:
+    return _mark(docs, raw_col, ENTITY_DOC, _entity_columns)
 
-def _split_typed(docs: DataFrame, schema: T.StructType, columns, keep: Sequence[str]):
-    ok = F.col("id").isNotNull()
-    if CORRUPT in docs.columns:
-        ok = ok & F.col(CORRUPT).isNull()
-    d = F.struct(*[F.col(f.name) for f in schema.fields])
-    return docs.where(ok).select(*keep, *columns(d)), docs.where(~ok)
+
+def mark_cohorts(docs: DataFrame, raw_col: str = "raw") -> DataFrame:
+    return _mark(docs, raw_col, COHORT_DOC, _cohort_columns)
+
+
+def mark_chains(docs: DataFrame, raw_col: str = "raw") -> DataFrame:
+    """As the others, with the tree ``chain`` as a variant, so that a tree of
+    any depth fits (the JSON parser itself refuses more than 1000 nested
+    brackets, which is a reject like other unparsable text)."""
+    parsed = docs.select("*", F.try_parse_json(raw_col).alias("__v"))
+    tree = F.try_variant_get("__v", "$.chain", "variant")
+    tree = F.when(~F.is_variant_null(tree), tree)
+    key = F.try_variant_get("__v", "$.id", "bigint")
+    is_object = lambda v: F.schema_of_variant(v).startswith("OBJECT")
+    raw_key = F.try_variant_get("__v", "$.id", "variant")
+    fits = is_object(F.col("__v")) & (tree.isNull() | is_object(tree)) & (raw_key.isNull() | F.is_variant_null(raw_key) | key.isNotNull())
+    return parsed.select(*docs.columns, F.struct(key.alias("chain_id"), tree.alias("chain")).alias(DOC),
+                         _reason(fits, key.isNotNull()).alias(REASON))
 
 
 def parse_entities(docs: DataFrame, raw_col: str = "raw",
@@ -62,24 +96,37 @@ def parse_entities(docs: DataFrame, raw_col: str = "raw",
     is_hidden)]``; kinds: ``[type.name]``.  ``keep`` columns of the input
     are passed through.  Returns ``(good, rejected)``.
     """
-    return _split_text(docs, raw_col, ENTITY_DOC, _entity_columns, keep)
+    return split_marked(mark_entities(docs, raw_col), keep)
 
 
 def entities_from_docs(docs: DataFrame, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """As :func:`parse_entities` for documents the JSON reader already parsed
-    into :data:`ENTITY_DOC` columns (:func:`read_landing_docs`); a line the
-    reader flagged as corrupt is rejected."""
-    return _split_typed(docs, ENTITY_DOC, _entity_columns, keep)
+    """As :func:`parse_entities` for objects that the JSON reader already
+    parsed into :data:`ENTITY_DOC` columns (:func:`read_json_arrays`), by the
+    same rule: what the reader flagged as corrupt is a reject."""
+    fits = F.col(CORRUPT).isNull() if CORRUPT in docs.columns else F.lit(True)
+    d = F.struct(*[F.col(f.name) for f in ENTITY_DOC.fields])
+    marked = docs.select("*", F.struct(*_entity_columns(d)).alias(DOC), _reason(fits, F.col("id").isNotNull()).alias(REASON))
+    return split_marked(marked, keep)
 
 
-def parse_cohorts(docs: DataFrame, raw_col: str = "raw") -> tuple[DataFrame, DataFrame]:
+def parse_cohorts(docs: DataFrame, raw_col: str = "raw",
+                  keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Cohort documents (text) to ``(cohort_id, name, members, tags)`` (A4/A5)."""
-    return _split_text(docs, raw_col, COHORT_DOC, _cohort_columns, ())
+    return split_marked(mark_cohorts(docs, raw_col), keep)
+
+
+def parse_chains(docs: DataFrame, raw_col: str = "raw",
+                 keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Chain documents (text) to ``(chain_id, chain)``, the tree as a variant."""
+    return split_marked(mark_chains(docs, raw_col), keep)
 
 
-def cohorts_from_docs(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """As :func:`parse_cohorts` for reader-parsed :data:`COHORT_DOC` columns."""
-    return _split_typed(docs, COHORT_DOC, _cohort_columns, ())
+def parse_listing(docs: DataFrame, raw_col: str = "raw", keep: Sequence[str] = ()) -> DataFrame:
+    """Listing documents (``results[].url``) to one ``key`` per result, the
+    second-to-last segment of its url."""
+    schema = "results array<struct<url:string>>"
+    urls = docs.select(*keep, F.explode(F.from_json(raw_col, schema)["results"]["url"]).alias("__url"))
+    return urls.select(*keep, url_key("__url").alias("key"))
 
 
 def parse_legacy_entities(docs: DataFrame, raw_col: str = "raw") -> tuple[DataFrame, DataFrame]:
@@ -89,26 +136,32 @@ def parse_legacy_entities(docs: DataFrame, raw_col: str = "raw") -> tuple[DataFr
     A value that does not cast becomes NULL (``try_cast``), never a silent 0
     and never a failed job.
     """
-    d = F.from_json(F.col(raw_col), LEGACY_ENTITY_DOC)
-    parsed = docs.select("*", d.alias("__d"))
-    ok = F.col("__d.id").isNotNull()
-    good = parsed.where(ok).select(
-        F.col("__d.id").alias("id"),
-        F.col("__d.name").alias("name"),
-        F.transform("__d.stats", lambda s: F.struct(
+    return split_marked(_mark(docs, raw_col, LEGACY_ENTITY_DOC, _legacy_columns))
+
+
+def _legacy_columns(d: Column) -> list[Column]:
+    return [
+        d.getField("id").alias("id"),
+        d.getField("name").alias("name"),
+        F.transform(d.getField("stats"), lambda s: F.struct(
             F.try_element_at(s, F.lit(1)).alias("name"),
             F.try_element_at(s, F.lit(2)).try_cast("bigint").alias("value"))).alias("measures"),
-        F.transform("__d.abilities", lambda a: F.struct(
+        F.transform(d.getField("abilities"), lambda a: F.struct(
             F.try_element_at(a, F.lit(1)).alias("tag"),
             F.try_element_at(a, F.lit(2)).try_cast("boolean").alias("hidden"))).alias("tags"),
-        F.col("__d.types").alias("kinds"),
-    )
-    return good, parsed.where(~ok).drop("__d")
+        d.getField("types").alias("kinds"),
+    ]
 
 
 Parser = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
 
 
+def unknown_type(docs: DataFrame, types: Sequence[str], type_col: str = "type") -> DataFrame:
+    """Documents of no known type, as rejects."""
+    known = F.coalesce(F.col(type_col).isin(list(types)), F.lit(False))
+    return docs.where(~known).withColumn(REASON, F.lit("unknown type"))
+
+
 def route_documents(docs: DataFrame, parsers: Mapping[str, Parser], type_col: str = "type",
                     raw_col: str = "raw") -> tuple[dict[str, DataFrame], DataFrame]:
     """Route mixed documents by type to their parsers.
@@ -119,9 +172,9 @@ def route_documents(docs: DataFrame, parsers: Mapping[str, Parser], type_col: st
     partition pruning, so each parser reads only its own files.
     """
     routed: dict[str, DataFrame] = {}
-    rejected = docs.where(~F.col(type_col).isin(list(parsers)) | F.col(type_col).isNull())
+    rejected = unknown_type(docs, list(parsers), type_col)
     for name, parser in parsers.items():
         good, bad = parser(docs.where(F.col(type_col) == F.lit(name)))
         routed[name] = good
-        rejected = rejected.unionByName(bad.select(*docs.columns))
+        rejected = rejected.unionByName(bad)
     return routed, rejected

@@ -9,11 +9,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
+CORRUPT = "_corrupt_record"
 
 def scan_local(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
     """Rows held by the driver to a DataFrame with an explicit schema.
@@ -30,7 +30,8 @@ def read_json_arrays(spark: SparkSession, paths: str | Sequence[str], schema: T.
     Such files cannot be split, so each is read by one task; for large
     volumes land JSON Lines instead (:func:`land`).
     """
-    return spark.read.schema(schema).option("multiLine", True).json(
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return spark.read.schema(full).option("multiLine", True).option("columnNameOfCorruptRecord", CORRUPT).json(
         paths if isinstance(paths, str) else list(paths))
 
 
@@ -47,9 +48,8 @@ def land(docs: DataFrame, path: str, ingest: int, mode: str = "append") -> None:
     JSON Lines: each line is one document as received, partitioned by
     ``type`` and ``ingest`` (the landing batch).  Re-landing an object adds a
     newer version instead of rewriting a file in place;
-    :func:`latest_version` / :func:`latest_per_key` pick the newest.  The
-    document text is not wrapped in another JSON value, so readers parse it
-    once, straight into its typed schema (:func:`read_landing_docs`).
+    :func:`latest_version` picks the newest.  The
+    document text is not wrapped in another JSON value.
     """
     one_line = F.regexp_replace(F.col("raw").cast("string"), r"[\r\n]+", " ")
     (docs.select(one_line.alias("value"), F.col("type").cast("string"),
@@ -65,77 +65,38 @@ def read_landing(spark: SparkSession, path: str, doc_type: str | None = None) ->
     return df if doc_type is None else df.where(F.col("type") == F.lit(doc_type))
 
 
-CORRUPT = "_corrupt_record"
-
-
-def read_landing_docs(spark: SparkSession, path: str, doc_type: str, schema: T.StructType) -> DataFrame:
-    """Landed documents of one type, parsed by the JSON reader straight into
-    ``schema`` (one parse per document), plus ``type`` and ``ingest``.  Lines
-    that do not parse or do not fit the schema keep their text in
-    ``_corrupt_record``."""
-    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    df = spark.read.schema(full).option("columnNameOfCorruptRecord", CORRUPT).json(path)
-    return (df.where(F.col("type") == F.lit(doc_type))
-            .withColumn("ingest", F.col("ingest").cast("bigint")))
-
-
-def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
-    """Newest row per key by ``order_col`` (K4); ties keep the larger row.
-
-    ``max_by`` is partial-aggregated, so a key with many versions is reduced
-    map-side rather than sorted in one task as ``row_number`` would.
-    """
-    rest = [c for c in df.columns if c not in keys]
-    payload = F.struct(*[F.col(c) for c in rest])
-    order = F.struct(F.col(order_col), *[F.col(c) for c in rest if c != order_col
-                                         and _orderable(df.schema[c].dataType)])
-    agg = df.groupBy(*keys).agg(F.max_by(payload, order).alias("__r"))
-    return agg.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in rest])
-
 
 def latest_version(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
-    """All rows of the newest ``order_col`` per key (landing semantics: a
+    """All rows of the newest ``order_col`` per key (landing semantics, K4: a
     re-landed object replaces every document of its previous version, also
     when one object was landed as several chunk documents).
 
-    The newest value per key is a partial-aggregated ``max``; joining it back
-    lets AQE split a hot key instead of sorting it in one task.
+    ``df`` is read twice, the first time only its keys and ``order_col``, so
+    pass a written table.  The newest value per key is a partial-aggregated
+    ``max``; joining it back lets AQE split a hot key instead of sorting it in
+    one task.  Rows with a null key have no version and are dropped; split
+    them off first.
     """
-    newest = df.groupBy(*keys).agg(F.max(order_col).alias("__newest"))
-    return (df.join(newest, list(keys))
-            .where(F.col(order_col) == F.col("__newest")).drop("__newest"))
-
-
-def _orderable(t: T.DataType) -> bool:
-    if isinstance(t, T.MapType):
-        return False
-    if isinstance(t, T.ArrayType):
-        return _orderable(t.elementType)
-    if isinstance(t, T.StructType):
-        return all(_orderable(f.dataType) for f in t.fields)
-    return True
+    newest = df.groupBy(*keys).agg(F.max(order_col).alias(order_col))
+    return df.join(newest, [*keys, order_col], "left_semi")
 
 
-def publish(datasets: Mapping[str, DataFrame], root: str, max_parallel: int = 4) -> dict[str, str]:
-    """Write every dataset as Parquet under ``root/<name>``, overwrite.
+def publish(datasets: Mapping[str, DataFrame], root: str, max_parallel: int = 4) -> dict[str, int]:
+    """Write every dataset as Parquet under ``root/<name>``, overwrite (A13/K5);
+    returns the number of rows that each write was seen to write.
 
     The writes are independent Spark jobs; up to ``max_parallel`` of them are
     submitted at once (Spark schedules concurrent jobs from several driver
     threads), so one dataset's last tasks do not leave the cluster idle.
     """
-    paths = {name: f"{root.rstrip('/')}/{name}" for name in datasets}
-
-    def write(name: str) -> None:
-        datasets[name].write.mode("overwrite").parquet(paths[name])
-
-    if max_parallel <= 1 or len(datasets) <= 1:
-        for name in datasets:
-            write(name)
-    else:
-        with ThreadPoolExecutor(max_workers=max_parallel) as pool:
-            for f in [pool.submit(write, name) for name in datasets]:
-                f.result()
-    return paths
+    def write(name: str) -> int:
+        seen = Observation()
+        rows = datasets[name].observe(seen, F.count(F.lit(1)).alias("n"))
+        rows.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
+        return seen.get["n"]
+
+    with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
+        return dict(zip(datasets, pool.map(write, datasets), strict=True))
 
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:

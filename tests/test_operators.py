@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from cohortkit.functions.columns import pretty_label, url_key
 from cohortkit.operators.base import base_join, collect_chunked, drop_incomplete, explode_members
-from cohortkit.operators.coverage import best_coverage, group_coverage, with_coverage
-from cohortkit.operators.measures import extremes, group_extremes, measure_pivot, unpivot_values
+from cohortkit.operators.coverage import best_coverage, entity_sort_key, group_coverage, with_coverage, with_rank
+from cohortkit.operators.measures import extremes, group_extremes, measure_pivot
 from cohortkit.operators.tags import explode_tags, filter_flag, tag_members, tag_split
 from cohortkit.plans.contract import SchemaMismatch, assert_schema, contract_report
 from cohortkit.plans.jobs import JobConfig
@@ -75,18 +75,26 @@ def test_extremes_ties_and_truncation(spark):
     ext = {r.measure: r for r in group_extremes(df, "g", ["x", "y"]).collect()}
     assert (ext["x"].max_g, ext["x"].max_value, ext["x"].min_g, ext["x"].min_value) == (1, 7, 2, 1)
     assert (ext["y"].max_g, ext["y"].max_value, ext["y"].min_g, ext["y"].min_value) == (2, 4, 1, -2)
-    long = unpivot_values(df, ["g"], ["x"])
-    assert extremes(long, ["g"], ["x"]).count() == 1
+    nulls = spark.createDataFrame([(1, None, 2.0), (2, None, None)], "g long, x double, y double")
+    assert [(r.measure, r.max_g, r.min_g) for r in extremes(nulls, ["g"], ["x", "y"]).collect()] == [("y", 1, 1)]
+
+
+def test_rank_follows_the_order(spark, entity):
+    many = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("id")).repartition(7)
+    ranked = with_rank(many.orderBy(F.desc("id"))).collect()
+    assert sorted((r["rank"], r.id) for r in ranked) == [(i + 1, 999 - i) for i in range(1000)]
+    assert [r.id for r in with_rank(entity_sort_key(entity, by_key=False)).orderBy("rank").collect()] == [1, 2, 3, 4]
+    assert [r.id for r in with_rank(entity_sort_key(entity)).orderBy("rank").collect()] == [1, 2, 3, 4]
 
 
 def test_tag_split_one_sided_and_null_flag(spark):
     rows = [("a", "t1", True), ("b", "t1", False), ("c", "t2", True), ("d", "t3", None),
             ("a", "t1", True)]
     long = spark.createDataFrame(rows, "name string, tag string, hidden boolean")
-    inner = {r.tag: (r.hidden, r.not_hidden) for r in tag_split(long).collect()}
-    assert inner == {"t1": (["a"], ["b"])}
-    full = {r.tag: (r.hidden, r.not_hidden) for r in tag_split(long, full=True).collect()}
-    assert full == {"t1": (["a"], ["b"]), "t2": (["c"], []), "t3": ([], [])}
+    rows_of = lambda df: sorted((r.tag, r.hidden, r.name) for r in df.collect())
+    assert rows_of(tag_split(long)) == [("t1", False, "b"), ("t1", True, "a")]
+    assert rows_of(tag_split(long, full=True)) == [("t1", False, "b"), ("t1", True, "a"), ("t2", True, "c")]
+    assert sorted((r.tag, r.name) for r in tag_members(long).collect()) == [("t1", "a"), ("t1", "b"), ("t2", "c"), ("t3", "d")]
     assert filter_flag(long).count() == 3 and filter_flag(long, False).count() == 1
 
 
@@ -113,6 +121,10 @@ def test_contract(spark, entity):
     assert rep["id"].ok and rep["id"].null_count == 0
     assert not rep["nope"].present and rep["nope"].null_count is None
     assert rep["kinds"].null_count == 1 and not rep["kinds"].ok
+    assert rep["id"].cast_failures == 0 and rep["measures"].cast_failures is None
+    text = spark.createDataFrame([("1",), ("x",), (None,)], "v string")
+    number = T.StructType([T.StructField("v", T.LongType())])
+    assert [(r.null_count, r.cast_failures, r.ok) for r in contract_report(text, number).collect()] == [(1, 1, False)]
 
 
 def test_assert_contract_raises_on_nulls(spark, entity):
@@ -136,25 +148,6 @@ def test_job_config_lists_all_missing_keys():
     assert cfg.threshold == 0.75 and cfg.measure_names == ("x",)
 
 
-def test_chunked_holder_lists_equal_whole(spark):
-    rows = [(f"n{i}", "hot", i % 3 == 0) for i in range(50)] + [("a", "t1", True), ("b", "t1", False),
-                                                               ("c", "t2", True), ("n1", "hot", False)]
-    long = spark.createDataFrame(rows, "name string, tag string, hidden boolean")
-    for full in (False, True):
-        whole = {r.tag: (set(r.hidden), set(r.not_hidden)) for r in tag_split(long, full=full).collect()}
-        parts = tag_split(long, full=full, max_items=7).collect()
-        assert max(len(r.hidden) + len(r.not_hidden) for r in parts) < 50
-        merged = {}
-        for r in parts:
-            h, nh = merged.setdefault(r.tag, (set(), set()))
-            h.update(r.hidden)
-            nh.update(r.not_hidden)
-        assert merged == whole
-    members = tag_members(long, max_items=10).collect()
-    assert len([r for r in members if r.tag == "hot"]) >= 5
-    assert sorted(n for r in members if r.tag == "hot" for n in r.members) == sorted({f"n{i}" for i in range(50)})
-
-
 def test_job_first_branch_chain_mode(spark):
     import json
 
@@ -185,8 +178,69 @@ def test_job_first_branch_chain_mode(spark):
     assert inv["base"] == 3 and inv["cohort_measure_avg"] == 2
     assert inv["entity"] == 4 and inv["cohort_members"] == 4 and inv["chain_members"] == 3
     inv_all = {r.dataset: r.n_rows for r in run_job(spark, dict(cfg, chain_mode="all", block_size=1,
-                                                              carry_vectors=False, holder_chunk=1,
                                                               output_path=scratch_path(spark, "o2"))).collect()}
-    # tags x, y are held both ways (x: hidden b; not hidden a, c) -> >= 1 chunk row each;
+    # tags x, y are held both ways by a, b, c
     # no pair: same chain or cohort, or only zero-weight shared tags
-    assert inv_all["base"] == 4 and inv_all["tag_split"] >= 2 and inv_all["similar_pairs"] == 0
+    assert inv_all["base"] == 4 and inv_all["tag_split"] == 6 and inv_all["similar_pairs"] == 0
+    assert inv_all["cohort"] == 2 and inv_all["rejects"] == 0
+
+
+def test_job_publishes_rejects_and_checks_the_load(spark, monkeypatch):
+    import json
+
+    from cohortkit.plans import jobs
+    from cohortkit.session import scratch_path
+    from cohortkit.sources.files import land, read_published
+
+    ent = dict(id=1, name="a", stats=[], abilities=[], types=[])
+    rows = [("entity", 1, json.dumps(ent)), ("entity", 2, '{"id": 2, "name": "b"'), ("entity", 3, '{"name": "c"}'),
+            ("entity", 4, '{"id": "four"}'), ("chain", 5, "<html>"), ("chain", 6, '{"id": 6, "chain": [1]}'), ("weird", 7, "{}"),
+            ("cohort", 8, json.dumps({"id": 8, "name": "g", MEMBERS: [{"name": "a"}], "abilities": [{"name": "t"}]})),
+            ("chain", 9, json.dumps({"id": 9, "chain": {"species": {"name": "a"}, "evolves_to": []}}))]
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "out")
+    land(spark.createDataFrame(rows, "type string, id long, raw string"), landing, ingest=3)
+    cfg = {"landing_path": landing, "output_path": out, "measure_names": ["hp"]}
+    inv = {r.dataset: r.n_rows for r in jobs.run_job(spark, cfg).collect()}
+    rejects = sorted((r.type, r.reason, r.raw, r.ingest) for r in read_published(spark, out, "rejects").collect())
+    assert inv["rejects"] == 6 and inv["entity"] == inv["base"] == 1
+    assert rejects == sorted([("entity", "does not parse", rows[1][2], 3), ("entity", "no id", rows[2][2], 3),
+                              ("entity", "does not parse", rows[3][2], 3), ("chain", "does not parse", "<html>", 3),
+                              ("chain", "does not parse", rows[5][2], 3), ("weird", "unknown type", "{}", 3)])
+    assert [(r.cohort_id, r.name, r.tags) for r in read_published(spark, out, "cohort").collect()] == [(8, "g", ["t"])]
+    whole = jobs.read_published
+    monkeypatch.setattr(jobs, "read_published", lambda s, root, name: whole(s, root, name).limit(0) if name == "cohort" else whole(s, root, name))
+    with pytest.raises(jobs.LoadMismatch):
+        jobs.run_job(spark, dict(cfg, output_path=scratch_path(spark, "out"), data_checks=False))
+
+
+def test_shared_folder_with_an_empty_configuration(tmp_path):
+    """A stock Spark: the folder comes from the settings, or is refused."""
+    import subprocess
+    import sys
+    code = """
+import sys
+from pyspark.sql import SparkSession
+from cohortkit.session import local_session, shared_dir
+s = local_session(cores=1, checkpoint_dir=sys.argv[1] + "/shared")
+assert shared_dir(s) == sys.argv[1] + "/shared"
+s.stop()
+s = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+class Cluster:
+    conf = s.conf
+    class sparkContext:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+class NoFolder:
+    get = staticmethod(lambda key, default=None: default)
+Cluster.conf = NoFolder
+try:
+    shared_dir(Cluster)
+except RuntimeError as e:
+    assert "spark.checkpoint.dir" in str(e)
+else:
+    raise AssertionError("a cluster without a shared folder was accepted")
+"""
+    import os
+    env = dict(os.environ, SPARK_CONF_DIR=str(tmp_path), PYTHONPATH=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    done = subprocess.run([sys.executable, "-c", code, str(tmp_path)], env=env, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr[-2000:]

@@ -8,6 +8,8 @@ from cohortkit.operators.measures import entity_extremes, measure_pivot
 from cohortkit.operators.similarity import similar_pairs
 from cohortkit.operators.tags import explode_tags, tag_split
 from cohortkit.schemas import ENTITY
+from cohortkit.session import scratch_path
+from cohortkit.sources.files import latest_version, materialize
 
 ROWS = [(i, f"e{i}", [("a", i), ("b", 2 * i)], [(f"t{i % 5}", i % 2 == 0), ("u", False)], ["k"])
         for i in range(30)]
@@ -26,7 +28,7 @@ def base(spark):
 
 
 def test_no_product_joins(base):
-    for df in (base, similar_pairs(base, 0.5, write_vectors=False)):
+    for df in (base, similar_pairs(base, 0.5)):
         plan = plan_of(df)
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
@@ -37,13 +39,25 @@ def test_no_window_where_a_group_could_be_hot(base):
         assert "Window" not in plan_of(df)
 
 
-def test_extremes_broadcast_only_the_bounded_table(base):
-    wide = measure_pivot(base, ["a", "b"], keep=("id", "name"))
+def test_extremes_are_one_aggregate(base):
+    wide = materialize(measure_pivot(base, ["a", "b"], keep=("id", "name")), scratch_path(base.sparkSession, "test"))
     plan = plan_of(entity_extremes(wide, ["a", "b"]))
-    assert "BroadcastExchange" in plan and "HashAggregate" in plan
+    assert "Join" not in plan and plan.count("Exchange SinglePartition") == 1 and plan.count("FileScan") == 1
+
+
+def test_null_cut_makes_the_joins_inner(base):
+    assert "LeftOuter" not in plan_of(base)
+
+
+def test_latest_version_reads_keys_only_for_the_newest(spark):
+    rows = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], "id long, ingest long, payload string")
+    plan = plan_of(latest_version(materialize(rows, scratch_path(spark, "test")), ["id"], "ingest"))
+    assert plan.count("FileScan") == 2 and plan.count("payload:string") == 1
 
 
 def test_similarity_join_keys_are_salted(base):
-    plan = plan_of(similar_pairs(base, 0.5, write_vectors=False))
+    plan = plan_of(similar_pairs(base, 0.5))
     assert "a_lo" in plan and "a_hi" in plan and "b_lo" in plan
+    join = next(line for line in plan.splitlines() if "a_lo" in line and "Join" in line)
+    assert "vu" not in join  # vectors come after the salted join
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan

@@ -4,25 +4,27 @@ import json
 
 import pytest
 
-from cohortkit.operators.chains import all_members, first_branch, parse_chains
+from cohortkit.operators.chains import NotATree, all_members, first_branch, walk_edges
 from cohortkit.schemas import COHORT_MEMBERS_KEY as MEMBERS
 from cohortkit.schemas import ENTITY, ENTITY_DOC
 from cohortkit.session import scratch_path
 from cohortkit.sources.documents import (
     entities_from_docs,
+    mark_entities,
+    parse_chains,
     parse_cohorts,
     parse_entities,
     parse_legacy_entities,
+    parse_listing,
     route_documents,
+    split_marked,
 )
 from cohortkit.sources.files import (
     land,
-    latest_per_key,
     latest_version,
     publish,
     read_json_arrays,
     read_landing,
-    read_landing_docs,
     read_published,
     scan_local,
 )
@@ -54,10 +56,11 @@ def test_parse_entity_fields(spark):
 
 def test_bad_documents_are_rejected_not_dropped(spark):
     raws = [json.dumps(ENT), "{}", "not json", "[1,2]", "", json.dumps({"name": "no id"}),
-            json.dumps({"id": 7, "name": "bare"})]
+            json.dumps({"id": 7, "name": "bare"}), json.dumps(dict(ENT, id=8, stats=[{"base_stat": "oops"}]))]
     good, bad = parse_entities(docs(spark, *raws))
     assert sorted(r.id for r in good.collect()) == [1, 7]
-    assert bad.count() == 5
+    assert {r.id: r.reason for r in bad.collect()} == {1: "no id", 2: "does not parse", 3: "does not parse", 4: "does not parse",
+                                                       5: "no id", 7: "does not parse"}
     bare = good.where("id = 7").collect()[0]
     # missing arrays stay NULL (dropped later by the base null cut)
     assert bare.measures is None and bare.tags is None and bare.kinds is None
@@ -96,28 +99,55 @@ def _tree(name, *kids, has_key=True):
 
 def test_chain_first_branch_and_all(spark):
     tree = _tree("a", _tree("b", _tree("c")), _tree("b2", _tree("c2")))
-    d = docs(spark, json.dumps({"id": 9, "chain": tree}), type_="chain")
-    good, bad = parse_chains(d, depth=4)
+    d = docs(spark, json.dumps({"id": 9, "chain": tree}), json.dumps({"id": 10, "chain": None}), json.dumps({"id": 11}), type_="chain")
+    good, bad = parse_chains(d)
     assert bad.count() == 0
-    assert first_branch(good, 4).collect()[0].members == ["a", "b", "c"]
-    got = sorted((r.member, r.depth) for r in all_members(good, 4).collect())
+    assert {r.chain_id: r.members for r in first_branch(good).collect()} == {9: ["a", "b", "c"], 10: [], 11: []}
+    got = sorted((r.member, r.depth) for r in all_members(good.where("chain_id = 9")).collect())
     assert got == [("a", 0), ("b", 1), ("b2", 1), ("c", 2), ("c2", 2)]
 
 
 def test_chain_node_without_key_stops_walk(spark):
     tree = _tree("a", _tree("b", has_key=False))
-    good, _ = parse_chains(docs(spark, json.dumps({"id": 1, "chain": tree}), type_="chain"), depth=3)
-    assert first_branch(good, 3).collect()[0].members == ["a"]
+    good, _ = parse_chains(docs(spark, json.dumps({"id": 1, "chain": tree}), type_="chain"))
+    assert first_branch(good).collect()[0].members == ["a"]
 
 
-def test_chain_deeper_than_schema_is_rejected(spark):
-    deep = _tree("a", _tree("b", _tree("c", _tree("d"))))
-    shallow = _tree("x", _tree("y"))
-    d = docs(spark, json.dumps({"id": 1, "chain": deep}), json.dumps({"id": 2, "chain": shallow}),
-             type_="chain")
-    good, bad = parse_chains(d, depth=2)
-    assert [r.chain_id for r in good.collect()] == [2]
-    assert bad.count() == 1
+@pytest.mark.parametrize("depth", [0, 1, 12, 40])
+def test_chain_documents_of_any_depth(spark, depth):
+    tree = _tree(f"n{depth}")
+    for d in range(depth - 1, -1, -1):
+        tree = _tree(f"n{d}", tree)
+    good, bad = parse_chains(docs(spark, json.dumps({"id": 1, "chain": tree}), type_="chain"))
+    assert bad.count() == 0
+    want = [f"n{d}" for d in range(depth + 1)]
+    assert first_branch(good).collect()[0].members == want
+    assert [r.member for r in all_members(good).orderBy("depth").collect()] == want
+
+
+def test_edge_walk_of_150_levels(spark):
+    roots = spark.createDataFrame([(1, "0", "n0")], "chain_id long, node string, name string")
+    edges = spark.range(150).selectExpr("cast(id as string) parent", "cast(id + 1 as string) child", "concat('n', id + 1) child_name")
+    assert walk_edges(roots, edges).selectExpr("max(depth)", "count(*)").first()[:] == (150, 151)
+
+
+def test_edge_walk_of_many_rows(spark):
+    roots = spark.createDataFrame([(1, "r", "root")], "chain_id long, node string, name string")
+    edges = spark.range(1_200_000).selectExpr("'r' parent", "concat('c', id) child", "concat('n', id) child_name")
+    assert walk_edges(roots, edges).count() == 1_200_001
+
+
+def test_edge_walk_refuses_cycles(spark):
+    roots = spark.createDataFrame([(1, "a", "a")], "chain_id long, node string, name string")
+    for rows in ([("a", "b", "b"), ("b", "a", "a")], [("a", "b", "b"), ("b", "c", "c"), ("c", "b", "b")]):
+        with pytest.raises(NotATree):
+            walk_edges(roots, spark.createDataFrame(rows, "parent string, child string, child_name string"))
+
+
+def test_listing(spark):
+    d = docs(spark, json.dumps({"results": [{"url": "https://h.example.com/api/7/"}, {"url": "https://h.example.com/api/8/", "name": "x"}]}),
+             json.dumps({"results": []}), "oops", type_="listing")
+    assert sorted((r.id, r.key) for r in parse_listing(d, keep=("id",)).collect()) == [(0, "7"), (0, "8")]
 
 
 def test_route_unknown_type(spark):
@@ -137,33 +167,21 @@ def test_landing_append_and_dedup(spark):
     land(docs(spark, json.dumps(v2, indent=2)), path, ingest=2)   # multi-line text becomes one line
     landed = read_landing(spark, path, "entity")
     assert landed.count() == 3  # appended, like re-running the original landing
-    typed = read_landing_docs(spark, path, "entity", ENTITY_DOC)
-    good, bad = entities_from_docs(latest_per_key(typed.where("id IS NOT NULL"), ["id"], "ingest"))
-    assert [r.name for r in good.collect()] == ["new"]
-    _, rejected = entities_from_docs(typed)
-    assert [r._corrupt_record for r in rejected.collect()] == ["{broken"]
-    good2, _ = entities_from_docs(latest_version(typed, ["id"], "ingest"), keep=("ingest",))
-    assert [(r.name, r.ingest) for r in good2.collect()] == [("new", 2)]
+    good, bad = split_marked(mark_entities(landed), keep=("ingest",))
+    assert [(r.name, r.ingest) for r in latest_version(good, ["id"], "ingest").collect()] == [("new", 2)]
+    assert [(r.raw, r.reason, r.ingest) for r in bad.collect()] == [("{broken", "does not parse", 1)]
 
 
 def test_json_array_files_and_parquet_roundtrip(spark, tmp_path):
     f = tmp_path / "arr.json"
-    f.write_text(json.dumps([ENT, dict(ENT, id=2, name="b")], indent=2))
-    df = read_json_arrays(spark, str(f), ENTITY_DOC)
-    assert sorted(r.id for r in df.collect()) == [1, 2]
+    f.write_text(json.dumps([ENT, dict(ENT, id=2, name="b"), {"name": "no id"}], indent=2))
+    df, bad = entities_from_docs(read_json_arrays(spark, str(f), ENTITY_DOC))
+    assert sorted(r.id for r in df.collect()) == [1, 2] and [r.reason for r in bad.collect()] == ["no id"]
     root = scratch_path(spark, "test_files")
     publish({"x": df.select("id", "name")}, root)
     assert sorted(r.id for r in read_published(spark, root, "x").collect()) == [1, 2]
 
 
-@pytest.mark.parametrize("depth", [0, 1])
-def test_chain_depth_zero_one(spark, depth):
-    d = docs(spark, json.dumps({"id": 1, "chain": _tree("a")}), type_="chain")
-    good, bad = parse_chains(d, depth=depth)
-    assert good.count() == 1 and bad.count() == 0
-    assert first_branch(good, depth).collect()[0].members == ["a"]
-
-
 def test_scan_local_explicit_schema(spark):
     df = scan_local(spark, [(1, "a", [("hp", 3)], [("t", True)], ["k"])], ENTITY)
     assert df.schema == ENTITY
