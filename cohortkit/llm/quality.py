@@ -185,7 +185,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
               .select(F.col(id_col).alias("__id"), F.col(label_col).cast("double").alias("label"))
               .orderBy(F.xxhash64(F.col("__id").cast("string")), "__id", "label").limit(sample))
     # at most `sample` short rows: bounded, so broadcast
-    rows = docs.join(F.broadcast(chosen), docs[id_col] == chosen["__id"]).select("label", F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).alias("text"))
+    rows = rows.join(F.broadcast(chosen), rows["__doc"] == chosen["__id"]).select("label", "text")
     handle = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

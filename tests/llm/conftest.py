@@ -10,10 +10,11 @@ TEXTS = [None, "", "   \n ", "one", "two words.", "a b c d e f g h i j k l m n o
 
 @pytest.fixture
 def odd_docs(spark):
-    rows = [Row(doc_id=i, text=t, id="x", node=None, n_words=7, hash=i, lang=None) for i, t in enumerate(TEXTS)]
-    rows += [rows[5], Row(doc_id=None, text="no id at all here", id="y", node=1, n_words=None, hash=None, lang="en"),
-             Row(doc_id=None, text=None, id=None, node=None, n_words=None, hash=None, lang=None)]
-    return spark.createDataFrame(rows, "doc_id long, text string, id string, node long, n_words int, hash long, lang string")
+    rows = [Row(doc_id=i, text=t, id="x", node=None, n_words=7, hash=i, lang=None, label=1, score=0.5, spans=[1], u=0) for i, t in enumerate(TEXTS)]
+    rows += [rows[5], Row(doc_id=None, text="no id at all here", id="y", node=1, n_words=None, hash=None, lang="en", label=None, score=None, spans=None, u=None),
+             Row(doc_id=None, text=None, id=None, node=None, n_words=None, hash=None, lang=None, label=0, score=0.0, spans=[], u=1)]
+    return spark.createDataFrame(rows, "doc_id long, text string, id string, node long, n_words int, hash long, lang string, "
+                                 "label int, score double, spans array<int>, u long")
 
 
 @pytest.fixture

@@ -132,7 +132,7 @@ def test_counts_and_cache(spark, odd_docs, no_docs, byte_tok, monkeypatch):
     stored = spark.read.parquet(cache)
     n = odd_docs.selectExpr("coalesce(text, '')").distinct().count()
     assert stored.count() == n and read_cache(spark, cache, tokenizer_version(BYTE)).count() == n
-    more = odd_docs.unionByName(spark.createDataFrame([(99, "a new text", "", 0, 0, 0, "")], odd_docs.schema))
+    more = odd_docs.unionByName(spark.createDataFrame([(99, "a new text", "", 0, 0, 0, "", 0, 0.0, [], 0)], odd_docs.schema))
     assert token_counts(more, BYTE, cache).count() == len(rows) + 1
     assert spark.read.parquet(cache).count() == n + 1  # only the miss was encoded
     token_counts(odd_docs, WORD, cache).count()
