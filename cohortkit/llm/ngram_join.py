@@ -94,8 +94,8 @@ def _shingles(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def profile(rows: DataFrame, size: int) -> DataFrame:
-    """``(id, node, signature)`` per row; ``node`` names the text's shingles
-    and is null where there are none."""
+    """``(id, side, node, signature)`` per row; ``node`` names the text's
+    shingles and is null where there are none."""
     kind = rows.schema["id"].dataType.simpleString()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,10 +104,10 @@ def profile(rows: DataFrame, size: int) -> DataFrame:
             full = np.diff(offsets) > 0
             sig = iter(_signatures(shingles, np.unique(offsets))) if full.any() else iter(())
             raw = [next(sig).tobytes() if f else None for f in full]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(node, mask=~full), pa.array(raw, pa.binary())],
-                                             ["id", "node", "signature"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("side"), pa.array(node, mask=~full), pa.array(raw, pa.binary())],
+                                             ["id", "side", "node", "signature"])
 
-    return rows.mapInArrow(read, f"id {kind}, node long, signature binary")
+    return rows.mapInArrow(read, f"id {kind}, side long, node long, signature binary")
 
 
 def _first_paths(classes: DataFrame, runs: int) -> DataFrame:
@@ -246,7 +246,7 @@ def exact_links(classes: DataFrame, groups: DataFrame, rows: DataFrame, size: in
     spanning links (``v`` given) and the weight of a set's partners (``v`` null)."""
     sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     members, _ = write_table(split_join(groups, sizes, "component").where("members > 1")
-                             .join(classes.select("node", "id", "copies"), "node"), "ngram_members")
+                             .join(classes.select("node", "id", "side", "copies"), "node"), "ngram_members")
     kind = rows.schema["id"].dataType.simpleString()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,10 +259,11 @@ def exact_links(classes: DataFrame, groups: DataFrame, rows: DataFrame, size: in
                 ["node", "found", "component", "copies", "members", "weight", "tokens"])
 
     # texts are shuffled at every size: a small list would be broadcast, a plan that does not last as tables grow
-    texts = rows.hint("merge").join(members.withColumnRenamed("id", "rep"), F.col("id").eqNullSafe(F.col("rep")))
+    members = members.withColumnsRenamed({"id": "rep", "side": "rep_side"})
+    texts = rows.hint("merge").join(members, F.col("id").eqNullSafe(F.col("rep")) & F.col("side").eqNullSafe(F.col("rep_side")))
     full = (texts.select("text", "node", "component", "copies", "members")
             .mapInArrow(sets, "node long, found long, component long, copies long, members long, weight long, tokens binary")
-            .where("node = found").drop("found"))
+            .where("node = found").drop("found").dropDuplicates(["node"]))  # an id may stand on several rows
     full, _ = write_table(full, "ngram_sets")
     heavy = full.groupBy("component").agg(F.sum("weight").alias("total"), F.max("members").alias("k"))
     blocks = heavy.select("component", F.ceil(F.greatest(F.col("k") / BLOCK_SETS, F.col("total") / BLOCK_TOKENS)).cast("int").alias("blocks"), "total")
@@ -280,7 +281,7 @@ def exact_links(classes: DataFrame, groups: DataFrame, rows: DataFrame, size: in
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         u, v, n = [], [], []
         for (_, low, high), own in group.groupby(["component", "low", "high"], sort=True):
-            own = own.drop_duplicates("node").sort_values("node")
+            own = own.sort_values("node")
             tokens = [np.frombuffer(t, np.uint64) for t in own["tokens"]]
             lens = np.array([len(t) for t in tokens], np.float64)
             node, copies, block = (own[c].to_numpy() for c in ("node", "copies", "block"))
@@ -307,9 +308,12 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Jaccard similarity ``threshold`` or more reach, and the number of other
     rows linked directly."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    # rows without an id are told apart by their text
+    rows = rows.withColumn("side", F.when(F.col("id").isNull(), F.xxhash64("text")))
     own, _ = write_table(profile(rows, size), "ngram_profile")
     classes, _ = write_table(own.where("node is not null").groupBy("node").agg(
-        F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("signature").alias("signature")), "ngram_classes")
+        F.min("id").alias("id"), F.when(F.min("id").isNull(), F.min("side")).alias("side"),
+        F.count(F.lit(1)).alias("copies"), F.first("signature").alias("signature")), "ngram_classes")
     groups, _ = write_table(candidate_groups(classes, threshold, target_recall, small, dense), "ngram_groups")
     found, _ = write_table(exact_links(classes, groups, rows, size, threshold), "ngram_found")
     done = label_rows(own, classes, found)

@@ -84,6 +84,18 @@ def test_join_odd_rows(odd_docs, no_docs):
     assert ng.ngram_join(no_docs).count() == 0 and ng.keep_one(no_docs).count() == 0
 
 
+def test_join_without_ids(spark):
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(80)]
+    rows = [(None, " ".join(edited(base, rng, 0.01))) for _ in range(12)] + [(None, " ".join(base))] * 9 + [(7, " ".join(base))]
+    rows += [(8, "x y z a b c"), (8, " ".join(base[::-1])), (9, " ".join(base[::-1]))]
+    got = ng.ngram_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    numbered = brute_join([(k, t) for k, (_, t) in enumerate(rows)])
+    assert sorted(r.n_links for r in got) == sorted(n for _, n in numbered.values())
+    assert {r.class_id for r in got if r.doc_id in (8, 9)} == {8}
+    assert {r.class_id for r in got if r.doc_id is None and r.n_links > 9} == {7}
+
+
 def test_runs_meet_the_recall():
     assert ng.runs_for(0.8, 0.9) < ng.runs_for(0.8, 0.999999) <= 12
     with pytest.raises(ValueError):
