@@ -36,7 +36,8 @@ _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
-REMEMBERED_CHARS = 2_000_000
+#: Ids (and characters of pieces of rarer texts) that one generation remembers: some 30 MB.
+REMEMBERED = 1_200_000
 
 
 def tokenizer_path(name: str) -> str:
@@ -70,11 +71,11 @@ class PieceEncoder:
     what stands between spaces and line ends; else they are those of
     ``SPACED``.  A piece of letters with commas or full stops after it is the
     letters' ids and theirs.  Two generations of pieces are remembered, each of
-    ``remembered`` characters: what is met again moves to the young one.
+    about ``remembered`` ids: what is met again moves to the young one.
     """
 
     def __init__(self, path: str, drops_space: bool = False,
-                 remembered: int = REMEMBERED_CHARS):
+                 remembered: int = REMEMBERED):
         self.tok = load_tokenizer(path)
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.drops_space = drops_space
@@ -199,7 +200,7 @@ class PieceEncoder:
 
     def _slots(self, names: np.ndarray, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Place of every piece in the young store; new ones are encoded."""
-        if self.store.used > 2 * self.most:
+        if self.store.used > self.most:
             self.former, self.store = self.store, PieceStore()
         slots = self.store.find(names)
         lack = np.flatnonzero(slots < 0)
