@@ -23,7 +23,7 @@ _RNG = np.random.default_rng(20240607)
 _BYTE_CODE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
-_SLICE = 1 << 20  # bytes hashed at a time
+_SLICE = 1 << 18  # bytes hashed at a time
 SLICE_BYTES = 4 << 20  # texts handled together, unless one text is longer
 
 
