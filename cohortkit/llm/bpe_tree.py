@@ -139,6 +139,10 @@ class TreeEncoder:
         return out
 
 
+def decoded(ids: np.ndarray, table: list[bytes]) -> str:
+    return b"".join(map(table.__getitem__, ids.tolist())).decode("utf-8", "replace")
+
+
 def _list_array(rows: list[np.ndarray]) -> pa.ListArray:
     ends = np.cumsum([0, *map(len, rows)])
     flat = np.concatenate([*rows, np.zeros(0, np.uint32)]).astype(np.int32)
@@ -146,9 +150,11 @@ def _list_array(rows: list[np.ndarray]) -> pa.ListArray:
 
 
 def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-           leaf_chars: int = LEAF_CHARS, piece_chars: int = PIECE_CHARS) -> DataFrame:
+           leaf_chars: int = LEAF_CHARS, piece_chars: int = PIECE_CHARS, decoded_col: str | None = None) -> DataFrame:
     """``(id, ids)``: the ids of every whole text, as the library gives them
-    without added special tokens, truncation or padding."""
+    without added special tokens, truncation or padding.  With ``decoded_col``
+    the ids are decoded again by the same worker process, into a column of
+    that name (as :func:`decode` does in one of its own)."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     is_long = F.length("text") > piece_chars
@@ -156,8 +162,12 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = TreeEncoder(tokenizer, leaf_chars)
         for batch in small_slices(batches, "text", 1 << 20):
-            yield pa.RecordBatch.from_arrays([batch.column("id"), _list_array(tree.encode(batch.column("text").to_pylist()))],
-                                             ["id", "ids"])
+            found = tree.encode(batch.column("text").to_pylist())
+            columns, names = [batch.column("id"), _list_array(found)], ["id", "ids"]
+            if decoded_col:
+                columns.append(pa.array([decoded(ids, tree.bytes) for ids in found], pa.string()))
+                names.append(decoded_col)
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     def piece(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = TreeEncoder(tokenizer, leaf_chars)
@@ -175,7 +185,7 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     is_cut = is_long
     for content in specials:
         is_cut = is_cut & ~F.contains("text", F.lit(content))
-    whole = rows.where(~is_cut).mapInArrow(short, f"id {kind}, ids array<int>")
+    whole = rows.where(~is_cut).mapInArrow(short, f"id {kind}, ids array<int>" + f", `{decoded_col}` string" * bool(decoded_col))
     long_rows = rows.where(is_cut).withColumn("digest", F.sha2("text", 256))
     n = F.ceil(F.length("text") / piece_chars).cast("int")
     pieces = (long_rows.select("digest", "text").dropDuplicates(["digest"])
@@ -186,6 +196,8 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
                .groupBy("digest").applyInPandas(joined, "digest string, ids array<int>"))
     encoded, _ = write_table(encoded, "bpe_long")
     cut = long_rows.select("id", "digest").join(encoded, "digest").select("id", "ids")
+    if decoded_col:
+        cut = decode(cut, tokenizer, out_col=decoded_col)
     return whole.unionByName(cut).withColumnRenamed("id", id_col)
 
 
@@ -199,11 +211,8 @@ def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids", out_col: st
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = token_bytes(tokenizer)
         for batch in batches:
-            texts = []
-            ids = batch.column(ids_col)
-            for r in range(batch.num_rows):
-                own = ids[r].values
-                texts.append(b"".join(map(table.__getitem__, own.to_numpy().tolist() if own is not None else [])).decode("utf-8", "replace"))
+            rows = [own.values for own in batch.column(ids_col)]
+            texts = [decoded(own.to_numpy(), table) if own is not None else "" for own in rows]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], pa.array(texts, pa.string())],
                                              [*columns, out_col])
 

@@ -60,7 +60,7 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
     path = tokenizer_path("byte_bpe_50k.json")
-    rows = bpe_tree.decode(bpe_tree.encode(docs, path), path)
+    rows = bpe_tree.encode(docs, path, decoded_col="decoded")
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))

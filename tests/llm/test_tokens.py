@@ -90,6 +90,8 @@ def test_bpe_rows(odd_docs, no_docs, byte_tok):
     key = lambda i, t: (i is None, i or 0, t)
     assert sorted((key(r.doc_id, r.decoded), list(r.ids)) for r in rows) == sorted(
         (key(r.doc_id, r.text or ""), whole(byte_tok, r.text or "")) for r in source)
+    both = bpe_tree.encode(odd_docs, BYTE, piece_chars=1000, leaf_chars=100, decoded_col="decoded").collect()
+    assert sorted(map(str, both)) == sorted(map(str, rows))
     assert bpe_tree.encode(no_docs, BYTE).count() == 0
 
 
