@@ -1,4 +1,4 @@
-"""Execute registered queries and summarize their final physical plans.
+"""Execute the registered core queries and summarize their final physical plans.
 
 Usage: python plan_report.py [sf_dir] [query ...]  -> writes PLANS.md
 For each query: shuffles, join strategies, aggregates, windows, and every
@@ -13,7 +13,7 @@ import sys
 import time
 from collections import Counter
 
-from __spark_entry__ import queries
+from cohortkit.plans.queries import QUERIES
 from cohortkit.session import local_session
 
 OPS = [
@@ -63,7 +63,7 @@ def main() -> None:
            "nodes of the executed query (sub-queries and written intermediates included "
            "only where they are part of the returned plan). AQE turns sort-merge joins into "
            "broadcast joins only when a side's measured size is small, as here.\n"]
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         if only and name not in only:
             continue
         df = fn(spark, sf)
