@@ -120,15 +120,14 @@ def _unit_vectors(weights: DataFrame, carry: Sequence[str], key_cols: Sequence[s
 
 
 def _dot(a_t: Column, a_u: Column, b_t: Column, b_u: Column) -> Column:
-    """Dot product of two sparse unit vectors (tags unique): after sorting the
-    concatenation, shared tags are neighbours."""
+    """Dot product of two sparse unit vectors (tags unique): the shared tags by
+    a hash intersection, then their weights by position.  One form for all
+    lengths; sorting the concatenated vectors instead took several times as
+    long on candidates that share few tags, which most do."""
     zero = F.lit(0.0).cast("double")
-    both = F.array_sort(F.concat(F.arrays_zip(a_t.alias("tag"), a_u.alias("u")),
-                                 F.arrays_zip(b_t.alias("tag"), b_u.alias("u"))))
-    n = F.size(both)
-    prods = F.zip_with(F.slice(both, 1, n - 1), F.slice(both, 2, n - 1),
-                       lambda x, y: F.when(x["tag"] == y["tag"], x["u"] * y["u"]).otherwise(zero))
-    return F.aggregate(prods, zero, lambda acc, v: acc + v)
+    return F.aggregate(F.array_intersect(a_t, b_t), zero, lambda acc, t: acc
+                       + F.element_at(a_u, F.array_position(a_t, t).cast("int"))
+                       * F.element_at(b_u, F.array_position(b_t, t).cast("int")))
 
 
 def _prefix_candidates(vectors: DataFrame, block_size: int) -> DataFrame:
