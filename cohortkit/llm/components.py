@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.llm.tables import split_join, write_table
+from cohortkit.llm.tables import split_join, write_seen
 from cohortkit.session import drop_path
 
 
@@ -34,14 +34,12 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
     edges with a null end are left out."""
     edges = edges.select(F.col(u).alias("u"), F.col(v).alias("v")).where("u is not null and v is not null")
     loops = edges.where("u = v").select("u").distinct()
-    edges, path = write_table(_small_star(edges), "components")
+    seen = {"n": F.count(F.lit(1)), "s": F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))}
+    edges, path, mark = write_seen(_small_star(edges), "components", **seen)
     edge_paths, before = [path], None
-    while True:
-        mark = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if mark == before or not mark.n:
-            break
+    while mark != before and mark["n"]:
         before = mark
-        edges, path = write_table(_small_star(_large_star(edges)), "components")
+        edges, path, mark = write_seen(_small_star(_large_star(edges)), "components", **seen)
         edge_paths.append(path)
         if len(edge_paths) > 2:
             drop_path(edges.sparkSession, edge_paths.pop(0))

@@ -11,11 +11,11 @@ from cohortkit.llm.tables import split_join, write_table
 
 
 def spanning_links(group: np.ndarray, alike) -> tuple[np.ndarray, np.ndarray]:
-    """Row pairs that span the similar rows of each group; rows come sorted by
-    group.  ``alike(i, j)`` tells which of the given row pairs are similar;
-    pairs that are connected already are not asked for."""
+    """Row pairs that span the similar rows of each group, as stars around the
+    first row of what hangs together; rows come sorted by group.  ``alike(i, j)``
+    tells which of the given row pairs are similar; pairs that are connected
+    already are not asked for."""
     label = np.arange(len(group))
-    left, right = [], []
     for d in range(1, len(group)):
         i = np.flatnonzero(group[:-d] == group[d:])
         if not len(i):
@@ -25,10 +25,9 @@ def spanning_links(group: np.ndarray, alike) -> tuple[np.ndarray, np.ndarray]:
         for a in i.tolist():
             x, y = label[a], label[a + d]
             if x != y:
-                left.append(a)
-                right.append(a + d)
                 label[label == max(x, y)] = min(x, y)
-    return np.array(left, np.int64), np.array(right, np.int64)
+    rest = np.flatnonzero(label != np.arange(len(group)))
+    return label[rest], rest
 
 
 def label_rows(own: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:

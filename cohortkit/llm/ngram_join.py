@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from cohortkit.llm.components import connected_components
 from cohortkit.llm.links import label_rows, spanning_links
-from cohortkit.llm.tables import split_join, write_table
+from cohortkit.llm.tables import split_join, write_seen, write_table
 from cohortkit.llm.text import mix, shingle_hashes, small_slices, words_of
 
 SHINGLE = 5
@@ -188,8 +188,9 @@ def candidate_groups(classes: DataFrame, threshold: float, target: float, small:
     links, branch = [], branches_for(threshold)
     rows = _sized(_first_paths(classes, runs_for(threshold, target)))
     for level in range(LEVELS + 1):
-        rows, _ = write_table(rows.select("path", "node", F.col("size").alias("m")), "ngram_level")
-        n_small, n_large = rows.agg(F.count(F.when(F.col("m") <= small, 1)), F.count(F.when(F.col("m") > small, 1))).first()
+        rows, _, seen = write_seen(rows.select("path", "node", F.col("size").alias("m")), "ngram_level",
+                                   small=F.count(F.when(F.col("m") <= small, 1)), large=F.count(F.when(F.col("m") > small, 1)))
+        n_small, n_large = seen["small"], seen["large"]
         if n_small:
             found = _bucket_links(rows.where(F.col("m") <= small).join(sketches, "node"), n_small, least_equal)
             links.append(write_table(found, "ngram_links")[0])

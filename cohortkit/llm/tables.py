@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cohortkit.session import scratch_path
@@ -17,6 +17,13 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite") -> tuple[Data
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def write_seen(df: DataFrame, name: str, **seen: Column) -> tuple[DataFrame, str, dict]:
+    """As :func:`write_table`, with aggregates taken while the rows are written."""
+    watch = Observation()
+    table, path = write_table(df.observe(watch, *[c.alias(k) for k, c in seen.items()]), name)
+    return table, path, watch.get
+
+
 def split_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join rows to an aggregate by the same key, so that Spark can split a hot
     key of ``left``.  It splits joins of two plain shuffles only, and an
