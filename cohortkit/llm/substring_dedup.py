@@ -112,10 +112,13 @@ def repeated_runs(rows: DataFrame, limits: tuple[int, int, int]) -> DataFrame:
                               .where("n > 1").select("hash"), "span_repeated")
     spots, _ = write_table(sentence_runs(rows, limits).join(repeated, "hash"), "span_spots")
     owner = spots.groupBy("hash").agg(F.min("id").alias("id"))
-    first = spots.join(owner, ["hash", "id"]).groupBy("hash", "id").agg(F.min("a").alias("a"))
-    first, _ = write_table(first.select("hash", F.col("id").alias("first_id"), F.col("a").alias("first_a")), "span_first")
-    later = spots.join(first, "hash").where("not (id = first_id and a = first_a)")
-    return later.groupBy("id").agg(F.collect_list(F.struct("a", "b", "hash")).alias("spans"))
+    first = spots.join(owner, ["hash", "id"]).groupBy("hash", "id").agg(F.min(F.struct("a", "b")).alias("at"))
+    firsts = first.groupBy("id").agg(F.collect_list(F.struct("at.a", "at.b", "hash")).alias("firsts"))
+    # the runs of a text, at most two a sentence, without those it is the first to have
+    spans = spots.groupBy("id").agg(F.collect_set(F.struct("a", "b", "hash")).alias("spans"))
+    later = spans.join(firsts, "id", "left").select("id", F.when(F.col("firsts").isNull(), F.col("spans")).otherwise(
+        F.array_except("spans", "firsts")).alias("spans"))
+    return later.where(F.size("spans") > 0)
 
 
 def _without(rows: DataFrame, text_col: str, spans_col: str, columns: list[str], out: T.StructType,
