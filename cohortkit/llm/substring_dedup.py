@@ -1,4 +1,4 @@
-"""Exact substring deduplication over sliding runs of sentences.
+"""Exact substring deduplication over sliding runs of sentences and of words.
 
 A sentence ends at a line end, or at ``.``, ``!`` or ``?`` before white space;
 what holds no word belongs to the sentence before it.  From every sentence the
@@ -6,14 +6,20 @@ shortest run forward, and to every sentence the shortest run backward, that is
 long enough is hashed over its words: at least ``sentences`` sentences and
 ``words`` words, or ``words_alone`` words however few the sentences are.  A
 passage that is long enough is thus covered to its first and last sentence by
-runs inside it.  Runs are joined globally by hash; the first occurrence (least
-id, then position) stays, and every sentence covered by another occurrence of a
-repeated run is removed.
+runs inside it.  A passage of ``passage`` words or more counts wherever it
+starts and ends: each of its windows of so many words is a run too, unless all
+its words go with runs of sentences.  Runs are joined globally by hash; the first occurrence (least id, then position) stays,
+and every word covered by another occurrence of a repeated run is removed.  A
+sentence without words left goes with its bytes; of any other the words go with
+what stands between them and the next word.  (Fewer than ``CHANCE`` words, one that
+is, that windows add at one end of whole sentences stay.)
 
 Only hashes are counted at first (combined before the shuffle); positions are
-gathered for repeated hashes alone.  Joins are on hashes, which Spark splits
-where one is hot.  Every removal carries its hash and is checked against the
-text it is applied to.
+gathered for repeated hashes alone.  Windows are counted by their seeds, the
+least hash of fewer words in each window: equal windows have equal seeds, one
+seed serves many windows, and only windows whose seed is repeated are hashed.
+Joins are on hashes, which Spark splits where one is hot.  Every removal carries
+its hash and is checked against the text it is applied to.
 
 Defined results: texts without words, and null texts, have no sentences and
 stay as they are; rows with a null id take no part and stay; rows that repeat
@@ -37,11 +43,14 @@ from cohortkit.llm.text import Words, mix, sequence_hashes, small_slices, words_
 SENTENCES = 3
 WORDS = 12
 WORDS_ALONE = 40
+PASSAGE = 51
+CHANCE = 2
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _STOP = np.zeros(256, bool)
 _STOP[[33, 46, 63]] = True
+_SEED = np.uint64(0xA0761D6478BD642F)  # keeps the hashes of seeds apart from those of runs
 
 
 class Sentences:
@@ -85,21 +94,52 @@ class Sentences:
         a, b = both // (n + 1), both % (n + 1)
         return text[a], a, b
 
-    def hashes(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return sequence_hashes(self.words.hashes(), self.word[a], self.word[b]).view(np.int64)
+
+def least_of(x: np.ndarray, size: int) -> np.ndarray:
+    """The least of every ``size`` values in a row."""
+    done = 1
+    while done < size:
+        step = min(done, size - done)
+        x = np.minimum(x[:-step], x[step:])
+        done += step
+    return x
+
+
+def windows(words: Words, word_hash: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """First word and seed of every window of ``size`` words."""
+    first, gram = words.first, max(1, 2 * size // 5)
+    n = len(word_hash)
+    if n < size:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.arange(n - gram + 1)
+    seed = least_of(mix(sequence_hashes(word_hash, at, at + gram) ^ _SEED), size - gram + 1).view(np.int64)
+    start = np.arange(n - size + 1)
+    start = start[start + size <= first[np.searchsorted(first, start, side="right")]]
+    return start, seed[start]
+
+
+def seeds(start: np.ndarray, seed: np.ndarray, size: int) -> np.ndarray:
+    """Which windows to count: one of all neighbours with one seed, and more
+    where there are too many for one place of it."""
+    new = np.ones(len(start), bool)
+    new[1:] = (start[1:] != start[:-1] + 1) | (seed[1:] != seed[:-1])
+    head = np.flatnonzero(new)
+    since = np.arange(len(start)) - np.repeat(head, np.diff(np.append(head, len(start))))
+    return np.flatnonzero(since % (size - max(1, 2 * size // 5) + 1) == 0)
 
 
 def sentence_runs(rows: DataFrame, limits: tuple[int, int, int]) -> DataFrame:
-    """``(hash, id, a, b)``: every run, by sentence numbers within its text."""
+    """``(hash, id, a, b)``: every run, by word numbers within its text."""
     kind = rows.schema["id"].dataType.simpleString()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_slices(batches, "text", 1 << 20):
-            found = Sentences(words_of(batch.column("text")))
+            words = words_of(batch.column("text"))
+            found = Sentences(words)
             text, a, b = found.spans(*limits)
-            base = found.first[text]
+            a, b, base = found.word[a], found.word[b], words.first[text]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found.hashes(a, b)), batch.column("id").take(pa.array(text)),
+                [pa.array(sequence_hashes(words.hashes(), a, b).view(np.int64)), batch.column("id").take(pa.array(text)),
                  pa.array((a - base).astype(np.int32)), pa.array((b - base).astype(np.int32))], ["hash", "id", "a", "b"])
 
     return rows.mapInArrow(read, f"hash long, id {kind}, a int, b int")
@@ -121,30 +161,127 @@ def repeated_runs(rows: DataFrame, limits: tuple[int, int, int]) -> DataFrame:
     return later.where(F.size("spans") > 0)
 
 
-def _without(rows: DataFrame, text_col: str, spans_col: str, columns: list[str], out: T.StructType,
+def live_windows(batch: pa.RecordBatch, size: int) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
+    """The words and their hashes, and first word and seed of the windows that
+    do not lose all their words to the ``spans`` of their row."""
+    words = words_of(batch.column("text"))
+    word_hash = words.hashes()
+    start, seed = windows(words, word_hash, size)
+    a, b = verified(words, word_hash, [[(s["a"], s["b"], s["hash"]) for s in own or ()] for own in batch.column("spans").to_pylist()])
+    lost = np.concatenate([[0], np.cumsum(covered(len(word_hash), a, b))])
+    live = lost[start + size] - lost[start] < size
+    return words, word_hash, start[live], seed[live]
+
+
+def repeated_windows(rows: DataFrame, size: int) -> DataFrame:
+    """``(id, windows, firsts)`` of ``(id, text, spans)``: the windows of each
+    text whose seed is repeated, as ``(a, hash)``, and those of them that are
+    the first of their hash.  What goes with its sentences counts no more."""
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_slices(batches, "text", 1 << 20):
+            words, _, start, seed = live_windows(batch, size)
+            one = seeds(start, seed, size)
+            text = np.searchsorted(words.first, start[one], side="right") - 1
+            yield pa.RecordBatch.from_arrays([pa.array(seed[one]), batch.column("id").take(pa.array(text))], ["seed", "id"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_slices(batches, "text", 1 << 20):
+            words, word_hash, start, seed = live_windows(batch, size)
+            edge, keep = np.searchsorted(start, words.first), np.zeros(len(start), bool)
+            for i, own in enumerate(batch.column("seeds")):
+                keep[edge[i]:edge[i + 1]] = np.isin(seed[edge[i]:edge[i + 1]], own.values.to_numpy(zero_copy_only=False))
+            start = start[keep]
+            text = np.searchsorted(words.first, start, side="right") - 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(sequence_hashes(word_hash, start, start + size).view(np.int64)), batch.column("id").take(pa.array(text)),
+                 pa.array((start - words.first[text]).astype(np.int32))], ["hash", "id", "a"])
+
+    seen, _ = write_table(rows.mapInArrow(count, f"seed long, id {kind}"), "span_seeds")
+    repeated = seen.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("seed")
+    found = seen.join(repeated, "seed").groupBy("id").agg(F.collect_set("seed").alias("seeds"))
+    spots, _ = write_table(rows.join(found, "id").mapInArrow(read, f"hash long, id {kind}, a int"), "span_windows")
+    first = spots.groupBy("hash").agg(F.min(F.struct("id", "a")).alias("at"))
+    firsts = first.groupBy(F.col("at.id").alias("id")).agg(F.collect_list(F.struct("at.a", "hash")).alias("firsts"))
+    return (spots.groupBy("id").agg(F.collect_set(F.struct("a", "hash")).alias("windows"))
+            .join(firsts, "id", "left"))
+
+
+def covered(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of ``n`` words the runs ``a:b`` cover."""
+    mark = np.zeros(n + 1, np.int64)
+    np.add.at(mark, a, 1)
+    np.add.at(mark, b, -1)
+    return np.cumsum(mark[:-1]) > 0
+
+
+def verified(words: Words, word_hash: np.ndarray, spans: list[list[tuple[int, int, int]]]) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``(a, b, hash)`` of each text that stand there, by word
+    positions of the batch."""
+    count = words.counts()
+    listed = sorted((i, a, b, h) for i, own in enumerate(spans) for a, b, h in own if b <= count[i])
+    if not listed:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    i, a, b, hashes = (np.array(x, np.int64) for x in zip(*listed, strict=True))
+    a, b = a + words.first[i], b + words.first[i]
+    same = sequence_hashes(word_hash, a, b).view(np.int64) == hashes
+    return a[same], b[same]
+
+
+def _lost_words(word: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which words go for the runs ``a:b``.  Fewer than ``CHANCE`` words that
+    a window adds before or after whole sentences stay: any two places of a
+    passage may have the next word in common by chance."""
+    own = np.isin(a, word) & np.isin(b, word)
+    whole, lost = covered(word[-1], a[own], b[own]), covered(word[-1], a, b)
+    turn = np.flatnonzero(np.diff(np.concatenate([[0], (lost & ~whole).view(np.int8), [0]])))
+    s, e = turn[::2], turn[1::2]
+    beside = np.concatenate([[False], whole, [False]])
+    edge = (beside[s] != beside[e + 1]) & (e - s < CHANCE)
+    for x, y in zip(s[edge].tolist(), e[edge].tolist(), strict=True):
+        lost[x:y] = False
+    return lost
+
+
+def _lost_bytes(found: Sentences, lo: int, hi: int, at: int, size: int, lost: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """Which of the ``size`` bytes of one text go, its sentences being
+    ``lo:hi`` and ``at`` its first byte."""
+    words, out = found.words, np.zeros(size, bool)
+    edge = np.append(found.byte[lo:hi] - at, size).tolist()
+    any_lost = np.logical_or.reduceat(lost, found.word[lo:hi])
+    for k in (lo + np.flatnonzero(any_lost)).tolist():
+        if gone[k]:
+            out[edge[k - lo]:edge[k - lo + 1]] = True
+            continue
+        first, last = int(found.word[k]), int(found.word[k + 1])
+        turn = first + np.flatnonzero(np.diff(np.concatenate([[0], lost[first:last].view(np.int8), [0]])))
+        for s, e in zip(turn[::2].tolist(), turn[1::2].tolist(), strict=True):
+            out[words.start[s] - at:(words.start[e] if e < last else words.end[e - 1]) - at] = True
+    return out
+
+
+def _without(rows: DataFrame, text_col: str, passage: int, columns: list[str], out: T.StructType,
              drop_emptied: bool = False) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_slices(batches, text_col, 1 << 20):
-            found = Sentences(words_of(batch.column(text_col)))
-            texts, spans = batch.column(text_col).to_pylist(), batch.column(spans_col).to_pylist()
-            count = np.diff(found.first)
+            words = words_of(batch.column(text_col))
+            found = Sentences(words)
+            texts, count = batch.column(text_col).to_pylist(), np.diff(found.first)
             removed = np.zeros(len(count), np.int64)
-            listed = sorted((i, s["a"], s["b"], s["hash"]) for i, own in enumerate(spans) for s in own or () if s["b"] <= count[i])
-            gone = np.zeros(len(found.word) - 1, bool)
-            if listed:
-                i, a, b, hashes = (np.array(x, np.int64) for x in zip(*listed, strict=True))
-                a, b = a + found.first[i], b + found.first[i]
-                same = found.hashes(a, b) == hashes
-                mark = np.zeros(len(found.word), np.int64)
-                np.add.at(mark, a[same], 1)
-                np.add.at(mark, b[same], -1)
-                gone = np.cumsum(mark[:-1]) > 0
-            for i in np.unique(np.repeat(np.arange(len(count)), count)[gone]).tolist():
-                raw, at = texts[i].encode(), int(found.words.at[i])
-                edge = np.append(found.byte[found.first[i]:found.first[i + 1]] - at, len(raw)).tolist()
-                own = gone[found.first[i]:found.first[i + 1]]
-                removed[i] = own.sum()
-                texts[i] = b"".join(raw[edge[k]:edge[k + 1]] for k in np.flatnonzero(~own).tolist()).decode()
+            spans = [[(s["a"], s["b"], s["hash"]) for s in own or ()] for own in batch.column("__spans").to_pylist()]
+            for own, wins, firsts in zip(spans, batch.column("__windows").to_pylist(), batch.column("__firsts").to_pylist(), strict=True):
+                stay = {(s["a"], s["hash"]) for s in firsts or ()}
+                own += [(s["a"], s["a"] + passage, s["hash"]) for s in wins or () if (s["a"], s["hash"]) not in stay]
+            a, b = verified(words, words.hashes(), spans)
+            if len(a):
+                lost = _lost_words(found.word, a, b)
+                gone = np.diff(np.concatenate([[0], np.cumsum(lost)])[found.word]) == np.diff(found.word)
+                for i in np.unique(np.searchsorted(words.first, a, side="right") - 1).tolist():
+                    raw, at = np.frombuffer(texts[i].encode(), np.uint8), int(words.at[i])
+                    lo, hi = int(found.first[i]), int(found.first[i + 1])
+                    removed[i] = gone[lo:hi].sum()
+                    texts[i] = raw[~_lost_bytes(found, lo, hi, at, len(raw), lost, gone)].tobytes().decode()
             made = {text_col: pa.array(texts, pa.string()), "n_sentences": pa.array(count, pa.int64()), "n_removed": pa.array(removed)}
             names = out.fieldNames()
             made = pa.RecordBatch.from_arrays([made[c] if c in made and (c == text_col or c not in columns) else batch.column(c) for c in names], names)
@@ -153,25 +290,29 @@ def _without(rows: DataFrame, text_col: str, spans_col: str, columns: list[str],
     return rows.mapInArrow(cut, out)
 
 
-def _marked(docs: DataFrame, id_col: str, text_col: str, limits: tuple[int, int, int]) -> DataFrame:
+def _marked(docs: DataFrame, id_col: str, text_col: str, limits: tuple[int, int, int, int]) -> DataFrame:
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    spans, _ = write_table(repeated_runs(rows, limits).select(F.col("id").alias("__span_id"), F.col("spans").alias("__spans")), "span_lists")
-    return docs.join(spans, docs[id_col] == spans["__span_id"], "left").drop("__span_id")
+    spans, _ = write_table(repeated_runs(rows, limits[:3]), "span_lists")
+    more, _ = write_table(repeated_windows(rows.join(spans, "id", "left"), limits[3]), "window_lists")
+    spans, more = (t.select(*[F.col(c).alias(f"__{c}") for c in t.columns]) for t in (spans, more))
+    return (docs.join(spans, docs[id_col] == spans["__id"], "left").drop("__id")
+            .join(more, docs[id_col] == more["__id"], "left").drop("__id"))
 
 
 def substring_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sentences: int = SENTENCES,
-                     words: int = WORDS, words_alone: int = WORDS_ALONE) -> DataFrame:
-    """``(id, n_sentences, n_removed, text)`` per document, ``text`` being
-    what is left."""
-    marked = _marked(docs.select(id_col, text_col), id_col, text_col, (sentences, words, words_alone))
+                     words: int = WORDS, words_alone: int = WORDS_ALONE, passage: int = PASSAGE) -> DataFrame:
+    """``(id, n_sentences, n_removed, text)`` per document, ``n_removed`` being
+    the sentences that went whole and ``text`` what is left."""
+    marked = _marked(docs.select(id_col, text_col), id_col, text_col, (sentences, words, words_alone, passage))
     out = T.StructType([docs.schema[id_col], T.StructField("n_sentences", T.LongType()),
                         T.StructField("n_removed", T.LongType()), T.StructField(text_col, T.StringType())])
-    return _without(marked, text_col, "__spans", [id_col], out)
+    return _without(marked, text_col, passage, [id_col], out)
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sentences: int = SENTENCES,
-                    words: int = WORDS, words_alone: int = WORDS_ALONE, drop_emptied: bool = True) -> DataFrame:
-    """The documents, same columns, without sentences of repeated runs.  With
+                    words: int = WORDS, words_alone: int = WORDS_ALONE, drop_emptied: bool = True,
+                    passage: int = PASSAGE) -> DataFrame:
+    """The documents, same columns, without the words of repeated runs.  With
     ``drop_emptied`` a document that loses its every sentence goes."""
-    marked = _marked(docs, id_col, text_col, (sentences, words, words_alone))
-    return _without(marked, text_col, "__spans", docs.columns, docs.schema, drop_emptied)
+    marked = _marked(docs, id_col, text_col, (sentences, words, words_alone, passage))
+    return _without(marked, text_col, passage, docs.columns, docs.schema, drop_emptied)

@@ -221,6 +221,34 @@ def test_long_passage_goes_whole_and_only_it(spark):
     assert all(got[i] == rows[i][1].replace(passage, "") for i in range(1, 5))
 
 
+def brute_left(docs, size=51):
+    """The words left of each text by the rule of windows alone."""
+    seen, lost = {}, set()
+    for i, text in docs:
+        own = brute_words(text)
+        for k in range(len(own) - size + 1):
+            if seen.setdefault(tuple(own[k:k + size]), (i, k)) != (i, k):
+                lost |= {(i, j) for j in range(k, k + size)}
+    return {i: [w for k, w in enumerate(brute_words(t)) if (i, k) not in lost] for i, t in docs}
+
+
+def test_passages_inside_sentences_go_whole(spark):
+    """Passages of 50 to 130 words that no sentence starts or ends with."""
+    rng = random.Random(4)
+    say = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passages = [say(51), say(90), f'{say(20)}." {say(33)}', f"{say(25)}. {say(12)} (é{say(30)}.) {say(60)}", " ".join([say(17)] * 6)]
+    almost = say(50)
+    rows = []
+    for i in range(40):
+        inside = rng.sample([*passages, almost], rng.randrange(1, 4))
+        rows.append((i, f"{say(30)}, " + "".join(f"{p} {say(rng.randrange(1, 45))}; {say(5)} " for p in inside) + "end."))
+    got = {r.doc_id: r for r in sub.substring_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: brute_words(r.text) for i, r in got.items()} == brute_left(rows)
+    for p in passages[:4]:
+        assert sum(p in r.text for r in got.values()) == 1
+    assert sum(almost in r.text for r in got.values()) == sum(almost in t for _, t in rows) > 1
+
+
 def test_substring_odd_rows(odd_docs, no_docs):
     report = {r.doc_id: r for r in sub.substring_report(odd_docs).collect() if r.doc_id is not None}
     assert report[5].n_removed == 0 and report[9].n_removed == report[9].n_sentences == 1 or report[9].n_removed == 0
