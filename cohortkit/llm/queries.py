@@ -11,13 +11,16 @@ from cohortkit.llm import bpe_tree
 from cohortkit.llm.chat_format import END, START, format_records, read_conversations
 from cohortkit.llm.decontaminate import contamination
 from cohortkit.llm.embedding_dedup import embedding_dedup
+from cohortkit.llm.hard_negatives import hard_negatives
 from cohortkit.llm.license_scan import license_scan
 from cohortkit.llm.ngram_join import ngram_join
 from cohortkit.llm.quality import quality_scores
+from cohortkit.llm.source_divergence import source_divergence
 from cohortkit.llm.substring_dedup import substring_report
 from cohortkit.llm.token_counts import token_counts
 from cohortkit.llm.token_files import read_token_files, write_token_files
 from cohortkit.llm.tokenizing import tokenizer_path
+from cohortkit.llm.toxicity import toxicity_scores
 from cohortkit.session import scratch_path
 
 
@@ -88,6 +91,20 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_report(_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", label))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(_table(spark, sf_dir, "documents"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_license_scan": op2_license_scan,
@@ -99,6 +116,9 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_token_counts": op9_token_counts,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_toxicity": op13_toxicity,
 }
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -157,4 +177,37 @@ own as (select r, count(*) n_items, string_agg(item_id, ',' order by item_id) id
 select doc_id, len(w)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coalesce(n_items, 0)::bigint n_items,
     sha256(coalesce(ids, '')) items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) contaminated
 from docs left join pos using (r) left join own using (r)""",
+    "op11_hard_negatives": """
+with v as (select row_number() over () r, vec_id, if(vec_id % 7 = 0, (label + 1) % 10, label) label,
+    [floor(256 * x::double) for x in embedding] q from embeddings
+    where label is not null and embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+score as (select a.r ar, a.vec_id aid, v.r, v.vec_id, a.label = v.label same,
+    list_inner_product(a.q, v.q)::bigint s
+    from v a join v on a.r <> v.r and len(a.q) = len(v.q) where a.vec_id % 100 = 0),
+pos as (select * from score where same qualify row_number() over (partition by ar order by s desc, vec_id nulls last) <= 5)
+select p.aid anchor_id, p.vec_id positive_id, row_number() over (partition by p.ar, p.r order by n.s desc, n.vec_id nulls last)::int rank,
+    n.vec_id negative_id, p.s positive_score, n.s negative_score
+from pos p join score n on n.ar = p.ar and not n.same and 80 * p.s <= 100 * n.s and n.s <= p.s
+qualify row_number() over (partition by p.ar, p.r order by n.s desc, n.vec_id nulls last) <= 5""",
+    "op12_source_divergence": r"""
+with docs as (select row_number() over () r, coalesce(lang, '') lang, coalesce(source, '') source, coalesce(text, '') text from documents),
+word as (select r, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) term from docs),
+kept as (select lang, term, count(*)::hugeint n from word group by all having count(distinct r) >= 3),
+own as (select lang, source, term, count(*)::hugeint n from word semi join kept using (lang, term) group by all),
+grp as (select distinct lang, source from docs),
+v as (select lang, count(*) v, sum(n)::hugeint n from kept group by lang),
+total as (select lang, source, sum(n)::hugeint n from own group by all),
+share as (select g.lang, g.source, k.term, coalesce(o.n, 0) n, 1 + 1000000000 * (coalesce(o.n, 0) + 1) // (coalesce(t.n, 0) + v.v) p,
+    1 + 1000000000 * (k.n + 1) // (v.n + v.v) q
+    from grp g join kept k using (lang) join v using (lang) left join total t on t.lang = g.lang and t.source = g.source
+    left join own o on o.lang = g.lang and o.source = g.source and o.term = k.term),
+pair as (select a.lang, a.source, b.source item, sum((a.p - b.p) * (a.p - b.p) // b.p)::bigint f
+    from share a join share b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+every as (select a.lang, a.source, b.source item, coalesce(f, 0) f from grp a join grp b on a.lang = b.lang and a.source <> b.source
+    left join pair p on p.lang = a.lang and p.source = a.source and p.item = b.source),
+term as (select lang, source, term item, ((p - q) * (p - q) // q)::bigint f from share where n > 0 and p > q)
+select lang, source, 'pair' part, item, f::bigint "value", row_number() over (partition by lang, source order by f desc, item)::int rank from every
+union all select * from (select lang, source, 'term' part, item, f "value", row_number() over (partition by lang, source order by f desc, item)::int rank from term)
+where rank <= 200""",
 }
