@@ -1,10 +1,12 @@
 """Hand-made JSON documents: parse, reject, route, chains, landing."""
 
 import json
+import random
 
 import pytest
 
-from cohortkit.operators.chains import NotATree, all_members, first_branch, walk_edges
+from cohortkit.operators import chains
+from cohortkit.operators.chains import NotATree, all_members, first_branch, top_ancestors, walk_edges
 from cohortkit.schemas import COHORT_MEMBERS_KEY as MEMBERS
 from cohortkit.schemas import ENTITY, ENTITY_DOC
 from cohortkit.session import scratch_path
@@ -22,6 +24,7 @@ from cohortkit.sources.documents import (
 from cohortkit.sources.files import (
     land,
     latest_version,
+    materialize,
     publish,
     read_json_arrays,
     read_landing,
@@ -113,7 +116,7 @@ def test_chain_node_without_key_stops_walk(spark):
     assert first_branch(good).collect()[0].members == ["a"]
 
 
-@pytest.mark.parametrize("depth", [0, 1, 12, 40])
+@pytest.mark.parametrize("depth", [0, 1, 15, 16, 40])
 def test_chain_documents_of_any_depth(spark, depth):
     tree = _tree(f"n{depth}")
     for d in range(depth - 1, -1, -1):
@@ -125,10 +128,43 @@ def test_chain_documents_of_any_depth(spark, depth):
     assert [r.member for r in all_members(good).orderBy("depth").collect()] == want
 
 
-def test_edge_walk_of_150_levels(spark):
-    roots = spark.createDataFrame([(1, "0", "n0")], "chain_id long, node string, name string")
-    edges = spark.range(150).selectExpr("cast(id as string) parent", "cast(id + 1 as string) child", "concat('n', id + 1) child_name")
-    assert walk_edges(roots, edges).selectExpr("max(depth)", "count(*)").first()[:] == (150, 151)
+def test_chain_documents_take_one_table_for_many_levels(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(chains, "materialize", lambda df, path: written.append(path) or materialize(df, path))
+    tree = _tree("n", *[_tree(f"a{k}", *[_tree(f"b{k}{j}", _tree("c")) for j in range(3)]) for k in range(4)])
+    good, _ = parse_chains(docs(spark, json.dumps({"id": 1, "chain": tree}), type_="chain"))
+    assert all_members(good).count() == 1 + 4 + 12 + 12 and len(written) == 1
+
+
+def test_edge_walk_of_10000_levels(spark, monkeypatch):
+    """Beside the deep line, branches off it, a tree without a root and a short one."""
+    written = []
+    monkeypatch.setattr(chains, "materialize", lambda df, path: written.append(path) or materialize(df, path))
+    rng = random.Random(7)
+    parent = {f"d{k}": f"d{k - 1}" for k in range(1, 10_001)}
+    parent |= {f"b{k}": rng.choice([f"d{rng.randrange(10_001)}", f"b{rng.randrange(k)}" if k else "d0"]) for k in range(2000)}
+    parent |= {"x1": "x0", "x2": "x1", "s1": "s0", "s2": "s0"}
+    roots = spark.createDataFrame([(1, "d0", "D"), (2, "s0", "S"), (3, "alone", "A"), (4, "s0", "S again")], "chain_id long, node string, name string")
+    edges = spark.createDataFrame([(p, c, c.upper()) for c, p in parent.items()], "parent string, child string, child_name string")
+    got = sorted(tuple(r) for r in walk_edges(roots, edges).collect())
+    depth = {"d0": 0, "s0": 0, "x0": 0}
+    top = {"d0": "d0", "s0": "s0", "x0": "x0"}
+    for c in parent:
+        line = []
+        while c not in depth:
+            line.append(c)
+            c = parent[c]
+        for k, n in enumerate(reversed(line)):
+            depth[n], top[n] = depth[c] + k + 1, top[c]
+    want = [(i, c.upper(), depth[c]) for i, r in ((1, "d0"), (2, "s0"), (4, "s0")) for c in parent if top[c] == r]
+    assert got == sorted(want + [(1, "D", 0), (2, "S", 0), (3, "A", 0), (4, "S again", 0)])
+    assert len(written) <= 16  # one job each, beside the check of the edges and their count
+
+
+def test_edge_walk_to_a_hot_ancestor(spark):
+    edges = materialize(spark.range(100).selectExpr("'r' parent", "cast(id as string) child"), scratch_path(spark, "test"))
+    tops = top_ancestors(edges)
+    assert tops.select("top").distinct().collect()[0].top == "r" and tops.count() == 100
 
 
 def test_edge_walk_of_many_rows(spark):
@@ -139,7 +175,8 @@ def test_edge_walk_of_many_rows(spark):
 
 def test_edge_walk_refuses_cycles(spark):
     roots = spark.createDataFrame([(1, "a", "a")], "chain_id long, node string, name string")
-    for rows in ([("a", "b", "b"), ("b", "a", "a")], [("a", "b", "b"), ("b", "c", "c"), ("c", "b", "b")]):
+    for rows in ([("a", "b", "b"), ("b", "a", "a")], [("a", "b", "b"), ("b", "c", "c"), ("c", "b", "b")],
+                 [("a", "b", "b"), ("x", "y", "y"), ("y", "z", "z"), ("z", "x", "x"), ("z", "t", "t")], [("q", "q", "q")]):
         with pytest.raises(NotATree):
             walk_edges(roots, spark.createDataFrame(rows, "parent string, child string, child_name string"))
 
