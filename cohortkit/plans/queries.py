@@ -55,6 +55,7 @@ from cohortkit.plans.jobs import JobConfig, run_job
 from cohortkit.schemas import ENTITY_DOC
 from cohortkit.session import scratch_path
 from cohortkit.sources.documents import (
+    KINDS,
     entities_from_docs,
     mark_entities,
     parse_chains,
@@ -170,9 +171,7 @@ def q_route_documents(spark, sf):
     fx = Fixture(spark, sf)
     docs = (fx.entity_docs.unionByName(fx.cohort_docs).unionByName(fx.customer_tree_docs)
             .unionByName(fx.page_docs))
-    routed, rejected = route_documents(docs, {
-        "entity": parse_entities, "cohort": parse_cohorts,
-        "chain": parse_chains})
+    routed, rejected = route_documents(docs, KINDS)
     items = (
         routed["entity"].select(F.lit("entity").alias("route"), F.col("id").alias("doc_id"),
                                 F.coalesce(array_size("tags"), F.lit(0).cast("bigint")).alias("n_items"))

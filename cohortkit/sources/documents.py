@@ -10,6 +10,7 @@ columns and gets a reason.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 
 from cohortkit.schemas import COHORT_DOC, COHORT_MEMBERS_KEY, ENTITY_DOC, LEGACY_ENTITY_DOC
 from cohortkit.functions.columns import url_key
+from cohortkit.session import scratch_path
 from cohortkit.sources.files import CORRUPT
 
 REASON = "reason"
@@ -48,14 +50,56 @@ def _reason(fits: Column, has_id: Column) -> Column:
     return F.when(~F.coalesce(fits, F.lit(False)), F.lit("does not parse")).when(~has_id, F.lit("no id"))
 
 
-def _mark(docs: DataFrame, raw_col: str, schema: T.StructType, columns) -> DataFrame:
+@dataclass(frozen=True)
+class DocKind:
+    """How documents of one type are read: ``parse`` turns the text into a
+    value, ``columns`` the value into typed columns, ``fits`` tells whether the
+    text was such a document and ``key`` whether it names its object."""
+    parse: Callable[[Column], Column]
+    columns: Callable[[Column], list[Column]]
+    fits: Callable[[Column], Column]
+    key: Callable[[Column], Column]
+
+    def marks(self, value: Column) -> tuple[Column, Column]:
+        """The struct of typed columns, and the reason of a reject."""
+        return F.struct(*self.columns(value)), _reason(self.fits(value), self.key(value).isNotNull())
+
+
+def _json_kind(schema: T.StructType, columns: Callable[[Column], list[Column]]) -> DocKind:
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return DocKind(lambda raw: F.from_json(raw, full, {"columnNameOfCorruptRecord": CORRUPT}), columns,
+                   lambda d: d.isNotNull() & d.getField(CORRUPT).isNull(), lambda d: d.getField("id"))
+
+
+def _tree(v: Column) -> Column:
+    tree = F.try_variant_get(v, "$.chain", "variant")
+    return F.when(~F.is_variant_null(tree), tree)
+
+
+def _tree_key(v: Column) -> Column:
+    return F.try_variant_get(v, "$.id", "bigint")
+
+
+def _tree_fits(v: Column) -> Column:
+    is_object = lambda x: F.schema_of_variant(x).startswith("OBJECT")
+    raw_key = F.try_variant_get(v, "$.id", "variant")
+    return is_object(v) & (_tree(v).isNull() | is_object(_tree(v))) & (raw_key.isNull() | F.is_variant_null(raw_key) | _tree_key(v).isNotNull())
+
+
+ENTITIES = _json_kind(ENTITY_DOC, _entity_columns)
+COHORTS = _json_kind(COHORT_DOC, _cohort_columns)
+#: The tree as a variant, so that a tree of any depth fits (the JSON parser
+#: itself refuses more than 1000 nested brackets: a reject like other
+#: unparsable text).
+CHAINS = DocKind(F.try_parse_json, lambda v: [_tree_key(v).alias("chain_id"), _tree(v).alias("chain")], _tree_fits, _tree_key)
+
+
+def _mark(docs: DataFrame, raw_col: str, kind: DocKind) -> DataFrame:
     """The documents with the struct ``doc`` of their parsed columns and the
     ``reason`` of a reject (null for a good document): one parse for both."""
-    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = docs.select("*", F.from_json(F.col(raw_col), full, {"columnNameOfCorruptRecord": CORRUPT}).alias("__d"))
-    d = F.col("__d")
-    fits = d.isNotNull() & d.getField(CORRUPT).isNull()
-    return parsed.select(*docs.columns, F.struct(*columns(d)).alias(DOC), _reason(fits, d.getField("id").isNotNull()).alias(REASON))
+    parsed = docs.select("*", kind.parse(F.col(raw_col)).alias("__d"))
+    doc, reason = kind.marks(F.col("__d"))
+    return parsed.select(*docs.columns, doc.alias(DOC), reason.alias(REASON))
 
 
 def split_marked(marked: DataFrame, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
@@ -66,26 +110,15 @@ def split_marked(marked: DataFrame, keep: Sequence[str] = ()) -> tuple[DataFrame
 
 
 def mark_entities(docs: DataFrame, raw_col: str = "raw") -> DataFrame:
-    return _mark(docs, raw_col, ENTITY_DOC, _entity_columns)
+    return _mark(docs, raw_col, ENTITIES)
 
 
 def mark_cohorts(docs: DataFrame, raw_col: str = "raw") -> DataFrame:
-    return _mark(docs, raw_col, COHORT_DOC, _cohort_columns)
+    return _mark(docs, raw_col, COHORTS)
 
 
 def mark_chains(docs: DataFrame, raw_col: str = "raw") -> DataFrame:
-    """As the others, with the tree ``chain`` as a variant, so that a tree of
-    any depth fits (the JSON parser itself refuses more than 1000 nested
-    brackets, which is a reject like other unparsable text)."""
-    parsed = docs.select("*", F.try_parse_json(raw_col).alias("__v"))
-    tree = F.try_variant_get("__v", "$.chain", "variant")
-    tree = F.when(~F.is_variant_null(tree), tree)
-    key = F.try_variant_get("__v", "$.id", "bigint")
-    is_object = lambda v: F.schema_of_variant(v).startswith("OBJECT")
-    raw_key = F.try_variant_get("__v", "$.id", "variant")
-    fits = is_object(F.col("__v")) & (tree.isNull() | is_object(tree)) & (raw_key.isNull() | F.is_variant_null(raw_key) | key.isNotNull())
-    return parsed.select(*docs.columns, F.struct(key.alias("chain_id"), tree.alias("chain")).alias(DOC),
-                         _reason(fits, key.isNotNull()).alias(REASON))
+    return _mark(docs, raw_col, CHAINS)
 
 
 def parse_entities(docs: DataFrame, raw_col: str = "raw",
@@ -136,7 +169,7 @@ def parse_legacy_entities(docs: DataFrame, raw_col: str = "raw") -> tuple[DataFr
     A value that does not cast becomes NULL (``try_cast``), never a silent 0
     and never a failed job.
     """
-    return split_marked(_mark(docs, raw_col, LEGACY_ENTITY_DOC, _legacy_columns))
+    return split_marked(_mark(docs, raw_col, LEGACY_ENTITIES))
 
 
 def _legacy_columns(d: Column) -> list[Column]:
@@ -153,28 +186,46 @@ def _legacy_columns(d: Column) -> list[Column]:
     ]
 
 
-Parser = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
+LEGACY_ENTITIES = _json_kind(LEGACY_ENTITY_DOC, _legacy_columns)
+
+#: The kinds of the job, by the type their documents are landed under.
+KINDS = {"entity": ENTITIES, "cohort": COHORTS, "chain": CHAINS}
+ROUTE, STATUS = "__route", "__status"
 
 
-def unknown_type(docs: DataFrame, types: Sequence[str], type_col: str = "type") -> DataFrame:
-    """Documents of no known type, as rejects."""
-    known = F.coalesce(F.col(type_col).isin(list(types)), F.lit(False))
-    return docs.where(~known).withColumn(REASON, F.lit("unknown type"))
+def marked_by_type(docs: DataFrame, kinds: Mapping[str, DocKind], type_col: str = "type", raw_col: str = "raw") -> DataFrame:
+    """Every document parsed once, by the schema of its type, in one projection
+    over one scan: a struct ``doc_<type>`` per type (null for the others), the
+    ``reason`` of a reject, its route (a known type or ``unknown``) and its
+    status (``good`` or ``reject``).  A good document's text is left out."""
+    is_type = {name: F.col(type_col) == F.lit(name) for name in kinds}
+    parsed = docs.select("*", *[F.when(is_type[n], k.parse(F.col(raw_col))).alias(f"__d_{n}") for n, k in kinds.items()])
+    marks = {n: k.marks(F.col(f"__d_{n}")) for n, k in kinds.items()}
+    reason, route = F.lit("unknown type"), F.lit("unknown")
+    for n in kinds:
+        reason = F.when(is_type[n], marks[n][1]).otherwise(reason)
+        route = F.when(is_type[n], F.lit(f"type {n}")).otherwise(route)
+    known = parsed.select(*docs.columns, *[F.when(is_type[n], marks[n][0]).alias(f"doc_{n}") for n in kinds],
+                          reason.alias(REASON), route.alias(ROUTE))
+    reject = F.col(REASON).isNotNull()
+    return known.withColumn(raw_col, F.when(reject, F.col(raw_col))).withColumn(STATUS, F.when(reject, "reject").otherwise("good"))
 
 
-def route_documents(docs: DataFrame, parsers: Mapping[str, Parser], type_col: str = "type",
-                    raw_col: str = "raw") -> tuple[dict[str, DataFrame], DataFrame]:
+def route_documents(docs: DataFrame, kinds: Mapping[str, DocKind], type_col: str = "type", raw_col: str = "raw",
+                    keep: Sequence[str] = (), workdir: str | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
     """Route mixed documents by type to their parsers.
 
-    Returns ``({type: parsed}, rejected)``; rejected holds documents of an
-    unknown type and documents their parser rejected.  Each type is a
-    filter on ``type_col``: on a landing folder partitioned by type this is
-    partition pruning, so each parser reads only its own files.
+    Returns ``({type: keep and parsed columns}, rejected)``; rejected holds the
+    columns of documents of an unknown type and of documents that do not fit
+    their type, with the reason.  The documents are scanned and parsed once
+    (:func:`marked_by_type`) and written once below ``workdir`` (default: a
+    fresh folder under ``spark.checkpoint.dir``), partitioned by route and
+    status; every result reads its own partitions.  Runs one job when called.
     """
-    routed: dict[str, DataFrame] = {}
-    rejected = unknown_type(docs, list(parsers), type_col)
-    for name, parser in parsers.items():
-        good, bad = parser(docs.where(F.col(type_col) == F.lit(name)))
-        routed[name] = good
-        rejected = rejected.unionByName(bad)
-    return routed, rejected
+    path = workdir or scratch_path(docs.sparkSession, "routed")
+    marked_by_type(docs, kinds, type_col, raw_col).write.mode("overwrite").partitionBy(ROUTE, STATUS).parquet(path)
+    schema = marked_by_type(docs, kinds, type_col, raw_col).schema
+    routed = docs.sparkSession.read.schema(schema).parquet(path)
+    good, reject = F.col(STATUS) == "good", F.col(STATUS) == "reject"
+    parsed = {n: routed.where((F.col(ROUTE) == f"type {n}") & good).select(*keep, f"doc_{n}.*") for n in kinds}
+    return parsed, routed.where(reject).select(*docs.columns, REASON)

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
+#: Ends a landed document (the record separator of JSON text sequences): it
+#: cannot stand in JSON text, so line breaks inside a document stay as they are.
+RECORD_END = "\x1e"
 
 def scan_local(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
     """Rows held by the driver to a DataFrame with an explicit schema.
@@ -28,7 +31,7 @@ def read_json_arrays(spark: SparkSession, paths: str | Sequence[str], schema: T.
     """Files that each hold one JSON array of objects, one row per element (A10).
 
     Such files cannot be split, so each is read by one task; for large
-    volumes land JSON Lines instead (:func:`land`).
+    volumes land single documents instead (:func:`land`).
     """
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     return spark.read.schema(full).option("multiLine", True).option("columnNameOfCorruptRecord", CORRUPT).json(
@@ -45,22 +48,24 @@ def write_json_arrays(docs: DataFrame, path: str, key: str, obj_col: str = "obj"
 def land(docs: DataFrame, path: str, ingest: int, mode: str = "append") -> None:
     """Append documents ``(type, raw)`` to a landing folder.
 
-    JSON Lines: each line is one document as received, partitioned by
-    ``type`` and ``ingest`` (the landing batch).  Re-landing an object adds a
+    Each record is one document as received, line breaks included, ended by
+    :data:`RECORD_END` and partitioned by ``type`` and ``ingest`` (the landing
+    batch); the files can be split.  Text that holds that sign itself is no
+    JSON; the sign becomes its JSON escape.  Re-landing an object adds a
     newer version instead of rewriting a file in place;
     :func:`latest_version` picks the newest.  The
     document text is not wrapped in another JSON value.
     """
-    one_line = F.regexp_replace(F.col("raw").cast("string"), r"[\r\n]+", " ")
-    (docs.select(one_line.alias("value"), F.col("type").cast("string"),
+    record = F.replace(F.col("raw").cast("string"), F.lit(RECORD_END), F.lit("\\u001e"))
+    (docs.select(record.alias("value"), F.col("type").cast("string"),
                  F.lit(ingest).cast("bigint").alias("ingest"))
-     .write.mode(mode).partitionBy("type", "ingest").text(path))
+     .write.mode(mode).option("lineSep", RECORD_END).partitionBy("type", "ingest").text(path))
 
 
 def read_landing(spark: SparkSession, path: str, doc_type: str | None = None) -> DataFrame:
     """Landed documents as text ``(raw, type, ingest)``; ``doc_type`` prunes
     partitions.  For mixed-type routing (:func:`route_documents`)."""
-    df = spark.read.text(path).select(F.col("value").alias("raw"), F.col("type").cast("string"),
+    df = spark.read.text(path, lineSep=RECORD_END).select(F.col("value").alias("raw"), F.col("type").cast("string"),
                                       F.col("ingest").cast("bigint"))
     return df if doc_type is None else df.where(F.col("type") == F.lit(doc_type))
 

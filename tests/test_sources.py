@@ -11,8 +11,12 @@ from cohortkit.schemas import COHORT_MEMBERS_KEY as MEMBERS
 from cohortkit.schemas import ENTITY, ENTITY_DOC
 from cohortkit.session import scratch_path
 from cohortkit.sources.documents import (
+    COHORTS,
+    ENTITIES,
+    KINDS,
     entities_from_docs,
     mark_entities,
+    marked_by_type,
     parse_chains,
     parse_cohorts,
     parse_entities,
@@ -191,22 +195,41 @@ def test_route_unknown_type(spark):
     rows = [("entity", 1, json.dumps(ENT)), ("cohort", 2, json.dumps({"id": 2, "name": "g"})),
             ("weird", 3, "{}"), (None, 4, "{}"), ("entity", 5, "oops")]
     d = spark.createDataFrame(rows, "type string, id long, raw string")
-    routed, rejected = route_documents(d, {"entity": parse_entities, "cohort": parse_cohorts})
+    routed, rejected = route_documents(d, {"entity": ENTITIES, "cohort": COHORTS})
     assert routed["entity"].count() == 1 and routed["cohort"].count() == 1
     assert sorted(r.id for r in rejected.collect()) == [3, 4, 5]
 
 
+def test_routing_scans_and_parses_once(spark):
+    """The write has one scan, one parse per type behind a test of the type;
+    every result reads its own partitions of it."""
+    path = scratch_path(spark, "test_route_scan")
+    rows = [("entity", json.dumps(ENT)), ("cohort", json.dumps({"id": 2, "name": "g"})), ("chain", json.dumps({"id": 3, "chain": _tree("a")})), ("x", "{}")]
+    spark.createDataFrame(rows, "type string, raw string").write.parquet(path)
+    docs = spark.read.parquet(path)
+    plan = marked_by_type(docs, KINDS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("from_json(") == 2 and plan.count("try_parse_json(") + plan.count("parse_json(") <= 2
+    routed, rejected = route_documents(docs, KINDS)
+    for df in (*routed.values(), rejected):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and "PartitionFilters: [isnotnull(__" in plan and "from_json" not in plan and "DataFilters: []" in plan
+    assert [df.count() for df in routed.values()] == [1, 1, 1] and [tuple(r) for r in rejected.collect()] == [("x", "{}", "unknown type")]
+
+
 def test_landing_append_and_dedup(spark):
     path = scratch_path(spark, "test_landing")
     v1 = dict(ENT, name="old")
     v2 = dict(ENT, name="new")
-    land(docs(spark, json.dumps(v1), "{broken"), path, ingest=1)
-    land(docs(spark, json.dumps(v2, indent=2)), path, ingest=2)   # multi-line text becomes one line
+    broken = "{broken\r\n  over \n\n lines\n"
+    land(docs(spark, json.dumps(v1), broken), path, ingest=1)
+    land(docs(spark, json.dumps(v2, indent=2)), path, ingest=2)   # several lines
     landed = read_landing(spark, path, "entity")
     assert landed.count() == 3  # appended, like re-running the original landing
     good, bad = split_marked(mark_entities(landed), keep=("ingest",))
     assert [(r.name, r.ingest) for r in latest_version(good, ["id"], "ingest").collect()] == [("new", 2)]
-    assert [(r.raw, r.reason, r.ingest) for r in bad.collect()] == [("{broken", "does not parse", 1)]
+    assert [(r.raw, r.reason, r.ingest) for r in bad.collect()] == [(broken, "does not parse", 1)]  # as received
+    land(docs(spark, "a\x1eb", "", type_="other"), path, ingest=3)
+    assert sorted(r.raw for r in read_landing(spark, path, "other").collect()) == ["", "a\\u001eb"]
 
 
 def test_json_array_files_and_parquet_roundtrip(spark, tmp_path):
@@ -231,7 +254,7 @@ def test_route_documents_from_landing_folder(spark):
             ("weird", 3, "{}"), ("entity", 4, "oops")]
     land(spark.createDataFrame(rows, "type string, id long, raw string"), path, ingest=1)
     routed, rejected = route_documents(read_landing(spark, path),
-                                       {"entity": parse_entities, "cohort": parse_cohorts})
+                                       {"entity": ENTITIES, "cohort": COHORTS})
     assert [r.id for r in routed["entity"].collect()] == [1]
     assert [r.cohort_id for r in routed["cohort"].collect()] == [2]
     assert sorted(r.raw for r in rejected.collect()) == ["oops", "{}"]
