@@ -17,16 +17,22 @@ exact, prefix-filtered sparse self-join:
   key; block pairs ``(lo, hi)`` are separate join keys (block ``lo`` on one
   side, block ``hi`` on the other), so one hot tag is spread over many tasks
   instead of one, and no pair is compared twice.
-* Only ids and prefixes go through that join, and a pair is emitted only at
-  the first prefix tag the two share (no distinct over candidates needed);
-  vectors are attached to the candidates afterwards.
-* Rows with equal vectors are collapsed to one vector before the join and
-  expanded by key behind it.
+* Only ids, prefixes and a few numbers go through that join, and a pair is
+  emitted only at the first prefix tag the two share (no distinct over
+  candidates needed).  This is also the first tag they share at all, so their
+  cosine is at most the product of its weights plus what the rest of both can
+  give: the product of the norms behind it (the suffix bound of L2AP, Anastasiu
+  and Karypis, ICDE 2014), or as many shared tags as bit signatures still allow
+  times the largest weights.  A pair whose bound is not above ``t`` is dropped
+  there; vectors are attached to the rest only.
+* A vector belongs to a name, not to a row: it is made once per name, names
+  with equal vectors share one in the join, and rows come in behind it by key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,6 +45,27 @@ from cohortkit.sources.files import materialize
 _PREFIX_SLACK = 1e-9
 
 
+def _name_counts(base: DataFrame, tags_col: str, tag_field: str | None, name_col: str) -> DataFrame:
+    """``(__name, tag, tf)``: how often each name has each tag."""
+    tags = F.col(tags_col)
+    if tag_field:
+        tags = tags.getField(tag_field)
+    return (base.select(F.col(name_col).alias("__name"), F.explode(tags).alias("tag")).where(F.col("tag").isNotNull())
+            .groupBy("__name", "tag").agg(F.count(F.lit(1)).alias("tf")))
+
+
+def join_own_aggregate(rows: DataFrame, aggregate: DataFrame, key: str) -> DataFrame:
+    """Rows joined to an aggregate of theirs by the same key, which may be hot.
+
+    Spark splits skewed partitions only where both sides of a join are plain
+    shuffles.  The aggregate is dealt by the key already and would be joined
+    in place; a second key, a hash of the first, gives it a (small) shuffle of
+    its own."""
+    mark = "__own_key"
+    return (rows.withColumn(mark, F.xxhash64(key))
+            .join(aggregate.withColumn(mark, F.xxhash64(key)), [key, mark]).drop(mark))
+
+
 def term_frequency(base: DataFrame, key_cols: Sequence[str], tags_col: str = "tags",
                    tag_field: str | None = "tag", extra_cols: Sequence[str] = (),
                    name_col: str = "name") -> DataFrame:
@@ -50,11 +77,7 @@ def term_frequency(base: DataFrame, key_cols: Sequence[str], tags_col: str = "ta
     Counting instead of hashing (``HashingTF``) means no bucket collisions.
     """
     carry = list(dict.fromkeys([*key_cols, *extra_cols]))
-    tags = F.col(tags_col)
-    if tag_field:
-        tags = tags.getField(tag_field)
-    by_name = (base.select(F.col(name_col).alias("__name"), F.explode(tags).alias("tag")).where(F.col("tag").isNotNull())
-               .groupBy("__name", "tag").agg(F.count(F.lit(1)).alias("tf")))
+    by_name = _name_counts(base, tags_col, tag_field, name_col)
     rows = base.select(*carry, F.col(name_col).alias("__name"))
     return rows.join(by_name, "__name").select(*carry, "tag", "tf")
 
@@ -83,40 +106,47 @@ def inverse_document_frequency(tf: DataFrame, n_rows: Column | int) -> DataFrame
 def tfidf_weights(base: DataFrame, key_cols: Sequence[str], tags_col: str = "tags",
                   tag_field: str | None = "tag", extra_cols: Sequence[str] = (),
                   name_col: str = "name") -> DataFrame:
-    """(row keys, extra, tag, tf, df, idf, weight)."""
+    """(row keys, extra, tag, tf, df, idf, weight) (I3).  A tag that a third of
+    all rows hold is split by Spark (:func:`join_own_aggregate`)."""
     tf = term_frequency(base, key_cols, tags_col, tag_field, extra_cols, name_col)
     idf = inverse_document_frequency(tf, row_count(base))
-    return tf.join(idf, "tag").withColumn("weight", F.col("tf") * F.col("idf"))
+    return join_own_aggregate(tf, idf, "tag").withColumn("weight", F.col("tf") * F.col("idf"))
+
+
+def _sign(seed: int) -> Column:
+    """A word with one bit set, chosen by the tag."""
+    return F.expr(f"shiftleft(1L, cast(pmod(xxhash64(tag, {seed}), 64) as int))")
 
 
-def _unit_vectors(weights: DataFrame, carry: Sequence[str], key_cols: Sequence[str],
-                  threshold: float) -> DataFrame:
-    """Per row: ``vid`` (a digest of its tags and their counts, so rows with
-    equal vectors share it), the unit vector as parallel arrays ``vt`` (tags,
-    sorted) and ``vu`` (weight / norm), and the prefix ``pre`` (tags in the
-    global (df, tag) order).  One shuffle (by row key) serves the norm, the
-    running sum and the collect."""
+def _unit_vectors(weights: DataFrame, threshold: float) -> DataFrame:
+    """Per name, from ``(__name, tag, tf, df, weight)``: ``vid`` (a digest of its
+    tags and their counts, so names with equal vectors share it), the unit
+    vector as parallel arrays ``vt``, ``vu`` in the global (df, tag) order, with
+    ``rest``, the norm behind each tag; the number ``n_pre`` of prefix tags; the
+    largest weight, and two bit signatures of the tags with the number of tags
+    that they may hide.  One shuffle (by name) and one sort serve it all."""
     positive = weights.where(F.col("weight") > 0).withColumn("w2", F.col("weight") * F.col("weight"))
-    row = Window.partitionBy(*key_cols)
-    running = row.orderBy("df", "tag").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    name = Window.partitionBy("__name")
+    running = name.orderBy("df", "tag").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     bound = F.lit(threshold * threshold * (1.0 - _PREFIX_SLACK))
     ranked = (
-        positive.withColumn("norm2", F.sum("w2").over(row))
-        .withColumn("cum", F.sum("w2").over(running))
+        positive.withColumn("cum", F.sum("w2").over(running))
+        .withColumn("norm2", F.sum("w2").over(name))
         # norm^2 of this tag and every later one (global order) >= t^2 * norm^2
         .withColumn("in_prefix", (F.col("norm2") - F.col("cum") + F.col("w2")) >= bound * F.col("norm2"))
         .withColumn("u", F.col("weight") / F.sqrt("norm2"))
+        .withColumn("rest", F.sqrt(F.greatest(F.lit(0.0), F.lit(1.0) - F.col("cum") / F.col("norm2"))))
     )
-    agg = ranked.groupBy(*carry).agg(
-        F.array_sort(F.collect_list(F.struct("tag", "u", "tf"))).alias("__vec"),
-        F.array_sort(
-            F.collect_list(F.when(F.col("in_prefix"), F.struct(F.col("df"), F.col("tag"))))
-        ).alias("__pre"),
+    agg = ranked.groupBy("__name").agg(
+        F.array_sort(F.collect_list(F.struct("df", "tag", "u", "rest", "tf"))).alias("v"),
+        F.count_if("in_prefix").cast("int").alias("n_pre"), F.max("u").alias("top"),
+        F.bit_or(_sign(1)).alias("sig1"), F.bit_or(_sign(2)).alias("sig2"),
     )
-    counts = F.transform("__vec", lambda e: F.struct(e["tag"].alias("tag"), e["tf"].alias("tf")))
+    counts = F.transform("v", lambda e: F.struct(e["tag"].alias("tag"), e["tf"].alias("tf")))
     vid = F.struct(F.xxhash64(counts).alias("a"), F.xxhash64(F.lit(1), counts).alias("b"))
-    return agg.select(*carry, vid.alias("vid"), F.col("__vec.tag").alias("vt"), F.col("__vec.u").alias("vu"),
-                      F.col("__pre.tag").alias("pre"))
+    hidden = lambda sig: (F.size("v") - F.bit_count(sig)).alias(f"hid_{sig}")
+    return agg.select("__name", vid.alias("vid"), F.col("v.tag").alias("vt"), F.col("v.u").alias("vu"), F.col("v.rest").alias("rest"),
+                      "n_pre", "top", "sig1", "sig2", hidden("sig1"), hidden("sig2"))
 
 
 def _dot(a_t: Column, a_u: Column, b_t: Column, b_u: Column) -> Column:
@@ -130,15 +160,31 @@ def _dot(a_t: Column, a_u: Column, b_t: Column, b_u: Column) -> Column:
                        * F.element_at(b_u, F.array_position(b_t, t).cast("int")))
 
 
-def _prefix_candidates(vectors: DataFrame, block_size: int) -> DataFrame:
-    """``(a_vid, b_vid)`` of distinct vectors that share a prefix tag, each pair
-    once.  Only ids, tags and the short prefixes are shuffled; a tag held by
-    many vectors is dealt in blocks, and each pair of blocks is a join key."""
-    entries = vectors.select("vid", "pre", F.posexplode("pre").alias("pos", "tag")).withColumn("__key", F.xxhash64("tag"))
-    # joined on a second key, so that Spark can split a hot tag's entries here
-    per_tag = entries.groupBy("tag").agg(F.count(F.lit(1)).alias("n_tag")).withColumn("__key", F.xxhash64("tag"))
+def _may_exceed(threshold: float) -> Column:
+    """Whether the cosine of a pair, met at its first shared tag, can be above
+    the threshold (numbers of the two index entries only)."""
+    def shared(sig: str) -> Column:
+        # equal bits, and tags that share a bit with another of their vector
+        return F.bit_count(F.col(f"a_{sig}").bitwiseAND(F.col(f"b_{sig}"))) + F.least(f"a_hid_{sig}", f"b_hid_{sig}")
+
+    most = F.least(shared("sig1"), shared("sig2")) - 1
+    behind = F.least(F.col("a_rest") * F.col("b_rest"), most * F.col("a_top") * F.col("b_top"))
+    return F.col("a_u") * F.col("b_u") + behind > F.lit(threshold - 1e-9)
+
+
+def _prefix_candidates(vectors: DataFrame, block_size: int, threshold: float) -> DataFrame:
+    """``(a_vid, b_vid)`` of distinct vectors that share a prefix tag and whose
+    bound is above the threshold, each pair once.  Only ids, the short prefixes
+    and numbers are shuffled; a tag held by many vectors is dealt in blocks, and
+    each pair of blocks is a join key."""
+    numbers = ["top", "sig1", "sig2", "hid_sig1", "hid_sig2"]
+    spread = F.arrays_zip("pre", F.slice("vu", F.lit(1), F.col("n_pre")).alias("u"), F.slice("rest", F.lit(1), F.col("n_pre")).alias("rest"))
+    entries = (vectors.withColumn("pre", F.slice("vt", F.lit(1), F.col("n_pre")))
+               .select("vid", "pre", *numbers, F.posexplode(spread).alias("pos", "e"))
+               .select("vid", "pre", *numbers, "pos", F.col("e.pre").alias("tag"), F.col("e.u").alias("u"), F.col("e.rest").alias("rest")))
+    per_tag = entries.groupBy("tag").agg(F.count(F.lit(1)).alias("n_tag"))
     keyed = (
-        entries.join(per_tag.where("n_tag > 1"), ["tag", "__key"])
+        join_own_aggregate(entries, per_tag.where("n_tag > 1"), "tag")
         .withColumn("nb", F.ceil(F.col("n_tag") / F.lit(block_size)))
         .withColumn("blk", F.pmod(F.xxhash64("vid"), F.col("nb")))
     )
@@ -148,7 +194,7 @@ def _prefix_candidates(vectors: DataFrame, block_size: int) -> DataFrame:
             .withColumn("hi", F.explode(F.sequence(F.col("blk"), F.col("nb") - 1))))
     right = (keyed.withColumn("hi", F.col("blk"))
              .withColumn("lo", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blk")))))
-    cols = ["vid", "pre", "pos", "tag", "lo", "hi"]
+    cols = ["vid", "pre", "pos", "tag", "u", "rest", *numbers, "lo", "hi"]
     a = left.select([F.col(c).alias(f"a_{c}") for c in cols])
     b = right.select([F.col(c).alias(f"b_{c}") for c in cols])
     cond = (
@@ -158,7 +204,10 @@ def _prefix_candidates(vectors: DataFrame, block_size: int) -> DataFrame:
         # two different blocks meet once; inside one block, each pair once
         & ((F.col("a_lo") < F.col("a_hi")) | (F.col("a_vid") < F.col("b_vid")))
         # a pair counts at its first shared prefix tag only: none of a's earlier
-        # prefix tags (global order) is in b's prefix
+        # prefix tags (global order) is in b's prefix.  The bound holds there,
+        # and may only be tested behind this: elsewhere it is no bound, but a
+        # pair that fails it elsewhere is not counted there anyway
+        & _may_exceed(threshold)
         & ((F.col("a_pos") == 0)
            | ~F.arrays_overlap(F.slice("a_pre", 1, F.col("a_pos").cast("int")), F.col("b_pre")))
     )
@@ -192,11 +241,11 @@ def similar_pairs(base: DataFrame, threshold: float = 0.75,
     zero have no vector and yield no pair.  ``key_cols`` identify a row;
     ``name_col`` and the ``differ_on`` columns must be determined by them.
 
-    Rows with equal vectors are one vector in the join: distinct vectors are
-    paired and scored, and the pairs that pass are joined to their rows by key.
-    ``base`` is read several times, so pass a written table; the vectors are
-    written below ``workdir`` (default: a fresh folder under
-    ``spark.checkpoint.dir``), which runs two jobs when this is called.
+    Vectors are made per name, and names with equal ones share one in the join:
+    distinct vectors are paired and scored, and the pairs that pass are joined
+    to their rows by key.  ``base`` is read several times, so pass a written
+    table; counts, vectors and candidates are written below ``workdir``
+    (default: a fresh folder under ``spark.checkpoint.dir``) when this is called.
     """
     if threshold < 0:
         raise ValueError("threshold must be >= 0 (the sparse join relies on it)")
@@ -205,14 +254,25 @@ def similar_pairs(base: DataFrame, threshold: float = 0.75,
     key_cols = list(key_cols)
     workdir = workdir or scratch_path(base.sparkSession, "similar_pairs")
     carry = list(dict.fromkeys([*key_cols, *differ_on, name_col]))
-    weights = tfidf_weights(base, key_cols, tags_col, tag_field, extra_cols=carry, name_col=name_col)
-    rows = materialize(_unit_vectors(weights, carry, key_cols, threshold), f"{workdir}/rows")
-    vectors = materialize(rows.groupBy("vid").agg(F.count(F.lit(1)).alias("n_rows"), *[F.first(c).alias(c) for c in ("vt", "vu", "pre")]),
-                          f"{workdir}/vectors")
-    pairs = _prefix_candidates(vectors, block_size)
-    selves = vectors.where("n_rows > 1").select(F.col("vid").alias("a_vid"), F.col("vid").alias("b_vid"))
-    scored = _scored(pairs, vectors, threshold).withColumn("same", F.lit(False)).unionByName(
-        _scored(selves, vectors, threshold).withColumn("same", F.lit(True)))
+    per_name = base.groupBy(F.col(name_col).alias("__name")).agg(F.count(F.lit(1)).alias("n_rows"))
+    tf = materialize(_name_counts(base, tags_col, tag_field, name_col).join(per_name, "__name"), f"{workdir}/counts")
+    idf = tf.groupBy("tag").agg(F.sum("n_rows").alias("df"))  # rows that hold the tag
+    weight = F.col("tf") * F.ln((row_count(base) + F.lit(1)).cast("double") / (F.col("df") + F.lit(1)).cast("double"))
+    weights = join_own_aggregate(tf, idf, "tag").select("__name", "tag", "tf", "df", weight.alias("weight"))
+    names = materialize(_unit_vectors(weights, threshold), f"{workdir}/names")
+    rows = materialize(base.select(*carry, F.col(name_col).alias("__name")).join(names.select("__name", "vid"), "__name").drop("__name"),
+                       f"{workdir}/rows")
+    shape = [c for c in names.columns if c not in ("__name", "vid")]
+    vectors = materialize(names.groupBy("vid").agg(*[F.first(c).alias(c) for c in shape]), f"{workdir}/vectors")
+    pairs = _prefix_candidates(vectors, block_size, threshold)
+    scored = _scored(pairs, vectors, threshold).withColumn("same", F.lit(False))
+    # rows of one vector, if there are any that differ on every column
+    apart = [F.min(c).alias(f"least_{c}") for c in differ_on] + [F.max(c).alias(f"most_{c}") for c in differ_on] + [F.count(F.lit(1)).alias("n")]
+    some = reduce(lambda x, y: x & y, [F.col(f"least_{c}") < F.col(f"most_{c}") for c in differ_on], F.col("n") > 1)
+    own = F.aggregate("vu", F.lit(0.0), lambda acc, u: acc + u * u)
+    selves = rows.groupBy("vid").agg(*apart).where(some).select("vid").join(vectors.select("vid", own.alias("score")), "vid")
+    scored = scored.unionByName(selves.where(F.col("score") > F.lit(threshold)).select(
+        F.col("vid").alias("a_vid"), F.col("vid").alias("b_vid"), "score", F.lit(True).alias("same")))
 
     def members(x: str) -> DataFrame:
         return rows.select(F.col("vid").alias(f"{x}_vid"), *[F.col(c).alias(f"{x}_{c}") for c in carry])

@@ -7,7 +7,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from cohortkit.operators.similarity import cosine_to_centroid, similar_pairs
+from cohortkit.operators import similarity
+from cohortkit.operators.similarity import cosine_to_centroid, similar_pairs, tfidf_weights
 
 SCHEMA = ("id long, name string, cohort_id long, chain_id long, "
           "tags array<struct<tag:string,hidden:boolean>>")
@@ -118,6 +119,35 @@ def test_plan_has_no_all_pairs_product_and_no_python(spark):
         assert bad not in plan
 
 
+def test_a_hot_tag_can_be_split_in_the_weights_join(spark):
+    """Both sides of the join with the idf are plain shuffles, which is where
+    Spark splits skewed partitions; a third of all rows hold one tag."""
+    rows = [(i, f"n{i}", i % 5, i, [("hot" if i % 3 == 0 else f"r{i % 17}", False), (f"s{i % 11}", False)]) for i in range(300)]
+    base = spark.createDataFrame(rows, SCHEMA)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = tfidf_weights(base, ["id"])._jdf.queryExecution().executedPlan().toString()
+        lines = plan.splitlines()
+        at = next(k for k, x in enumerate(lines) if "SortMergeJoin" in x and "__own_key" in x)
+        depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+        sides = [k for k in range(at + 1, len(lines)) if depth(lines[k]) == depth(lines[at]) + 3]
+        assert len(sides) == 2 and all("Sort" in lines[k] and "Exchange hashpartitioning" in lines[k + 1] and "__own_key" in lines[k + 1] for k in sides)
+        same(run(spark, rows[:120], 0.6), brute(rows[:120], 0.6))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bounds_drop_pairs_before_vectors(spark, monkeypatch):
+    """Every pair shares a tag; only planted pairs reach the vectors."""
+    rows = [(i, f"n{i}", i % 5, i, [("all" if k == 0 else f"t{i}_{k}", False) for k in range(5)]) for i in range(120)]
+    rows += [(200, "p", 7, 200, rows[0][4]), (201, "q", 8, 201, [*rows[1][4][:4], ("other", False)])]
+    seen = []
+    found = similarity._prefix_candidates
+    monkeypatch.setattr(similarity, "_prefix_candidates", lambda *a: seen.append(found(*a)) or seen[-1])
+    same(run(spark, rows, 0.6), brute(rows, 0.6))
+    assert seen[0].count() <= 3  # equal vectors are one
+
+
 def test_dense_cosine_builtin_equals_udf(spark):
     rows = [(1, 0, [1.0, 0.0]), (2, 0, [0.0, 1.0]), (3, 1, [1.0, 1.0]), (4, 1, [0.0, 0.0])]
     df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>")
