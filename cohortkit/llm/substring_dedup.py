@@ -8,23 +8,24 @@ long enough is hashed over its words: at least ``sentences`` sentences and
 passage that is long enough is thus covered to its first and last sentence by
 runs inside it.  A passage of ``passage`` words or more counts wherever it
 starts and ends: each of its windows of so many words is a run too, unless all
-its words go with runs of sentences.  Runs are joined globally by hash; the first occurrence (least id, then position) stays,
-and every word covered by another occurrence of a repeated run is removed.  A
-sentence without words left goes with its bytes; of any other the words go with
-what stands between them and the next word.  (Fewer than ``CHANCE`` words, one that
-is, that windows add at one end of whole sentences stay.)
+its words go with runs of sentences.  Runs are joined globally by hash; the first occurrence (least id, then text, then
+position) stays, and every word covered by another occurrence of a repeated run is
+removed.  A sentence without words left goes with its bytes; of any other the words
+go with what stands between them and the next word.
 
 Only hashes are counted at first (combined before the shuffle); positions are
 gathered for repeated hashes alone.  Windows are counted by their seeds, the
 least hash of fewer words in each window: equal windows have equal seeds, one
 seed serves many windows, and only windows whose seed is repeated are hashed.
-Joins are on hashes, which Spark splits where one is hot.  Every removal carries
-its hash and is checked against the text it is applied to.
+A text is named by a digest of its id and itself, and its places by one number,
+so what is subtracted and collected per text are plain numbers.  Joins are on
+hashes, which Spark splits where one is hot.
 
 Defined results: texts without words, and null texts, have no sentences and
-stay as they are; rows with a null id take no part and stay; rows that repeat
-an id and text are one document and lose the same sentences; all columns but
-the text are kept as they are.
+stay as they are; rows with a null id come after all others and are told apart
+by their text; rows that repeat an id with another text are documents of their
+own; rows that repeat id and text are one document and lose the same sentences;
+all columns but the text are kept as they are.
 """
 
 from __future__ import annotations
@@ -33,18 +34,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortkit.llm.tables import write_table
+from cohortkit.llm.tables import split_join, write_table
 from cohortkit.llm.text import Words, mix, sequence_hashes, small_slices, words_of
 
 SENTENCES = 3
 WORDS = 12
 WORDS_ALONE = 40
 PASSAGE = 51
-CHANCE = 2
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -128,8 +129,22 @@ def seeds(start: np.ndarray, seed: np.ndarray, size: int) -> np.ndarray:
     return np.flatnonzero(since % (size - max(1, 2 * size // 5) + 1) == 0)
 
 
+def places(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Row number and value of every entry of a list column."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(sizes)), sizes), column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def spans_of(column: pa.Array, words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """First and last-plus-one word, by word positions of the batch, of the
+    runs listed for each text as ``a << 32 | b``."""
+    row, at = places(column)
+    return (at >> 32) + words.first[row], (at & 0xFFFFFFFF) + words.first[row]
+
+
 def sentence_runs(rows: DataFrame, limits: tuple[int, int, int]) -> DataFrame:
-    """``(hash, id, a, b)``: every run, by word numbers within its text."""
+    """``(hash, id, doc, at)``: every run, by word numbers within its text."""
     kind = rows.schema["id"].dataType.simpleString()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,27 +153,32 @@ def sentence_runs(rows: DataFrame, limits: tuple[int, int, int]) -> DataFrame:
             found = Sentences(words)
             text, a, b = found.spans(*limits)
             a, b, base = found.word[a], found.word[b], words.first[text]
+            own = pa.array(text)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(sequence_hashes(words.hashes(), a, b).view(np.int64)), batch.column("id").take(pa.array(text)),
-                 pa.array((a - base).astype(np.int32)), pa.array((b - base).astype(np.int32))], ["hash", "id", "a", "b"])
+                [pa.array(sequence_hashes(words.hashes(), a, b).view(np.int64)), batch.column("id").take(own), batch.column("doc").take(own),
+                 pa.array((a - base) << 32 | (b - base))], ["hash", "id", "doc", "at"])
+
+    return rows.select("id", "doc", "text").mapInArrow(read, f"hash long, id {kind}, doc long, at long")
 
-    return rows.mapInArrow(read, f"hash long, id {kind}, a int, b int")
+
+def later(spots: DataFrame, out: str) -> DataFrame:
+    """``(doc, out)``: the places of each text that are not the first of their
+    hash.  Firsts are taken off per text, as plain numbers, so hot hashes meet
+    in no second join."""
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "doc", "at")
+    first = spots.groupBy("hash").agg(F.min(order).alias("f")).groupBy(F.col("f.doc").alias("doc")).agg(F.collect_set("f.at").alias("firsts"))
+    every = spots.groupBy("doc").agg(F.collect_set("at").alias("every"))
+    rest = F.when(F.col("firsts").isNull(), F.col("every")).otherwise(F.array_except("every", "firsts"))
+    return every.join(first, "doc", "left").select("doc", rest.alias(out)).where(F.size(out) > 0)
 
 
 def repeated_runs(rows: DataFrame, limits: tuple[int, int, int]) -> DataFrame:
-    """``(id, spans)``: the runs of each text that are not the first of their
-    hash, as ``(a, b, hash)``."""
+    """``(doc, spans)``: the runs of each text that are not the first of their
+    hash."""
     repeated, _ = write_table(sentence_runs(rows, limits).groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
                               .where("n > 1").select("hash"), "span_repeated")
     spots, _ = write_table(sentence_runs(rows, limits).join(repeated, "hash"), "span_spots")
-    owner = spots.groupBy("hash").agg(F.min("id").alias("id"))
-    first = spots.join(owner, ["hash", "id"]).groupBy("hash", "id").agg(F.min(F.struct("a", "b")).alias("at"))
-    firsts = first.groupBy("id").agg(F.collect_list(F.struct("at.a", "at.b", "hash")).alias("firsts"))
-    # the runs of a text, at most two a sentence, without those it is the first to have
-    spans = spots.groupBy("id").agg(F.collect_set(F.struct("a", "b", "hash")).alias("spans"))
-    later = spans.join(firsts, "id", "left").select("id", F.when(F.col("firsts").isNull(), F.col("spans")).otherwise(
-        F.array_except("spans", "firsts")).alias("spans"))
-    return later.where(F.size("spans") > 0)
+    return later(spots, "spans")
 
 
 def live_windows(batch: pa.RecordBatch, size: int) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
@@ -167,16 +187,15 @@ def live_windows(batch: pa.RecordBatch, size: int) -> tuple[Words, np.ndarray, n
     words = words_of(batch.column("text"))
     word_hash = words.hashes()
     start, seed = windows(words, word_hash, size)
-    a, b = verified(words, word_hash, [[(s["a"], s["b"], s["hash"]) for s in own or ()] for own in batch.column("spans").to_pylist()])
-    lost = np.concatenate([[0], np.cumsum(covered(len(word_hash), a, b))])
+    lost = np.concatenate([[0], np.cumsum(covered(len(word_hash), *spans_of(batch.column("spans"), words)))])
     live = lost[start + size] - lost[start] < size
     return words, word_hash, start[live], seed[live]
 
 
 def repeated_windows(rows: DataFrame, size: int) -> DataFrame:
-    """``(id, windows, firsts)`` of ``(id, text, spans)``: the windows of each
-    text whose seed is repeated, as ``(a, hash)``, and those of them that are
-    the first of their hash.  What goes with its sentences counts no more."""
+    """``(doc, windows)`` of ``(id, doc, text, spans)``: the windows of each text
+    that are not the first of their hash, by their first word.  What goes with
+    its sentences counts no more."""
     kind = rows.schema["id"].dataType.simpleString()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,28 +203,36 @@ def repeated_windows(rows: DataFrame, size: int) -> DataFrame:
             words, _, start, seed = live_windows(batch, size)
             one = seeds(start, seed, size)
             text = np.searchsorted(words.first, start[one], side="right") - 1
-            yield pa.RecordBatch.from_arrays([pa.array(seed[one]), batch.column("id").take(pa.array(text))], ["seed", "id"])
+            yield pa.RecordBatch.from_arrays([pa.array(seed[one]), batch.column("doc").take(pa.array(text))], ["seed", "doc"])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_slices(batches, "text", 1 << 20):
             words, word_hash, start, seed = live_windows(batch, size)
-            edge, keep = np.searchsorted(start, words.first), np.zeros(len(start), bool)
-            for i, own in enumerate(batch.column("seeds")):
-                keep[edge[i]:edge[i + 1]] = np.isin(seed[edge[i]:edge[i + 1]], own.values.to_numpy(zero_copy_only=False))
-            start = start[keep]
             text = np.searchsorted(words.first, start, side="right") - 1
+            row, wanted = places(batch.column("seeds"))
+            # pairs of text and seed in one sorted order
+            order = np.lexsort((wanted, row))
+            row, wanted = row[order], wanted[order]
+            edge = np.searchsorted(row, np.arange(len(words.first)))
+            keep = np.zeros(len(start), bool)
+            cut = np.searchsorted(text, np.arange(len(words.first)))
+            for i in range(len(words.first) - 1):
+                own = wanted[edge[i]:edge[i + 1]]
+                if len(own):
+                    here = seed[cut[i]:cut[i + 1]]
+                    keep[cut[i]:cut[i + 1]] = own[np.minimum(np.searchsorted(own, here), len(own) - 1)] == here
+            start, text = start[keep], text[keep]
+            own = pa.array(text)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(sequence_hashes(word_hash, start, start + size).view(np.int64)), batch.column("id").take(pa.array(text)),
-                 pa.array((start - words.first[text]).astype(np.int32))], ["hash", "id", "a"])
+                [pa.array(sequence_hashes(word_hash, start, start + size).view(np.int64)), batch.column("id").take(own), batch.column("doc").take(own),
+                 pa.array((start - words.first[text]).astype(np.int64))], ["hash", "id", "doc", "at"])
 
-    seen, _ = write_table(rows.mapInArrow(count, f"seed long, id {kind}"), "span_seeds")
+    seen, _ = write_table(rows.select("doc", "text", "spans").mapInArrow(count, "seed long, doc long"), "span_seeds")
     repeated = seen.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("seed")
-    found = seen.join(repeated, "seed").groupBy("id").agg(F.collect_set("seed").alias("seeds"))
-    spots, _ = write_table(rows.join(found, "id").mapInArrow(read, f"hash long, id {kind}, a int"), "span_windows")
-    first = spots.groupBy("hash").agg(F.min(F.struct("id", "a")).alias("at"))
-    firsts = first.groupBy(F.col("at.id").alias("id")).agg(F.collect_list(F.struct("at.a", "hash")).alias("firsts"))
-    return (spots.groupBy("id").agg(F.collect_set(F.struct("a", "hash")).alias("windows"))
-            .join(firsts, "id", "left"))
+    found = split_join(seen, repeated, "seed").groupBy("doc").agg(F.collect_set("seed").alias("seeds"))
+    spots, _ = write_table(rows.join(found, "doc").select("id", "doc", "text", "spans", "seeds")
+                           .mapInArrow(read, f"hash long, id {kind}, doc long, at long"), "span_windows")
+    return later(spots, "windows")
 
 
 def covered(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -216,34 +243,6 @@ def covered(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.cumsum(mark[:-1]) > 0
 
 
-def verified(words: Words, word_hash: np.ndarray, spans: list[list[tuple[int, int, int]]]) -> tuple[np.ndarray, np.ndarray]:
-    """The runs ``(a, b, hash)`` of each text that stand there, by word
-    positions of the batch."""
-    count = words.counts()
-    listed = sorted((i, a, b, h) for i, own in enumerate(spans) for a, b, h in own if b <= count[i])
-    if not listed:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    i, a, b, hashes = (np.array(x, np.int64) for x in zip(*listed, strict=True))
-    a, b = a + words.first[i], b + words.first[i]
-    same = sequence_hashes(word_hash, a, b).view(np.int64) == hashes
-    return a[same], b[same]
-
-
-def _lost_words(word: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which words go for the runs ``a:b``.  Fewer than ``CHANCE`` words that
-    a window adds before or after whole sentences stay: any two places of a
-    passage may have the next word in common by chance."""
-    own = np.isin(a, word) & np.isin(b, word)
-    whole, lost = covered(word[-1], a[own], b[own]), covered(word[-1], a, b)
-    turn = np.flatnonzero(np.diff(np.concatenate([[0], (lost & ~whole).view(np.int8), [0]])))
-    s, e = turn[::2], turn[1::2]
-    beside = np.concatenate([[False], whole, [False]])
-    edge = (beside[s] != beside[e + 1]) & (e - s < CHANCE)
-    for x, y in zip(s[edge].tolist(), e[edge].tolist(), strict=True):
-        lost[x:y] = False
-    return lost
-
-
 def _lost_bytes(found: Sentences, lo: int, hi: int, at: int, size: int, lost: np.ndarray, gone: np.ndarray) -> np.ndarray:
     """Which of the ``size`` bytes of one text go, its sentences being
     ``lo:hi`` and ``at`` its first byte."""
@@ -269,13 +268,11 @@ def _without(rows: DataFrame, text_col: str, passage: int, columns: list[str], o
             found = Sentences(words)
             texts, count = batch.column(text_col).to_pylist(), np.diff(found.first)
             removed = np.zeros(len(count), np.int64)
-            spans = [[(s["a"], s["b"], s["hash"]) for s in own or ()] for own in batch.column("__spans").to_pylist()]
-            for own, wins, firsts in zip(spans, batch.column("__windows").to_pylist(), batch.column("__firsts").to_pylist(), strict=True):
-                stay = {(s["a"], s["hash"]) for s in firsts or ()}
-                own += [(s["a"], s["a"] + passage, s["hash"]) for s in wins or () if (s["a"], s["hash"]) not in stay]
-            a, b = verified(words, words.hashes(), spans)
+            a, b = spans_of(batch.column("__spans"), words)
+            row, at = places(batch.column("__windows"))
+            a, b = np.concatenate([a, at + words.first[row]]), np.concatenate([b, at + words.first[row] + passage])
             if len(a):
-                lost = _lost_words(found.word, a, b)
+                lost = covered(len(words.start), a, b)
                 gone = np.diff(np.concatenate([[0], np.cumsum(lost)])[found.word]) == np.diff(found.word)
                 for i in np.unique(np.searchsorted(words.first, a, side="right") - 1).tolist():
                     raw, at = np.frombuffer(texts[i].encode(), np.uint8), int(words.at[i])
@@ -291,12 +288,13 @@ def _without(rows: DataFrame, text_col: str, passage: int, columns: list[str], o
 
 
 def _marked(docs: DataFrame, id_col: str, text_col: str, limits: tuple[int, int, int, int]) -> DataFrame:
-    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    digest = F.xxhash64(F.col(id_col), F.col(text_col))
+    rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), digest.alias("doc"), F.col(text_col).alias("text"))
     spans, _ = write_table(repeated_runs(rows, limits[:3]), "span_lists")
-    more, _ = write_table(repeated_windows(rows.join(spans, "id", "left"), limits[3]), "window_lists")
-    spans, more = (t.select(*[F.col(c).alias(f"__{c}") for c in t.columns]) for t in (spans, more))
-    return (docs.join(spans, docs[id_col] == spans["__id"], "left").drop("__id")
-            .join(more, docs[id_col] == more["__id"], "left").drop("__id"))
+    more, _ = write_table(repeated_windows(rows.join(spans, "doc", "left"), limits[3]), "window_lists")
+    spans = spans.select(F.col("doc").alias("__doc"), F.col("spans").alias("__spans"))
+    more = more.select(F.col("doc").alias("__doc"), F.col("windows").alias("__windows"))
+    return docs.withColumn("__doc", digest).join(spans, "__doc", "left").join(more, "__doc", "left").drop("__doc")
 
 
 def substring_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sentences: int = SENTENCES,

@@ -168,11 +168,20 @@ def brute_sentences(text):
     return [([w.lower() if w.isascii() else "".join(c.lower() if c.isascii() else c for c in w) for w in (m[0] for m in ms)], r) for ms, r in units]
 
 
-def brute_substrings(docs, sentences=3, words=12, alone=40):
-    units = {i: brute_sentences(t) for i, t in docs}
+def brute_substrings(docs, sentences=3, words=12, alone=40, passage=51, digests=None):
+    """``{row: (sentences, sentences gone, text left)}`` of rows ``(id, text)``:
+    runs of sentences, then windows of words that do not go with them whole."""
+    named = {}
+    for k, (i, t) in enumerate(docs):
+        if t is not None:
+            named.setdefault((i, t), []).append(k)
+    order = sorted(named, key=lambda d: (d[0] is None, d[0] or 0, digests[d] if digests else 0))
+    units = {d: brute_sentences(d[1]) for d in order}
+    flat = {d: [w for ws, _ in units[d] for w in ws] for d in order}
     seen = {}
-    for i in sorted(units):
-        n = [len(w) for w, _ in units[i]]
+    for d in order:
+        n = [len(w) for w, _ in units[d]]
+        at = [sum(n[:k]) for k in range(len(n) + 1)]
 
         def enough(a, b, n=n):
             total = sum(n[a:b])
@@ -182,11 +191,38 @@ def brute_substrings(docs, sentences=3, words=12, alone=40):
             spans |= {(k, b) for b in [next((b for b in range(k + 1, len(n) + 1) if enough(k, b)), None)] if b}
             spans |= {(a, k + 1) for a in [next((a for a in range(k, -1, -1) if enough(a, k + 1)), None)] if a is not None}
         for a, b in sorted(spans):
-            seen.setdefault(tuple(w for ws, _ in units[i][a:b] for w in ws), []).append((i, a, b))
-    gone = {(i, k) for places in seen.values() for i, a, b in sorted(places)[1:] for k in range(a, b)}
-    return {i: (len(units[i]), sum((i, k) in gone for k in range(len(units[i]))),
-                "".join(r for k, (_, r) in enumerate(units[i]) if (i, k) not in gone) if units[i] else docs_text)
-            for i, docs_text in docs}
+            seen.setdefault(tuple(flat[d][at[a]:at[b]]), []).append((d, at[a], at[b]))
+    lost = {d: set() for d in order}
+    for found in seen.values():
+        for d, a, b in found[1:]:
+            lost[d] |= set(range(a, b))
+    seen = {}
+    for d in order:
+        for k in range(len(flat[d]) - passage + 1):
+            if not lost[d].issuperset(range(k, k + passage)):
+                seen.setdefault(tuple(flat[d][k:k + passage]), []).append((d, k, k + passage))
+    for found in seen.values():
+        for d, a, b in found[1:]:
+            lost[d] |= set(range(a, b))
+    out = {k: (0, 0, None) for k, (_, t) in enumerate(docs) if t is None}
+    for d in order:
+        left, at, gone = "", 0, 0
+        for ws, raw in units[d]:
+            own = [at + k in lost[d] for k in range(len(ws))]
+            at += len(ws)
+            gone += all(own)
+            if all(own):
+                continue
+            marks = list(re.finditer(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", raw))
+            keep = [True] * len(raw)
+            for k, m in enumerate(marks):
+                if own[k]:  # with what stands before the next word
+                    keep[m.start():marks[k + 1].start() if k + 1 < len(marks) else m.end()] = [False] * (
+                        (marks[k + 1].start() if k + 1 < len(marks) else m.end()) - m.start())
+            left += "".join(c for c, yes in zip(raw, keep, strict=True) if yes)
+        for k in named[d]:
+            out[k] = (len(units[d]), gone, left if units[d] else d[1])
+    return out
 
 
 def passages(seed, n=60):
@@ -207,10 +243,27 @@ def passages(seed, n=60):
 def test_substrings_equal_brute_force(spark, seed):
     rows = passages(seed)
     got = sub.substring_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {r.doc_id: (r.n_sentences, r.n_removed, r.text) for r in got} == brute_substrings(rows)
+    assert {r.doc_id: (r.n_sentences, r.n_removed, r.text) for r in got} == brute_substrings(rows)  # ids are row numbers
     assert any(r.n_removed for r in got)
 
 
+def test_substrings_name_rows_by_id_and_text(spark):
+    """Null ids take part after all others; texts that share an id are apart."""
+    rng = random.Random(8)
+    say = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passage, line = say(60), "One two three. Four five six seven. Eight nine ten eleven twelve. "
+    twin = f"{say(3)}. {line}"
+    rows = [(1, f"{passage} {say(5)}"), (1, f"{passage} {say(6)}"), (None, f"{say(4)} {passage}"), (None, f"{line}{say(7)}."), (None, f"{line}{say(8)}."),
+            (2, twin), (2, twin), (2, f"{line}{say(9)}."), (3, None), (None, None), (4, f"{passage} tail"), (4, f"{passage} tail")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    digests = {(r.doc_id, r.text): r.d for r in table.selectExpr("*", "xxhash64(doc_id, text) d").collect()}
+    got = sub.substring_report(table).collect()
+    want = brute_substrings(rows, digests=digests)
+    key = lambda r: tuple(map(str, r))
+    assert sorted(((r.doc_id, r.n_sentences, r.n_removed, r.text) for r in got), key=key) == sorted(((rows[k][0], *v) for k, v in want.items()), key=key)
+    assert sum(passage in r.text for r in got if r.text) == 1
+
+
 def test_long_passage_goes_whole_and_only_it(spark):
     rng = random.Random(9)
     say = lambda n: " ".join(f"q{rng.random()}" for _ in range(n)).replace(".", "")
@@ -251,6 +304,7 @@ def test_passages_inside_sentences_go_whole(spark):
 
 def test_substring_odd_rows(odd_docs, no_docs):
     report = {r.doc_id: r for r in sub.substring_report(odd_docs).collect() if r.doc_id is not None}
+    assert sub.substring_report(odd_docs).where("doc_id is null").count() == 2
     assert report[5].n_removed == 0 and report[9].n_removed == report[9].n_sentences == 1 or report[9].n_removed == 0
     assert report[0].text is None and report[1].text == "" and report[6].n_removed == 0
     kept = sub.substring_dedup(odd_docs, words=3, words_alone=10)
