@@ -349,3 +349,9 @@ ORACLE["etl_results_first_branch"] = ("WITH " + (_VIEWS[:_start] + _TWO_LOWEST +
 
 # The UDF variant computes the same numbers as the built-in one.
 ORACLE["udf_cosine"] = ORACLE["dense_cosine"]
+
+# the same rows by another way
+ORACLE["base_join_bucketed"] = ORACLE["base_join"]
+ORACLE["incremental_measure_avg"] = _q(f"SELECT cohort_id, {_avg_cols()} FROM cohort_avg")
+ORACLE["incremental_coverage"] = _q("SELECT cohort_id, round(avg_coverage, 6) AS avg_coverage FROM coverage_avg")
+ORACLE["incremental_extremes"] = ORACLE["entity_extremes"]

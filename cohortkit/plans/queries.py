@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from cohortkit.functions.columns import array_size, clean_name, pretty_label, url_key
 from cohortkit.operators.base import (
     base_join,
+    base_join_members,
     distinct_rows,
     drop_incomplete,
     explode_members,
@@ -40,6 +41,7 @@ from cohortkit.operators.measures import (
     measure_pivot,
     with_row_mean,
 )
+from cohortkit.operators.partials import BatchStates, state_averages, state_coverage, state_extremes
 from cohortkit.operators.similarity import (
     cosine_to_centroid,
     inverse_document_frequency,
@@ -71,6 +73,8 @@ from cohortkit.sources.files import (
     latest_version,
     materialize,
     publish,
+    publish_bucketed,
+    read_bucketed,
     read_json_arrays,
     read_landing,
     read_published,
@@ -317,6 +321,17 @@ def q_base_join(spark, sf):
                                             array_size("tags").alias("n_tags"))
 
 
+@query("base_join_bucketed")
+def q_base_join_bucketed(spark, sf):
+    """The base join of a later run, from tables published in buckets by name."""
+    fx, root = Fixture(spark, sf), scratch_path(spark, "bucketed")
+    publish_bucketed(fx.entity, root, "entity", "name", 16)
+    publish_bucketed(explode_members(fx.cohort, "cohort_id"), root, "cohort_members", "member", 16)
+    publish_bucketed(explode_members(fx.chain, "chain_id"), root, "chain_members", "member", 16)
+    base = base_join_members(*[read_bucketed(spark, root, n) for n in ("entity", "cohort_members", "chain_members")])
+    return base.select("id", "name", "cohort_id", "chain_id", array_size("tags").alias("n_tags"))
+
+
 @query("project_drop")
 def q_project_drop(spark, sf):
     return project_drop(_base(Fixture(spark, sf)), ["measures", "tags", "kinds"])
@@ -407,6 +422,38 @@ def q_label_clean(spark, sf):
                        pretty_label(F.concat(F.lit("avg("), col_name, F.lit(")"))).alias("label"))
 
 
+# ------------------------------------------------- partial states per batch
+
+
+def _batch_states(spark: SparkSession, sf: str) -> BatchStates:
+    """Three batches, one after the other: open and finished orders, the
+    finished ones in an older version; those again, as they are; the rest."""
+    orders = Fixture(spark, sf).table("orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"))
+    wide = measure_pivot(with_coverage(_written_base(spark, sf)), MEASURE_NAMES, keep=("id", "name", "cohort_id", "coverage"))
+    wide = materialize(wide.join(orders, "id"), scratch_path(spark, "batches"))
+    old = wide.withColumn("qty", F.when(F.col("status") == "F", F.col("qty") * 100).otherwise(F.col("qty")))
+    states = BatchStates(spark, scratch_path(spark, "states"), ["cohort_id"], MEASURE_COLS)
+    states.add(1, old.where(F.col("status").isin("O", "F")))
+    states.add(2, wide.where(F.col("status") == "F"))
+    states.add(3, wide.where(~F.coalesce(F.col("status").isin("O", "F"), F.lit(False))))
+    return states
+
+
+@query("incremental_measure_avg")
+def q_incremental_measure_avg(spark, sf):
+    return r6(state_averages(_batch_states(spark, sf).states(), ["cohort_id"], MEASURE_COLS))
+
+
+@query("incremental_coverage")
+def q_incremental_coverage(spark, sf):
+    return r6(state_coverage(_batch_states(spark, sf).states(), ["cohort_id"]))
+
+
+@query("incremental_extremes")
+def q_incremental_extremes(spark, sf):
+    return r6(state_extremes(_batch_states(spark, sf).states(), MEASURE_COLS))
+
+
 # ------------------------------------------------------------ coverage, sort
 
 

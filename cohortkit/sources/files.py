@@ -6,6 +6,8 @@ Sinks write under the folder the caller passes; jobs take it from
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -109,6 +111,34 @@ def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}")
 
 
+def publish_bucketed(df: DataFrame, root: str, name: str, key: str, buckets: int) -> None:
+    """Publish a dataset bucketed and sorted by ``key`` below ``root/<name>``,
+    one file per bucket (A13).  Joins of datasets with equal bucket counts on
+    their keys, and aggregates by them, need no shuffle in later runs.  The key
+    and count stand in ``root/<name>__buckets``, so a later session needs no
+    catalog of this one."""
+    spark, path = df.sparkSession, f"{root.rstrip('/')}/{name}"
+    table = f"bucketed_{uuid.uuid4().hex}"
+    (df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(table))
+    spark.sql(f"DROP TABLE {table}")  # the files stay: the table is external
+    spec = spark.range(1).select(F.lit(key).alias("key"), F.lit(buckets).alias("buckets"), F.lit(df.schema.json()).alias("schema"))
+    spec.coalesce(1).write.mode("overwrite").parquet(f"{path}__buckets")
+
+
+def read_bucketed(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A dataset of :func:`publish_bucketed` with its bucketing."""
+    path = f"{root.rstrip('/')}/{name}"
+    spec = spark.read.parquet(f"{path}__buckets").first()
+    table = f"bucketed_{uuid.uuid4().hex}"
+    schema = T.StructType.fromJson(json.loads(spec.schema))
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    quoted = path.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (`{spec.key}`) SORTED BY (`{spec.key}`) "
+              f"INTO {spec.buckets} BUCKETS LOCATION '{quoted}'")
+    return spark.table(table)
+
+
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage, and a lost
     executor then costs a re-read, not a recomputation of the joins."""
