@@ -355,3 +355,12 @@ ORACLE["base_join_bucketed"] = ORACLE["base_join"]
 ORACLE["incremental_measure_avg"] = _q(f"SELECT cohort_id, {_avg_cols()} FROM cohort_avg")
 ORACLE["incremental_coverage"] = _q("SELECT cohort_id, round(avg_coverage, 6) AS avg_coverage FROM coverage_avg")
 ORACLE["incremental_extremes"] = ORACLE["entity_extremes"]
+
+_HELD = """, held AS (SELECT DISTINCT tag, hidden, name FROM (
+          SELECT tag, hidden, name FROM cust_tags UNION ALL
+          SELECT concat('Y', cast(year(l_shipdate) AS string)), l_returnflag = 'R', concat('E', cast(l_orderkey AS string)) FROM lineitem)),
+        n_held AS (SELECT tag, count(*) FILTER (hidden) AS n_set, count(*) FILTER (NOT hidden) AS n_unset FROM held GROUP BY tag)
+        """
+ORACLE["tag_holder_counts"] = _q(_HELD + "SELECT tag, n_set, n_unset, n_set > 0 AND n_unset > 0 AS both_ways FROM n_held")
+ORACLE["tag_holders_expanded"] = _q(_HELD + "SELECT tag, hidden, name FROM held")
+ORACLE["tag_holders_both_ways"] = _q(_HELD + "SELECT tag, hidden, name FROM held JOIN n_held USING (tag) WHERE n_set > 0 AND n_unset > 0")

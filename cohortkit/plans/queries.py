@@ -33,6 +33,7 @@ from cohortkit.operators.base import (
 )
 from cohortkit.operators.chains import all_members, first_branch, first_branch_edges, walk_edges
 from cohortkit.operators.coverage import best_coverage, entity_sort_key, group_coverage, with_coverage, with_rank
+from cohortkit.operators.holders import expand_holders, holder_counts, holder_index, number_entities
 from cohortkit.operators.measures import (
     entity_extremes,
     group_extremes,
@@ -516,6 +517,33 @@ def q_tag_split_full(spark, sf):
     return tag_split(explode_tags(Fixture(spark, sf).order_customer_tags), full=True)
 
 
+def _holder_index(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Orders tagged with their customer (few holders) and with the years their
+    lines were shipped in (many); the written index and the numbers."""
+    fx = Fixture(spark, sf)
+    years = fx.table("lineitem").select(F.concat(F.lit("E"), F.col("l_orderkey").cast("string")).alias("name"),
+                                        F.concat(F.lit("Y"), F.year("l_shipdate").cast("string")).alias("tag"),
+                                        (F.col("l_returnflag") == "R").alias("hidden"))
+    long = explode_tags(fx.order_customer_tags).unionByName(years)
+    numbers = materialize(number_entities(long), scratch_path(spark, "numbers"))
+    return materialize(holder_index(long, numbers), scratch_path(spark, "holders")), numbers
+
+
+@query("tag_holder_counts")
+def q_tag_holder_counts(spark, sf):
+    return holder_counts(_holder_index(spark, sf)[0])
+
+
+@query("tag_holders_expanded")
+def q_tag_holders_expanded(spark, sf):
+    return expand_holders(*_holder_index(spark, sf))
+
+
+@query("tag_holders_both_ways")
+def q_tag_holders_both_ways(spark, sf):
+    return expand_holders(*_holder_index(spark, sf), both_ways=True)
+
+
 # ----------------------------------------------------------- similarity
 
 
