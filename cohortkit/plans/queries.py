@@ -77,6 +77,7 @@ from cohortkit.sources.files import (
     publish_bucketed,
     read_bucketed,
     read_json_arrays,
+    read_json_elements,
     read_landing,
     read_published,
     write_json_arrays,
@@ -220,6 +221,16 @@ def q_scan_json(spark, sf):
     return good.select("id", "name", array_size("tags").alias("n_tags"))
 
 
+@query("scan_json_elements")
+def q_scan_json_elements(spark, sf):
+    """The same files, element by element; a reject loses nothing but itself."""
+    fx = Fixture(spark, sf)
+    path = scratch_path(spark, "scan_json")
+    write_json_arrays(fx.entity_docs.select(F.floor(F.col("id") / 1000).alias("file_key"), F.from_json("raw", ENTITY_DOC).alias("obj")), path, "file_key")
+    good, _ = parse_entities(read_json_elements(spark, path))
+    return good.select("id", "name", array_size("tags").alias("n_tags"))
+
+
 def _landed_twice(spark, sf, docs: DataFrame) -> str:
     """All documents landed once, those of finished orders once more."""
     path = scratch_path(spark, "landing")

@@ -40,6 +40,23 @@ def read_json_arrays(spark: SparkSession, paths: str | Sequence[str], schema: T.
         paths if isinstance(paths, str) else list(paths))
 
 
+def read_json_elements(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """The elements of files that each hold one JSON array, as ``(file, pos,
+    raw)`` (A10): no schema is applied, so an element that does not fit one
+    costs nothing but itself, and fields that no schema names are kept.
+
+    A file is read into one VARIANT and spread by position; ``raw`` is the
+    element's JSON, for the parsers and their rejects.  A file that holds one
+    object gives one element; one that is no JSON gives one without text,
+    which every parser rejects, so the file is not lost silently.
+    """
+    whole = (spark.read.option("singleVariantColumn", "v").option("multiLine", True).json(paths if isinstance(paths, str) else list(paths))
+             .select(F.input_file_name().alias("file"), "v"))
+    items = F.try_variant_get("v", "$", "array<variant>")
+    spread = F.when(items.isNotNull(), items).otherwise(F.array("v"))
+    return whole.select("file", F.posexplode(spread).alias("pos", "e")).select("file", "pos", F.to_json("e").alias("raw"))
+
+
 def write_json_arrays(docs: DataFrame, path: str, key: str, obj_col: str = "obj") -> None:
     """Write one JSON array file per value of ``key`` (the original landing
     layout): the objects of one key are collected into one array."""

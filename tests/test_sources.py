@@ -31,6 +31,7 @@ from cohortkit.sources.files import (
     materialize,
     publish,
     read_json_arrays,
+    read_json_elements,
     read_landing,
     read_published,
     scan_local,
@@ -242,6 +243,23 @@ def test_json_array_files_and_parquet_roundtrip(spark, tmp_path):
     assert sorted(r.id for r in read_published(spark, root, "x").collect()) == [1, 2]
 
 
+def test_json_array_elements_fail_alone(spark, tmp_path):
+    bad = dict(ENT, id=2, stats=[{"base_stat": "oops"}])
+    (tmp_path / "a.json").write_text(json.dumps([ENT, bad, None, 7, {"name": "no id"}, dict(ENT, id=3, more={"x": [1]})], indent=2))
+    (tmp_path / "b.json").write_text('[{"id": 9}, {"id": ')
+    (tmp_path / "c.json").write_text(json.dumps(dict(ENT, id=4)))
+    (tmp_path / "d.json").write_text("[]")
+    elements = read_json_elements(spark, str(tmp_path))
+    good, rejects = parse_entities(elements, keep=("file", "pos"))
+    assert sorted((r.file[-6:], r.pos, r.id) for r in good.collect()) == [("a.json", 0, 1), ("a.json", 5, 3), ("c.json", 0, 4)]
+    assert good.where("id = 1").select("measures").first()[0][0].value == 45
+    assert sorted((r.file[-6:], r.pos, r.reason) for r in rejects.collect()) == [
+        ("a.json", 1, "does not parse"), ("a.json", 2, "does not parse"), ("a.json", 3, "does not parse"), ("a.json", 4, "no id"),
+        ("b.json", 0, "does not parse")]
+    assert json.loads(elements.where("pos = 5").first().raw)["more"] == {"x": [1]}  # a field that no schema names
+    assert json.loads(rejects.where("pos = 1").first().raw) == bad
+
+
 def test_scan_local_explicit_schema(spark):
     df = scan_local(spark, [(1, "a", [("hp", 3)], [("t", True)], ["k"])], ENTITY)
     assert df.schema == ENTITY
