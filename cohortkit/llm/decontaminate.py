@@ -12,8 +12,9 @@ of a broadcast is ``shard_words`` and not the size of the benchmark; with more
 than one shard the documents pass the shards one after another, with a written
 table between them.
 
-Defined results: a null text has no words and no hits; an item without id or
-without words is left out; repeated item ids are one item with all its texts;
+Defined results: a null text has no words and no hits; an item without words
+is left out; the windows of an item without id hit like others, but there is no
+id to list; repeated item ids are one item with all its texts;
 an empty items table hits nothing; documents may repeat, each row is judged by
 itself; other columns are neither read nor changed.
 """
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -167,8 +169,8 @@ class ItemAutomaton:
                         yield i + 1 - size, i + 1, {item}
 
 
-def build_automata(items: DataFrame, id_col: str, text_col: str, n: int, shard_words: int) -> list[bytes]:
-    """Pickled automata, one per shard.  Long items are cut into pieces that
+def build_automata(items: DataFrame, id_col: str, text_col: str, n: int, shard_words: int) -> tuple[DataFrame | None, list[int]]:
+    """A written table ``(shard, blob)`` of pickled automata, and its shards.  Long items are cut into pieces that
     overlap by ``n - 1`` words, so no window is lost and no shard is much
     longer than the rest."""
     piece = max(n, shard_words // 8)
@@ -186,12 +188,12 @@ def build_automata(items: DataFrame, id_col: str, text_col: str, n: int, shard_w
                         out["n"].append(len(part))
             yield pa.RecordBatch.from_pydict(out, pa.schema([("item", pa.string()), ("words", pa.binary()), ("n", pa.int64())]))
 
-    rows = items.where(F.col(id_col).isNotNull()).select(
+    rows = items.select(
         F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text"))
     cut, _ = write_table(rows.mapInArrow(pieces, "item string, words binary, n long").distinct(), "bench_items")
     total = cut.agg(F.sum("n")).first()[0] or 0
     if not total:
-        return []
+        return None, []
     shards = -(-total // shard_words)
 
     def build(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
@@ -203,17 +205,16 @@ def build_automata(items: DataFrame, id_col: str, text_col: str, n: int, shard_w
              .groupBy("shard").applyInPandas(build, "shard long, blob binary"))
     built, _ = write_table(built, "bench_automata")
     present = sorted(r.shard for r in built.select("shard").collect())
-    return [built.where(F.col("shard") == s).first().blob for s in present]
+    return built, present
 
 
-def _pass(docs: DataFrame, text_col: str, pre: str, blob: bytes | None, first_pass: bool) -> DataFrame:
+def _pass(docs: DataFrame, text_col: str, pre: str, handle: Broadcast, first_pass: bool) -> DataFrame:
     """One stream of all documents through one shard's automaton; adds or
     extends the word count, the hit word positions and the items."""
     names = [f"{pre}n", f"{pre}hit", f"{pre}items"]
     kinds = [T.LongType(), T.ArrayType(T.LongType()), T.ArrayType(T.StringType())]
     schema = docs.schema if not first_pass else T.StructType(
         [*docs.schema.fields, *[T.StructField(a, k) for a, k in zip(names, kinds, strict=True)]])
-    handle = docs.sparkSession.sparkContext.broadcast(blob)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = pickle.loads(handle.value) if handle.value else None
@@ -229,7 +230,7 @@ def _pass(docs: DataFrame, text_col: str, pre: str, blob: bytes | None, first_pa
                     doc = int(np.searchsorted(words.first, s, side="right")) - 1
                     base = int(words.first[doc])
                     spans[doc].append((s - base, e - base))
-                    found[doc] |= items
+                    found[doc] |= items - {None}
             flat = [[x for pair in merged(own) for x in pair] for own in spans]
             kept = [batch.column(c) for c in batch.schema.names if c not in names]
             schema_names = [c for c in batch.schema.names if c not in names]
@@ -255,11 +256,15 @@ def _scanned(docs: DataFrame, items: DataFrame, text_col: str, item_id: str, ite
     pre = "__hit_"
     while any(c.startswith(pre) for c in docs.columns):
         pre += "_"
-    blobs = build_automata(items, item_id, item_text, n, shard_words) or [None]
-    for k, blob in enumerate(blobs):
-        if k:
+    built, shards = build_automata(items, item_id, item_text, n, shard_words)
+    handle = None
+    for k, shard in enumerate(shards or [None]):
+        if k:  # one automaton at a time, on the driver and on the executors
             docs, _ = write_table(docs, "bench_pass")
-        docs = _pass(docs, text_col, pre, blob, k == 0)
+            handle.destroy()
+        blob = None if shard is None else built.where(F.col("shard") == shard).first().blob
+        handle = docs.sparkSession.sparkContext.broadcast(blob)
+        docs = _pass(docs, text_col, pre, handle, k == 0)
     return docs, pre
 
 

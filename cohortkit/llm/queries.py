@@ -163,7 +163,7 @@ select *, component_id = vec_id kept from (
         least(vec_id, coalesce((select min(o.vec_id) from reach join v o on o.r = other where reach.r = v.r), vec_id)) component_id
     from v)""",
     "op7_decontaminate": f"""
-with items as (select cast(item_id as varchar) item_id, {_words('text')} w from benchmark where item_id is not null),
+with items as (select cast(item_id as varchar) item_id, {_words('text')} w from benchmark),
 gram as (select distinct item_id, size, array_to_string(w[i + 1 : i + size], ' ') g from (
     select item_id, w, least(13, len(w)) size, unnest(range(greatest(len(w) - 12, 1))) i from items where len(w) > 0)),
 sizes as (select distinct size from gram),
@@ -173,7 +173,7 @@ spot as (select r, size, array_to_string(w[i + 1 : i + size], ' ') g, i from (
 hit as (select r, i, gram.size, item_id from spot join gram using (size, g)),
 pos as (select r, count(*) n_hit from (select distinct r, unnest(range(i, i + size)) p from hit) group by r),
 own as (select r, count(*) n_items, string_agg(item_id, ',' order by item_id) ids
-    from (select distinct r, item_id from hit) group by r)
+    from (select distinct r, item_id from hit where item_id is not null) group by r)
 select doc_id, len(w)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coalesce(n_items, 0)::bigint n_items,
     sha256(coalesce(ids, '')) items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) contaminated
 from docs left join pos using (r) left join own using (r)""",

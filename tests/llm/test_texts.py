@@ -28,11 +28,11 @@ def brute_hits(text, items, n=13):
     for item, own in items:
         own = brute_words(own)
         size = min(n, len(own))
-        grams = {tuple(own[k:k + size]) for k in range(len(own) - size + 1)} if own and item is not None else set()
+        grams = {tuple(own[k:k + size]) for k in range(len(own) - size + 1)} if own else set()
         for k in range(len(words) - size + 1):
             if tuple(words[k:k + size]) in grams:
                 hit |= set(range(k, k + size))
-                found.add(str(item))
+                found |= {str(item)} if item is not None else set()
     return len(words), len(hit), sorted(found)
 
 
