@@ -50,6 +50,12 @@ def hyperplanes(dim: int, bits: int, tables: int) -> np.ndarray:
     return np.random.default_rng(1000 + dim).standard_normal((dim, bits * tables))
 
 
+def scaled(v: np.ndarray) -> np.ndarray:
+    """The vector over a power of two near its largest component: the same
+    direction to the bit, and squares that neither vanish nor overflow."""
+    return np.ldexp(v, -int(np.frexp(np.abs(v).max())[1])) if len(v) else v
+
+
 def _hashed(classes: DataFrame, bits: int, tables: int) -> DataFrame:
     """``(node, label, dim, copies, vector, hashes)``, vectors as doubles."""
     kind = classes.schema["label"].dataType.simpleString()
@@ -58,7 +64,7 @@ def _hashed(classes: DataFrame, bits: int, tables: int) -> DataFrame:
         planes: dict[int, np.ndarray] = {}
         weight = (1 << np.arange(bits)).astype(np.int64)
         for batch in batches:
-            vectors = [np.asarray(v.values, np.float64) for v in batch.column("embedding")]
+            vectors = [scaled(np.asarray(v.values, np.float64)) for v in batch.column("embedding")]
             hashes = []
             for v in vectors:
                 if len(v) not in planes:

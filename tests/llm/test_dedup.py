@@ -147,6 +147,12 @@ def test_embeddings_equal_brute_force(spark):
     assert emb.embedding_dedup(table.limit(0)).count() == 0
 
 
+def test_embeddings_of_any_magnitude(spark):
+    rows = [(1, [1e200, 2e200], 1), (2, [1e-200, 2e-200], 1), (3, [2.0, 4.1], 1), (4, [5e-324, 1e-323], 1), (5, [1.7e308, 1.7e308], 1), (6, [1e300, -2e300], 1)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in emb.embedding_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {1: (4, 1), 2: (4, 1), 3: (4, 1), 4: (4, 1), 5: (4, 1), 6: (0, 6)}
+
+
 def test_tables_follow_size_and_recall():
     small, large = emb.plan_tables(1000, 0.93, 0.999), emb.plan_tables(10**9, 0.93, 0.999)
     assert small[0] < large[0] and small[1] < large[1]
