@@ -352,6 +352,7 @@ ORACLE["udf_cosine"] = ORACLE["dense_cosine"]
 
 # the same rows by another way
 ORACLE["base_join_bucketed"] = ORACLE["base_join"]
+ORACLE["base_join_reduced"] = ORACLE["base_join"]
 ORACLE["scan_json_elements"] = ORACLE["scan_json"]
 ORACLE["incremental_measure_avg"] = _q(f"SELECT cohort_id, {_avg_cols()} FROM cohort_avg")
 ORACLE["incremental_coverage"] = _q("SELECT cohort_id, round(avg_coverage, 6) AS avg_coverage FROM coverage_avg")

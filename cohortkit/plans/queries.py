@@ -43,6 +43,7 @@ from cohortkit.operators.measures import (
     with_row_mean,
 )
 from cohortkit.operators.partials import BatchStates, state_averages, state_coverage, state_extremes
+from cohortkit.operators.reduction import base_join_reduced
 from cohortkit.operators.similarity import (
     cosine_to_centroid,
     inverse_document_frequency,
@@ -344,6 +345,15 @@ def q_base_join_bucketed(spark, sf):
     return base.select("id", "name", "cohort_id", "chain_id", array_size("tags").alias("n_tags"))
 
 
+@query("base_join_reduced")
+def q_base_join_reduced(spark, sf):
+    """The base join of entities that a filter over the cohort members let pass."""
+    fx = Fixture(spark, sf)
+    members = materialize(explode_members(fx.cohort, "cohort_id"), scratch_path(spark, "cohort_members"))
+    base = base_join_reduced(fx.entity, members, explode_members(fx.chain, "chain_id"))
+    return base.select("id", "name", "cohort_id", "chain_id", array_size("tags").alias("n_tags"))
+
+
 @query("project_drop")
 def q_project_drop(spark, sf):
     return project_drop(_base(Fixture(spark, sf)), ["measures", "tags", "kinds"])
