@@ -366,3 +366,29 @@ _HELD = """, held AS (SELECT DISTINCT tag, hidden, name FROM (
 ORACLE["tag_holder_counts"] = _q(_HELD + "SELECT tag, n_set, n_unset, n_set > 0 AND n_unset > 0 AS both_ways FROM n_held")
 ORACLE["tag_holders_expanded"] = _q(_HELD + "SELECT tag, hidden, name FROM held")
 ORACLE["tag_holders_both_ways"] = _q(_HELD + "SELECT tag, hidden, name FROM held JOIN n_held USING (tag) WHERE n_set > 0 AND n_unset > 0")
+
+# MLlib's bucket of a text: MurmurHash3 (x86, 32 bits, seed 42) of its UTF-8 bytes, modulo the number of
+# buckets.  The numbers are that hash's fixed constants; products of two 32-bit numbers fit UBIGINT.
+_BUCKETS = """, byte_list AS (
+          SELECT tag, n, list_transform(range(0, n), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::UBIGINT) AS b
+          FROM (SELECT DISTINCT tag, hex(encode(tag)) AS h, length(hex(encode(tag))) // 2 AS n FROM tf)),
+        word_list AS (
+          SELECT tag, n, list_transform(range(0, n // 4 + 1), lambda i: coalesce(b[4 * i + 1], 0)::UBIGINT + coalesce(b[4 * i + 2], 0) * 256
+            + coalesce(b[4 * i + 3], 0) * 65536 + coalesce(b[4 * i + 4], 0) * 16777216) AS w FROM byte_list),
+        scrambled AS (
+          SELECT tag, n, list_transform(list_transform(w, lambda k: k * 3432918353::UBIGINT % 4294967296),
+            lambda k: (k * 32768 % 4294967296 + k // 131072) * 461845907::UBIGINT % 4294967296) AS k FROM word_list),
+        body AS (
+          SELECT tag, n, k[n // 4 + 1] AS rest, list_reduce(list_transform(k[1:n // 4], lambda x: x::UBIGINT), lambda h, x:
+            ((xor(h, x) * 8192 % 4294967296 + xor(h, x) // 524288) * 5 + 3864292196) % 4294967296, 42::UBIGINT) AS h FROM scrambled),
+        ended AS (SELECT tag, xor(xor(h, rest), n::UBIGINT) AS h FROM body),
+        mix1 AS (SELECT tag, xor(h, h // 65536) * 2246822507::UBIGINT % 4294967296 AS h FROM ended),
+        mix2 AS (SELECT tag, xor(h, h // 8192) * 3266489909::UBIGINT % 4294967296 AS h FROM mix1),
+        buckets AS (SELECT tag, cast(xor(h, h // 65536) % 262144 AS bigint) AS bucket FROM mix2)
+        """
+ORACLE["tag_hash_buckets"] = _q(_BUCKETS + "SELECT tag, bucket, count(*) OVER (PARTITION BY bucket) AS n_sharing FROM buckets")
+ORACLE["tag_hashed_tfidf"] = _q(_BUCKETS + """, bucket_tf AS (
+          SELECT id, cohort_id, chain_id, bucket, cast(sum(tf) AS bigint) AS tf FROM tf JOIN buckets USING (tag) GROUP BY ALL),
+        bucket_df AS (SELECT bucket, count(*) AS df FROM bucket_tf GROUP BY bucket)
+        SELECT id, cohort_id, chain_id, bucket, tf, round(tf * ln((m + 1.0) / (df + 1.0)), 6) AS weight
+        FROM bucket_tf JOIN bucket_df USING (bucket) CROSS JOIN n_base""")

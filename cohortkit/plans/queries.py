@@ -33,6 +33,7 @@ from cohortkit.operators.base import (
 )
 from cohortkit.operators.chains import all_members, first_branch, first_branch_edges, walk_edges
 from cohortkit.operators.coverage import best_coverage, entity_sort_key, group_coverage, with_coverage, with_rank
+from cohortkit.operators.hashed import bucket_table, fit_hashed, hashed_weights
 from cohortkit.operators.holders import expand_holders, holder_counts, holder_index, number_entities
 from cohortkit.operators.measures import (
     entity_extremes,
@@ -590,6 +591,19 @@ def _written_base(spark: SparkSession, sf: str) -> DataFrame:
     return materialize(_base(Fixture(spark, sf)), scratch_path(spark, "base"))
 
 
+@query("tag_hashed_tfidf")
+def q_tag_hashed_tfidf(spark, sf):
+    """TF-IDF by bucket from the saved and loaded MLlib stages."""
+    base = _written_base(spark, sf)
+    return r6(hashed_weights(base, KEYS, fit_hashed(base, scratch_path(spark, "hashed_model"))))
+
+
+@query("tag_hash_buckets")
+def q_tag_hash_buckets(spark, sf):
+    """The bucket of every tag and how many tags share it."""
+    return bucket_table(_base(Fixture(spark, sf)))
+
+
 @query("similar_pairs")
 def q_similar_pairs(spark, sf):
     return r6(similar_pairs(_written_base(spark, sf), THRESHOLD))
