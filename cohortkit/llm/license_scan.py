@@ -5,11 +5,21 @@ in both: the longest increasing run of these anchors is taken, and the gaps
 between them are aligned the same way after their common ends are matched.
 The share of template words aligned is the coverage.
 
-A template's words must be near each other for a match, so the regions to align
-are found first: a document is passed over for a template if it lacks so many
-of its distinct words that no alignment could reach the least coverage, and
-regions are windows of the document that hold enough of them.  The scan is one
-pass over the documents without a shuffle; the templates are a small parameter.
+A match is a span in which the aligned words reach the least coverage, with at
+most ``GAP`` other words between two neighbours, with every deciding word of the
+template aligned and none of its barred words inside.  Deciding words tell a
+template from its likes (the "3" of a GPL version), barred ones name another
+license that holds the same words ("lesser").
+
+The regions to align are found first.  A document is passed over for a template
+if it lacks a deciding word, or so many distinct words that no alignment could
+reach the least coverage.  Then, left to right: windows of about the template's
+length that hold enough of its words, drawn out where the words they miss stand
+further off; between the matches of those, the whole stretches over which the template's words follow each other without a larger
+gap, however much longer than the template they are; and where a stretch gives
+no match, as words that stand in it twice anchor nothing, its pieces around each
+place of a word that a match cannot lack.  The scan is one pass over the
+documents without a shuffle; the templates are a small parameter.
 
 Defined results: null and empty texts match nothing; a license that stands
 several times in a text matches several times; repeated rows each get a row;
@@ -30,7 +40,8 @@ from pyspark.sql import functions as F
 from cohortkit.llm.text import small_slices, words_of
 
 LEAST_COVERAGE = 0.8
-SLACK = 1.25  # a region may be so much longer than its template
+SLACK = 1.25  # windows tried first are so much longer than their template
+GAP = 16  # most other words between two aligned words of a match
 
 #: Notices by which texts name their license (SPDX identifiers).
 TEMPLATES = {
@@ -62,6 +73,28 @@ TEMPLATES = {
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
 }
 
+#: Words that must be aligned, by license.
+DECIDING = {
+    "Apache-2.0": "apache 2",
+    "Apache-2.0-header": "apache 2",
+    "MIT": "mit",
+    "GPL-3.0": "gnu 3",
+    "GPL-3.0-header": "gnu 3",
+    "MPL-2.0": "mozilla 2",
+    "CC-BY-NC-4.0": "cc nc 4",
+    "CC-BY-4.0": "attribution 4",
+    "CC-BY-SA-4.0": "attribution sharealike 4",
+}
+
+#: Words that stand in the notices of another license with the same words.
+BARRED = {
+    "GPL-3.0": "lesser affero",
+    "GPL-3.0-header": "lesser affero",
+    "CC-BY-NC-4.0": "sa nd",
+    "CC-BY-4.0": "sharealike noncommercial noderivatives noderivs",
+    "CC-BY-SA-4.0": "noncommercial",
+}
+
 
 def longest_increasing(values: list[int]) -> list[int]:
     """Positions of a longest increasing subsequence (patience piles)."""
@@ -111,19 +144,28 @@ def patience(text: list[int], template: list[int]) -> list[tuple[int, int]]:
 
 
 class LicenseScanner:
-    def __init__(self, templates: Mapping[str, str], least: float = LEAST_COVERAGE):
+    def __init__(self, templates: Mapping[str, str], least: float = LEAST_COVERAGE, gap: int = GAP,
+                 deciding: Mapping[str, str] = DECIDING, barred: Mapping[str, str] = BARRED):
         names = sorted(templates)
-        words = words_of(pa.array([templates[n] for n in names]))
+        words = words_of(pa.array([templates[n] for n in names] + [deciding.get(n, "") for n in names] + [barred.get(n, "") for n in names]))
         h = words.hashes()
         self.vocab = np.unique(h)
         codes = np.searchsorted(self.vocab, h)
-        self.templates = [(n, codes[words.first[i]:words.first[i + 1]].tolist()) for i, n in enumerate(names)
-                          if words.first[i] < words.first[i + 1]]
+        sets = [codes[words.first[i]:words.first[i + 1]].tolist() for i in range(3 * len(names))]
+        chosen = [i for i in range(len(names)) if sets[i]]
+        self.templates = [(names[i], sets[i]) for i in chosen]
+        self.deciding = [set(sets[len(names) + i]) for i in chosen]
+        self.barred = [set(sets[2 * len(names) + i]) for i in chosen]
+        for (name, own), must in zip(self.templates, self.deciding, strict=True):
+            if not must <= set(own):
+                raise ValueError(f"a deciding word of {name} does not stand in its template")
         self.has = np.zeros((len(self.vocab), len(self.templates)), np.float32)
-        self.least = least
+        self.must = np.zeros((len(self.vocab), len(self.templates)), np.float32)
+        self.least, self.gap = least, gap
         self.spare = []
         for t, (_, own) in enumerate(self.templates):
             self.has[own, t] = 1
+            self.must[list(self.deciding[t]), t] = 1
             # a missing distinct word costs its fewest uses, one: so many may be missing at most
             self.spare.append(int(np.floor((1 - least) * len(own) + 1e-9)))
         self.enough = self.has.sum(0) - np.array(self.spare)
@@ -131,7 +173,7 @@ class LicenseScanner:
     def scan(self, batch_words) -> list[list[tuple[str, float, int, int]]]:
         """Per text: ``(license, coverage, first word, last word + 1)``."""
         found: list[list[tuple[str, float, int, int]]] = [[] for _ in range(len(batch_words.first) - 1)]
-        if not len(self.vocab) or not len(batch_words.start):
+        if not self.templates or not len(batch_words.start):
             return found
         h = batch_words.hashes()
         code = np.minimum(np.searchsorted(self.vocab, h), len(self.vocab) - 1)
@@ -140,18 +182,101 @@ class LicenseScanner:
         text = np.searchsorted(batch_words.first, known, side="right") - 1
         present = np.zeros((len(found), len(self.vocab)), np.float32)
         present[text, code[known]] = 1
-        for i, t in np.argwhere(present @ self.has >= self.enough).tolist():
+        able = (present @ self.has >= self.enough) & (present @ self.must >= self.must.sum(0))
+        for i, t in np.argwhere(able).tolist():
             lo, hi = int(batch_words.first[i]), int(batch_words.first[i + 1])
             own = known[(known >= lo) & (known < hi)]
             own = own[self.has[code[own], t] > 0]
-            found[i] += self.regions(code, own, lo, hi, t)
+            found[i] += self.matches(code, own, lo, hi, t)
         return found
 
-    def regions(self, code: np.ndarray, at: np.ndarray, lo: int, hi: int, t: int) -> Iterator[tuple[str, float, int, int]]:
+    def matches(self, code: np.ndarray, at: np.ndarray, lo: int, hi: int, t: int) -> list[tuple[str, float, int, int]]:
         """Matches of one template in one text, left to right; ``at`` are the
         positions of its words."""
         name, template = self.templates[t]
-        length, own = int(np.ceil(SLACK * len(template))) + 2, set(template)
+        spans = self.extended(code, at, list(self.regions(code, at, hi, t)), t)
+        # what lies between them, cut where the template's words stop following each other
+        edges = [(lo, lo), *[(a, b) for a, b, _ in spans], (hi, hi)]
+        for (_, a), (b, _) in zip(edges, edges[1:], strict=False):
+            part = at[np.searchsorted(at, a):np.searchsorted(at, b)]
+            for stretch in np.split(part, np.flatnonzero(np.diff(part) > self.gap + 1) + 1):
+                spans += self.stretch(code, stretch, t)
+        return [(name, n / len(template), a - lo, b - lo) for a, b, n in sorted(spans)]
+
+    def extended(self, code: np.ndarray, at: np.ndarray, spans: list[tuple[int, int, int]], t: int) -> list[tuple[int, int, int]]:
+        """Matches of windows that miss words, with those that stand further off: as
+        far as the template's words follow each other, up to the next matches."""
+        whole, cuts = len(self.templates[t][1]), np.flatnonzero(np.diff(at) > self.gap + 1)
+        starts, ends = at[np.r_[0, cuts + 1]] if len(at) else at, at[np.r_[cuts, -1]] + 1 if len(at) else at
+        reach = whole * (self.gap + 1)  # no match is longer
+        out, after = [], -1
+        for k, (first, last, n) in enumerate(spans):
+            if n < whole:
+                own = np.searchsorted(starts, first, side="right") - 1
+                before = spans[k + 1][0] if k + 1 < len(spans) else first + reach
+                a, b = max(after, int(starts[own]), last - reach), min(before, int(ends[own]), first + reach)
+                for x, y, m in self.aligned(code, a, b, t):
+                    if x <= first and last <= y and m > n:
+                        first, last, n = x, y, m
+            out.append((first, last, n))
+            after = last
+        return out
+
+    def aligned(self, code: np.ndarray, a: int, b: int, t: int) -> Iterator[tuple[int, int, int]]:
+        """Spans ``(first, last + 1, aligned words)`` that fulfil all conditions in
+        the alignment of the words from ``a`` to ``b``."""
+        template = self.templates[t][1]
+        own = set(template)
+        pairs = patience([c if c in own else -1 for c in code[a:b].tolist()], template)
+        start = 0
+        for k in range(1, len(pairs) + 1):
+            if k == len(pairs) or pairs[k][0] - pairs[k - 1][0] > self.gap + 1:
+                run, start = pairs[start:k], k
+                first, last = a + run[0][0], a + run[-1][0] + 1
+                if (len(run) >= self.least * len(template) - 1e-9 and self.deciding[t] <= {template[y] for _, y in run}
+                        and self.barred[t].isdisjoint(code[first:last].tolist())):
+                    yield first, last, len(run)
+
+    def stretch(self, code: np.ndarray, at: np.ndarray, t: int) -> list[tuple[int, int, int]]:
+        """Matches in one stretch, given the positions of the template's words."""
+        done, todo = [], [at]
+        while todo:
+            at = todo.pop()
+            own, counts = np.unique(code[at], return_counts=True)
+            if len(own) < self.enough[t] or not self.deciding[t] <= set(own.tolist()):
+                continue
+            a, b = int(at[0]), int(at[-1]) + 1
+            spans = list(self.aligned(code, a, b, t)) or self.pieces(code, at, dict(zip(own.tolist(), counts.tolist(), strict=True)), t)
+            done += spans
+            if spans:
+                edges = [(a, a), *[(x, y) for x, y, _ in spans], (b, b)]
+                todo += [at[np.searchsorted(at, x):np.searchsorted(at, y)] for (_, x), (y, _) in zip(edges, edges[1:], strict=False)]
+        return done
+
+    def pieces(self, code: np.ndarray, at: np.ndarray, counts: dict[int, int], t: int) -> list[tuple[int, int, int]]:
+        """Matches around single places of a word: a deciding one, or one of so many
+        that a match holds at least one of them; the rarest are taken."""
+        need = 1 if self.deciding[t] else self.spare[t] + 1
+        rarest = sorted(self.deciding[t] or set(self.templates[t][1]), key=lambda c: (counts.get(c, 0), c))[:need]
+        for word in rarest:
+            if counts.get(word, 0) < 2:
+                continue
+            places = at[code[at] == word].tolist()
+            spans, after = [], int(at[0])
+            for before, here, behind in zip([after - 1, *places], places, [*places[1:], int(at[-1]) + 1], strict=False):
+                if here >= after:
+                    own = at[np.searchsorted(at, max(after, before + 1)):np.searchsorted(at, behind)]
+                    found = list(self.aligned(code, int(own[0]), int(own[-1]) + 1, t))
+                    spans += found
+                    after = found[-1][1] if found else after
+            if spans:
+                return spans
+        return []
+
+    def regions(self, code: np.ndarray, at: np.ndarray, hi: int, t: int) -> Iterator[tuple[int, int, int]]:
+        """Matches of one template in windows of about its length, left to right."""
+        template = self.templates[t][1]
+        length = int(np.ceil(SLACK * len(template))) + 2
         at, codes = at.tolist(), code[at].tolist()
         inside: Counter[int] = Counter()
         k, stop = 0, 0
@@ -161,13 +286,12 @@ class LicenseScanner:
                 stop += 1
             step = k + 1
             if len(inside) >= self.enough[t]:
-                a, b = at[k], min(hi, at[k] + length)
-                text = [c if c in own else -1 for c in code[a:b].tolist()]
-                pairs = patience(text, template)
                 # the best start is one where no later start of the same window aligns more
-                if len(pairs) >= self.least * len(template) - 1e-9 and pairs[0][0] == 0:
-                    yield name, len(pairs) / len(template), a - lo, a + pairs[-1][0] + 1 - lo
-                    step = bisect_left(at, a + pairs[-1][0] + 1)
+                for first, last, n in self.aligned(code, at[k], min(hi, at[k] + length), t):
+                    if first == at[k]:
+                        yield first, last, n
+                        step = bisect_left(at, last)
+                        break
             for j in range(k, min(step, stop)):
                 inside[codes[j]] -= 1
                 if not inside[codes[j]]:
@@ -176,17 +300,18 @@ class LicenseScanner:
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 templates: Mapping[str, str] = TEMPLATES, least: float = LEAST_COVERAGE) -> DataFrame:
+                 templates: Mapping[str, str] = TEMPLATES, least: float = LEAST_COVERAGE, gap: int = GAP,
+                 deciding: Mapping[str, str] = DECIDING, barred: Mapping[str, str] = BARRED) -> DataFrame:
     """``(id, n_matches, licenses, best_coverage, matches)`` per document;
     matches give the license, its coverage and the character span."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     match = "struct<license:string,coverage:double,start:bigint,end:bigint>"
     match_type = pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("start", pa.int64()), ("end", pa.int64())])
-    templates = dict(templates)
+    templates, deciding, barred = dict(templates), dict(deciding), dict(barred)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = LicenseScanner(templates, least)
+        scanner = LicenseScanner(templates, least, gap, deciding, barred)
         for batch in small_slices(batches, "text", 1 << 20):
             words, out = words_of(batch.column("text")), []
             for i, own in enumerate(scanner.scan(words)):

@@ -139,11 +139,88 @@ def test_pruning_loses_no_license():
     for i, found in enumerate(scanner.scan(words)):
         lo, hi = int(words.first[i]), int(words.first[i + 1])
         want = [m for t in range(len(scanner.templates))
-                for m in scanner.regions(code, np.array([k for k in range(lo, hi) if code[k] >= 0 and scanner.has[code[k], t]], int), lo, hi, t)]
+                for m in scanner.matches(code, np.array([k for k in range(lo, hi) if code[k] >= 0 and scanner.has[code[k], t]], int), lo, hi, t)]
         assert sorted(found) == sorted(want)
     assert sum(map(len, scanner.scan(words))) > 80
 
 
+def license_words(texts, **kw):
+    import pyarrow as pa
+    return lic.LicenseScanner(lic.TEMPLATES, **kw).scan(words_of(pa.array(texts)))
+
+
+def test_deciding_words_name_the_license():
+    texts = {
+        'Licensed under the <a href="http://www.apache.org/licenses/LICENSE-2.0">Apache License, Version 2.0</a>.': {"Apache-2.0"},
+        "Released under the BSD License.": set(), "Licensed under CC BY-SA 4.0.": set(), "Licensed under CC BY-NC-SA 4.0.": set(),
+        "This work is licensed under the GNU General Public License, version 2.": set(),
+        "This work is licensed under the GNU General Public License, version 3.": {"GPL-3.0"},
+        "This work is licensed under the GNU Lesser General Public License, version 3.": set(),
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": {"CC-BY-SA-4.0"},
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.": set(),
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.": {"CC-BY-4.0"}}
+    for (text, want), found in zip(texts.items(), license_words(list(texts)), strict=True):
+        assert {m[0] for m in found} == want, text
+    with pytest.raises(ValueError):
+        lic.LicenseScanner({"X": "some words"}, deciding={"X": "other"})
+
+
+def test_planted_notices_come_out_whole():
+    """Whole results against what was planted: notices with words put in between and
+    words left out, several to a text, among words that stand in no template.  Where
+    the plain recursive alignment misses words of a notice that repeat, it may be
+    found with fewer of them or not at all; every other must come out exactly."""
+    rng = random.Random(11)
+    names = ["Apache-2.0", "MIT", "MIT-text", "GPL-3.0", "ISC", "CC-BY-NC-4.0", "MPL-2.0", "BSD-3-Clause"]
+    fill = lambda n: [f"x{rng.randrange(50)}" for _ in range(n)]
+    texts, want = [], []
+    for _ in range(120):
+        name, words, planted = rng.choice(names), fill(rng.randrange(40)), []
+        import pyarrow as pa
+        w = words_of(pa.array([lic.TEMPLATES[name]]))
+        template = [bytes(w.buf[a:b]).decode().lower() for a, b in zip(w.start, w.end, strict=True)]
+        must = set(lic.DECIDING.get(name, "").split())
+        for _ in range(rng.choice([0, 1, 1, 2, 5])):
+            once = [i for i, x in enumerate(template) if template.count(x) == 1 and x not in must]
+            out = set(rng.sample(once, min(len(once), rng.choice([0, 0, int(0.2 * len(template) + 1e-9), int(0.2 * len(template)) + 2]))))
+            kept = [x for i, x in enumerate(template) if i not in out]
+            wide = rng.choice([0, 0, 3, lic.GAP])
+            start = len(words)
+            for i, x in enumerate(kept):
+                words += [*(fill(rng.randrange(wide + 1)) if i else []), x]
+            if len(kept) >= lic.LEAST_COVERAGE * len(template) - 1e-9:
+                planted.append(((name, len(kept) / len(template), start, len(words)), plain_patience(words[start:], template) == len(kept)))
+            words += fill(lic.GAP + 1 + rng.randrange(30))
+        texts.append(" ".join(words))
+        want.append(planted)
+    for text, found, planted in zip(texts, license_words(texts), want, strict=True):
+        found = [m for m in found if not planted or m[0] == planted[0][0][0]]
+        assert {m for m, sure in planted if sure} <= set(found), text
+        for _, share, a, b in found:
+            (own,) = [m for m, _ in planted if m[2] <= a and b <= m[3]]
+            assert share <= own[1]
+        assert len(found) <= len(planted)
+    assert sum(sure for planted in want for _, sure in planted) > 80
+
+
+def test_spread_notices_in_one_stretch():
+    notice = "Licensed a under b the c d e f Apache g h i License j k Version l 2 m n o p q 0"
+    text = " the license of the version ".join([notice] * 30)
+    found = license_words([text])[0]
+    assert [m[0] for m in found].count("Apache-2.0") == 30
+    assert all(a[3] <= b[2] for a, b in zip(found, found[1:], strict=False))
+    # wider gaps than allowed: no match, however the words follow each other
+    far = (" " + " ".join(["w"] * (lic.GAP + 1)) + " ").join("Released under the MIT License".split())
+    near = (" " + " ".join(["w"] * lic.GAP) + " ").join("Released under the MIT License".split())
+    assert [[m[0] for m in f] for f in license_words([far, near])] == [[], ["MIT"]]
+
+
+def test_very_long_text_with_a_notice_at_its_end():
+    text = "the license of a software and to any person " * 30_000
+    found = license_words([text + "filler " * 40 + lic.TEMPLATES["MIT-text"]])[0]
+    assert [m[:2] for m in found] == [("MIT-text", 1.0)]
+
+
 def test_license_rows(spark, odd_docs, no_docs):
     texts = ["x. Released under the MIT License. More, and: released under the MIT license!", "Licensed under\nthe Apache License, Version 2.0",
              "é Licensed under CC BY-NC 4.0.", "the license of the version", None]
