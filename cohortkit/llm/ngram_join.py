@@ -94,7 +94,7 @@ def _shingles(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def profile(rows: DataFrame, size: int) -> DataFrame:
-    """``(id, side, node, signature)`` per row; ``node`` names the text's
+    """``(id, side, digest, node, signature)`` per row; ``node`` names the text's
     shingles and is null where there are none."""
     kind = rows.schema["id"].dataType.simpleString()
 
@@ -104,10 +104,11 @@ def profile(rows: DataFrame, size: int) -> DataFrame:
             full = np.diff(offsets) > 0
             sig = iter(_signatures(shingles, np.unique(offsets))) if full.any() else iter(())
             raw = [next(sig).tobytes() if f else None for f in full]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("side"), pa.array(node, mask=~full), pa.array(raw, pa.binary())],
-                                             ["id", "side", "node", "signature"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("id", "side", "digest")],
+                                              pa.array(node, mask=~full), pa.array(raw, pa.binary())],
+                                             ["id", "side", "digest", "node", "signature"])
 
-    return rows.mapInArrow(read, f"id {kind}, side long, node long, signature binary")
+    return rows.mapInArrow(read, f"id {kind}, side long, digest long, node long, signature binary")
 
 
 def _first_paths(classes: DataFrame, runs: int) -> DataFrame:
@@ -302,30 +303,47 @@ def exact_links(classes: DataFrame, groups: DataFrame, rows: DataFrame, size: in
     return dealt.groupBy("task").applyInPandas(compare, "u long, v long, n long")
 
 
+def linked_classes(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: float, target_recall: float,
+                   small: int, dense: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``own``: the profile of every row; ``classes``: equal shingle sets as one,
+    with their first row ``rep`` (by id, rows without id last, then by text);
+    ``found``: links and partner counts of classes."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("digest", F.xxhash64("text"))
+    # rows without an id are told apart by their text
+    rows = rows.withColumn("side", F.when(F.col("id").isNull(), F.col("digest")))
+    own, _ = write_table(profile(rows, size), "ngram_profile")
+    rep = F.struct(F.col("id").isNull().alias("bare"), "id", "digest")
+    classes, _ = write_table(own.where("node is not null").groupBy("node").agg(
+        F.min("id").alias("id"), F.when(F.min("id").isNull(), F.min("side")).alias("side"), F.min(rep).alias("rep"),
+        F.count(F.lit(1)).alias("copies"), F.first("signature").alias("signature")), "ngram_classes")
+    groups, _ = write_table(candidate_groups(classes, threshold, target_recall, small, dense), "ngram_groups")
+    found, _ = write_table(exact_links(classes, groups, rows.drop("digest"), size, threshold), "ngram_found")
+    return own, classes, found
+
+
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
                threshold: float = THRESHOLD, target_recall: float = TARGET_RECALL, small: int = SMALL,
                dense: float = DENSE) -> DataFrame:
     """``(id, class_id, n_links)`` per row: the smallest id that links of
     Jaccard similarity ``threshold`` or more reach, and the number of other
     rows linked directly."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    # rows without an id are told apart by their text
-    rows = rows.withColumn("side", F.when(F.col("id").isNull(), F.xxhash64("text")))
-    own, _ = write_table(profile(rows, size), "ngram_profile")
-    classes, _ = write_table(own.where("node is not null").groupBy("node").agg(
-        F.min("id").alias("id"), F.when(F.min("id").isNull(), F.min("side")).alias("side"),
-        F.count(F.lit(1)).alias("copies"), F.first("signature").alias("signature")), "ngram_classes")
-    groups, _ = write_table(candidate_groups(classes, threshold, target_recall, small, dense), "ngram_groups")
-    found, _ = write_table(exact_links(classes, groups, rows, size, threshold), "ngram_found")
-    done = label_rows(own, classes, found)
+    done = label_rows(*linked_classes(docs, id_col, text_col, size, threshold, target_recall, small, dense))
     return done.select(F.col("id").alias(id_col), "class_id", "n_links")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents without all but the first (by id) of every linked group,
-    same columns.  Rows of null id are kept; repeated rows are kept once."""
-    found = ngram_join(docs, id_col, text_col, **options)
-    kept = found.where(F.col(id_col) == F.col("class_id")).select(F.col(id_col).alias("__kept")).distinct()
-    kept, _ = write_table(kept, "ngram_kept")
-    one = docs.join(kept, docs[id_col] == kept["__kept"], "left_semi").dropDuplicates([id_col, text_col])
-    return one.unionByName(docs.where(F.col(id_col).isNull()))
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
+             threshold: float = THRESHOLD, target_recall: float = TARGET_RECALL, small: int = SMALL,
+             dense: float = DENSE) -> DataFrame:
+    """The documents without all but the first of every linked group, same
+    columns: the one of smallest id, rows without id last; rows that share an id,
+    or have none, are told apart by a digest of their text.  Rows without words
+    link with nothing and stay; of rows repeated in id and text one stays."""
+    own, classes, found = linked_classes(docs, id_col, text_col, size, threshold, target_recall, small, dense)
+    joined = connected_components(found.where("v is not null").select("u", "v"))
+    first = (classes.select("node", "rep").join(joined, "node", "left")
+             .groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("rep").alias("rep")))
+    wordless = own.where("node is null").select("id", "digest").distinct()
+    kept, _ = write_table(first.select("rep.id", "rep.digest").unionByName(wordless)
+                          .select(F.col("id").alias("__kept"), F.col("digest").alias("__digest")), "ngram_kept")
+    named = docs.join(kept, F.col(id_col).eqNullSafe(F.col("__kept")) & (F.xxhash64(text_col) == F.col("__digest")), "left_semi")
+    return named.dropDuplicates([id_col, text_col])

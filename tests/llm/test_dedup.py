@@ -84,6 +84,35 @@ def test_join_odd_rows(odd_docs, no_docs):
     assert ng.ngram_join(no_docs).count() == 0 and ng.keep_one(no_docs).count() == 0
 
 
+def test_one_of_each_group_stays_without_and_with_repeated_ids(spark):
+    """Rows are told apart by id and text: brute force over all pairs of rows."""
+    rng = random.Random(4)
+    base = [[f"w{rng.randrange(10**6)}" for _ in range(60)] for _ in range(6)]
+    rows = [(5, " ".join(base[0])), (None, " ".join(base[0])), (None, " ".join(base[0])), (1, " ".join(base[1])), (2, " ".join(base[2])),
+            (2, " ".join([*base[1][:58], "x", "y"])), (None, " ".join(base[3])), (None, " ".join([*base[3], "more"])), (7, ""), (7, ""), (None, None),
+            (None, ""), (8, " ".join(base[4])), (8, " ".join(base[4])), (9, " ".join(base[4]).upper()), (9, "few words"), (3, "few words!")]
+
+    def shingles(text):
+        w = brute_words(text)
+        return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    distinct = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+    sets, group = [shingles(t) for _, t in distinct], list(range(len(distinct)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and len(a & b) >= 0.8 * len(a | b) and group[i] != group[j]:
+                group = [group[j] if g == group[i] else g for g in group]
+    groups = {}
+    for row, s, g in zip(distinct, sets, group, strict=True):
+        groups.setdefault(g if s else (row,), []).append(row)
+    got = [tuple(r) for r in ng.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(got) == len(set(got)) == len(groups)
+    for own in groups.values():  # of rows with one id, the one of least digest
+        least = min((i is None, i or 0) for i, _ in own)
+        assert len([r for r in got if r in own and (r[0] is None, r[0] or 0) == least]) == 1
+    assert (5, rows[0][1]) in got and (None, rows[0][1]) not in got and (2, rows[5][1]) not in got
+
+
 def test_join_without_ids(spark):
     rng = random.Random(4)
     base = [f"w{i}" for i in range(80)]
