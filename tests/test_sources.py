@@ -192,6 +192,30 @@ def test_listing(spark):
     assert sorted((r.id, r.key) for r in parse_listing(d, keep=("id",)).collect()) == [(0, "7"), (0, "8")]
 
 
+def test_chain_documents_are_dealt_over_tasks_and_read_once(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(chains, "materialize", lambda df, path: plans.append(df._jdf.queryExecution().executedPlan().toString()) or materialize(df, path))
+    rows = [json.dumps({"id": i, "chain": _tree(f"r{i}", _tree(f"k{i}")) if i % 3 else None}) for i in range(12)]
+    good, _ = parse_chains(docs(spark, *rows, type_="chain").coalesce(1))
+    found = first_branch(good)
+    assert {r.chain_id: r.members for r in found.collect()} == {i: [f"r{i}", f"k{i}"] if i % 3 else [] for i in range(12)}
+    assert len(plans) == 1 and "RoundRobinPartitioning" in plans[0]
+    assert plans[0].count("parseJson(") == 1 and "parseJson(" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_documents_are_parsed_once_under_a_filter(spark):
+    d = docs(spark, json.dumps(ENT), "oops")
+    good, bad = parse_entities(d)
+    for df in (good, bad):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    with_copy = parse_entities(d, keep=("raw",), workdir=scratch_path(spark, "test_marked"))
+    assert [r.raw for r in with_copy[0].collect()] == [json.dumps(ENT)]
+    written = parse_entities(d, workdir=scratch_path(spark, "test_marked"))
+    assert written[0].collect() == good.collect() and written[1].collect() == bad.collect()
+    for df in written:
+        assert "from_json(" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_route_unknown_type(spark):
     rows = [("entity", 1, json.dumps(ENT)), ("cohort", 2, json.dumps({"id": 2, "name": "g"})),
             ("weird", 3, "{}"), (None, 4, "{}"), ("entity", 5, "oops")]
