@@ -200,7 +200,7 @@ def q_reject_bad_documents(spark, sf):
     docs = fx.entity_docs.select(F.lit("orders").alias("source"), "id", "raw").unionByName(
         fx.table("pages").select(F.lit("pages").alias("source"), F.col("page_id").alias("id"),
                                  F.col("html").alias("raw")))
-    good, bad = parse_entities(docs, keep=("source",))
+    good, bad = parse_entities(docs, keep=("source",), workdir=scratch_path(spark, "marked"))
     return (good.select("source", "id", F.lit(True).alias("accepted"))
             .unionByName(bad.select("source", "id", F.lit(False).alias("accepted"))))
 
