@@ -61,3 +61,28 @@ def test_similarity_join_keys_are_salted(base):
     join = next(line for line in plan.splitlines() if "a_lo" in line and "Join" in line)
     assert "vu" not in join  # vectors come after the salted join
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_base_join_deals_orders_once_by_name_over_tasks_that_grow(spark, tmp_path, monkeypatch):
+    """However many lines there are, a task has a bounded number of them; the
+    aggregation per order, the null cut and both joins stay in place."""
+    import datetime
+
+    from cohortkit.plans import fixtures
+
+    monkeypatch.setattr(fixtures, "LINES_PER_TASK", 10)
+    lines = [(i // 3, i % 7, 1.0, 2.0, 0.1, 0.1, "R", datetime.date(1995, 1, 1)) for i in range(60)] + [(None, 1, 1.0, 2.0, 0.1, 0.1, "N", None)]
+    tables = {"lineitem": (lines, "l_orderkey long, l_partkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                                  "l_returnflag string, l_shipdate date"),
+              "orders": ([(i, i % 4, 9.0) for i in range(25)] + [(None, 1, 9.0)], "o_orderkey long, o_custkey long, o_totalprice double"),
+              "part": ([(i, f"t{i % 2}") for i in range(7)], "p_partkey long, p_type string"),
+              "customer": ([(i, i) for i in range(4)], "c_custkey long, c_nationkey int")}
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    fx = fixtures.Fixture(spark, str(tmp_path))
+    assert fx.tasks == 7 and fx.entity.count() == 26
+    out = base_join(fx.entity, fx.cohort, fx.chain, tasks=fx.tasks)
+    assert sorted((r.id, r.cohort_id, r.chain_id, len(r.tags), len(r.kinds)) for r in out.collect()) == [(i, 1995, i % 4, 3, 2) for i in range(20)]
+    plan = plan_of(base_join(fx.entity, fx.cohort, fx.chain, tasks=fx.tasks))
+    names = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line and ("name#" in line or "member#" in line) and ", 7)" in line]
+    assert len(names) >= 4 and fx.entity.rdd.getNumPartitions() == 7
