@@ -43,6 +43,11 @@ from cohortkit.sources.files import materialize
 
 # Relative slack on the prefix bound so rounding can only add prefix tags.
 _PREFIX_SLACK = 1e-9
+# Slack on the bound of a pair, whose numbers are shuffled as floats.
+_BOUND_SLACK = 1e-6
+# Names whose vector another name has, up to which they are not worth a copy of
+# all other vectors.
+_FEW_OTHERS = 500_000
 
 
 def _name_counts(base: DataFrame, tags_col: str, tag_field: str | None, name_col: str) -> DataFrame:
@@ -54,6 +59,22 @@ def _name_counts(base: DataFrame, tags_col: str, tag_field: str | None, name_col
             .groupBy("__name", "tag").agg(F.count(F.lit(1)).alias("tf")))
 
 
+def _counts_with_rows(base: DataFrame, tags_col: str, tag_field: str | None, name_col: str) -> DataFrame:
+    """``(__name, tag, tf, n_rows)``: how often each name has each tag, and the
+    base rows of the name.  Equal tag lists of a name are combined before they
+    are shuffled; what is left is dealt by name once, for all three counts."""
+    tags = F.col(tags_col)
+    if tag_field:
+        tags = tags.getField(tag_field)
+    lists = (base.where(F.col(name_col).isNotNull()).groupBy(F.col(name_col).alias("__name"), tags.alias("__tags"))
+             .agg(F.count(F.lit(1)).alias("n")).repartition("__name"))
+    # a null tag stands for the row itself
+    items = F.concat(F.array(F.lit(None)), F.coalesce(F.filter("__tags", lambda t: t.isNotNull()), F.array()))
+    counted = lists.select("__name", "n", F.explode(items).alias("tag")).groupBy("__name", "tag").agg(F.sum("n").alias("tf"))
+    n_rows = F.max(F.when(F.col("tag").isNull(), F.col("tf"))).over(Window.partitionBy("__name"))
+    return counted.withColumn("n_rows", n_rows).where(F.col("tag").isNotNull())
+
+
 def join_own_aggregate(rows: DataFrame, aggregate: DataFrame, key: str) -> DataFrame:
     """Rows joined to an aggregate of theirs by the same key, which may be hot.
 
@@ -145,7 +166,8 @@ def _unit_vectors(weights: DataFrame, threshold: float) -> DataFrame:
     counts = F.transform("v", lambda e: F.struct(e["tag"].alias("tag"), e["tf"].alias("tf")))
     vid = F.struct(F.xxhash64(counts).alias("a"), F.xxhash64(F.lit(1), counts).alias("b"))
     hidden = lambda sig: (F.size("v") - F.bit_count(sig)).alias(f"hid_{sig}")
-    return agg.select("__name", vid.alias("vid"), F.col("v.tag").alias("vt"), F.col("v.u").alias("vu"), F.col("v.rest").alias("rest"),
+    own = F.aggregate(F.col("v.u"), F.lit(0.0), lambda acc, u: acc + u * u)  # the vector's product with itself
+    return agg.select("__name", vid.alias("vid"), own.alias("own"), F.col("v.tag").alias("vt"), F.col("v.u").alias("vu"), F.col("v.rest").alias("rest"),
                       "n_pre", "top", "sig1", "sig2", hidden("sig1"), hidden("sig2"))
 
 
@@ -167,51 +189,82 @@ def _may_exceed(threshold: float) -> Column:
         # equal bits, and tags that share a bit with another of their vector
         return F.bit_count(F.col(f"a_{sig}").bitwiseAND(F.col(f"b_{sig}"))) + F.least(f"a_hid_{sig}", f"b_hid_{sig}")
 
+    both = lambda c: F.col(f"a_{c}").cast("double") * F.col(f"b_{c}").cast("double")
     most = F.least(shared("sig1"), shared("sig2")) - 1
-    behind = F.least(F.col("a_rest") * F.col("b_rest"), most * F.col("a_top") * F.col("b_top"))
-    return F.col("a_u") * F.col("b_u") + behind > F.lit(threshold - 1e-9)
+    behind = F.least(both("rest"), most * both("top"))
+    return both("u") + behind > F.lit(threshold - _BOUND_SLACK)
+
+
+def _apart(names: DataFrame, workdir: str) -> DataFrame:
+    """One name per distinct vector, the least.  Only ids are shuffled to find
+    the others; where they are few Spark takes them off at each read of the
+    vectors, else the vectors that stay are written."""
+    ids = names.select("vid", "__name")
+    least = ids.groupBy("vid").agg(F.min("__name").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    least = materialize(least.select("vid", "least"), f"{workdir}/shared")
+    others = materialize(ids.join(least, "vid").where(F.col("__name") != F.col("least")).select("__name"), f"{workdir}/others")
+    vectors = names.join(others, "__name", "left_anti")
+    return materialize(vectors, f"{workdir}/vectors") if others.count() > _FEW_OTHERS else vectors
 
 
-def _prefix_candidates(vectors: DataFrame, block_size: int, threshold: float) -> DataFrame:
+def _prefix_candidates(vectors: DataFrame, block_size: int, threshold: float, workdir: str) -> DataFrame:
     """``(a_vid, b_vid)`` of distinct vectors that share a prefix tag and whose
     bound is above the threshold, each pair once.  Only ids, the short prefixes
-    and numbers are shuffled; a tag held by many vectors is dealt in blocks, and
-    each pair of blocks is a join key."""
+    and numbers are shuffled, once for both sides of the join; a tag held by more
+    than ``block_size`` vectors is dealt in blocks, and each pair of blocks is a
+    join key.  Such tags are few (one in ``block_size`` entries at most) and are
+    written below ``workdir``."""
     numbers = ["top", "sig1", "sig2", "hid_sig1", "hid_sig2"]
+    short = lambda c: F.col(c).cast("float")  # noqa: E731  the bound has slack for it
     spread = F.arrays_zip("pre", F.slice("vu", F.lit(1), F.col("n_pre")).alias("u"), F.slice("rest", F.lit(1), F.col("n_pre")).alias("rest"))
     entries = (vectors.withColumn("pre", F.slice("vt", F.lit(1), F.col("n_pre")))
                .select("vid", "pre", *numbers, F.posexplode(spread).alias("pos", "e"))
-               .select("vid", "pre", *numbers, "pos", F.col("e.pre").alias("tag"), F.col("e.u").alias("u"), F.col("e.rest").alias("rest")))
+               .select("vid", F.slice("pre", F.lit(1), F.col("pos")).alias("before"), short("top").alias("top"), *numbers[1:], F.col("e.pre").alias("tag"),
+                       short("e.u").alias("u"), short("e.rest").alias("rest")))
     per_tag = entries.groupBy("tag").agg(F.count(F.lit(1)).alias("n_tag"))
-    keyed = (
-        join_own_aggregate(entries, per_tag.where("n_tag > 1"), "tag")
-        .withColumn("nb", F.ceil(F.col("n_tag") / F.lit(block_size)))
-        .withColumn("blk", F.pmod(F.xxhash64("vid"), F.col("nb")))
-    )
+    hot = materialize(per_tag.where(F.col("n_tag") > block_size).select("tag", F.ceil(F.col("n_tag") / F.lit(block_size)).alias("nb")),
+                      f"{workdir}/hot_tags")
+    cols = ["vid", "before", "tag", "u", "rest", *numbers]
+
+    def side(rows: DataFrame, x: str, *more: str) -> DataFrame:
+        return rows.select([F.col(c).alias(f"{x}_{c}") for c in [*cols, *more]])
+
+    # a pair counts at its first shared prefix tag only: the prefix tags before
+    # it (global order) have none in common.  The bound holds there, and may
+    # only be tested behind this: elsewhere it is no bound, but a pair that
+    # fails it elsewhere is not counted there anyway
+    first = _may_exceed(threshold) & ~F.arrays_overlap("a_before", "b_before")
+    once = F.col("a_vid") < F.col("b_vid")
+    same_tag = F.col("a_tag") == F.col("b_tag")
+    cold = entries.join(hot, "tag", "left_anti")
+    cold_pairs = side(cold, "a").join(side(cold, "b"), same_tag & once & first)
     # block pair (lo, hi), lo <= hi: the left side holds block lo, the right side
     # block hi, so each key joins exactly one block with one block
+    keyed = entries.join(hot, "tag").withColumn("blk", F.pmod(F.xxhash64("vid"), F.col("nb")))
     left = (keyed.withColumn("lo", F.col("blk"))
             .withColumn("hi", F.explode(F.sequence(F.col("blk"), F.col("nb") - 1))))
     right = (keyed.withColumn("hi", F.col("blk"))
              .withColumn("lo", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blk")))))
-    cols = ["vid", "pre", "pos", "tag", "u", "rest", *numbers, "lo", "hi"]
-    a = left.select([F.col(c).alias(f"a_{c}") for c in cols])
-    b = right.select([F.col(c).alias(f"b_{c}") for c in cols])
     cond = (
-        (F.col("a_tag") == F.col("b_tag"))
+        same_tag
         & (F.col("a_lo") == F.col("b_lo"))
         & (F.col("a_hi") == F.col("b_hi"))
         # two different blocks meet once; inside one block, each pair once
-        & ((F.col("a_lo") < F.col("a_hi")) | (F.col("a_vid") < F.col("b_vid")))
-        # a pair counts at its first shared prefix tag only: none of a's earlier
-        # prefix tags (global order) is in b's prefix.  The bound holds there,
-        # and may only be tested behind this: elsewhere it is no bound, but a
-        # pair that fails it elsewhere is not counted there anyway
-        & _may_exceed(threshold)
-        & ((F.col("a_pos") == 0)
-           | ~F.arrays_overlap(F.slice("a_pre", 1, F.col("a_pos").cast("int")), F.col("b_pre")))
+        & ((F.col("a_lo") < F.col("a_hi")) | once)
+        & first
     )
-    return a.join(b, cond, "inner").select("a_vid", "b_vid")
+    hot_pairs = side(left, "a", "lo", "hi").join(side(right, "b", "lo", "hi"), cond)
+    return cold_pairs.select("a_vid", "b_vid").unionByName(hot_pairs.select("a_vid", "b_vid"))
+
+
+def _named_in(table: DataFrame, *ids: DataFrame) -> DataFrame:
+    """Rows of ``table`` whose ``vid`` one of the written ``ids`` names: where those
+    are few, the table is not shuffled."""
+    return table.join(reduce(DataFrame.unionByName, ids), "vid", "left_semi")
+
+
+def _vids(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return pairs.select(F.col("a_vid").alias("vid")), pairs.select(F.col("b_vid").alias("vid"))
 
 
 def _scored(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
@@ -244,7 +297,7 @@ def similar_pairs(base: DataFrame, threshold: float = 0.75,
     Vectors are made per name, and names with equal ones share one in the join:
     distinct vectors are paired and scored, and the pairs that pass are joined
     to their rows by key.  ``base`` is read several times, so pass a written
-    table; counts, vectors and candidates are written below ``workdir``
+    table; counts, vectors, candidates and scores are written below ``workdir``
     (default: a fresh folder under ``spark.checkpoint.dir``) when this is called.
     """
     if threshold < 0:
@@ -254,36 +307,39 @@ def similar_pairs(base: DataFrame, threshold: float = 0.75,
     key_cols = list(key_cols)
     workdir = workdir or scratch_path(base.sparkSession, "similar_pairs")
     carry = list(dict.fromkeys([*key_cols, *differ_on, name_col]))
-    per_name = base.groupBy(F.col(name_col).alias("__name")).agg(F.count(F.lit(1)).alias("n_rows"))
-    tf = materialize(_name_counts(base, tags_col, tag_field, name_col).join(per_name, "__name"), f"{workdir}/counts")
+    tf = materialize(_counts_with_rows(base, tags_col, tag_field, name_col), f"{workdir}/counts")
     idf = tf.groupBy("tag").agg(F.sum("n_rows").alias("df"))  # rows that hold the tag
     weight = F.col("tf") * F.ln((row_count(base) + F.lit(1)).cast("double") / (F.col("df") + F.lit(1)).cast("double"))
-    weights = join_own_aggregate(tf, idf, "tag").select("__name", "tag", "tf", "df", weight.alias("weight"))
-    names = materialize(_unit_vectors(weights, threshold), f"{workdir}/names")
-    rows = materialize(base.select(*carry, F.col(name_col).alias("__name")).join(names.select("__name", "vid"), "__name").drop("__name"),
+    # dealt by name before the weights are made of the counts
+    counted = join_own_aggregate(tf.select("__name", "tag", "tf"), idf, "tag").select("__name", "tag", "tf", "df").repartition("__name")
+    names = materialize(_unit_vectors(counted.withColumn("weight", weight), threshold), f"{workdir}/names")
+    rows = materialize(base.select(*carry, F.col(name_col).alias("__name")).join(names.select("__name", "vid", "own"), "__name").drop("__name"),
                        f"{workdir}/rows")
-    shape = [c for c in names.columns if c not in ("__name", "vid")]
-    vectors = materialize(names.groupBy("vid").agg(*[F.first(c).alias(c) for c in shape]), f"{workdir}/vectors")
-    pairs = _prefix_candidates(vectors, block_size, threshold)
-    scored = _scored(pairs, vectors, threshold).withColumn("same", F.lit(False))
+    vectors = _apart(names, workdir)
+    # written, so that Spark knows their size: where pairs are few, only the
+    # vectors and rows that they name are shuffled
+    pairs = materialize(_prefix_candidates(vectors, block_size, threshold, workdir), f"{workdir}/candidates")
+    used = materialize(_named_in(vectors.select("vid", "vt", "vu"), *_vids(pairs)), f"{workdir}/used")
+    scored = materialize(_scored(pairs, used, threshold), f"{workdir}/scored")
     # rows of one vector, if there are any that differ on every column
     apart = [F.min(c).alias(f"least_{c}") for c in differ_on] + [F.max(c).alias(f"most_{c}") for c in differ_on] + [F.count(F.lit(1)).alias("n")]
     some = reduce(lambda x, y: x & y, [F.col(f"least_{c}") < F.col(f"most_{c}") for c in differ_on], F.col("n") > 1)
-    own = F.aggregate("vu", F.lit(0.0), lambda acc, u: acc + u * u)
-    selves = rows.groupBy("vid").agg(*apart).where(some).select("vid").join(vectors.select("vid", own.alias("score")), "vid")
-    scored = scored.unionByName(selves.where(F.col("score") > F.lit(threshold)).select(
-        F.col("vid").alias("a_vid"), F.col("vid").alias("b_vid"), "score", F.lit(True).alias("same")))
+    selves = rows.groupBy("vid").agg(*apart, F.first("own").alias("score")).where(some & (F.col("score") > F.lit(threshold)))
+    selves = materialize(selves.select("vid", "score"), f"{workdir}/selves")
+
+    paired = _named_in(rows, *_vids(scored), selves.select("vid"))
 
     def members(x: str) -> DataFrame:
-        return rows.select(F.col("vid").alias(f"{x}_vid"), *[F.col(c).alias(f"{x}_{c}") for c in carry])
+        return paired.select(F.col("vid").alias(f"{x}_vid"), *[F.col(c).alias(f"{x}_{c}") for c in carry])
 
     key = lambda x: F.struct(*[F.col(f"{x}_{k}") for k in key_cols])
     cond = F.lit(True)
     for c in differ_on:
         cond = cond & (F.col(f"a_{c}") != F.col(f"b_{c}"))
-    found = (scored.join(members("a"), "a_vid").join(members("b"), "b_vid")
-             .where(cond & (~F.col("same") | (key("a") < key("b"))))
-             .select(F.col(f"a_{name_col}").alias("name_i"), F.col(f"b_{name_col}").alias("name_j"), "score"))
+    named = (F.col(f"a_{name_col}").alias("name_i"), F.col(f"b_{name_col}").alias("name_j"), "score")
+    one = selves.select(F.col("vid").alias("a_vid"), "score").join(members("a"), "a_vid")
+    found = scored.join(members("a"), "a_vid").join(members("b"), "b_vid").where(cond).select(*named).unionByName(
+        one.join(members("b"), F.col("a_vid") == F.col("b_vid")).where(cond & (key("a") < key("b"))).select(*named))
     if not both_orders:
         return found
     return found.select(

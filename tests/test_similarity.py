@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 
 from cohortkit.operators import similarity
 from cohortkit.operators.similarity import cosine_to_centroid, similar_pairs, tfidf_weights
+from cohortkit.sources.files import materialize
 
 SCHEMA = ("id long, name string, cohort_id long, chain_id long, "
           "tags array<struct<tag:string,hidden:boolean>>")
@@ -165,3 +166,26 @@ def test_long_vectors(spark):
     want = brute(rows, 0.3)
     assert want
     same(run(spark, rows, 0.3), want)
+
+
+def test_prefix_entries_are_shuffled_once_for_both_sides(spark, tmp_path, monkeypatch):
+    """Only distinct vectors are paired; both sides of the join read one shuffle."""
+    rows = [(i, f"n{i}", i % 5, i, [(f"a{i % 12}", False), (f"b{i % 4}", False)]) for i in range(60)]
+    for few in (0, 500_000):  # vectors written without those that repeat, or not
+        monkeypatch.setattr(similarity, "_FEW_OTHERS", few)
+        same(run(spark, rows, 0.6), brute(rows, 0.6))
+    vectors = materialize(spark.createDataFrame(
+        [((i, i), [f"t{i % 9}", f"u{i % 7}"], [0.9, 0.4], [0.4, 0.0], 2, 0.9, 3, 3, 0, 0) for i in range(60)],
+        "vid struct<a:long,b:long>, vt array<string>, vu array<double>, rest array<double>, n_pre int, top double, "
+        "sig1 long, sig2 long, hid_sig1 int, hid_sig2 int"), str(tmp_path / "vectors"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = similarity._prefix_candidates(vectors, 1024, 0.1, str(tmp_path))
+        assert found.count() == found.distinct().count() > 0
+        found.collect()
+        assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    hot = similarity._prefix_candidates(vectors, 2, 0.1, str(tmp_path / "hot"))
+    pairs = lambda df: sorted(sorted([r.a_vid.a, r.b_vid.a]) for r in df.collect())
+    assert pairs(hot) == pairs(found)
