@@ -25,6 +25,7 @@ from cohortkit.sources.documents import (
     route_documents,
     split_marked,
 )
+from cohortkit.sources import files
 from cohortkit.sources.files import (
     land,
     latest_version,
@@ -300,3 +301,12 @@ def test_route_documents_from_landing_folder(spark):
     assert [r.id for r in routed["entity"].collect()] == [1]
     assert [r.cohort_id for r in routed["cohort"].collect()] == [2]
     assert sorted(r.raw for r in rejected.collect()) == ["oops", "{}"]
+
+
+def test_landed_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "LANDED_PER_FILE", 10)
+    raw = [json.dumps({"id": i, "name": "n" * 50}) for i in range(45)]
+    land(docs(spark, *raw).coalesce(1), str(tmp_path), ingest=1)
+    names = [p.name for p in tmp_path.rglob("part-*")]
+    assert len(names) == 5 and all(n.endswith(".gz") for n in names)
+    assert sorted(r.raw for r in read_landing(spark, str(tmp_path)).collect()) == sorted(raw)
