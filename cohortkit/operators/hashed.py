@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from cohortkit.operators.similarity import _name_counts, join_own_aggregate
 from cohortkit.session import scratch_path
-from cohortkit.sources.files import materialize
+from cohortkit.sources.files import COMPRESSION, materialize
 
 N_FEATURES = 1 << 18
 #: The stored form of a vector; type 0 is sparse.
@@ -37,7 +37,7 @@ STORED = T.StructType([T.StructField("type", T.ByteType()), T.StructField("size"
 def _retyped(df: DataFrame, kinds: dict[str, T.DataType], name: str) -> DataFrame:
     """Written and read back with other types for some columns."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", COMPRESSION).parquet(path)
     return df.sparkSession.read.schema(T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in df.schema])).parquet(path)
 
 
@@ -67,6 +67,7 @@ def hashed_counts(base: DataFrame, key_cols: Sequence[str], stage: HashingTF, ta
     spark, size = base.sparkSession, stage.getNumFeatures()
     counts = materialize(_name_counts(base.where(F.col(name_col).isNotNull()), tags_col, tag_field, name_col), scratch_path(spark, "counts"))
     hashed = (join_own_aggregate(counts, _buckets(counts, stage).groupBy("tag").agg(F.first("bucket").alias("bucket")), "tag")
+              .select("__name", "bucket", "tf").repartition("__name")  # once for both aggregates
               .groupBy("__name", "bucket").agg(F.sum("tf").cast("double").alias("tf")))
     # one entry per distinct bucket of a name, in bucket order
     pairs = hashed.groupBy("__name").agg(F.array_sort(F.collect_list(F.struct("bucket", "tf"))).alias("e"))
@@ -80,20 +81,25 @@ def hashed_counts(base: DataFrame, key_cols: Sequence[str], stage: HashingTF, ta
     return _retyped(rows.select(*key_cols, F.coalesce("own", empty).alias("tf")), {"tf": VectorUDT()}, "rows")
 
 
-def fit_hashed(base: DataFrame, path: str, n_features: int = N_FEATURES, **columns: str | None) -> PipelineModel:
+def fit_hashed(base: DataFrame, path: str, n_features: int = N_FEATURES, counted: DataFrame | None = None,
+               **columns: str | None) -> PipelineModel:
     """Fit on all base rows, save below ``path`` (a new folder) and load from there.
-    The fit adds up one number per bucket and task."""
+    The fit adds up one number per bucket and task.  A caller that also weighs
+    these rows passes their :func:`hashed_counts` to both as ``counted``."""
     stage = hashing(n_features)
-    idf = IDF(inputCol="tf", outputCol="weight").fit(hashed_counts(base, [], stage, **columns))
+    counted = hashed_counts(base, [], stage, **columns) if counted is None else counted
+    idf = IDF(inputCol="tf", outputCol="weight").fit(counted)
     PipelineModel([stage, idf]).write().save(path)
     return PipelineModel.load(path)
 
 
-def hashed_weights(base: DataFrame, key_cols: Sequence[str], model: PipelineModel, **columns: str | None) -> DataFrame:
+def hashed_weights(base: DataFrame, key_cols: Sequence[str], model: PipelineModel, counted: DataFrame | None = None,
+                   **columns: str | None) -> DataFrame:
     """``(row keys, bucket, tf, weight)`` of base rows, fitted or new, under a
     model of :func:`fit_hashed`; rows with an empty vector have none."""
     stage, idf = model.stages
-    scored = _retyped(idf.transform(hashed_counts(base, key_cols, stage, **columns)), {"tf": STORED, "weight": STORED}, "weights")
+    counted = hashed_counts(base, key_cols, stage, **columns) if counted is None else counted
+    scored = _retyped(idf.transform(counted), {"tf": STORED, "weight": STORED}, "weights")
     entry = F.arrays_zip(F.col("tf.indices").alias("bucket"), F.col("tf.values").alias("tf"), F.col("weight.values").alias("weight"))
     return scored.select(*key_cols, F.explode(entry).alias("e")).select(
         *key_cols, F.col("e.bucket").cast("long").alias("bucket"), F.col("e.tf").cast("long").alias("tf"), "e.weight")

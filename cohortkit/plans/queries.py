@@ -33,7 +33,7 @@ from cohortkit.operators.base import (
 )
 from cohortkit.operators.chains import all_members, first_branch, first_branch_edges, walk_edges
 from cohortkit.operators.coverage import best_coverage, entity_sort_key, group_coverage, with_coverage, with_rank
-from cohortkit.operators.hashed import bucket_table, fit_hashed, hashed_weights
+from cohortkit.operators.hashed import bucket_table, fit_hashed, hashed_counts, hashed_weights, hashing
 from cohortkit.operators.holders import expand_holders, holder_counts, holder_index, number_entities
 from cohortkit.operators.measures import (
     entity_extremes,
@@ -595,7 +595,9 @@ def _written_base(spark: SparkSession, sf: str) -> DataFrame:
 def q_tag_hashed_tfidf(spark, sf):
     """TF-IDF by bucket from the saved and loaded MLlib stages."""
     base = _written_base(spark, sf)
-    return r6(hashed_weights(base, KEYS, fit_hashed(base, scratch_path(spark, "hashed_model"))))
+    counted = hashed_counts(base, KEYS, hashing())  # written once for fit and weights
+    model = fit_hashed(base, scratch_path(spark, "hashed_model"), counted=counted)
+    return r6(hashed_weights(base, KEYS, model, counted))
 
 
 @query("tag_hash_buckets")

@@ -6,6 +6,7 @@ from collections import Counter
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import HashingTF
 
+from cohortkit.operators import hashed
 from cohortkit.operators.hashed import bucket_table, fit_hashed, hashed_counts, hashed_weights, hashing
 from cohortkit.session import scratch_path
 
@@ -74,3 +75,15 @@ def test_no_python_in_the_plan(spark):
     base = spark.createDataFrame(ROWS, SCHEMA)
     plan = hashed_weights(base, ["id"], fit_hashed(base, scratch_path(spark, "test_model")))._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan
+
+
+def test_one_count_serves_fit_and_weights(spark, monkeypatch):
+    base, stage = spark.createDataFrame(ROWS, SCHEMA), hashing()
+    calls = []
+    monkeypatch.setattr(hashed, "hashed_counts", lambda *a, **k: calls.append(a) or hashed_counts(*a, **k))
+    counted = hashed_counts(base, ["id"], stage)
+    model = fit_hashed(base, scratch_path(spark, "model"), counted=counted)
+    got = {(r.id, r.bucket): (r.tf, r.weight) for r in hashed_weights(base, ["id"], model, counted).collect()}
+    want = brute(ROWS, ROWS, stage)
+    assert not calls and got.keys() == want.keys()
+    assert all(got[k][0] == want[k][0] and math.isclose(got[k][1], want[k][1], abs_tol=1e-9) for k in want)
