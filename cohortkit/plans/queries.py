@@ -211,14 +211,16 @@ def q_url_key(spark, sf):
     return pages.select("page_id", url_key("url").alias("url_key"))
 
 
+def _file_objects(fx: Fixture) -> DataFrame:
+    """Objects to land as arrays, a bounded number (some 3 MB) per file."""
+    return fx.entity_objects.select(F.floor(F.col("id") / 5000).alias("file_key"), "obj")
+
+
 @query("scan_json")
 def q_scan_json(spark, sf):
     fx = Fixture(spark, sf)
     path = scratch_path(spark, "scan_json")
-    # a bounded number of objects per file
-    objs = fx.entity_docs.select(F.floor(F.col("id") / 1000).alias("file_key"),
-                                 F.from_json("raw", ENTITY_DOC).alias("obj"))
-    write_json_arrays(objs, path, "file_key")
+    write_json_arrays(_file_objects(fx), path, "file_key")
     good, _ = entities_from_docs(read_json_arrays(spark, path, ENTITY_DOC))
     return good.select("id", "name", array_size("tags").alias("n_tags"))
 
@@ -228,7 +230,7 @@ def q_scan_json_elements(spark, sf):
     """The same files, element by element; a reject loses nothing but itself."""
     fx = Fixture(spark, sf)
     path = scratch_path(spark, "scan_json")
-    write_json_arrays(fx.entity_docs.select(F.floor(F.col("id") / 1000).alias("file_key"), F.from_json("raw", ENTITY_DOC).alias("obj")), path, "file_key")
+    write_json_arrays(_file_objects(fx), path, "file_key")
     good, _ = parse_entities(read_json_elements(spark, path))
     return good.select("id", "name", array_size("tags").alias("n_tags"))
 

@@ -10,6 +10,9 @@ from cohortkit.operators.tags import explode_tags, tag_split
 from cohortkit.schemas import ENTITY
 from cohortkit.session import scratch_path
 from cohortkit.sources.files import latest_version, materialize
+from cohortkit.plans.fixtures import Fixture
+from cohortkit.plans.queries import _file_objects
+from tests.conftest import SMALL
 
 ROWS = [(i, f"e{i}", [("a", i), ("b", 2 * i)], [(f"t{i % 5}", i % 2 == 0), ("u", False)], ["k"])
         for i in range(30)]
@@ -86,3 +89,12 @@ def test_base_join_deals_orders_once_by_name_over_tasks_that_grow(spark, tmp_pat
     plan = plan_of(base_join(fx.entity, fx.cohort, fx.chain, tasks=fx.tasks))
     names = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line and ("name#" in line or "member#" in line) and ", 7)" in line]
     assert len(names) >= 4 and fx.entity.rdd.getNumPartitions() == 7
+
+
+def test_scanned_files_hold_some_thousand_objects(spark):
+    """One file per 5,000 keys, of the objects that the documents hold."""
+    fx = Fixture(spark, SMALL)
+    objects = _file_objects(fx)
+    keys, top = objects.select("file_key").distinct().count(), fx.table("orders").agg({"o_orderkey": "max"}).first()[0]
+    assert keys <= top // 5000 + 1
+    assert objects.selectExpr("to_json(obj) AS raw").exceptAll(fx.entity_docs.select("raw")).isEmpty()
