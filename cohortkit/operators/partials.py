@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.functions.columns import row_sum
+from cohortkit.functions.columns import extreme, row_sum
 from cohortkit.session import drop_path
 
 ALL = "all"
@@ -31,12 +31,6 @@ def _values(cols: Sequence[str]) -> dict[str, Column]:
     return {ALL: row_sum(cols) / F.lit(len(cols)), **{c: F.col(c) for c in cols}}
 
 
-def _best(row: Column, value: Column, tie: Column, high: bool) -> Column:
-    """The row of the highest (lowest) value, ties to the lowest key; null
-    values never win."""
-    return F.min_by(row, F.when(value.isNotNull(), F.struct((-value if high else value).alias("v"), tie.alias("k"))))
-
-
 def partial_state(rows: DataFrame, by: Sequence[str], cols: Sequence[str], keys: Sequence[str] = ("id", "name"),
                   ratio_col: str = "coverage") -> DataFrame:
     """One state row per group of ``by``, from rows with the measure columns,
@@ -47,9 +41,8 @@ def partial_state(rows: DataFrame, by: Sequence[str], cols: Sequence[str], keys:
         aggs += [F.count(c).alias(f"n_{c}"), F.sum(c).alias(f"sum_{c}")]
     aggs += [F.count(ratio_col).alias("n_ratio"), F.sum(ratio_col).alias("sum_ratio")]
     for label, value in _values(cols).items():
-        value = value.cast("double")
-        row = F.struct(*[F.col(k) for k in keys], value.alias("value"))
-        aggs += [_best(row, value, F.col(keys[0]), True).alias(f"max_{label}"), _best(row, value, F.col(keys[0]), False).alias(f"min_{label}")]
+        value, named = value.cast("double"), {k: F.col(k) for k in keys}
+        aggs += [extreme(value, named, True).alias(f"max_{label}"), extreme(value, named, False).alias(f"min_{label}")]
     return rows.groupBy(*by).agg(*aggs)
 
 
@@ -62,7 +55,7 @@ def merge_states(states: DataFrame, by: Sequence[str], keys: Sequence[str] = ("i
             aggs.append(F.sum(c).alias(c))
         elif c.startswith(("max_", "min_")):
             held = F.col(c)
-            aggs.append(_best(held, held["value"], held[keys[0]], c.startswith("max_")).alias(c))
+            aggs.append(extreme(held["value"], {k: held[k] for k in keys}, c.startswith("max_")).alias(c))
     return states.groupBy(*by).agg(*aggs)
 
 

@@ -98,3 +98,18 @@ def test_scanned_files_hold_some_thousand_objects(spark):
     keys, top = objects.select("file_key").distinct().count(), fx.table("orders").agg({"o_orderkey": "max"}).first()[0]
     assert keys <= top // 5000 + 1
     assert objects.selectExpr("to_json(obj) AS raw").exceptAll(fx.entity_docs.select("raw")).isEmpty()
+
+
+def test_measures_and_extremes_need_no_lambda_and_one_struct_a_side(base):
+    """Lookups by name stay in generated code; an extreme makes no second struct."""
+    df = entity_extremes(measure_pivot(base, ["a", "b"], keep=("id", "name")), ["a", "b"])
+    plan = plan_of(df)
+    assert "lambda" not in plan and "min_by" not in plan and "max_by" not in plan
+    assert [tuple(r) for r in df.collect()] == [("all", 29, "e29", 43.5, 0, "e0", 0.0), ("a", 29, "e29", 29.0, 0, "e0", 0.0), ("b", 29, "e29", 58.0, 0, "e0", 0.0)]
+
+
+def test_lookup_takes_the_first_of_a_name(spark):
+    rows = [([("a", 1), None, ("a", 2)],), ([None, ("b", None), ("b", 3)],), ([(None, 9), ("b", 4)],), (None,), ([],)]
+    df = spark.createDataFrame(rows, "measures array<struct<name:string,value:long>>")
+    got = measure_pivot(df, ["a", "b"], keep=()).collect()
+    assert [tuple(r) for r in got] == [(1, None), (None, None), (None, 4), (None, None), (None, None)]
