@@ -454,7 +454,7 @@ def _batch_states(spark: SparkSession, sf: str) -> BatchStates:
     """Three batches, one after the other: open and finished orders, the
     finished ones in an older version; those again, as they are; the rest."""
     orders = Fixture(spark, sf).table("orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"))
-    wide = measure_pivot(with_coverage(_written_base(spark, sf)), MEASURE_NAMES, keep=("id", "name", "cohort_id", "coverage"))
+    wide = measure_pivot(with_coverage(_base(Fixture(spark, sf))), MEASURE_NAMES, keep=("id", "name", "cohort_id", "coverage"))
     wide = materialize(wide.join(orders, "id"), scratch_path(spark, "batches"))
     old = wide.withColumn("qty", F.when(F.col("status") == "F", F.col("qty") * 100).otherwise(F.col("qty")))
     states = BatchStates(spark, scratch_path(spark, "states"), ["cohort_id"], MEASURE_COLS)

@@ -11,6 +11,7 @@ from cohortkit.operators.measures import entity_extremes, group_measure_avg
 from cohortkit.operators.partials import BatchStates, state_averages, state_coverage, state_extremes
 from cohortkit.session import scratch_path
 from cohortkit.sources.files import publish_bucketed, read_bucketed
+from tests.conftest import SMALL
 
 COLS = ["a", "b"]
 SCHEMA = "id long, name string, cohort_id long, a long, b long, kinds array<string>, tags array<string>, coverage double"
@@ -80,3 +81,14 @@ def test_bucketed_tables_join_without_exchange(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     publish_bucketed(entity.limit(3), root, "entity", "name", 2)  # published anew
     assert read_bucketed(spark, root, "entity").count() == 3
+
+
+def test_batch_rows_come_from_the_base_without_its_lists(spark, monkeypatch):
+    """The whole base table is not written on the way to the batches' rows."""
+    from cohortkit.plans import queries
+
+    written = []
+    keep = queries.materialize
+    monkeypatch.setattr(queries, "materialize", lambda df, path: written.append(df.columns) or keep(df, path))
+    queries._batch_states(spark, SMALL)
+    assert len(written) == 1 and not {"measures", "tags", "kinds"} & set(written[0])
