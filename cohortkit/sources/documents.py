@@ -26,13 +26,13 @@ DOC = "doc"
 
 
 def _entity_columns(d: Column) -> list[Column]:
+    # zipped fields rather than a lambda per element: they stay in generated code
+    stats, abilities = d.getField("stats"), d.getField("abilities")
     return [
         d.getField("id").alias("id"),
         d.getField("name").alias("name"),
-        F.transform(d.getField("stats"), lambda s: F.struct(
-            s["stat"]["name"].alias("name"), s["base_stat"].alias("value"))).alias("measures"),
-        F.transform(d.getField("abilities"), lambda a: F.struct(
-            a["ability"]["name"].alias("tag"), a["is_hidden"].alias("hidden"))).alias("tags"),
+        F.arrays_zip(stats["stat"]["name"].alias("name"), stats["base_stat"].alias("value")).alias("measures"),
+        F.arrays_zip(abilities["ability"]["name"].alias("tag"), abilities["is_hidden"].alias("hidden")).alias("tags"),
         d.getField("types").getField("type").getField("name").alias("kinds"),
     ]
 

@@ -113,3 +113,11 @@ def test_lookup_takes_the_first_of_a_name(spark):
     df = spark.createDataFrame(rows, "measures array<struct<name:string,value:long>>")
     got = measure_pivot(df, ["a", "b"], keep=()).collect()
     assert [tuple(r) for r in got] == [(1, None), (None, None), (None, 4), (None, None), (None, None)]
+
+
+def test_customer_documents_are_dealt_over_the_tasks(spark):
+    """One scan task may hold all customers: they are dealt before their documents are made."""
+    fx = Fixture(spark, SMALL)
+    docs = fx.customer_tree_docs
+    assert docs.rdd.getNumPartitions() == fx.tasks > fx.table("customer").rdd.getNumPartitions()
+    assert docs.count() == fx.table("customer").count()

@@ -9,6 +9,7 @@ from cohortkit.operators import chains
 from cohortkit.operators.chains import NotATree, all_members, first_branch, top_ancestors, walk_edges
 from cohortkit.schemas import COHORT_MEMBERS_KEY as MEMBERS
 from cohortkit.schemas import ENTITY, ENTITY_DOC
+from cohortkit.plans.fixtures import Fixture
 from cohortkit.session import scratch_path
 from cohortkit.sources.documents import (
     COHORTS,
@@ -47,6 +48,7 @@ ENT = {
     "types": [{"slot": 1, "type": {"name": "k1"}}, {"type": {"name": "k2"}}],
     "extra": {"ignored": True},
 }
+from tests.conftest import SMALL
 
 
 def docs(spark, *raws, type_="entity"):
@@ -310,3 +312,15 @@ def test_landed_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
     names = [p.name for p in tmp_path.rglob("part-*")]
     assert len(names) == 5 and all(n.endswith(".gz") for n in names)
     assert sorted(r.raw for r in read_landing(spark, str(tmp_path)).collect()) == sorted(raw)
+
+
+def test_entity_documents_are_made_and_read_without_lambdas(spark):
+    """Lists with null elements and fields keep them; no lambda per element."""
+    odd = dict(ENT, stats=[None, {"base_stat": 3}, {"stat": {"name": "hp"}}], abilities=[None, {"ability": None, "is_hidden": True}], types=None)
+    good, _ = parse_entities(docs(spark, json.dumps(odd), json.dumps({"id": 2})))
+    one, two = sorted(good.collect(), key=lambda r: r.id)
+    assert [tuple(m) for m in one.measures] == [(None, None), (None, 3), ("hp", None)]
+    assert [tuple(t) for t in one.tags] == [(None, None), (None, True)] and one.kinds is None
+    assert (two.measures, two.tags, two.kinds) == (None, None, None)
+    for df in (good, Fixture(spark, SMALL).entity_docs):
+        assert "lambda" not in df._jdf.queryExecution().optimizedPlan().toString()
