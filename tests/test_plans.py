@@ -121,3 +121,69 @@ def test_customer_documents_are_dealt_over_the_tasks(spark):
     docs = fx.customer_tree_docs
     assert docs.rdd.getNumPartitions() == fx.tasks > fx.table("customer").rdd.getNumPartitions()
     assert docs.count() == fx.table("customer").count()
+
+
+def test_latest_version_leaves_rows_of_one_version_in_place(spark):
+    """Only keys with several versions are joined: other rows are not shuffled."""
+    rows = [(1, "x", 1, "old"), (1, "x", 2, "new"), (1, "x", 2, "chunk"), (1, "y", 1, "one"), (2, "x", 3, "only"), (1, "x", None, "no version"),
+            (3, "x", None, "none at all"), (None, "x", 1, "no key"), (4, None, 1, "half a key")]
+    table = materialize(spark.createDataFrame(rows, "id long, part string, ingest long, payload string"), scratch_path(spark, "test"))
+    newest = latest_version(table, ["id", "part"], "ingest")
+    assert newest.columns == table.columns
+    assert sorted(r.payload for r in newest.collect()) == ["chunk", "new", "one", "only"]
+    assert "hashpartitioning" not in plan_of(newest)
+
+
+def test_job_deals_its_sources_once_for_the_base(spark, monkeypatch):
+    """One exchange a side: the distincts and both joins by name stay in place."""
+    import json
+
+    from cohortkit.plans import jobs
+    from cohortkit.sources.files import land
+
+    ent = [{"id": i, "name": f"e{i}", "stats": [{"base_stat": i, "stat": {"name": "a"}}], "types": [{"type": {"name": "k"}}],
+            "abilities": [{"is_hidden": i % 2 == 0, "ability": {"name": f"t{i % 3}"}}]} for i in range(12)]
+    group = {"id": 1, "name": "c", "pokemon_species": [{"name": f"e{i}"} for i in range(10)], "abilities": [{"name": "R"}]}
+    chain = {"id": 7, "chain": {"species": {"name": "e0"}, "evolves_to": [{"species": {"name": f"e{i}"}, "evolves_to": []} for i in range(1, 9)]}}
+    rows = [("entity", json.dumps(e)) for e in ent] + [("cohort", json.dumps(group)), ("chain", json.dumps(chain))]
+    landing, plans = scratch_path(spark, "landing"), {}
+    land(spark.createDataFrame(rows, "type string, raw string"), landing, ingest=1)
+    publish = jobs.publish
+
+    def seen(datasets, root, *more):
+        plans.update({k: plan_of(v) for k, v in datasets.items()})
+        return publish(datasets, root, *more)
+
+    monkeypatch.setattr(jobs, "publish", seen)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = jobs.run_job(spark, {"landing_path": landing, "output_path": scratch_path(spark, "out"), "measure_names": ["a"], "chain_mode": "all"})
+        assert {r.dataset: r.n_rows for r in out.collect()}["base"] == 9
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plans["base"].count("Exchange hashpartitioning(") == 3
+
+
+def test_rows_of_a_name_are_counted_before_its_tags_are_spread(spark):
+    """A row with a list counts once, not once a tag; no lambda per element."""
+    from cohortkit.operators.similarity import _counts_with_rows
+
+    tag = lambda *names: [(n, True) for n in names]
+    rows = [("a", tag("x", "y", "x")), ("a", tag("x", "y", "x")), ("a", tag("z", None)), ("a", None), ("a", []), ("b", tag("x")), ("c", []), (None, tag("x"))]
+    df = _counts_with_rows(spark.createDataFrame(rows, "name string, tags array<struct<tag:string,hidden:boolean>>"), "tags", "tag", "name")
+    assert sorted(tuple(r) for r in df.collect()) == [("a", "x", 4, 5), ("a", "y", 2, 5), ("a", "z", 1, 5), ("b", "x", 1, 1)]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and plan.index("Generate") < plan.index("Window")
+
+
+def test_job_query_makes_its_chain_documents_once(spark, monkeypatch):
+    """They are landed twice, as two versions, from one written copy."""
+    from cohortkit.plans import queries
+
+    landed = []
+    monkeypatch.setattr(queries, "land", lambda docs, path, ingest: landed.append((ingest, plan_of(docs), docs.where("type = 'chain'").count())))
+    monkeypatch.setattr(queries, "run_job", lambda spark, cfg: None)
+    queries._job(spark, SMALL, "all")
+    assert [i for i, _, _ in landed] == [1, 2] and landed[0][2] == landed[1][2] > 0
+    assert all("c_custkey" not in plan for _, plan, _ in landed)

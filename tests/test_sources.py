@@ -2,6 +2,7 @@
 
 import json
 import random
+import zlib
 
 import pytest
 
@@ -16,6 +17,7 @@ from cohortkit.sources.documents import (
     ENTITIES,
     KINDS,
     entities_from_docs,
+    mark_chains,
     mark_entities,
     marked_by_type,
     parse_chains,
@@ -324,3 +326,23 @@ def test_entity_documents_are_made_and_read_without_lambdas(spark):
     assert (two.measures, two.tags, two.kinds) == (None, None, None)
     for df in (good, Fixture(spark, SMALL).entity_docs):
         assert "lambda" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_chain_documents_are_marked_without_a_walk_over_their_nodes(spark):
+    """The schema of a tree is as long as the tree; what it may not be is seen without."""
+    raw = ['{}', '[]', 'null', '1', '"x"', '{', '{"id":1}', '{"id":"7"}', '{"id":"a"}', '{"id":[1]}', '{"id":1,"chain":null}', '{"id":1,"chain":{}}',
+           '{"id":1,"chain":[]}', '{"id":1,"chain":[{"species":1}]}', '{"id":1,"chain":"x"}', '{"id":1,"chain":{"species":null}}', '{"id":1,"chain":{"Species":1}}']
+    marked = mark_chains(docs(spark, *raw))
+    bad, no_id, good = "does not parse", "no id", None
+    assert {r.raw: r.reason for r in marked.collect()} == dict(zip(raw, [
+        no_id, bad, bad, bad, bad, bad, good, good, bad, bad, good, good, bad, bad, bad, good, good], strict=True))
+    plan = marked._jdf.queryExecution().optimizedPlan().toString().lower().replace("_", "")
+    assert "schemaofvariant" not in plan
+
+
+def test_landed_files_take_the_fastest_level(spark, tmp_path):
+    raw = [json.dumps({"id": i, "name": f"e{i * 7919 % 1000}", "stats": [{"base_stat": i * i % 977, "stat": {"name": "hp"}}] * 4}) for i in range(4000)]
+    land(docs(spark, *raw).coalesce(1), str(tmp_path), ingest=1)
+    size = sum(p.stat().st_size for p in tmp_path.rglob("part-*.gz"))
+    text = "".join(r + files.RECORD_END for r in raw).encode()
+    assert size > (len(zlib.compress(text, 1)) + len(zlib.compress(text, 6))) / 2
